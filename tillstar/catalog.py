@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.operators import dims as D
 from tillstar.plans import staging
-from tillstar.session import configure
-from tillstar.sources.feed import sales_feed
+from tillstar.plans.load import Warehouse, load_batch, star_view
+from tillstar.session import configure, work_dir
+from tillstar.sources.feed import feed_split, sales_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,7 +40,118 @@ def q_parse_items(spark, sf_dir):
     return staging.parse_items(st, keep=["o_orderkey"])
 
 
+# ---- warehouse loads ------------------------------------------------------
+# Loads are written under the shared checkpoint folder.  Within one Spark
+# application a loaded warehouse is reused by the queries that only read it.
+_LOADED: dict[tuple, Warehouse] = {}
+
+
+def load_feed(spark: SparkSession, sf_dir: str, batches: str = "one", reuse: bool = True) -> Warehouse:
+    key = (spark.sparkContext.applicationId, sf_dir, batches)
+    if reuse and key in _LOADED:
+        return _LOADED[key]
+    feed = _feed(spark, sf_dir)
+    wh = Warehouse(spark, work_dir(spark, f"wh-{batches}")).bootstrap()
+    if batches == "one":
+        load_batch(wh, feed.drop("o_orderkey"), 1, source="feed")
+    else:
+        f1, f2 = feed_split(feed)
+        load_batch(wh, f1.drop("o_orderkey"), 1, source="feed1")
+        load_batch(wh, f2.drop("o_orderkey"), 2, source="feed2")
+    _LOADED[key] = wh
+    return wh
+
+
+def q_star_load(spark, sf_dir):
+    return star_view(load_feed(spark, sf_dir, "one"))
+
+
+def q_star_load_two_batches(spark, sf_dir):
+    return star_view(load_feed(spark, sf_dir, "two"))
+
+
+def q_fact_transactions(spark, sf_dir):
+    return load_feed(spark, sf_dir, "one").read("transactions")
+
+
+def q_basket_lines(spark, sf_dir):
+    return load_feed(spark, sf_dir, "one").read("baskets")
+
+
+def _dim(table):
+    def q(spark, sf_dir):
+        return load_feed(spark, sf_dir, "two").read(table)
+
+    q.__name__ = f"q_dim_{table}_incremental"
+    return q
+
+
+def _valid(spark, sf_dir):
+    return staging.valid_rows(staging.stage(_feed(spark, sf_dir)))
+
+
+def q_distinct_stores(spark, sf_dir):
+    return D.distinct_stores(_valid(spark, sf_dir))
+
+
+def q_distinct_customers(spark, sf_dir):
+    return D.distinct_customers(_valid(spark, sf_dir))
+
+
+def q_distinct_products(spark, sf_dir):
+    return D.distinct_products(staging.parse_items(_valid(spark, sf_dir), keep=[]))
+
+
+def q_distinct_flavours(spark, sf_dir):
+    return D.distinct_flavours(staging.parse_items(_valid(spark, sf_dir), keep=[]))
+
+
+def _with_store(spark, sf_dir):
+    wh = load_feed(spark, sf_dir, "one")
+    return wh, D.lookup_store(_valid(spark, sf_dir), wh.read("stores"))
+
+
+def q_lookup_store(spark, sf_dir):
+    _, df = _with_store(spark, sf_dir)
+    return df.select("time_stamp", "store_name", "store_id", "customer_name", "total_price", "payment_type")
+
+
+def q_lookup_customer(spark, sf_dir):
+    wh, df = _with_store(spark, sf_dir)
+    df = D.lookup_customer(df, wh.read("customers"))
+    return df.select("time_stamp", "store_id", "customer_name", "customer_id", "total_price", "payment_type")
+
+
+def q_lookup_customer_by_name(spark, sf_dir):
+    wh, df = _with_store(spark, sf_dir)
+    df = D.lookup_customer_by_name(df, wh.read("customers"))
+    return df.select("time_stamp", "store_id", "customer_name", "customer_id", "total_price", "payment_type")
+
+
+def q_transaction_id_backfill(spark, sf_dir):
+    wh, df = _with_store(spark, sf_dir)
+    df = D.lookup_customer(df, wh.read("customers"))
+    df = D.transaction_id_backfill(df, wh.read("transactions"))
+    return df.select("time_stamp", "store_id", "customer_id", "total_price", "payment_type", "transaction_id")
+
+
 QUERIES: dict[str, Query] = {
+    "star_load": q_star_load,
+    "star_load_two_batches": q_star_load_two_batches,
+    "fact_transactions": q_fact_transactions,
+    "basket_lines": q_basket_lines,
+    "dim_stores_incremental": _dim("stores"),
+    "dim_customers_incremental": _dim("customers"),
+    "dim_products_incremental": _dim("products"),
+    "dim_flavours_incremental": _dim("flavours"),
+    "distinct_stores": q_distinct_stores,
+    "distinct_customers": q_distinct_customers,
+    "distinct_products": q_distinct_products,
+    "distinct_flavours": q_distinct_flavours,
+    "lookup_store": q_lookup_store,
+    "lookup_customer": q_lookup_customer,
+    "lookup_customer_by_name": q_lookup_customer_by_name,
+    "transaction_id_backfill": q_transaction_id_backfill,
     "stage_transactions": q_stage_transactions,
     "explode_baskets": q_explode_baskets,
     "parse_items": q_parse_items,

@@ -94,9 +94,135 @@ def q_stage_transactions() -> str:
 SELECT time_stamp, store_name, customer_name, products, total_price, payment_type FROM st"""
 
 
+# ---------------------------------------------------------------- load ----
+
+def _empty(name: str, cols: str) -> str:
+    return f"{name} AS (SELECT {cols} WHERE false)"
+
+
+def load_ctes(filters: list[str], src: str = "raw_sales") -> str:
+    """CTEs of an n-batch load of the feed; batch i keeps rows matching filters[i].
+
+    Ids of new members continue after the largest id of the earlier batches,
+    in natural-key order: stores by name, customers by (digest, store id),
+    products and flavours by name, transactions by
+    (time stamp, store, customer, total, payment, basket).
+    """
+    parts = [
+        _empty("stores0", "CAST(NULL AS BIGINT) AS store_id, CAST(NULL AS VARCHAR) AS store_name"),
+        _empty("customers0", "CAST(NULL AS BIGINT) AS customer_id, CAST(NULL AS VARCHAR) AS customer_name, CAST(NULL AS BIGINT) AS store_id"),
+        _empty("products0", "CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS DECIMAL(10,2)) AS price"),
+        _empty("flavours0", "CAST(NULL AS BIGINT) AS flavour_id, CAST(NULL AS VARCHAR) AS flavour_name"),
+        _empty("txn0", "CAST(NULL AS BIGINT) AS transaction_id, CAST(NULL AS BIGINT) AS o_orderkey, CAST(NULL AS TIMESTAMP) AS time_stamp, "
+               "CAST(NULL AS BIGINT) AS store_id, CAST(NULL AS BIGINT) AS customer_id, CAST(NULL AS DECIMAL(10,2)) AS total_price, "
+               "CAST(NULL AS VARCHAR) AS payment_type, CAST(NULL AS VARCHAR) AS products"),
+    ]
+    for i, flt in enumerate(filters, 1):
+        p = i - 1
+        parts.append(f"rs{i} AS (SELECT * FROM {src} WHERE {flt})")
+        parts.append(staged(f"rs{i}", f"st{i}").strip())
+        parts.append(items_of(f"st{i}", f"si{i}").strip())
+        parts.append(f"""stores_new{i} AS (
+  SELECT CAST((SELECT coalesce(max(store_id), 0) FROM stores{p}) + row_number() OVER (ORDER BY store_name NULLS FIRST) AS BIGINT) AS store_id, store_name
+  FROM (SELECT DISTINCT store_name FROM st{i} a WHERE NOT EXISTS (SELECT 1 FROM stores{p} b WHERE a.store_name = b.store_name)))""")
+        parts.append(f"stores{i} AS (SELECT store_id, store_name FROM stores{p} UNION ALL SELECT store_id, store_name FROM stores_new{i})")
+        parts.append(f"""customers_new{i} AS (
+  SELECT CAST((SELECT coalesce(max(customer_id), 0) FROM customers{p}) + row_number() OVER (ORDER BY customer_name NULLS FIRST, store_id NULLS FIRST) AS BIGINT) AS customer_id,
+    customer_name, store_id
+  FROM (SELECT DISTINCT s.customer_name, d.store_id FROM st{i} s JOIN stores{i} d ON s.store_name = d.store_name) a
+  WHERE NOT EXISTS (SELECT 1 FROM customers{p} b WHERE a.customer_name = b.customer_name AND a.store_id = b.store_id))""")
+        parts.append(f"customers{i} AS (SELECT customer_id, customer_name, store_id FROM customers{p} UNION ALL SELECT customer_id, customer_name, store_id FROM customers_new{i})")
+        parts.append(f"""products_new{i} AS (
+  SELECT CAST((SELECT coalesce(max(product_id), 0) FROM products{p}) + row_number() OVER (ORDER BY product_name NULLS FIRST) AS BIGINT) AS product_id, product_name, price
+  FROM (SELECT product_name, min(price) AS price FROM (SELECT {ITEM_COLS} FROM si{i}) GROUP BY product_name) a
+  WHERE NOT EXISTS (SELECT 1 FROM products{p} b WHERE a.product_name = b.product_name))""")
+        parts.append(f"products{i} AS (SELECT product_id, product_name, price FROM products{p} UNION ALL SELECT product_id, product_name, price FROM products_new{i})")
+        parts.append(f"""flavours_new{i} AS (
+  SELECT CAST((SELECT coalesce(max(flavour_id), 0) FROM flavours{p}) + row_number() OVER (ORDER BY flavour_name NULLS FIRST) AS BIGINT) AS flavour_id, flavour_name
+  FROM (SELECT DISTINCT flavour_name FROM (SELECT {ITEM_COLS} FROM si{i})) a
+  WHERE NOT EXISTS (SELECT 1 FROM flavours{p} b WHERE a.flavour_name = b.flavour_name))""")
+        parts.append(f"flavours{i} AS (SELECT flavour_id, flavour_name FROM flavours{p} UNION ALL SELECT flavour_id, flavour_name FROM flavours_new{i})")
+        parts.append(f"""txn_new{i} AS (
+  SELECT CAST((SELECT coalesce(max(transaction_id), 0) FROM txn{p}) + row_number() OVER (
+      ORDER BY time_stamp NULLS FIRST, store_id NULLS FIRST, customer_id NULLS FIRST, total_price NULLS FIRST,
+               payment_type NULLS FIRST, products NULLS FIRST) AS BIGINT) AS transaction_id,
+    o_orderkey, time_stamp, store_id, customer_id, total_price, payment_type, products
+  FROM (SELECT s.o_orderkey, s.time_stamp, d.store_id, c.customer_id, s.total_price, s.payment_type, s.products
+        FROM st{i} s JOIN stores{i} d ON s.store_name = d.store_name
+        JOIN customers{i} c ON c.customer_name = s.customer_name AND c.store_id = d.store_id))""")
+        parts.append(f"txn{i} AS (SELECT * FROM txn{p} UNION ALL SELECT * FROM txn_new{i})")
+    n = len(filters)
+    parts.append(items_of(f"txn{n}", "ti").strip())
+    parts.append(f"""baskets AS (
+  SELECT x.transaction_id, pr.product_id, fl.flavour_id
+  FROM (SELECT transaction_id, {ITEM_COLS} FROM ti) x
+  LEFT JOIN products{n} pr ON pr.product_name = x.product_name
+  LEFT JOIN flavours{n} fl ON fl.flavour_name = x.flavour_name)""")
+    parts.append(f"stores AS (SELECT * FROM stores{n})")
+    parts.append(f"customers AS (SELECT * FROM customers{n})")
+    parts.append(f"products AS (SELECT * FROM products{n})")
+    parts.append(f"flavours AS (SELECT * FROM flavours{n})")
+    parts.append(f"transactions AS (SELECT transaction_id, time_stamp, store_id, customer_id, total_price, payment_type FROM txn{n})")
+    return WITH_FEED + ",\n" + ",\n".join(parts)
+
+
+ONE_BATCH = ["true"]
+TWO_BATCHES = ["o_orderkey < 10", "o_orderkey >= 10"]
+
+STAR_SELECT = """
+SELECT t.transaction_id, t.time_stamp, t.store_id, t.customer_id, t.total_price, t.payment_type, b.product_id, b.flavour_id
+FROM transactions t JOIN baskets b ON b.transaction_id = t.transaction_id"""
+
+
+def q_load(filters: list[str], select: str) -> str:
+    return load_ctes(filters) + "\n" + select
+
+
+def load_sql() -> dict[str, str]:
+    st1 = staged("raw_sales", "stx")
+    return {
+        "star_load": q_load(ONE_BATCH, STAR_SELECT),
+        "star_load_two_batches": q_load(TWO_BATCHES, STAR_SELECT),
+        "fact_transactions": q_load(ONE_BATCH, "SELECT * FROM transactions"),
+        "basket_lines": q_load(ONE_BATCH, "SELECT * FROM baskets"),
+        "dim_stores_incremental": q_load(TWO_BATCHES, "SELECT * FROM stores"),
+        "dim_customers_incremental": q_load(TWO_BATCHES, "SELECT * FROM customers"),
+        "dim_products_incremental": q_load(TWO_BATCHES, "SELECT * FROM products"),
+        "dim_flavours_incremental": q_load(TWO_BATCHES, "SELECT * FROM flavours"),
+        "distinct_stores": WITH_FEED + "," + st1 + "\nSELECT DISTINCT store_name FROM stx",
+        "distinct_customers": WITH_FEED + "," + st1 + "\nSELECT DISTINCT customer_name, store_name FROM stx",
+        "distinct_products": WITH_FEED + "," + st1 + "," + items_of("stx", "ix")
+        + f"\nSELECT DISTINCT product_name, price FROM (SELECT {ITEM_COLS} FROM ix)",
+        "distinct_flavours": WITH_FEED + "," + st1 + "," + items_of("stx", "ix")
+        + f"\nSELECT DISTINCT flavour_name FROM (SELECT {ITEM_COLS} FROM ix)",
+        "lookup_store": q_load(ONE_BATCH, """
+SELECT s.time_stamp, s.store_name, d.store_id, s.customer_name, s.total_price, s.payment_type
+FROM st1 s LEFT JOIN stores d ON d.store_name = s.store_name"""),
+        "lookup_customer": q_load(ONE_BATCH, """
+SELECT s.time_stamp, d.store_id, s.customer_name, c.customer_id, s.total_price, s.payment_type
+FROM st1 s LEFT JOIN stores d ON d.store_name = s.store_name
+LEFT JOIN customers c ON c.customer_name = s.customer_name AND c.store_id = d.store_id"""),
+        "lookup_customer_by_name": q_load(ONE_BATCH, """
+SELECT s.time_stamp, d.store_id, s.customer_name, c.customer_id, s.total_price, s.payment_type
+FROM st1 s LEFT JOIN stores d ON d.store_name = s.store_name
+LEFT JOIN (SELECT customer_name, min(customer_id) AS customer_id FROM customers GROUP BY customer_name) c
+  ON c.customer_name = s.customer_name"""),
+        "transaction_id_backfill": q_load(ONE_BATCH, """
+SELECT s.time_stamp, s.store_id, s.customer_id, s.total_price, s.payment_type, k.transaction_id
+FROM (SELECT x.time_stamp, d.store_id, c.customer_id, x.total_price, x.payment_type
+      FROM st1 x LEFT JOIN stores d ON d.store_name = x.store_name
+      LEFT JOIN customers c ON c.customer_name = x.customer_name AND c.store_id = d.store_id) s
+LEFT JOIN (SELECT time_stamp, store_id, customer_id, total_price, payment_type, min(transaction_id) AS transaction_id
+           FROM transactions GROUP BY ALL) k
+  ON k.time_stamp = s.time_stamp AND k.store_id = s.store_id AND k.customer_id = s.customer_id
+ AND k.total_price = s.total_price AND k.payment_type = s.payment_type"""),
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "parse_items": q_parse_items(),
         "explode_baskets": q_explode_baskets(),
         "stage_transactions": q_stage_transactions(),
+        **load_sql(),
     }
