@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators import dims as D
+from tillstar.operators import quality as Q
+from tillstar.sources import csv as C
 from tillstar.plans import staging
 from tillstar.plans.load import Warehouse, load_batch, star_view
 from tillstar.session import configure, work_dir
-from tillstar.sources.feed import feed_split, sales_feed
+from tillstar.sources.feed import csv_lines, dirty_feed, feed_split, local_feed, sales_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,7 +137,73 @@ def q_transaction_id_backfill(spark, sf_dir):
     return df.select("time_stamp", "store_id", "customer_id", "total_price", "payment_type", "transaction_id")
 
 
+# ---- CSV sources / sinks and audits -----------------------------------------
+
+def dirty_raw_csv(spark, sf_dir):
+    """The dirty feed written as headerless CSV text, scanned back."""
+    path = work_dir(spark, "rawcsv")
+    C.write_text_lines(csv_lines(dirty_feed(_feed(spark, sf_dir))), path)
+    return C.read_raw_csv(spark, path)
+
+
+def q_scan_raw_csv(spark, sf_dir):
+    raw = dirty_raw_csv(spark, sf_dir)
+    return raw.select(
+        "time_stamp", "store_name", "customer_name", "products", "total_price", "payment_type", "card_number",
+        F.col("_corrupt_record").isNotNull().alias("is_corrupt"),
+    )
+
+
+def q_quarantine_reasons(spark, sf_dir):
+    return Q.reason_counts(staging.stage(dirty_raw_csv(spark, sf_dir)))
+
+
+def q_quality_length(spark, sf_dir):
+    return Q.length_violations(dirty_raw_csv(spark, sf_dir))
+
+
+def _star_tables(wh):
+    return {t: wh.read(t) for t in ("stores", "customers", "products", "flavours", "transactions", "baskets")}
+
+
+def q_quality_nulls(spark, sf_dir):
+    return Q.null_counts(_star_tables(load_feed(spark, sf_dir, "one")))
+
+
+def q_quality_orphans(spark, sf_dir):
+    return Q.orphan_counts(_star_tables(load_feed(spark, sf_dir, "one")))
+
+
+def q_quality_duplicates(spark, sf_dir):
+    star = Q.star_duplicates(_star_tables(load_feed(spark, sf_dir, "one")))
+    items = staging.parse_items(_valid(spark, sf_dir), keep=[])
+    return star.unionByName(Q.product_price_conflicts(items))
+
+
+def q_items_csv_roundtrip(spark, sf_dir):
+    """S4 then S2: basket items of the loaded transactions through a header CSV."""
+    txn = load_feed(spark, sf_dir, "one").staged_transactions[1]
+    path = work_dir(spark, "itemscsv")
+    C.write_items_csv(staging.parse_items(txn, keep=["transaction_id"]), path)
+    return C.read_items_csv(spark, path)
+
+
+def q_scan_header_csv(spark, sf_dir):
+    """S3: the feed under the local variant's header names, through a CSV file."""
+    path = work_dir(spark, "headercsv")
+    C.write_header_csv(local_feed(_feed(spark, sf_dir)).drop("o_orderkey"), path)
+    return C.read_header_csv(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "scan_raw_csv": q_scan_raw_csv,
+    "quarantine_reasons": q_quarantine_reasons,
+    "quality_length": q_quality_length,
+    "quality_nulls": q_quality_nulls,
+    "quality_orphans": q_quality_orphans,
+    "quality_duplicates": q_quality_duplicates,
+    "items_csv_roundtrip": q_items_csv_roundtrip,
+    "scan_header_csv": q_scan_header_csv,
     "star_load": q_star_load,
     "star_load_two_batches": q_star_load_two_batches,
     "fact_transactions": q_fact_transactions,

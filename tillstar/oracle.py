@@ -219,10 +219,118 @@ LEFT JOIN (SELECT time_stamp, store_id, customer_id, total_price, payment_type,
     }
 
 
+# ------------------------------------------------------- csv and audits ----
+
+DIRTY = """,
+dirty AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderkey % 101 = 7 THEN '31-02' || substr(time_stamp, 6) ELSE time_stamp END AS time_stamp,
+    CASE WHEN o_orderkey % 113 = 19 THEN store_name || repeat('#', 250) ELSE store_name END AS store_name,
+    customer_name,
+    CASE WHEN o_orderkey % 107 = 13 THEN products || ', Water' ELSE products END AS products,
+    CASE WHEN o_orderkey % 103 = 11 THEN 'xx' ELSE total_price END AS total_price,
+    payment_type, card_number,
+    o_orderkey % 109 = 17 AS is_corrupt
+  FROM raw_sales
+),
+scanned AS (
+  SELECT time_stamp, store_name,
+    CASE WHEN is_corrupt THEN NULL ELSE customer_name END AS customer_name,
+    CASE WHEN is_corrupt THEN NULL ELSE products END AS products,
+    CASE WHEN is_corrupt THEN NULL ELSE total_price END AS total_price,
+    CASE WHEN is_corrupt THEN NULL ELSE payment_type END AS payment_type,
+    CASE WHEN is_corrupt THEN NULL ELSE card_number END AS card_number,
+    is_corrupt
+  FROM dirty
+)"""
+
+REASON_SQL = """CASE
+    WHEN is_corrupt THEN 'corrupt_row'
+    WHEN try_strptime(coalesce(time_stamp, ''), '%d-%m-%Y %H:%M:%S') IS NULL THEN 'bad_timestamp'
+    WHEN TRY_CAST(coalesce(total_price, '') AS DECIMAL(10,2)) IS NULL THEN 'bad_total'
+    WHEN list_bool_or(list_transform(string_split(coalesce(products, ''), ', '),
+           lambda x: TRY_CAST(string_split(x, ' - ')[-1] AS DECIMAL(10,2)) IS NULL)) THEN 'bad_price'
+    WHEN strlen(coalesce(time_stamp, '')) > 255 OR strlen(coalesce(store_name, '')) > 255
+      OR strlen(coalesce(customer_name, '')) > 255 OR strlen(coalesce(products, '')) > 1000
+      OR strlen(coalesce(payment_type, '')) > 255 OR strlen(coalesce(card_number, '')) > 255
+      OR list_bool_or(list_transform(string_split(coalesce(products, ''), ', '),
+           lambda x: strlen(string_split(x, ' - ')[1]) > 255 OR strlen(coalesce(string_split(x, ' - ')[2], '')) > 255))
+      THEN 'too_long'
+    ELSE 'ok' END"""
+
+LIMITS = [("time_stamp", 255), ("store_name", 255), ("customer_name", 255), ("products", 1000),
+          ("payment_type", 255), ("card_number", 255)]
+
+NOT_NULL_SQL = {
+    "products": ["product_id", "product_name", "price"],
+    "flavours": ["flavour_id", "flavour_name"],
+    "stores": ["store_id", "store_name"],
+    "customers": ["customer_id", "customer_name", "store_id"],
+    "transactions": ["transaction_id", "store_id", "customer_id", "total_price", "payment_type"],
+}
+KEYS_SQL = [
+    ("products", ["product_id"]), ("flavours", ["flavour_id"]), ("stores", ["store_id"]),
+    ("customers", ["customer_id"]), ("transactions", ["transaction_id"]),
+    ("products", ["product_name"]), ("flavours", ["flavour_name"]), ("stores", ["store_name"]),
+    ("customers", ["customer_name", "store_id"]),
+]
+FKS_SQL = [
+    ("customers", "store_id", "stores", "store_id"),
+    ("transactions", "store_id", "stores", "store_id"),
+    ("transactions", "customer_id", "customers", "customer_id"),
+    ("baskets", "transaction_id", "transactions", "transaction_id"),
+    ("baskets", "product_id", "products", "product_id"),
+    ("baskets", "flavour_id", "flavours", "flavour_id"),
+]
+
+
+def csv_sql() -> dict[str, str]:
+    nulls = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null FROM {t}"
+        for t, cols in NOT_NULL_SQL.items() for c in cols
+    )
+    dups = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{','.join(k)}' AS key_columns, concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in k)}) AS key_value, "
+        f"CAST(count(*) AS BIGINT) AS n_rows FROM {t} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k)} GROUP BY ALL HAVING count(*) > 1"
+        for t, k in KEYS_SQL
+    )
+    orphans = " UNION ALL ".join(
+        f"SELECT '{c}' AS child_table, '{cc}' AS child_column, '{p}' AS parent_table, "
+        f"CAST(count(*) AS BIGINT) AS n_orphans FROM {c} x WHERE x.{cc} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{pc} = x.{cc})"
+        for c, cc, p, pc in FKS_SQL
+    )
+    lengths = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({n} AS INTEGER) AS max_bytes, CAST(count(*) FILTER (WHERE strlen({c}) > {n}) AS BIGINT) AS n_over FROM scanned"
+        for c, n in LIMITS
+    )
+    conflicts = (
+        "," + staged("raw_sales", "stq").strip() + ",\n" + items_of("stq", "iq").strip()
+    )
+    return {
+        "scan_raw_csv": WITH_FEED + DIRTY + "\nSELECT * FROM scanned",
+        "quarantine_reasons": WITH_FEED + DIRTY + f"\nSELECT reason, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT {REASON_SQL} AS reason FROM scanned) GROUP BY reason",
+        "quality_length": WITH_FEED + DIRTY + "\n" + lengths,
+        "quality_nulls": q_load(ONE_BATCH, nulls),
+        "quality_orphans": q_load(ONE_BATCH, orphans),
+        "quality_duplicates": load_ctes(ONE_BATCH) + conflicts + "\n" + dups + f"""
+UNION ALL
+SELECT 'item_staging' AS table_name, 'product_name' AS key_columns, product_name AS key_value,
+  CAST(count(DISTINCT price) AS BIGINT) AS n_rows
+FROM (SELECT {ITEM_COLS} FROM iq) GROUP BY product_name HAVING count(DISTINCT price) > 1""",
+        "items_csv_roundtrip": q_load(ONE_BATCH, f"""
+SELECT transaction_id, product_name, price, flavour_name AS flavour FROM (SELECT transaction_id, {ITEM_COLS} FROM ti)"""),
+        "scan_header_csv": WITH_FEED + """
+SELECT time_stamp AS "timestamp", store_name AS store, customer_name, products AS basket_items,
+  CAST(total_price AS DOUBLE) AS total_price, payment_type AS cash_or_card, card_number
+FROM raw_sales""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "parse_items": q_parse_items(),
         "explode_baskets": q_explode_baskets(),
         "stage_transactions": q_stage_transactions(),
         **load_sql(),
+        **csv_sql(),
     }

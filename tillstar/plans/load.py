@@ -17,7 +17,7 @@ all-or-nothing without a transactional table format.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +46,9 @@ def _with_batch(schema: T.StructType) -> T.StructType:
 class Warehouse:
     spark: SparkSession
     root: str
+    # Id-stamped transaction staging (with the basket text) of batches loaded
+    # by this process, read from the materialised scratch folder.
+    staged_transactions: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -170,6 +173,7 @@ def load_batch(
         tiebreak=["_tag"],
     )
     wh.write("transactions", txn, batch_id)
+    wh.staged_transactions[batch_id] = txn
 
     lines = staging.parse_items(txn, keep=["transaction_id"])
     lines = D.lookup_product_flavour(lines, products_all, flavours_all)

@@ -32,7 +32,11 @@ SQL_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName("tillstar").config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName("tillstar")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for k, v in SQL_CONF.items():
