@@ -183,6 +183,8 @@ def load_sql() -> dict[str, str]:
     return {
         "star_load": q_load(ONE_BATCH, STAR_SELECT),
         "star_load_two_batches": q_load(TWO_BATCHES, STAR_SELECT),
+        "stream_ingest": q_load(TWO_BATCHES, STAR_SELECT),
+        "replay_is_idempotent": q_load(TWO_BATCHES, STAR_SELECT),
         "fact_transactions": q_load(ONE_BATCH, "SELECT * FROM transactions"),
         "basket_lines": q_load(ONE_BATCH, "SELECT * FROM baskets"),
         "dim_stores_incremental": q_load(TWO_BATCHES, "SELECT * FROM stores"),

@@ -124,11 +124,13 @@ def load_batch(
     on_bad_row: str = "quarantine",
     customer_lookup: str = "name_store",
     salt: str | None = None,
+    commit: bool = True,
 ) -> LoadResult:
     """Load one raw feed (7 text columns) as batch ``batch_id``.
 
     A batch already in the ledger is skipped, so a replay changes nothing; a
     batch that failed before its ledger row is simply run again.
+    ``commit=False`` stops before the ledger row (what a crash there leaves).
     """
     if batch_id is None:
         batch_id = wh.next_batch_id()
@@ -179,7 +181,8 @@ def load_batch(
     lines = D.lookup_product_flavour(lines, products_all, flavours_all)
     wh.write("baskets", lines, batch_id)
 
-    wh.commit(batch_id, source)
+    if commit:
+        wh.commit(batch_id, source)
     return LoadResult(batch_id)
 
 
