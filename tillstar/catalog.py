@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators import dims as D
+from tillstar.operators import flat as FL
 from tillstar.operators import quality as Q
 from tillstar.sources import csv as C
 from tillstar.plans import staging
 from tillstar.plans.load import Warehouse, load_batch, star_view
-from tillstar.session import configure, work_dir
+from tillstar.session import configure, materialize, work_dir
 from tillstar.sources.feed import csv_lines, dirty_feed, feed_split, local_feed, sales_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,7 +224,60 @@ def q_replay_is_idempotent(spark, sf_dir):
     return star_view(wh)
 
 
+# ---- flat (local) variant ---------------------------------------------------
+_FLAT: dict[tuple, DataFrame] = {}
+
+
+def flat_frame(spark, sf_dir, reuse: bool = True) -> DataFrame:
+    """X7 over the whole feed, written once to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if reuse and key in _FLAT:
+        return _FLAT[key]
+    scratch = work_dir(spark, "flat")
+    flat = FL.flat_frame(local_feed(_feed(spark, sf_dir)), scratch, keep_order=True)
+    flat = materialize(flat, f"{scratch}/frame")
+    _FLAT[key] = flat
+    return flat
+
+
+def q_flat_frame(spark, sf_dir):
+    return flat_frame(spark, sf_dir).select(*FL.FLAT_COLUMNS)
+
+
+def q_group_numbers(spark, sf_dir):
+    return FL.group_number_table(flat_frame(spark, sf_dir))
+
+
+def q_flat_tables_products(spark, sf_dir):
+    return FL.products_table(flat_frame(spark, sf_dir))
+
+
+def q_flat_tables_sales(spark, sf_dir):
+    return FL.sales_table(flat_frame(spark, sf_dir))
+
+
+def q_flat_tables_orders(spark, sf_dir):
+    return FL.orders_table(flat_frame(spark, sf_dir), work_dir(spark, "orders"))
+
+
+def q_insert_ignore(spark, sf_dir):
+    """Customers of feed 1, then every row of the feed inserted with ON CONFLICT DO NOTHING."""
+    flat = flat_frame(spark, sf_dir)
+    feed1 = flat.where(F.col("o_orderkey") < 10)
+    target = feed1.groupBy("customer_name").agg(
+        F.min_by("customer_id", F.struct("o_orderkey", "item_pos")).alias("customer_id")
+    ).select("customer_id", "customer_name")
+    rows = flat.select("customer_id", "customer_name", F.struct("o_orderkey", "item_pos").alias("_order"))
+    return FL.insert_ignore(target, rows, ["customer_name"], "_order")
+
+
 QUERIES: dict[str, Query] = {
+    "flat_frame": q_flat_frame,
+    "group_numbers": q_group_numbers,
+    "flat_tables_products": q_flat_tables_products,
+    "flat_tables_sales": q_flat_tables_sales,
+    "flat_tables_orders": q_flat_tables_orders,
+    "insert_ignore": q_insert_ignore,
     "stream_ingest": q_stream_ingest,
     "replay_is_idempotent": q_replay_is_idempotent,
     "scan_raw_csv": q_scan_raw_csv,

@@ -328,6 +328,66 @@ FROM raw_sales""",
     }
 
 
+# ------------------------------------------------------------ flat variant --
+
+FLAT = """,
+lf AS (
+  SELECT o_orderkey, time_stamp AS ts_text, store_name AS store, customer_name, products AS basket_items,
+    CAST(total_price AS DOUBLE) AS total_price, payment_type
+  FROM raw_sales
+),
+fx AS (SELECT lf.*, string_split(basket_items, ',') AS _b FROM lf WHERE basket_items IS NOT NULL),
+fu AS (SELECT fx.* EXCLUDE (_b), unnest(range(len(_b))) AS item_pos, unnest(_b) AS product FROM fx),
+fp AS (SELECT *, string_split(ltrim(product), '-') AS a FROM fu),
+fh AS (SELECT *, a[1:len(a) - 1] AS head, a[len(a)] AS price FROM fp),
+fi AS (SELECT *, CASE WHEN len(head) < 2 THEN list_append(head, ' ') ELSE head END AS h2 FROM fh),
+f0 AS (SELECT *, h2[1] AS item, h2[len(h2)] AS flavour FROM fi),
+flat AS (
+  SELECT o_orderkey, CAST(item_pos AS INTEGER) AS item_pos,
+    CAST(dense_rank() OVER (ORDER BY ts_text) - 1 AS BIGINT) AS transactions_id,
+    ts_text AS time_stamp,
+    CAST(dense_rank() OVER (ORDER BY store) - 1 AS BIGINT) AS store_id, store,
+    CAST(dense_rank() OVER (ORDER BY customer_name) - 1 AS BIGINT) AS customer_id, customer_name,
+    total_price, payment_type,
+    CAST(dense_rank() OVER (ORDER BY item) - 1 AS BIGINT) AS item_id, item,
+    CAST(dense_rank() OVER (ORDER BY flavour) - 1 AS BIGINT) AS flavour_id, flavour,
+    price
+  FROM f0
+),
+first_rows AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY o_orderkey, item_pos) AS rn_item,
+            row_number() OVER (PARTITION BY transactions_id ORDER BY o_orderkey, item_pos) AS rn_txn,
+            row_number() OVER (PARTITION BY customer_name ORDER BY o_orderkey, item_pos) AS rn_cust
+  FROM flat
+)"""
+
+
+def flat_sql() -> dict[str, str]:
+    base = WITH_FEED + FLAT
+    return {
+        "flat_frame": base + """
+SELECT transactions_id, time_stamp, store_id, store, customer_id, customer_name, total_price, payment_type,
+  item_id, item, flavour_id, flavour, price FROM flat""",
+        "group_numbers": base + """
+SELECT DISTINCT 'time_stamp' AS key_kind, time_stamp AS key_value, transactions_id AS group_no FROM flat
+UNION ALL SELECT DISTINCT 'store', store, store_id FROM flat
+UNION ALL SELECT DISTINCT 'customer_name', customer_name, customer_id FROM flat
+UNION ALL SELECT DISTINCT 'item', item, item_id FROM flat
+UNION ALL SELECT DISTINCT 'flavour', flavour, flavour_id FROM flat""",
+        "flat_tables_products": base + """
+SELECT item_id AS product_id, item AS product_name, TRY_CAST(trim(price) AS DECIMAL(10,2)) AS price
+FROM first_rows WHERE rn_item = 1""",
+        "flat_tables_sales": base + """
+SELECT transactions_id, strptime(time_stamp, '%d-%m-%Y %H:%M:%S') AS time_stamp, store_id, customer_id, total_price
+FROM first_rows WHERE rn_txn = 1""",
+        "flat_tables_orders": base + """
+SELECT CAST(row_number() OVER (ORDER BY o_orderkey, item_pos) AS BIGINT) AS order_id,
+  item_id AS product_id, flavour_id, transactions_id FROM flat""",
+        "insert_ignore": base + """
+SELECT customer_id, customer_name FROM first_rows WHERE rn_cust = 1""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "parse_items": q_parse_items(),
@@ -335,4 +395,5 @@ def all_sql() -> dict[str, str]:
         "stage_transactions": q_stage_transactions(),
         **load_sql(),
         **csv_sql(),
+        **flat_sql(),
     }
