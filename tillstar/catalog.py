@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators import dims as D
+from tillstar.functions import pgtypes as PG
 from tillstar.operators import flat as FL
+from tillstar.operators import rows as R
+from tillstar.operators.keys import ordered_ids_ranged
+from tillstar.operators.range_join import range_join
+from tillstar.sources import pgexport as X
 from tillstar.operators import quality as Q
 from tillstar.sources import csv as C
 from tillstar.plans import staging
 from tillstar.plans.load import Warehouse, load_batch, star_view
 from tillstar.session import configure, materialize, work_dir
-from tillstar.sources.feed import csv_lines, dirty_feed, feed_split, local_feed, sales_feed
+from tillstar.sources.feed import csv_lines, dirty_feed, feed_split, local_feed, sales_feed, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +276,159 @@ def q_insert_ignore(spark, sf_dir):
     return FL.insert_ignore(target, rows, ["customer_name"], "_order")
 
 
+# ---- row-list operators -----------------------------------------------------
+# IN-list of nation keys (fixed value).
+IN_LIST = [1, 3, 5]
+# Price updates (fixed values); the last key is unknown to `part`.
+PRICE_UPDATES = [(0, 1.5), (1, 2.25), (2, 3.0), (3, 4.75), (5, 5.5), (8, 6.25), (13, 7.0), (21, 8.75), (34, 9.5), (999999999, 10.0)]
+# Dirty column names and the source column behind each (fixed values).
+DIRTY_NAMES = [("o_orderkey", "1st"), ("total_price", "total price"), ("store_name", "_x"), ("customer_name", "a-b"), ("payment_type", "ok_1")]
+
+
+def q_filter_in_list(spark, sf_dir):
+    configure(spark)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return R.filter_in(c, "c_nationkey", IN_LIST)
+
+
+def q_clean_column_names(spark, sf_dir):
+    feed = _feed(spark, sf_dir)
+    return R.clean_column_names(feed.select(*[F.col(src).alias(dirty) for src, dirty in DIRTY_NAMES]))
+
+
+def q_update_from_rows(spark, sf_dir):
+    configure(spark)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    upd = spark.createDataFrame(PRICE_UPDATES, "p_partkey bigint, p_retailprice double")
+    return R.update_from_rows(part, upd, ["p_partkey"], ["p_retailprice"])
+
+
+# ---- Postgres column types ---------------------------------------------------
+
+def _part(spark, sf_dir):
+    configure(spark)
+    return table(spark, sf_dir, "part")
+
+
+def _parsed_ranges(spark, sf_dir):
+    r = X.part_ranges(_part(spark, sf_dir))
+    return r.select("p_partkey", PG.range_parse("range_text").alias("range"))
+
+
+def q_range_parse(spark, sf_dir):
+    r = _parsed_ranges(spark, sf_dir)
+    return r.select("p_partkey", "range.lower", "range.upper", "range.bounds", "range.valid")
+
+
+def q_range_bounds(spark, sf_dir):
+    r = _parsed_ranges(spark, sf_dir)
+    return r.select(
+        "p_partkey",
+        PG.range_isempty("range").alias("isempty"),
+        PG.range_lower_inf("range").alias("lower_inf"),
+        PG.range_upper_inf("range").alias("upper_inf"),
+        PG.range_lower_inc("range").alias("lower_inc"),
+        PG.range_upper_inc("range").alias("upper_inc"),
+    )
+
+
+def q_range_contains(spark, sf_dir):
+    r = _parsed_ranges(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    j = li.join(r, li.l_partkey == r.p_partkey)
+    return j.select("l_orderkey", "l_linenumber", PG.range_contains("range", "l_quantity").alias("in_range"))
+
+
+def q_range_order(spark, sf_dir):
+    r = _parsed_ranges(spark, sf_dir).select("p_partkey", "range.lower", "range.upper", "range.bounds")
+    keys = ["lower", "upper", "bounds"]
+    pos = ordered_ids_ranged(r, keys + ["p_partkey"], "pos", work_dir(spark, "rangeorder"))
+    eq = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_equal"))
+    cond = [pos[k].eqNullSafe(eq[k]) for k in keys]
+    return pos.join(eq, cond).select(pos["p_partkey"], pos["pos"], eq["n_equal"])
+
+
+def q_range_format(spark, sf_dir):
+    r = X.part_range_struct(_part(spark, sf_dir))
+    return r.select("p_partkey", PG.range_format("range").alias("range_text"))
+
+
+def _events(spark, sf_dir):
+    configure(spark)
+    return table(spark, sf_dir, "events")
+
+
+def q_json_decode(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.select("event_id", PG.json_get(PG.json_decode("props"), "$.k", "int").alias("k"))
+
+
+def q_json_encode(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.select("event_id", PG.json_encode(F.struct("event_id", "event_type", "user_id")).alias("json_text"))
+
+
+def q_json_array_explode(spark, sf_dir):
+    configure(spark)
+    j = X.order_partkey_json(table(spark, sf_dir, "lineitem"))
+    return j.select("l_orderkey", F.posexplode(PG.json_array_elements("parts_json", "bigint")).alias("pos", "l_partkey"))
+
+
+def q_hstore_decode(spark, sf_dir):
+    h = X.hstore_text(_part(spark, sf_dir))
+    return h.select("p_partkey", F.explode(PG.hstore_decode("hstore")).alias("key", "value"))
+
+
+def q_hstore_encode(spark, sf_dir):
+    p = _part(spark, sf_dir)
+    size = F.when(F.col("p_size") % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("p_size").cast("string"))
+    m = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("type"), F.col("p_type"), F.lit("size"), size)
+    return p.select("p_partkey", PG.hstore_encode(m).alias("hstore_text"))
+
+
+COMPOSITE_FIELDS = [("name", "string"), ("size", "int"), ("price", "decimal(10,2)")]
+
+
+def q_composite_decode(spark, sf_dir):
+    c = X.composite_text(_part(spark, sf_dir))
+    s = PG.composite_decode("composite", COMPOSITE_FIELDS).alias("v")
+    return c.select("p_partkey", s).select("p_partkey", "v.name", "v.size", "v.price", "v.valid")
+
+
+def q_offset_to_utc(spark, sf_dir):
+    e = X.event_offsets(_events(spark, sf_dir))
+    return e.select(
+        "event_id",
+        PG.offset_to_utc("ts", "offset_minutes").alias("utc_ts"),
+        PG.offset_label("offset_minutes").alias("offset_label"),
+    )
+
+
+def q_range_join(spark, sf_dir):
+    e = _events(spark, sf_dir).select("event_id", "value")
+    bands = spark.createDataFrame([(b,) for b in X.PRICE_BANDS], "band string")
+    bands = bands.select("band", PG.range_parse("band", "decimal(10,2)").alias("range"))
+    bands = bands.where(F.col("range.valid"))  # the unparsable band is rejected
+    return range_join(e, "value", bands).select("event_id", "value", "band")
+
+
 QUERIES: dict[str, Query] = {
+    "filter_in_list": q_filter_in_list,
+    "clean_column_names": q_clean_column_names,
+    "update_from_rows": q_update_from_rows,
+    "range_parse": q_range_parse,
+    "range_bounds": q_range_bounds,
+    "range_contains": q_range_contains,
+    "range_order": q_range_order,
+    "range_format": q_range_format,
+    "json_decode": q_json_decode,
+    "json_encode": q_json_encode,
+    "json_array_explode": q_json_array_explode,
+    "hstore_decode": q_hstore_decode,
+    "hstore_encode": q_hstore_encode,
+    "composite_decode": q_composite_decode,
+    "offset_to_utc": q_offset_to_utc,
+    "range_join": q_range_join,
     "flat_frame": q_flat_frame,
     "group_numbers": q_group_numbers,
     "flat_tables_products": q_flat_tables_products,

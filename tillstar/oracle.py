@@ -388,6 +388,85 @@ SELECT customer_id, customer_name FROM first_rows WHERE rn_cust = 1""",
     }
 
 
+# ------------------------------------------------- rows and column types ----
+
+PART_RANGE = """
+WITH pr AS (
+  SELECT p_partkey, p_partkey % 6 AS kind, CAST(p_size AS BIGINT) AS lo, CAST(p_size + 1 + p_partkey % 7 AS BIGINT) AS hi
+  FROM part
+), rg AS (
+  SELECT p_partkey, kind, lo, hi,
+    CASE WHEN kind IN (0, 1, 2, 5) THEN lo END AS lower,
+    CASE WHEN kind IN (0, 1, 3, 5) THEN hi END AS upper,
+    CASE kind WHEN 0 THEN '[)' WHEN 1 THEN '(]' WHEN 2 THEN '[)' WHEN 3 THEN '()' WHEN 5 THEN '[]' END AS bounds
+  FROM pr
+)"""
+
+BANDS = """
+bands(band, lower, upper, bounds) AS (VALUES
+  ('[0,10)', 0.00, 10.00, '[)'), ('[10,50)', 10.00, 50.00, '[)'), ('[50,100]', 50.00, 100.00, '[]'),
+  ('(100,)', 100.00, NULL, '()'), ('(,0)', NULL, 0.00, '()'))"""
+
+
+def contains_sql(r: str, x: str) -> str:
+    return (f"({r}.bounds IS NOT NULL AND ({r}.lower IS NULL OR CASE WHEN left({r}.bounds, 1) = '[' THEN {x} >= {r}.lower ELSE {x} > {r}.lower END)"
+            f" AND ({r}.upper IS NULL OR CASE WHEN right({r}.bounds, 1) = ']' THEN {x} <= {r}.upper ELSE {x} < {r}.upper END))")
+
+
+def pg_sql() -> dict[str, str]:
+    upd = ", ".join(f"({k}, {v})" for k, v in [(0, 1.5), (1, 2.25), (2, 3.0), (3, 4.75), (5, 5.5), (8, 6.25), (13, 7.0), (21, 8.75), (34, 9.5), (999999999, 10.0)])
+    return {
+        "filter_in_list": "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey IN (1, 3, 5)",
+        "clean_column_names": WITH_FEED + """
+SELECT o_orderkey AS f1st, total_price, store_name AS f_x, customer_name AS a_b, payment_type AS ok_1 FROM raw_sales""",
+        "update_from_rows": f"""
+SELECT p.p_partkey, p.p_name, coalesce(u.new_price, p.p_retailprice) AS p_retailprice
+FROM part p LEFT JOIN (SELECT CAST(k AS BIGINT) AS k, CAST(v AS DOUBLE) AS new_price FROM (VALUES {upd}) t(k, v)) u ON u.k = p.p_partkey""",
+        "range_parse": PART_RANGE + "\nSELECT p_partkey, lower, upper, bounds, true AS valid FROM rg",
+        "range_bounds": PART_RANGE + """
+SELECT p_partkey, bounds IS NULL AS isempty,
+  bounds IS NOT NULL AND lower IS NULL AS lower_inf, bounds IS NOT NULL AND upper IS NULL AS upper_inf,
+  bounds IS NOT NULL AND lower IS NOT NULL AND left(bounds, 1) = '[' AS lower_inc,
+  bounds IS NOT NULL AND upper IS NOT NULL AND right(bounds, 1) = ']' AS upper_inc
+FROM rg""",
+        "range_contains": PART_RANGE + f"""
+SELECT l.l_orderkey, l.l_linenumber, {contains_sql('rg', 'l.l_quantity')} AS in_range
+FROM lineitem l JOIN rg ON rg.p_partkey = l.l_partkey""",
+        "range_order": PART_RANGE + """
+SELECT p_partkey,
+  CAST(row_number() OVER (ORDER BY lower NULLS FIRST, upper NULLS FIRST, bounds NULLS FIRST, p_partkey) AS BIGINT) AS pos,
+  count(*) OVER (PARTITION BY lower, upper, bounds) AS n_equal
+FROM rg""",
+        "range_format": PART_RANGE + """
+SELECT p_partkey, CASE WHEN bounds IS NULL THEN 'empty'
+  ELSE left(bounds, 1) || coalesce(CAST(lower AS VARCHAR), '') || ',' || coalesce(CAST(upper AS VARCHAR), '') || right(bounds, 1) END AS range_text
+FROM rg""",
+        "json_decode": "SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events",
+        "json_encode": "SELECT event_id, CAST(json_object('event_id', event_id, 'event_type', event_type, 'user_id', user_id) AS VARCHAR) AS json_text FROM events",
+        "json_array_explode": """
+SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) - 1 AS INTEGER) AS pos, l_partkey FROM lineitem""",
+        "hstore_decode": """
+SELECT p_partkey, 'brand' AS key, p_brand AS value FROM part
+UNION ALL SELECT p_partkey, 'type', CASE WHEN p_partkey % 7 = 0 THEN 'DUP' ELSE p_type END FROM part
+UNION ALL SELECT p_partkey, 'size', CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END FROM part
+UNION ALL SELECT p_partkey, 'label', p_name || ' "' || p_brand || '"' FROM part""",
+        "hstore_encode": """
+SELECT p_partkey, '"brand"=>"' || p_brand || '", "type"=>"' || p_type || '", "size"=>'
+  || CASE WHEN p_size % 5 = 0 THEN 'NULL' ELSE '"' || CAST(p_size AS VARCHAR) || '"' END AS hstore_text
+FROM part""",
+        "composite_decode": """
+SELECT p_partkey, p_name AS name, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS size,
+  CAST(p_retailprice AS DECIMAL(10,2)) AS price, true AS valid FROM part""",
+        "offset_to_utc": """
+SELECT event_id, ts - to_minutes(CAST(off AS BIGINT)) AS utc_ts,
+  CASE WHEN off < 0 THEN '-' ELSE '+' END || lpad(CAST(abs(off) // 60 AS VARCHAR), 2, '0')
+  || CASE WHEN abs(off) % 60 <> 0 THEN ':' || lpad(CAST(abs(off) % 60 AS VARCHAR), 2, '0') ELSE '' END AS offset_label
+FROM (SELECT event_id, ts, CAST((user_id % 27 - 12) * 30 AS INTEGER) AS off FROM events)""",
+        "range_join": "WITH " + BANDS.strip() + f"""
+SELECT e.event_id, e.value, b.band FROM events e JOIN bands b ON {contains_sql('b', 'e.value')}""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     return {
         "parse_items": q_parse_items(),
@@ -396,4 +475,5 @@ def all_sql() -> dict[str, str]:
         **load_sql(),
         **csv_sql(),
         **flat_sql(),
+        **pg_sql(),
     }
