@@ -195,3 +195,19 @@ def star_view(wh: Warehouse) -> DataFrame:
     return t.join(b, "transaction_id").select(
         "transaction_id", "time_stamp", "store_id", "customer_id", "total_price", "payment_type", "product_id", "flavour_id"
     )
+
+
+def star_schema_columns(wh: Warehouse) -> DataFrame:
+    """S7 check: (table, column, position, type) of the created star tables.
+
+    Built from the fixed schemas the bootstrapped tables are written and read
+    with (metadata only, no scan).  Not a registered query: its input is the
+    fixed schema list, not the test tables.
+    """
+    rows = []
+    for table in STAR_TABLES:
+        schema = wh._raw(table).schema
+        for pos, f in enumerate(schema.fields, 1):
+            if f.name != "batch_id":
+                rows.append((table, f.name, pos, f.dataType.simpleString()))
+    return wh.spark.createDataFrame(rows, "table_name string, column_name string, position int, data_type string")
