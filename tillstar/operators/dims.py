@@ -26,9 +26,15 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; else unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only behind a row-count check; else unchanged.
+
+    ``known_rows`` is an exact row count the caller already has (a dimension
+    with dense ids 1..n has n rows); otherwise the rows are counted up to
+    ``max_rows + 1``.
+    """
+    fits = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
+    return F.broadcast(df) if fits else df
 
 
 def max_id(df: DataFrame, id_col: str) -> int:
@@ -63,65 +69,83 @@ def distinct_flavours(items: DataFrame) -> DataFrame:
     return items.select("flavour_name").distinct()
 
 
-def new_stores(valid: DataFrame, stores: DataFrame) -> DataFrame:
-    """Stores of the batch not yet in ``stores``, with ids."""
+def _start(df: DataFrame, id_col: str, start: int | None) -> int:
+    return max_id(df, id_col) if start is None else start
+
+
+def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None) -> DataFrame:
+    """Stores of the batch not yet in ``stores``, with ids after ``start``."""
     new = new_members(distinct_stores(valid), stores, ["store_name"])
-    ids = with_ids(new, ["store_name"], "store_id", max_id(stores, "store_id"), byte_prefix("store_name"))
+    ids = with_ids(new, ["store_name"], "store_id", _start(stores, "store_id", start), byte_prefix("store_name"))
     return ids.select("store_id", "store_name")
 
 
-def new_customers(valid: DataFrame, stores_all: DataFrame, customers: DataFrame) -> DataFrame:
+def new_customers(
+    valid: DataFrame, stores_all: DataFrame, customers: DataFrame, start: int | None = None, stores_rows: int | None = None
+) -> DataFrame:
     """(digest, store) pairs not yet in ``customers``, with ids.
 
     Ordered by (digest, store id); the bucket is the first three hex digits of
     the digest, uniform by construction.
     """
-    cand = distinct_customers(valid).join(small(stores_all.select("store_id", "store_name")), "store_name")
+    cand = distinct_customers(valid).join(small(stores_all.select("store_id", "store_name"), known_rows=stores_rows), "store_name")
     cand = cand.select("customer_name", "store_id")
     new = new_members(cand, customers, ["customer_name", "store_id"])
     ids = with_ids(
-        new, ["customer_name", "store_id"], "customer_id", max_id(customers, "customer_id"), F.substring("customer_name", 1, 3)
+        new, ["customer_name", "store_id"], "customer_id", _start(customers, "customer_id", start), F.substring("customer_name", 1, 3)
     )
     return ids.select("customer_id", "customer_name", "store_id")
 
 
-def new_products(items: DataFrame, products: DataFrame) -> DataFrame:
+def new_products(items: DataFrame, products: DataFrame, start: int | None = None) -> DataFrame:
     """J4 + H2: one row per new product name, lowest price of the batch."""
     cand = items.groupBy("product_name").agg(F.min("price").alias("price"))
     new = new_members(cand, products, ["product_name"])
-    ids = with_ids(new, ["product_name"], "product_id", max_id(products, "product_id"), byte_prefix("product_name"))
+    ids = with_ids(new, ["product_name"], "product_id", _start(products, "product_id", start), byte_prefix("product_name"))
     return ids.select("product_id", "product_name", "price")
 
 
-def new_flavours(items: DataFrame, flavours: DataFrame) -> DataFrame:
+def new_flavours(items: DataFrame, flavours: DataFrame, start: int | None = None) -> DataFrame:
     """Flavour names not yet in ``flavours`` ('' = no flavour)."""
     new = new_members(distinct_flavours(items), flavours, ["flavour_name"])
-    ids = with_ids(new, ["flavour_name"], "flavour_id", max_id(flavours, "flavour_id"), byte_prefix("flavour_name"))
+    ids = with_ids(new, ["flavour_name"], "flavour_id", _start(flavours, "flavour_id", start), byte_prefix("flavour_name"))
     return ids.select("flavour_id", "flavour_name")
 
 
 # ---- look-ups --------------------------------------------------------------
 
-def lookup_store(df: DataFrame, stores: DataFrame) -> DataFrame:
+def lookup_store(df: DataFrame, stores: DataFrame, rows: int | None = None) -> DataFrame:
     """Store id by store name (left join: unmatched keep NULL)."""
-    return df.join(small(stores.select("store_name", "store_id")), "store_name", "left")
+    return df.join(small(stores.select("store_name", "store_id"), known_rows=rows), "store_name", "left")
+
 
+def lookup_customer(df: DataFrame, customers: DataFrame, rows: int | None = None) -> DataFrame:
+    """Customer id by (digest, store id), the declared unique key.
 
-def lookup_customer(df: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer id by (digest, store id), the declared unique key."""
-    return df.join(customers.select("customer_name", "store_id", "customer_id"), ["customer_name", "store_id"], "left")
+    Broadcast only when the exact customer count is known and small; the
+    default is a shuffle join (customers grow with the data), where AQE may
+    still split a hot customer's partition.
+    """
+    c = customers.select("customer_name", "store_id", "customer_id")
+    if rows is not None:
+        c = small(c, known_rows=rows)
+    return df.join(c, ["customer_name", "store_id"], "left")
 
 
-def lookup_customer_by_name(df: DataFrame, customers: DataFrame) -> DataFrame:
+def lookup_customer_by_name(df: DataFrame, customers: DataFrame, rows: int | None = None) -> DataFrame:
     """J6b, reference mode: by digest only; the lowest matching id wins (H1)."""
     by_name = customers.groupBy("customer_name").agg(F.min("customer_id").alias("customer_id"))
+    if rows is not None:
+        by_name = small(by_name, known_rows=rows)
     return df.join(by_name, "customer_name", "left")
 
 
-def lookup_product_flavour(items: DataFrame, products: DataFrame, flavours: DataFrame) -> DataFrame:
+def lookup_product_flavour(
+    items: DataFrame, products: DataFrame, flavours: DataFrame, product_rows: int | None = None, flavour_rows: int | None = None
+) -> DataFrame:
     """Product id by name and flavour id by name."""
-    out = items.join(small(products.select("product_name", "product_id")), "product_name", "left")
-    return out.join(small(flavours.select("flavour_name", "flavour_id")), "flavour_name", "left")
+    out = items.join(small(products.select("product_name", "product_id"), known_rows=product_rows), "product_name", "left")
+    return out.join(small(flavours.select("flavour_name", "flavour_id"), known_rows=flavour_rows), "flavour_name", "left")
 
 
 def transaction_id_backfill(staged: DataFrame, transactions: DataFrame) -> DataFrame:

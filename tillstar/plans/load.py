@@ -19,6 +19,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from tillstar.operators import dims as D
 from tillstar.operators.keys import ordered_ids_ranged
 from tillstar.plans import staging
-from tillstar.schemas import LEDGER, QUARANTINE, STAR_TABLES
+from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
 from tillstar.session import configure, materialize
 
 ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
@@ -75,6 +76,20 @@ class Warehouse:
     def next_batch_id(self) -> int:
         return D.max_id(self.ledger(), "batch_id") + 1
 
+    def max_ids(self, exclude: int | None = None) -> dict[str, int]:
+        """Largest id per table over the committed batches (from the ledger)."""
+        led = self.ledger()
+        if exclude is not None:
+            led = led.where(F.col("batch_id") != exclude)
+        row = led.agg(*[F.max(f"max_{c}").alias(t) for t, c in ID_COLUMNS.items()]).first()
+        return {t: int(row[t] or 0) for t in ID_COLUMNS}
+
+    def batch_max_id(self, table: str, batch_id: int, default: int) -> int:
+        """Largest id written by ``batch_id`` (reads that partition only)."""
+        part = self._raw(table).where(F.col("batch_id") == batch_id)
+        v = part.agg(F.max(ID_COLUMNS[table])).first()[0]
+        return int(v) if v is not None else default
+
     def read(self, table: str, also: int | None = None, exclude: int | None = None) -> DataFrame:
         """Rows of committed batches (plus the in-flight batch ``also``)."""
         ok = self.ledger().select("batch_id")
@@ -91,10 +106,12 @@ class Warehouse:
         out = df.select(*cols).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         out.write.mode("overwrite").partitionBy("batch_id").parquet(self.path(table))
 
-    def commit(self, batch_id: int, source: str) -> None:
-        row = self.spark.createDataFrame([(batch_id, source)], "batch_id bigint, source string")
-        row = row.withColumn("committed_at", F.current_timestamp())
-        row.select("batch_id", "source", "committed_at").write.mode("append").parquet(self.path("ledger"))
+    def commit(self, batch_id: int, source: str, max_ids: dict[str, int]) -> None:
+        """Append the ledger row; from now on readers see the batch."""
+        vals = [batch_id, source] + [max_ids[t] for t in ID_COLUMNS]
+        schema = "batch_id bigint, source string, " + ", ".join(f"max_{c} bigint" for c in ID_COLUMNS.values())
+        row = self.spark.createDataFrame([tuple(vals)], schema).withColumn("committed_at", F.current_timestamp())
+        row.select(*LEDGER.fieldNames()).write.mode("append").parquet(self.path("ledger"))
 
     def scratch(self, batch_id: int) -> str:
         return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{uuid.uuid4().hex[:8]}"
@@ -145,44 +162,62 @@ def load_batch(
     wh.write("quarantine", bad, batch_id)
     valid = staging.valid_rows(staged)
 
-    # Dimensions: existing members are the committed batches other than this one.
-    prior = {t: wh.read(t, exclude=batch_id) for t in ("stores", "customers", "products", "flavours", "transactions")}
-
-    wh.write("stores", D.new_stores(valid, prior["stores"]), batch_id)
-    stores_all = wh.read("stores", also=batch_id, exclude=batch_id)
-
-    wh.write("customers", D.new_customers(valid, stores_all, prior["customers"]), batch_id)
-    customers_all = wh.read("customers", also=batch_id, exclude=batch_id)
-
+    # Existing members are the committed batches other than this one; their
+    # largest ids come from the ledger, not from a scan of the tables.
+    prior = {t: wh.read(t, exclude=batch_id) for t in ("stores", "customers", "products", "flavours")}
+    start = wh.max_ids(exclude=batch_id)
+    after = dict(start)
+
+    def current(table: str) -> DataFrame:
+        return wh.read(table, also=batch_id, exclude=batch_id)
+
+    # Stores and customers from one distinct pass over (digest, store).
+    pairs = D.distinct_customers(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    wh.write("stores", D.new_stores(pairs, prior["stores"], start["stores"]), batch_id)
+    after["stores"] = wh.batch_max_id("stores", batch_id, start["stores"])
+    stores_all = current("stores")
+    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], stores_rows=after["stores"])
+    wh.write("customers", new_customers, batch_id)
+    after["customers"] = wh.batch_max_id("customers", batch_id, start["customers"])
+    pairs.unpersist()
+
+    # Products and flavours from one pre-aggregated pass over the items.
     items = staging.parse_items(valid, keep=[])
-    wh.write("products", D.new_products(items, prior["products"]), batch_id)
-    wh.write("flavours", D.new_flavours(items, prior["flavours"]), batch_id)
-    products_all = wh.read("products", also=batch_id, exclude=batch_id)
-    flavours_all = wh.read("flavours", also=batch_id, exclude=batch_id)
+    groups = items.groupBy("product_name", "flavour_name").agg(F.min("price").alias("price"))
+    groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
+    wh.write("products", D.new_products(groups, prior["products"], start["products"]), batch_id)
+    wh.write("flavours", D.new_flavours(groups, prior["flavours"], start["flavours"]), batch_id)
+    groups.unpersist()
+    after["products"] = wh.batch_max_id("products", batch_id, start["products"])
+    after["flavours"] = wh.batch_max_id("flavours", batch_id, start["flavours"])
 
     # Fact: store and customer ids, then ids in natural-key order.
-    txn = D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), stores_all)
+    txn = D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), stores_all, rows=after["stores"])
+    customers_all = current("customers")
     if customer_lookup == "name_only":
-        txn = D.lookup_customer_by_name(txn, customers_all)
+        txn = D.lookup_customer_by_name(txn, customers_all, rows=after["customers"])
     else:
-        txn = D.lookup_customer(txn, customers_all)
+        txn = D.lookup_customer(txn, customers_all, rows=after["customers"])
     txn = ordered_ids_ranged(
         txn.select("_tag", *TXN_ORDER),
         TXN_ORDER,
         "transaction_id",
         f"{scratch}/txn_ranked",
-        start=D.max_id(prior["transactions"], "transaction_id"),
+        start=start["transactions"],
         tiebreak=["_tag"],
     )
     wh.write("transactions", txn, batch_id)
+    after["transactions"] = wh.batch_max_id("transactions", batch_id, start["transactions"])
     wh.staged_transactions[batch_id] = txn
 
     lines = staging.parse_items(txn, keep=["transaction_id"])
-    lines = D.lookup_product_flavour(lines, products_all, flavours_all)
+    lines = D.lookup_product_flavour(
+        lines, current("products"), current("flavours"), product_rows=after["products"], flavour_rows=after["flavours"]
+    )
     wh.write("baskets", lines, batch_id)
 
     if commit:
-        wh.commit(batch_id, source)
+        wh.commit(batch_id, source, after)
     return LoadResult(batch_id)
 
 
