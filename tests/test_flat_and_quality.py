@@ -84,3 +84,30 @@ def test_properties_of_a_load(spark, tmp_dir):
         return sorted(tuple(r) for r in j.select("time_stamp", "store_name", "customer_name", "total_price", "product_name", "flavour_name").collect())
 
     assert natural(one) == natural(two)
+
+
+def test_flat_tables_written_and_insert_or_fail(spark, tmp_dir):
+    import pytest
+
+    from tillstar.sources.feed import local_feed
+
+    flat = FL.flat_frame(local_feed(sales_feed(spark, SF_SMALL)), f"{tmp_dir}/s", keep_order=True)
+    FL.write_flat_tables(flat, f"{tmp_dir}/out", f"{tmp_dir}/s2")
+    for t in ("customers", "stores", "products", "flavours", "sales", "orders"):
+        assert spark.read.parquet(f"{tmp_dir}/out/{t}").count() > 0
+    stores = spark.read.parquet(f"{tmp_dir}/out/stores")
+    with pytest.raises(FL.KeyConflictError):
+        FL.insert_or_fail(stores, stores.limit(1), ["store_name"])
+    extra = spark.createDataFrame([(99, "NEW")], "store_id long, store_name string")
+    assert FL.insert_or_fail(stores, extra, ["store_name"]).count() == stores.count() + 1
+
+
+def test_scratch_dropped_after_commit(spark, tmp_dir):
+    import os
+
+    feed = sales_feed(spark, SF_SMALL)
+    wh = Warehouse(spark, f"{tmp_dir}/wh").bootstrap()
+    load_batch(wh, feed.drop("o_orderkey"), 1)
+    scratch = f"{tmp_dir}/wh/_scratch"
+    assert not os.path.exists(scratch) or os.listdir(scratch) == []
+    assert wh.read("transactions").count() == feed.count()

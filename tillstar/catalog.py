@@ -61,7 +61,7 @@ def load_feed(spark: SparkSession, sf_dir: str, batches: str = "one", reuse: boo
     feed = _feed(spark, sf_dir)
     wh = Warehouse(spark, work_dir(spark, f"wh-{batches}")).bootstrap()
     if batches == "one":
-        load_batch(wh, feed.drop("o_orderkey"), 1, source="feed")
+        load_batch(wh, feed.drop("o_orderkey"), 1, source="feed", keep_scratch=True)
     else:
         f1, f2 = feed_split(feed)
         load_batch(wh, f1.drop("o_orderkey"), 1, source="feed1")

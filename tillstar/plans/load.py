@@ -28,7 +28,7 @@ from tillstar.operators import dims as D
 from tillstar.operators.keys import ordered_ids_ranged
 from tillstar.plans import staging
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
-from tillstar.session import configure, materialize
+from tillstar.session import configure, materialize, remove_dir
 
 ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
@@ -142,12 +142,15 @@ def load_batch(
     customer_lookup: str = "name_store",
     salt: str | None = None,
     commit: bool = True,
+    keep_scratch: bool = False,
 ) -> LoadResult:
     """Load one raw feed (7 text columns) as batch ``batch_id``.
 
     A batch already in the ledger is skipped, so a replay changes nothing; a
     batch that failed before its ledger row is simply run again.
     ``commit=False`` stops before the ledger row (what a crash there leaves).
+    After the commit the run's scratch folder is dropped (the staging tables
+    of the reference) unless ``keep_scratch``.
     """
     if batch_id is None:
         batch_id = wh.next_batch_id()
@@ -218,6 +221,9 @@ def load_batch(
 
     if commit:
         wh.commit(batch_id, source, after)
+        if not keep_scratch:
+            wh.staged_transactions.pop(batch_id, None)
+            remove_dir(wh.spark, scratch)
     return LoadResult(batch_id)
 
 
