@@ -143,3 +143,19 @@ def test_bootstrap_schema_is_idempotent(spark, tmp_dir):
     assert got[("products", "price")] == "decimal(10,2)"
     assert got[("customers", "customer_id")] == "bigint"
     assert len({t for t, _ in got}) == 6
+
+
+def test_shuffle_path_equals_broadcast_path(spark, tmp_dir, monkeypatch):
+    """With every broadcast refused (large-dimension path) the load is the same."""
+    from tillstar.operators import dims
+
+    f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
+    f2 = os.path.dirname(write(f"{tmp_dir}/feed2", "b.csv", FEED2))
+    results = []
+    for limit in (dims.BROADCAST_MAX_ROWS, 0):
+        monkeypatch.setattr(dims, "BROADCAST_MAX_ROWS", limit)
+        wh = Warehouse(spark, f"{tmp_dir}/wh{limit}").bootstrap()
+        load_batch(wh, read_raw_csv(spark, f1), 1)
+        load_batch(wh, read_raw_csv(spark, f2), 2)
+        results.append(rows(star_view(wh), *star_view(wh).columns))
+    assert results[0] == results[1]

@@ -26,13 +26,15 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+def small(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a row-count check; else unchanged.
 
     ``known_rows`` is an exact row count the caller already has (a dimension
     with dense ids 1..n has n rows); otherwise the rows are counted up to
     ``max_rows + 1``.
     """
+    if max_rows is None:
+        max_rows = BROADCAST_MAX_ROWS
     fits = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
     return F.broadcast(df) if fits else df
 
@@ -42,8 +44,32 @@ def max_id(df: DataFrame, id_col: str) -> int:
     return int(v) if v is not None else 0
 
 
-def new_members(candidates: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Candidates whose key is not in the dimension yet (NOT EXISTS)."""
+def members_of(dim: DataFrame, candidates: DataFrame, keys: Sequence[str], cand_rows: int | None = None) -> DataFrame:
+    """Dimension rows whose key is among the candidates.
+
+    With a proven-small candidate set the candidates are broadcast and the
+    dimension is streamed once without being shuffled (a large dimension is
+    never moved for a small batch); otherwise a regular semi join.
+    """
+    c = candidates.select(*keys)
+    if cand_rows is not None:
+        c = small(c, known_rows=cand_rows)
+    return dim.join(c, list(keys), "left_semi")
+
+
+def new_members(
+    candidates: DataFrame, existing: DataFrame, keys: Sequence[str], cand_rows: int | None = None
+) -> DataFrame:
+    """Candidates whose key is not in the dimension yet (NOT EXISTS).
+
+    ``cand_rows`` (exact candidate count, when known and small) switches to
+    probe-then-anti: the existing members among the candidates are found by
+    streaming the dimension against the broadcast candidates, then the anti
+    join runs between two frames no larger than the candidates.
+    """
+    if cand_rows is not None and cand_rows <= BROADCAST_MAX_ROWS:
+        hits = members_of(existing, candidates, keys, cand_rows).select(*keys)
+        return candidates.join(small(hits, known_rows=cand_rows), list(keys), "left_anti")
     return candidates.join(existing.select(*keys), list(keys), "left_anti")
 
 
@@ -80,17 +106,32 @@ def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None) ->
     return ids.select("store_id", "store_name")
 
 
+CUSTOMER_KEY = ["customer_name", "store_id"]
+
+
+def customer_candidates(valid: DataFrame, stores_all: DataFrame, stores_rows: int | None = None) -> DataFrame:
+    """Distinct (digest, store id) pairs of a batch."""
+    cand = distinct_customers(valid).join(small(stores_all.select("store_id", "store_name"), known_rows=stores_rows), "store_name")
+    return cand.select(*CUSTOMER_KEY)
+
+
 def new_customers(
-    valid: DataFrame, stores_all: DataFrame, customers: DataFrame, start: int | None = None, stores_rows: int | None = None
+    valid: DataFrame,
+    stores_all: DataFrame,
+    customers: DataFrame,
+    start: int | None = None,
+    stores_rows: int | None = None,
+    cand: DataFrame | None = None,
+    cand_rows: int | None = None,
 ) -> DataFrame:
     """(digest, store) pairs not yet in ``customers``, with ids.
 
     Ordered by (digest, store id); the bucket is the first three hex digits of
     the digest, uniform by construction.
     """
-    cand = distinct_customers(valid).join(small(stores_all.select("store_id", "store_name"), known_rows=stores_rows), "store_name")
-    cand = cand.select("customer_name", "store_id")
-    new = new_members(cand, customers, ["customer_name", "store_id"])
+    if cand is None:
+        cand = customer_candidates(valid, stores_all, stores_rows)
+    new = new_members(cand, customers, CUSTOMER_KEY, cand_rows)
     ids = with_ids(
         new, ["customer_name", "store_id"], "customer_id", _start(customers, "customer_id", start), F.substring("customer_name", 1, 3)
     )

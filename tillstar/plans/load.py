@@ -176,13 +176,24 @@ def load_batch(
 
     # Stores and customers from one distinct pass over (digest, store).
     pairs = D.distinct_customers(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    n_pairs = pairs.count()
     wh.write("stores", D.new_stores(pairs, prior["stores"], start["stores"]), batch_id)
     after["stores"] = wh.batch_max_id("stores", batch_id, start["stores"])
     stores_all = current("stores")
-    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], stores_rows=after["stores"])
+    cand = D.customer_candidates(pairs, stores_all, stores_rows=after["stores"])
+    # A batch with a proven-small set of customers never shuffles the
+    # customer dimension nor the fact for its look-up.
+    cand_rows = n_pairs if n_pairs <= D.BROADCAST_MAX_ROWS else None
+    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], cand=cand, cand_rows=cand_rows)
     wh.write("customers", new_customers, batch_id)
     after["customers"] = wh.batch_max_id("customers", batch_id, start["customers"])
-    pairs.unpersist()
+    customers_all = current("customers")
+    if cand_rows is not None:
+        key = D.CUSTOMER_KEY if customer_lookup != "name_only" else ["customer_name"]
+        batch_customers = D.members_of(customers_all, cand, key, cand_rows)
+        batch_customers_rows = cand_rows if customer_lookup != "name_only" else None
+    else:
+        batch_customers, batch_customers_rows = customers_all, after["customers"]
 
     # Products and flavours from one pre-aggregated pass over the items.
     items = staging.parse_items(valid, keep=[])
@@ -196,11 +207,10 @@ def load_batch(
 
     # Fact: store and customer ids, then ids in natural-key order.
     txn = D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), stores_all, rows=after["stores"])
-    customers_all = current("customers")
     if customer_lookup == "name_only":
-        txn = D.lookup_customer_by_name(txn, customers_all, rows=after["customers"])
+        txn = D.lookup_customer_by_name(txn, batch_customers, rows=batch_customers_rows)
     else:
-        txn = D.lookup_customer(txn, customers_all, rows=after["customers"])
+        txn = D.lookup_customer(txn, batch_customers, rows=batch_customers_rows)
     txn = ordered_ids_ranged(
         txn.select("_tag", *TXN_ORDER),
         TXN_ORDER,
@@ -218,6 +228,7 @@ def load_batch(
         lines, current("products"), current("flavours"), product_rows=after["products"], flavour_rows=after["flavours"]
     )
     wh.write("baskets", lines, batch_id)
+    pairs.unpersist()
 
     if commit:
         wh.commit(batch_id, source, after)
