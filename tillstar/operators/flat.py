@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.basket import parse_timestamp
 from tillstar.operators.keys import byte_prefix, group_numbers, ordered_ids_ranged
+from tillstar.session import materialize
 
 FLAT_COLUMNS = [
     "transactions_id",
@@ -73,8 +74,12 @@ def explode_items(local: DataFrame, order_col: str = "o_orderkey") -> DataFrame:
 
 
 def flat_frame(local: DataFrame, scratch: str, order_col: str = "o_orderkey", keep_order: bool = False) -> DataFrame:
-    """The 13-column flat frame (plus the order columns when asked)."""
-    df = explode_items(local, order_col)
+    """The 13-column flat frame (plus the order columns when asked).
+
+    The exploded items are written once to ``scratch``; the five group-number
+    passes then read that columnar copy instead of re-deriving the input.
+    """
+    df = materialize(explode_items(local, order_col), f"{scratch}/items")
     df = group_numbers(df, "time_stamp", "transactions_id", path=f"{scratch}/g_ts")
     df = group_numbers(df, "customer_name", "customer_id", path=f"{scratch}/g_customer")
     df = group_numbers(df, "store", "store_id", bucket=byte_prefix("store"))
