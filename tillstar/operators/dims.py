@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import byte_prefix, ordered_ids_bucketed
+from tillstar.operators.keys import SMALL_SORT_MAX, byte_prefix, ordered_ids_bucketed, ordered_ids_small
 
 # Row bound under which a dimension is broadcast (checked, not assumed).
 BROADCAST_MAX_ROWS = 1_000_000
@@ -73,7 +73,13 @@ def new_members(
     return candidates.join(existing.select(*keys), list(keys), "left_anti")
 
 
-def with_ids(new: DataFrame, order: Sequence[str], id_col: str, start: int, bucket: Column) -> DataFrame:
+def with_ids(
+    new: DataFrame, order: Sequence[str], id_col: str, start: int, bucket: Column, bound: int | None = None
+) -> DataFrame:
+    """Ids after ``start`` in key order; ``bound`` is a proven upper bound on
+    the rows of ``new`` (one global sort when small, buckets otherwise)."""
+    if bound is not None and bound <= SMALL_SORT_MAX:
+        return ordered_ids_small(new, order, id_col, start=start)
     return ordered_ids_bucketed(new, order, id_col, bucket, start=start)
 
 
@@ -99,10 +105,12 @@ def _start(df: DataFrame, id_col: str, start: int | None) -> int:
     return max_id(df, id_col) if start is None else start
 
 
-def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None) -> DataFrame:
-    """Stores of the batch not yet in ``stores``, with ids after ``start``."""
-    new = new_members(distinct_stores(valid), stores, ["store_name"])
-    ids = with_ids(new, ["store_name"], "store_id", _start(stores, "store_id", start), byte_prefix("store_name"))
+def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
+    """Stores of the batch not yet in ``stores``, with ids after ``start``.
+
+    ``bound``: proven upper bound on the batch's distinct stores."""
+    new = new_members(distinct_stores(valid), stores, ["store_name"], bound)
+    ids = with_ids(new, ["store_name"], "store_id", _start(stores, "store_id", start), byte_prefix("store_name"), bound)
     return ids.select("store_id", "store_name")
 
 
@@ -133,23 +141,23 @@ def new_customers(
         cand = customer_candidates(valid, stores_all, stores_rows)
     new = new_members(cand, customers, CUSTOMER_KEY, cand_rows)
     ids = with_ids(
-        new, ["customer_name", "store_id"], "customer_id", _start(customers, "customer_id", start), F.substring("customer_name", 1, 3)
+        new, CUSTOMER_KEY, "customer_id", _start(customers, "customer_id", start), F.substring("customer_name", 1, 3), cand_rows
     )
     return ids.select("customer_id", "customer_name", "store_id")
 
 
-def new_products(items: DataFrame, products: DataFrame, start: int | None = None) -> DataFrame:
+def new_products(items: DataFrame, products: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
     """J4 + H2: one row per new product name, lowest price of the batch."""
     cand = items.groupBy("product_name").agg(F.min("price").alias("price"))
-    new = new_members(cand, products, ["product_name"])
-    ids = with_ids(new, ["product_name"], "product_id", _start(products, "product_id", start), byte_prefix("product_name"))
+    new = new_members(cand, products, ["product_name"], bound)
+    ids = with_ids(new, ["product_name"], "product_id", _start(products, "product_id", start), byte_prefix("product_name"), bound)
     return ids.select("product_id", "product_name", "price")
 
 
-def new_flavours(items: DataFrame, flavours: DataFrame, start: int | None = None) -> DataFrame:
+def new_flavours(items: DataFrame, flavours: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
     """Flavour names not yet in ``flavours`` ('' = no flavour)."""
-    new = new_members(distinct_flavours(items), flavours, ["flavour_name"])
-    ids = with_ids(new, ["flavour_name"], "flavour_id", _start(flavours, "flavour_id", start), byte_prefix("flavour_name"))
+    new = new_members(distinct_flavours(items), flavours, ["flavour_name"], bound)
+    ids = with_ids(new, ["flavour_name"], "flavour_id", _start(flavours, "flavour_id", start), byte_prefix("flavour_name"), bound)
     return ids.select("flavour_id", "flavour_name")
 
 

@@ -12,14 +12,20 @@ produces the same ids:
   number of buckets and therefore broadcast.  Suited to dimensions, whose keys
   are distinct and whose buckets are bounded by construction.
 
+* **small** (proven bound): when an exact upper bound on the rows to number
+  is at most ``SMALL_SORT_MAX`` (a batch's distinct stores, customers,
+  products), a plain global ``row_number`` is bounded work for one task and
+  the cheapest plan (one stage).
+
 * **ranged** (skew-proof): the rows are range-partitioned on the sort key plus
   a unique tiebreaker, so even a single key value holding a third of the rows
   is spread over many tasks; the positions come from
   ``monotonically_increasing_id`` (partition index in the high bits, position
   in the sorted partition in the low bits).  The ranged frame is written to
   the shared folder first, because range bounds come from sampling and must
-  not change between the count and the numbering; per-partition offsets are a
-  frame of at most ``num_partitions`` rows.
+  not change between the count and the numbering; the per-partition counts
+  (at most ``num_partitions`` rows) are collected once and give both the
+  offsets and the total.
 """
 
 from __future__ import annotations
@@ -34,6 +40,13 @@ from tillstar.session import materialize
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
+# Rows that may be numbered by one task: a proven upper bound on the row
+# count below this uses a plain global row_number (one stage).
+SMALL_SORT_MAX = 1_000_000
+# Up to this many range partitions the offsets travel as a literal array in
+# the plan; beyond, as a broadcast frame (still at most one row per partition).
+LITERAL_OFFSETS_MAX = 4096
+
 
 def _as_cols(cols: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -66,31 +79,73 @@ def ordered_ids_bucketed(df: DataFrame, order: Sequence, id_col: str, bucket: Co
     return out.drop("_b", "_local", "_off")
 
 
-def ordered_ids_ranged(
+def ordered_ids_small(df: DataFrame, order: Sequence, id_col: str, start=0) -> DataFrame:
+    """Global ``row_number`` for a frame whose row count has a proven bound
+    (at most ``SMALL_SORT_MAX``): one sort in one task, bounded work."""
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    w = Window.orderBy(*_asc(order))
+    return df.withColumn(id_col, (start_col + F.row_number().over(w)).cast("bigint"))
+
+
+class RangedIds:
+    """Result of :func:`ranged_ids`: the numbered frame and the row total."""
+
+    def __init__(self, frame: DataFrame, total: int):
+        self.frame = frame
+        self.total = total
+
+
+def ranged_ids(
     df: DataFrame,
     order: Sequence,
     id_col: str,
     path: str,
-    start=0,
+    start: int = 0,
     tiebreak: Sequence = (),
     num_partitions: int | None = None,
-) -> DataFrame:
+) -> RangedIds:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _asc(list(order) + list(tiebreak))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     ranged = materialize(ranged.withColumn("_rid", F.monotonically_increasing_id()), path)
     part = F.shiftright(F.col("_rid"), _POS_BITS)
-    counts = ranged.groupBy(part.alias("_p")).count()
-    offsets = _running_offsets(counts, "_p")
-    out = ranged.join(F.broadcast(offsets), part == offsets["_p"])
-    start_col = start if isinstance(start, Column) else F.lit(start)
+    # One row per range partition: bounded by n, collected to the driver.
+    counts = sorted((int(r[0]), int(r[1])) for r in ranged.groupBy(part.alias("_p")).count().collect())
+    offsets, acc = {}, 0
+    for p, c in counts:
+        offsets[p] = acc
+        acc += c
     pos = F.col("_rid").bitwiseAND(F.lit(_POS_MASK))
-    out = out.withColumn(id_col, (start_col + F.col("_off") + pos + 1).cast("bigint"))
-    return out.drop("_rid", "_p", "_off")
+    base = int(start)
+    if not counts:
+        out = ranged.withColumn(id_col, F.lit(None).cast("bigint"))
+    elif len(counts) <= LITERAL_OFFSETS_MAX:
+        top = counts[-1][0]
+        arr = F.array(*[F.lit(offsets.get(i, 0)) for i in range(top + 1)])
+        out = ranged.withColumn(id_col, (F.lit(base) + F.element_at(arr, (part + 1).cast("int")) + pos + 1).cast("bigint"))
+    else:
+        off = spark.createDataFrame(list(offsets.items()), "_p bigint, _off bigint")
+        out = ranged.join(F.broadcast(off), part == off["_p"])
+        out = out.withColumn(id_col, (F.lit(base) + F.col("_off") + pos + 1).cast("bigint")).drop("_p", "_off")
+    return RangedIds(out.drop("_rid"), acc)
 
 
-def group_numbers(df: DataFrame, key: str, out_col: str, path: str | None = None, bucket: Column | None = None) -> DataFrame:
+def ordered_ids_ranged(
+    df: DataFrame,
+    order: Sequence,
+    id_col: str,
+    path: str,
+    start: int = 0,
+    tiebreak: Sequence = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    return ranged_ids(df, order, id_col, path, start, tiebreak, num_partitions).frame
+
+
+def group_numbers(
+    df: DataFrame, key: str, out_col: str, path: str | None = None, bucket: Column | None = None, known_rows: int | None = None
+) -> DataFrame:
     """A4: 0-based rank of each distinct non-null key in sorted order, joined back.
 
     NULL keys get -1.  The distinct keys are numbered (bucketed or ranged),
@@ -98,7 +153,9 @@ def group_numbers(df: DataFrame, key: str, out_col: str, path: str | None = None
     into a broadcast when the key set is small.
     """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if bucket is not None:
+    if known_rows is not None and known_rows <= SMALL_SORT_MAX:
+        ids = ordered_ids_small(keys, [key], out_col, start=-1)
+    elif bucket is not None:
         ids = ordered_ids_bucketed(keys, [key], out_col, bucket, start=-1)
     else:
         ids = ordered_ids_ranged(keys, [key], out_col, path, start=-1)

@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.operators import dims as D
-from tillstar.operators.keys import ordered_ids_ranged
+from tillstar.operators.keys import ranged_ids
 from tillstar.plans import staging
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
-from tillstar.session import configure, materialize, remove_dir
+from tillstar.session import configure, make_dirs, materialize, remove_dir
 
 ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
@@ -57,10 +57,8 @@ class Warehouse:
     def bootstrap(self) -> "Warehouse":
         """Create every table if absent (idempotent)."""
         configure(self.spark)
-        for name, schema in {**ALL_TABLES, "ledger": LEDGER}.items():
-            s = schema if name == "ledger" else _with_batch(schema)
-            empty = self.spark.createDataFrame([], s)
-            empty.write.mode("append").parquet(self.path(name))
+        for name in [*ALL_TABLES, "ledger"]:
+            make_dirs(self.spark, self.path(name))  # read with fixed schemas, so an empty folder is an empty table
         return self
 
     def _raw(self, table: str) -> DataFrame:
@@ -84,19 +82,13 @@ class Warehouse:
         row = led.agg(*[F.max(f"max_{c}").alias(t) for t, c in ID_COLUMNS.items()]).first()
         return {t: int(row[t] or 0) for t in ID_COLUMNS}
 
-    def batch_max_id(self, table: str, batch_id: int, default: int) -> int:
-        """Largest id written by ``batch_id`` (reads that partition only)."""
-        part = self._raw(table).where(F.col("batch_id") == batch_id)
-        v = part.agg(F.max(ID_COLUMNS[table])).first()[0]
-        return int(v) if v is not None else default
-
     def read(self, table: str, also: int | None = None, exclude: int | None = None) -> DataFrame:
         """Rows of committed batches (plus the in-flight batch ``also``)."""
         ok = self.ledger().select("batch_id")
         if exclude is not None:
             ok = ok.where(F.col("batch_id") != exclude)
         df = self._raw(table)
-        visible = df.join(ok.distinct(), "batch_id", "left_semi")
+        visible = df.join(ok, "batch_id", "left_semi")
         if also is not None:
             visible = visible.unionByName(df.where(F.col("batch_id") == also))
         return visible.drop("batch_id")
@@ -117,6 +109,11 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{uuid.uuid4().hex[:8]}"
 
 
+def _step(wh: Warehouse, batch_id: int, name: str) -> None:
+    """Label the following Spark jobs (event log / UI) with the load step."""
+    wh.spark.sparkContext.setJobDescription(f"tillstar batch {batch_id}: {name}")
+
+
 @dataclass
 class LoadResult:
     batch_id: int
@@ -133,6 +130,20 @@ def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> DataFr
     return materialize(st, f"{scratch}/staged")
 
 
+def write_new(wh: Warehouse, table: str, new: DataFrame, batch_id: int, start: dict[str, int]) -> int:
+    """Write a batch's new dimension members; return the table's largest id.
+
+    New members carry the dense ids start+1 .. start+n, so the largest id is
+    start + n; the frame is persisted so that counting it and writing it
+    compute it once.
+    """
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    n = new.count()
+    wh.write(table, new, batch_id)
+    new.unpersist()
+    return start[table] + n
+
+
 def load_batch(
     wh: Warehouse,
     raw: DataFrame,
@@ -156,9 +167,11 @@ def load_batch(
         batch_id = wh.next_batch_id()
     elif wh.committed(batch_id):
         return LoadResult(batch_id, skipped=True)
+    _step(wh, batch_id, "stage")
     scratch = wh.scratch(batch_id)
     staged = stage_batch(raw, scratch, salt)
 
+    _step(wh, batch_id, "quarantine")
     bad = staging.quarantined(staged)
     if on_bad_row == "fail" and bad.limit(1).count() > 0:
         raise BadRowsError(f"batch {batch_id}: rejected rows present")
@@ -167,6 +180,7 @@ def load_batch(
 
     # Existing members are the committed batches other than this one; their
     # largest ids come from the ledger, not from a scan of the tables.
+    _step(wh, batch_id, "ledger")
     prior = {t: wh.read(t, exclude=batch_id) for t in ("stores", "customers", "products", "flavours")}
     start = wh.max_ids(exclude=batch_id)
     after = dict(start)
@@ -174,44 +188,50 @@ def load_batch(
     def current(table: str) -> DataFrame:
         return wh.read(table, also=batch_id, exclude=batch_id)
 
-    # Stores and customers from one distinct pass over (digest, store).
+    # Stores and customers from one distinct pass over (digest, store).  The
+    # exact pair count bounds every store / customer frame of the batch.
+    _step(wh, batch_id, "stores")
     pairs = D.distinct_customers(valid).persist(StorageLevel.MEMORY_AND_DISK)
     n_pairs = pairs.count()
-    wh.write("stores", D.new_stores(pairs, prior["stores"], start["stores"]), batch_id)
-    after["stores"] = wh.batch_max_id("stores", batch_id, start["stores"])
+    bound = n_pairs if n_pairs <= D.BROADCAST_MAX_ROWS else None
+    after["stores"] = write_new(wh, "stores", D.new_stores(pairs, prior["stores"], start["stores"], bound=bound), batch_id, start)
     stores_all = current("stores")
-    cand = D.customer_candidates(pairs, stores_all, stores_rows=after["stores"])
+    stores_rows = after["stores"]  # dense ids 1..n: the exact row count
+    _step(wh, batch_id, "customers")
+    cand = D.customer_candidates(pairs, stores_all, stores_rows=stores_rows)
     # A batch with a proven-small set of customers never shuffles the
     # customer dimension nor the fact for its look-up.
-    cand_rows = n_pairs if n_pairs <= D.BROADCAST_MAX_ROWS else None
-    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], cand=cand, cand_rows=cand_rows)
-    wh.write("customers", new_customers, batch_id)
-    after["customers"] = wh.batch_max_id("customers", batch_id, start["customers"])
+    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], cand=cand, cand_rows=bound)
+    after["customers"] = write_new(wh, "customers", new_customers, batch_id, start)
     customers_all = current("customers")
-    if cand_rows is not None:
+    if bound is not None:
         key = D.CUSTOMER_KEY if customer_lookup != "name_only" else ["customer_name"]
-        batch_customers = D.members_of(customers_all, cand, key, cand_rows)
-        batch_customers_rows = cand_rows if customer_lookup != "name_only" else None
+        batch_customers = D.members_of(customers_all, cand, key, bound)
+        batch_customers_rows = bound if customer_lookup != "name_only" else None
     else:
         batch_customers, batch_customers_rows = customers_all, after["customers"]
 
     # Products and flavours from one pre-aggregated pass over the items.
+    _step(wh, batch_id, "products and flavours")
     items = staging.parse_items(valid, keep=[])
     groups = items.groupBy("product_name", "flavour_name").agg(F.min("price").alias("price"))
     groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
-    wh.write("products", D.new_products(groups, prior["products"], start["products"]), batch_id)
-    wh.write("flavours", D.new_flavours(groups, prior["flavours"], start["flavours"]), batch_id)
+    n_groups = groups.count()
+    g_bound = n_groups if n_groups <= D.BROADCAST_MAX_ROWS else None
+    new_products = D.new_products(groups, prior["products"], start["products"], bound=g_bound)
+    after["products"] = write_new(wh, "products", new_products, batch_id, start)
+    new_flavours = D.new_flavours(groups, prior["flavours"], start["flavours"], bound=g_bound)
+    after["flavours"] = write_new(wh, "flavours", new_flavours, batch_id, start)
     groups.unpersist()
-    after["products"] = wh.batch_max_id("products", batch_id, start["products"])
-    after["flavours"] = wh.batch_max_id("flavours", batch_id, start["flavours"])
 
     # Fact: store and customer ids, then ids in natural-key order.
-    txn = D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), stores_all, rows=after["stores"])
+    _step(wh, batch_id, "transaction ids")
+    txn = D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), stores_all, rows=stores_rows)
     if customer_lookup == "name_only":
         txn = D.lookup_customer_by_name(txn, batch_customers, rows=batch_customers_rows)
     else:
         txn = D.lookup_customer(txn, batch_customers, rows=batch_customers_rows)
-    txn = ordered_ids_ranged(
+    ranked = ranged_ids(
         txn.select("_tag", *TXN_ORDER),
         TXN_ORDER,
         "transaction_id",
@@ -219,22 +239,28 @@ def load_batch(
         start=start["transactions"],
         tiebreak=["_tag"],
     )
+    txn = ranked.frame
+    _step(wh, batch_id, "transactions")
     wh.write("transactions", txn, batch_id)
-    after["transactions"] = wh.batch_max_id("transactions", batch_id, start["transactions"])
+    after["transactions"] = start["transactions"] + ranked.total
     wh.staged_transactions[batch_id] = txn
 
+    _step(wh, batch_id, "baskets")
     lines = staging.parse_items(txn, keep=["transaction_id"])
     lines = D.lookup_product_flavour(
-        lines, current("products"), current("flavours"), product_rows=after["products"], flavour_rows=after["flavours"]
+        lines, current("products"), current("flavours"),
+        product_rows=after["products"], flavour_rows=after["flavours"],
     )
     wh.write("baskets", lines, batch_id)
     pairs.unpersist()
 
+    _step(wh, batch_id, "commit")
     if commit:
         wh.commit(batch_id, source, after)
         if not keep_scratch:
             wh.staged_transactions.pop(batch_id, None)
             remove_dir(wh.spark, scratch)
+    wh.spark.sparkContext.setJobDescription(None)
     return LoadResult(batch_id)
 
 

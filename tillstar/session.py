@@ -94,3 +94,10 @@ def remove_dir(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(p, True))
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    """Create a folder (and parents) on the cluster file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
