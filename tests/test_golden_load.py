@@ -175,3 +175,20 @@ def test_name_only_lookup_and_salt(spark, tmp_dir):
     names = {r[0] for r in salted.read("customers").select("customer_name").collect()}
     assert ANN not in names and all(len(n) == 64 for n in names)
     assert salted.read("transactions").count() == 5
+
+
+def test_incremental_audit_of_a_batch(spark, loaded):
+    from tillstar.plans.audit import audit_batch
+
+    wh, tmp = loaded
+    f2 = os.path.dirname(write(f"{tmp}/feed2", "b.csv", FEED2))
+    load_batch(wh, read_raw_csv(spark, f2), 2)
+    rep = audit_batch(wh, 2)
+    assert sum(r.n_null for r in rep["nulls"].collect()) == 0
+    assert rep["duplicates"].count() == 0
+    assert sum(r.n_orphans for r in rep["orphans"].collect()) == 0
+    # an orphan planted in the next batch's partition is found
+    spark.createDataFrame([(999, 1, 1, 3)], "transaction_id long, product_id long, flavour_id long, batch_id long") \
+        .write.mode("append").partitionBy("batch_id").parquet(wh.path("baskets"))
+    orph = {(r.child_table, r.parent_table): r.n_orphans for r in audit_batch(wh, 3)["orphans"].collect()}
+    assert orph[("baskets", "transactions")] == 1

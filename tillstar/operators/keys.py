@@ -46,6 +46,8 @@ SMALL_SORT_MAX = 1_000_000
 # Up to this many range partitions the offsets travel as a literal array in
 # the plan; beyond, as a broadcast frame (still at most one row per partition).
 LITERAL_OFFSETS_MAX = 4096
+# A key -> number map with at most this many keys is broadcast for the join-back.
+BROADCAST_KEYS_MAX = 1_000_000
 
 
 def _as_cols(cols: Sequence) -> list[Column]:
@@ -148,16 +150,22 @@ def group_numbers(
 ) -> DataFrame:
     """A4: 0-based rank of each distinct non-null key in sorted order, joined back.
 
-    NULL keys get -1.  The distinct keys are numbered (bucketed or ranged),
-    then joined back on the key; the join is an equi-join that AQE may turn
-    into a broadcast when the key set is small.
+    NULL keys get -1.  The distinct keys are numbered (small, bucketed or
+    ranged), then joined back on the key.  The ranged numbering knows the
+    exact key count, so a small key map is broadcast (the frame is not
+    shuffled); otherwise the join-back is an equi-join left to AQE, whose
+    skew handling splits a hot key's partition.
     """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    n_keys = known_rows
     if known_rows is not None and known_rows <= SMALL_SORT_MAX:
         ids = ordered_ids_small(keys, [key], out_col, start=-1)
     elif bucket is not None:
         ids = ordered_ids_bucketed(keys, [key], out_col, bucket, start=-1)
     else:
-        ids = ordered_ids_ranged(keys, [key], out_col, path, start=-1)
+        r = ranged_ids(keys, [key], out_col, path, start=-1)
+        ids, n_keys = r.frame, r.total
+    if n_keys is not None and n_keys <= BROADCAST_KEYS_MAX:
+        ids = F.broadcast(ids)
     out = df.join(ids, key, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(-1).cast("bigint")))
