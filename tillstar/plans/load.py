@@ -50,6 +50,8 @@ class Warehouse:
     # Id-stamped transaction staging (with the basket text) of batches loaded
     # by this process, read from the materialised scratch folder.
     staged_transactions: dict = field(default_factory=dict)
+    # Scratch folder of each batch loaded by this process (kept with keep_scratch).
+    scratch_dirs: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -169,6 +171,7 @@ def load_batch(
         return LoadResult(batch_id, skipped=True)
     _step(wh, batch_id, "stage")
     scratch = wh.scratch(batch_id)
+    wh.scratch_dirs[batch_id] = scratch
     staged = stage_batch(raw, scratch, salt)
 
     _step(wh, batch_id, "quarantine")
@@ -259,6 +262,7 @@ def load_batch(
         wh.commit(batch_id, source, after)
         if not keep_scratch:
             wh.staged_transactions.pop(batch_id, None)
+            wh.scratch_dirs.pop(batch_id, None)
             remove_dir(wh.spark, scratch)
     wh.spark.sparkContext.setJobDescription(None)
     return LoadResult(batch_id)

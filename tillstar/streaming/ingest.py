@@ -74,10 +74,13 @@ def ingest(
 ) -> StreamingQuery:
     """Start the stream; every micro-batch becomes one warehouse batch."""
     stream = raw_stream(spark, inbox, max_files_per_trigger, archive_dir)
+    qid: list[str] = []  # read once from the checkpoint (stable across restarts)
 
     def load_micro_batch(df: DataFrame, epoch_id: int) -> None:
         session = df.sparkSession
-        source = _source_key(name, _query_id(session, checkpoint), epoch_id)
+        if not qid:
+            qid.append(_query_id(session, checkpoint))
+        source = _source_key(name, qid[0], epoch_id)
         done = wh.ledger().where(F.col("source") == source).limit(1).count() > 0
         if done:
             return
