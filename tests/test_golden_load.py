@@ -192,3 +192,18 @@ def test_incremental_audit_of_a_batch(spark, loaded):
         .write.mode("append").partitionBy("batch_id").parquet(wh.path("baskets"))
     orph = {(r.child_table, r.parent_table): r.n_orphans for r in audit_batch(wh, 3)["orphans"].collect()}
     assert orph[("baskets", "transactions")] == 1
+
+
+def test_batch_of_only_bad_rows(spark, tmp_dir):
+    bad = "\n".join(FEED1.strip().splitlines()[5:]) + "\n"  # the four rejected rows only
+    f = os.path.dirname(write(f"{tmp_dir}/bad", "c.csv", bad))
+    wh = Warehouse(spark, f"{tmp_dir}/wh").bootstrap()
+    load_batch(wh, read_raw_csv(spark, f), 1)
+    assert wh.read("quarantine").count() == 4
+    assert wh.read("transactions").count() == 0 and wh.read("stores").count() == 0
+    led = wh.ledger().first()
+    assert (led.batch_id, led.max_transaction_id, led.max_store_id) == (1, 0, 0)
+    # the next batch starts its ids at 1
+    f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
+    load_batch(wh, read_raw_csv(spark, f1), 2)
+    assert sorted(r[0] for r in wh.read("transactions").select("transaction_id").collect()) == [1, 2, 3, 4, 5]

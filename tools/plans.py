@@ -48,9 +48,15 @@ def main() -> None:
     sections.append(("New customers: probe the dimension with the batch's broadcast candidates",
                      D.new_customers(None, None, known, 0, cand=cand, cand_rows=3000)))
 
-    sections.append(("Fact customer look-up against the batch's customers only",
-                     D.lookup_customer(D.lookup_store(valid, wh.read("stores"), 25),
-                                       D.members_of(wh.read("customers"), cand, D.CUSTOMER_KEY, 3000), 3000)))
+    from tillstar.plans.load import TXN_ORDER
+    from tillstar.operators.keys import _asc
+
+    keys = _asc(TXN_ORDER + ["_tag"])
+    txn_in = D.lookup_customer(D.lookup_store(valid.select(*staging.TRANSACTION_COLUMNS, "_tag"), wh.read("stores"), 25),
+                               D.members_of(wh.read("customers"), cand, D.CUSTOMER_KEY, 3000), 3000)
+    ranked = txn_in.select("_tag", *TXN_ORDER).repartitionByRange(8, *keys).sortWithinPartitions(*keys)
+    sections.append(("Transaction ids: broadcast look-ups, then one range exchange on (natural key, row tag)",
+                     ranked.withColumn("_rid", F.monotonically_increasing_id())))
     sections.append(("Star view: transactions joined to their basket lines", star_view(wh)))
     sections.append(("Range join (bands proven small: broadcast nested loop)", catalog.q_range_join(spark, sf)))
     sections.append(("IN-list pushed into the Parquet scan", catalog.q_filter_in_list(spark, sf)))
