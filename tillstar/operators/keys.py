@@ -107,9 +107,11 @@ def ranged_ids(
     num_partitions: int | None = None,
 ) -> RangedIds:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _asc(list(order) + list(tiebreak))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count the range exchange may be coalesced by AQE:
+    # neighbouring ranges merge, so partition indexes still follow key order.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     ranged = materialize(ranged.withColumn("_rid", F.monotonically_increasing_id()), path)
     part = F.shiftright(F.col("_rid"), _POS_BITS)
     # One row per range partition: bounded by n, collected to the driver.
