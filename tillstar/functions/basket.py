@@ -65,11 +65,6 @@ def item_struct(item) -> Column:
     )
 
 
-def basket_has_bad_price(products) -> Column:
-    """True when any item of the basket has a price that does not cast."""
-    return F.exists(basket_items(products), lambda it: parse_price(F.element_at(item_parts(it), -1)).isNull())
-
-
 def octet_length_over(c, limit: int) -> Column:
     """P5: VARCHAR(n) limits count bytes, not characters."""
     return F.octet_length(col(c)) > F.lit(limit)
