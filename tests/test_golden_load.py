@@ -207,3 +207,16 @@ def test_batch_of_only_bad_rows(spark, tmp_dir):
     f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
     load_batch(wh, read_raw_csv(spark, f1), 2)
     assert sorted(r[0] for r in wh.read("transactions").select("transaction_id").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rerun_with_fewer_rows_leaves_nothing_stale(spark, loaded):
+    """A crashed attempt wrote a new store; the rerun of the batch has none."""
+    wh, tmp = loaded
+    f2 = os.path.dirname(write(f"{tmp}/feed2", "b.csv", FEED2))
+    load_batch(wh, read_raw_csv(spark, f2), 2, commit=False)  # writes store East, then crashes
+    other = "03-02-2024 10:00:00,North,Ann Ode,\"Tea - 1.30\",1.30,CASH,\n"
+    f3 = os.path.dirname(write(f"{tmp}/feed3", "c.csv", other))
+    load_batch(wh, read_raw_csv(spark, f3), 2)
+    assert rows(wh.read("stores"), "store_id", "store_name") == [(1, "North"), (2, "South")]
+    assert wh.read("customers").count() == 3 and wh.read("flavours").count() == 3
+    assert wh.read("transactions").count() == 6

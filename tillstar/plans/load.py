@@ -107,6 +107,17 @@ class Warehouse:
         row = self.spark.createDataFrame([tuple(vals)], schema).withColumn("committed_at", F.current_timestamp())
         row.select(*LEDGER.fieldNames()).write.mode("append").parquet(self.path("ledger"))
 
+    def clear_batch(self, batch_id: int) -> None:
+        """Drop what an earlier, uncommitted attempt of ``batch_id`` wrote.
+
+        Dynamic partition overwrite replaces only partitions that receive rows,
+        so a rerun that produces no rows for a table would otherwise leave the
+        crashed attempt's rows behind.  Uncommitted partitions are invisible to
+        readers, so removing them is safe.
+        """
+        for table in ALL_TABLES:
+            remove_dir(self.spark, f"{self.path(table)}/batch_id={batch_id}")
+
     def scratch(self, batch_id: int) -> str:
         return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{uuid.uuid4().hex[:8]}"
 
@@ -170,6 +181,7 @@ def load_batch(
     elif wh.committed(batch_id):
         return LoadResult(batch_id, skipped=True)
     _step(wh, batch_id, "stage")
+    wh.clear_batch(batch_id)
     scratch = wh.scratch(batch_id)
     wh.scratch_dirs[batch_id] = scratch
     staged = stage_batch(raw, scratch, salt)
