@@ -152,15 +152,18 @@ def group_numbers(
 ) -> DataFrame:
     """A4: 0-based rank of each distinct non-null key in sorted order, joined back.
 
-    NULL keys get -1.  The distinct keys are numbered (small, bucketed or
-    ranged), then joined back on the key.  The ranged numbering knows the
+    NULL keys get -1.  The distinct keys are counted (one aggregate), then
+    numbered by one global sort when the count is small, else bucketed or
+    ranged, and joined back on the key.  The ranged numbering knows the
     exact key count, so a small key map is broadcast (the frame is not
     shuffled); otherwise the join-back is an equi-join left to AQE, whose
     skew handling splits a hot key's partition.
     """
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if known_rows is None:
+        known_rows = keys.count()  # exact bound: picks the one-task plan when small
     n_keys = known_rows
-    if known_rows is not None and known_rows <= SMALL_SORT_MAX:
+    if known_rows <= SMALL_SORT_MAX:
         ids = ordered_ids_small(keys, [key], out_col, start=-1)
     elif bucket is not None:
         ids = ordered_ids_bucketed(keys, [key], out_col, bucket, start=-1)
