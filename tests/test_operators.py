@@ -188,3 +188,15 @@ def test_update_from_rows(spark):
     got = sorted(tuple(r) for r in R.update_from_rows(t, u, ["k"], ["p"]).collect())
     assert got == [(1, 1.0), (2, 20.0), (3, 3.0)]
     assert R.insert_rows(t, [(4, 4.0)]).count() == 4
+
+
+def test_group_numbers_all_paths_agree(spark, tmp_dir, monkeypatch):
+    df = spark.range(400).select(F.concat(F.lit("k"), (F.col("id") % 37).cast("string")).alias("k"))
+    df = df.union(spark.createDataFrame([(None,)], "k string"))
+    small = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g").collect())
+    monkeypatch.setattr(K, "SMALL_SORT_MAX", 0)
+    monkeypatch.setattr(K, "BROADCAST_KEYS_MAX", 0)
+    ranged = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", path=f"{tmp_dir}/g").collect())
+    bucketed = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", bucket=K.byte_prefix("k", 2)).collect())
+    assert small == ranged == bucketed
+    assert small[0] == ("", -1) and small[-1][1] == 36
