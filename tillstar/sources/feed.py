@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.schemas import PRICE
+from tillstar.schemas import PRICE, RAW_COLUMNS
 
 # Two-feed split (fixed value): feed 1 holds the orders below this key.
 FEED1_MAX_ORDERKEY = 10
@@ -46,11 +46,11 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     items = lines.join(part, lines.l_partkey == part.p_partkey).select(
-        "l_orderkey",
-        F.struct("l_linenumber", "l_partkey", "l_extendedprice", item_text().alias("item")).alias("it"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", item_text().alias("item")
     )
+    # Ordered string aggregate per order (its group is the lines of one order).
     baskets = items.groupBy("l_orderkey").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("it")), lambda x: x["item"]), ", ").alias("products")
+        F.expr("listagg(item, ', ') WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_extendedprice)").alias("products")
     )
 
     o = orders.join(baskets, orders.o_orderkey == baskets.l_orderkey)
@@ -130,8 +130,6 @@ def csv_lines(feed: DataFrame) -> DataFrame:
     NULL fields become empty fields; rows flagged ``_cut`` keep only their
     first two fields, which makes them corrupt (wrong column count).
     """
-    from tillstar.schemas import RAW_COLUMNS
-
     fields = [F.coalesce(csv_field(F.col(c)), F.lit("")) for c in RAW_COLUMNS]
     full = F.concat_ws(",", *fields)
     cut = F.concat_ws(",", *fields[:2])
