@@ -115,9 +115,16 @@ def q_distinct_flavours(spark, sf_dir):
     return D.distinct_flavours(staging.parse_items(_valid(spark, sf_dir), keep=[]))
 
 
-def _with_store(spark, sf_dir):
+def _loaded_valid(spark, sf_dir):
+    """The loaded warehouse and the valid staged rows of its batch (read from
+    the load's own staged copy instead of deriving the feed again)."""
     wh = load_feed(spark, sf_dir, "one")
-    return wh, D.lookup_store(_valid(spark, sf_dir), wh.read("stores"))
+    return wh, staging.valid_rows(wh.staged(1))
+
+
+def _with_store(spark, sf_dir):
+    wh, valid = _loaded_valid(spark, sf_dir)
+    return wh, D.lookup_store(valid, wh.read("stores"))
 
 
 def q_lookup_store(spark, sf_dir):
@@ -182,8 +189,9 @@ def q_quality_orphans(spark, sf_dir):
 
 
 def q_quality_duplicates(spark, sf_dir):
-    star = Q.star_duplicates(_star_tables(load_feed(spark, sf_dir, "one")))
-    items = staging.parse_items(_valid(spark, sf_dir), keep=[])
+    wh, valid = _loaded_valid(spark, sf_dir)
+    star = Q.star_duplicates(_star_tables(wh))
+    items = staging.parse_items(valid, keep=[])
     return star.unionByName(Q.product_price_conflicts(items))
 
 

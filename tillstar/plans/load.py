@@ -107,6 +107,10 @@ class Warehouse:
         row = self.spark.createDataFrame([tuple(vals)], schema).withColumn("committed_at", F.current_timestamp())
         row.select(*LEDGER.fieldNames()).write.mode("append").parquet(self.path("ledger"))
 
+    def staged(self, batch_id: int) -> DataFrame:
+        """The staged rows of a batch loaded here with ``keep_scratch``."""
+        return self.spark.read.parquet(f"{self.scratch_dirs[batch_id]}/staged")
+
     def clear_batch(self, batch_id: int) -> None:
         """Drop what an earlier, uncommitted attempt of ``batch_id`` wrote.
 

@@ -31,7 +31,9 @@ SQL_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    master: str | None = None, shuffle_partitions: int | None = None, driver_memory: str | None = None
+) -> SparkSession:
     builder = (
         SparkSession.builder.appName("tillstar")
         .config("spark.ui.enabled", "false")
@@ -43,6 +45,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     configure(spark)
     return spark
