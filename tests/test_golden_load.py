@@ -220,3 +220,15 @@ def test_rerun_with_fewer_rows_leaves_nothing_stale(spark, loaded):
     assert rows(wh.read("stores"), "store_id", "store_name") == [(1, "North"), (2, "South")]
     assert wh.read("customers").count() == 3 and wh.read("flavours").count() == 3
     assert wh.read("transactions").count() == 6
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from tillstar.__main__ import main
+
+    f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
+    assert main(["load", f1, f"{tmp_dir}/wh"]) == 0
+    assert main(["load", f1, f"{tmp_dir}/wh", "--batch-id", "1"]) == 0
+    out = capsys.readouterr().out
+    assert "batch 1: committed" in out and "batch 1: already loaded" in out
+    wh = Warehouse(spark, f"{tmp_dir}/wh")
+    assert wh.read("transactions").count() == 5
