@@ -200,3 +200,16 @@ def test_group_numbers_all_paths_agree(spark, tmp_dir, monkeypatch):
     bucketed = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", bucket=K.byte_prefix("k", 2)).collect())
     assert small == ranged == bucketed
     assert small[0] == ("", -1) and small[-1][1] == 36
+
+
+def test_size_shuffle(spark, tmp_dir):
+    from tillstar.session import TARGET_PARTITION_BYTES, path_bytes, size_shuffle
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        assert size_shuffle(spark, 10) == 2 * slots
+        assert size_shuffle(spark, 1000 * TARGET_PARTITION_BYTES) == max(2 * slots, 1000)
+        assert path_bytes(spark, f"{SF_SMALL}/nation.parquet") > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

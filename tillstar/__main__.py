@@ -53,8 +53,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "bootstrap":
         Warehouse(spark, args.warehouse).bootstrap()
     elif args.cmd == "load":
+        from tillstar.session import path_bytes, size_shuffle
         from tillstar.sources.csv import read_raw_csv
 
+        size_shuffle(spark, path_bytes(spark, args.raw))
         wh = Warehouse(spark, args.warehouse).bootstrap()
         res = load_batch(
             wh,

@@ -105,3 +105,28 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+# Target bytes of input per shuffle partition when sizing a batch (fixed value).
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total length of the files under ``path`` (file system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle partition count for a batch of ``input_bytes``.
+
+    About one partition per 256 MB of input, never fewer than twice the
+    cluster's task slots; AQE then coalesces small partitions and splits
+    skewed ones at run time.  Returns the count set.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    n = max(2 * slots, -(-input_bytes // TARGET_PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_PARTITION_BYTES // 2))
+    return n
