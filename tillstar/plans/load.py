@@ -20,7 +20,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,14 +151,12 @@ def write_new(wh: Warehouse, table: str, new: DataFrame, batch_id: int, start: d
     """Write a batch's new dimension members; return the table's largest id.
 
     New members carry the dense ids start+1 .. start+n, so the largest id is
-    start + n; the frame is persisted so that counting it and writing it
-    compute it once.
+    start + n.  The count n is observed on the write job itself
+    (``Observation``), so no second pass over the new members is needed.
     """
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    n = new.count()
-    wh.write(table, new, batch_id)
-    new.unpersist()
-    return start[table] + n
+    obs = Observation(f"new_{table}")
+    wh.write(table, new.observe(obs, F.count(F.lit(1)).alias("n")), batch_id)
+    return start[table] + int(obs.get["n"])
 
 
 def load_batch(
