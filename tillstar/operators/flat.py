@@ -90,7 +90,11 @@ def flat_frame(local: DataFrame, scratch: str, order_col: str = "o_orderkey", ke
 
 
 def group_number_table(flat: DataFrame) -> DataFrame:
-    """A4 as a table: (key kind, key, group number) for the five keys."""
+    """A4 as a table: (key kind, key, group number) for the five keys.
+
+    One ``stack`` turns each row into its five (kind, key, number) triples,
+    then a single distinct (partial aggregation first): one scan, one shuffle.
+    """
     parts = [
         ("time_stamp", "time_stamp", "transactions_id"),
         ("store", "store", "store_id"),
@@ -98,11 +102,8 @@ def group_number_table(flat: DataFrame) -> DataFrame:
         ("item", "item", "item_id"),
         ("flavour", "flavour", "flavour_id"),
     ]
-    out = None
-    for kind, key, num in parts:
-        f = flat.select(F.lit(kind).alias("key_kind"), F.col(key).alias("key_value"), F.col(num).alias("group_no")).distinct()
-        out = f if out is None else out.unionByName(f)
-    return out
+    args = ", ".join(f"'{kind}', `{key}`, `{num}`" for kind, key, num in parts)
+    return flat.selectExpr(f"stack({len(parts)}, {args}) as (key_kind, key_value, group_no)").distinct()
 
 
 def _first_row(flat: DataFrame, key: str, values: list[str], order_col: str) -> DataFrame:
