@@ -137,14 +137,19 @@ class LoadResult:
     skipped: bool = False
 
 
-def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> DataFrame:
+def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> tuple[DataFrame, int]:
     """Stage the raw rows once and write them to the shared folder.
 
     Adds a unique row tag, the tiebreaker that lets the transaction ids be
     range-partitioned even when one natural key holds a large share of rows.
+    Returns the staged frame and the number of rejected rows, observed on the
+    write itself.
     """
+    obs = Observation("staged")
     st = staging.stage(raw, salt).withColumn("_tag", F.monotonically_increasing_id())
-    return materialize(st, f"{scratch}/staged")
+    st = st.observe(obs, F.count_if(F.col("reason").isNotNull()).alias("bad"))
+    staged = materialize(st, f"{scratch}/staged")
+    return staged, int(obs.get["bad"])
 
 
 def write_new(wh: Warehouse, table: str, new: DataFrame, batch_id: int, start: dict[str, int]) -> int:
@@ -186,13 +191,13 @@ def load_batch(
     wh.clear_batch(batch_id)
     scratch = wh.scratch(batch_id)
     wh.scratch_dirs[batch_id] = scratch
-    staged = stage_batch(raw, scratch, salt)
+    staged, n_bad = stage_batch(raw, scratch, salt)
 
     _step(wh, batch_id, "quarantine")
-    bad = staging.quarantined(staged)
-    if on_bad_row == "fail" and bad.limit(1).count() > 0:
-        raise BadRowsError(f"batch {batch_id}: rejected rows present")
-    wh.write("quarantine", bad, batch_id)
+    if n_bad and on_bad_row == "fail":
+        raise BadRowsError(f"batch {batch_id}: {n_bad} rejected rows")
+    if n_bad:
+        wh.write("quarantine", staging.quarantined(staged), batch_id)
     valid = staging.valid_rows(staged)
 
     # Existing members are the committed batches other than this one; their
