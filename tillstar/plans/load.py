@@ -76,6 +76,15 @@ class Warehouse:
     def next_batch_id(self) -> int:
         return D.max_id(self.ledger(), "batch_id") + 1
 
+    def state(self, batch_id: int) -> tuple[bool, dict[str, int]]:
+        """(is ``batch_id`` committed, largest ids of the other committed
+        batches) from one aggregate over the ledger."""
+        led = self.ledger()
+        other = F.col("batch_id") != batch_id
+        aggs = [F.max(F.when(other, F.col(f"max_{c}"))).alias(t) for t, c in ID_COLUMNS.items()]
+        row = led.agg(F.max(F.when(~other, F.lit(1))).alias("_done"), *aggs).first()
+        return row["_done"] is not None, {t: int(row[t] or 0) for t in ID_COLUMNS}
+
     def max_ids(self, exclude: int | None = None) -> dict[str, int]:
         """Largest id per table over the committed batches (from the ledger)."""
         led = self.ledger()
@@ -185,7 +194,8 @@ def load_batch(
     """
     if batch_id is None:
         batch_id = wh.next_batch_id()
-    elif wh.committed(batch_id):
+    done, start = wh.state(batch_id)
+    if done:
         return LoadResult(batch_id, skipped=True)
     _step(wh, batch_id, "stage")
     wh.clear_batch(batch_id)
@@ -204,7 +214,6 @@ def load_batch(
     # largest ids come from the ledger, not from a scan of the tables.
     _step(wh, batch_id, "ledger")
     prior = {t: wh.read(t, exclude=batch_id) for t in ("stores", "customers", "products", "flavours")}
-    start = wh.max_ids(exclude=batch_id)
     after = dict(start)
 
     def current(table: str) -> DataFrame:
