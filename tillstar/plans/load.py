@@ -107,7 +107,10 @@ class Warehouse:
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
         cols = [f.name for f in ALL_TABLES[table].fields]
         out = df.select(*cols).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        out.write.mode("overwrite").partitionBy("batch_id").parquet(self.path(table))
+        # Dynamic overwrite: a retried batch replaces only its own partition.
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+            self.path(table)
+        )
 
     def commit(self, batch_id: int, source: str, max_ids: dict[str, int]) -> None:
         """Append the ledger row; from now on readers see the batch."""

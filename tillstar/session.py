@@ -26,9 +26,9 @@ SQL_CONF = {
     "spark.sql.csv.parser.columnPruning.enabled": "false",
     # hstore semantics: a repeated key keeps its last value.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Retried batches replace only their own batch_id partition.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# (Dynamic partition overwrite is set per write by the warehouse, not here, so
+# other overwrites in the user's session keep their own semantics.)
 
 
 def get_session(
