@@ -61,6 +61,26 @@ def _source_key(name: str, qid: str, epoch: int) -> str:
     return f"{name}:{qid}:{epoch}"
 
 
+def micro_batch_loader(wh: Warehouse, checkpoint: str, name: str = "sales"):
+    """The ``foreachBatch`` function: one micro-batch -> one warehouse batch.
+
+    A micro-batch whose ledger key is already committed (Spark re-delivers
+    the last micro-batch after a failure between our commit and its own) is
+    skipped; otherwise it is loaded under the next free batch id.
+    """
+    qid: list[str] = []  # read once from the checkpoint (stable across restarts)
+
+    def load_micro_batch(df: DataFrame, epoch_id: int) -> None:
+        if not qid:
+            qid.append(_query_id(df.sparkSession, checkpoint))
+        source = _source_key(name, qid[0], epoch_id)
+        if wh.ledger().where(F.col("source") == source).limit(1).count() > 0:
+            return
+        load_batch(wh, df, wh.next_batch_id(), source=source)
+
+    return load_micro_batch
+
+
 def ingest(
     spark: SparkSession,
     inbox: str,
@@ -74,17 +94,7 @@ def ingest(
 ) -> StreamingQuery:
     """Start the stream; every micro-batch becomes one warehouse batch."""
     stream = raw_stream(spark, inbox, max_files_per_trigger, archive_dir)
-    qid: list[str] = []  # read once from the checkpoint (stable across restarts)
-
-    def load_micro_batch(df: DataFrame, epoch_id: int) -> None:
-        session = df.sparkSession
-        if not qid:
-            qid.append(_query_id(session, checkpoint))
-        source = _source_key(name, qid[0], epoch_id)
-        done = wh.ledger().where(F.col("source") == source).limit(1).count() > 0
-        if done:
-            return
-        load_batch(wh, df, wh.next_batch_id(), source=source)
+    load_micro_batch = micro_batch_loader(wh, checkpoint, name)
 
     w = stream.writeStream.foreachBatch(load_micro_batch).option("checkpointLocation", checkpoint)
     if available_now:
