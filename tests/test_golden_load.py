@@ -250,3 +250,16 @@ def test_redelivered_micro_batch_is_skipped(spark, tmp_dir):
     load(read_raw_csv(spark, f2), 1)
     assert sorted(r[0] for r in wh.ledger().select("batch_id").collect()) == [1, 2]
     assert wh.read("transactions").count() == 6
+
+
+def test_star_view_of_one_batch_prunes_partitions(spark, loaded):
+    wh, tmp = loaded
+    f2 = os.path.dirname(write(f"{tmp}/feed2", "b.csv", FEED2))
+    load_batch(wh, read_raw_csv(spark, f2), 2)
+    one = star_view(wh, batches=[2])
+    assert rows(one, "transaction_id", "product_id") == [(6, 3), (6, 4)]
+    import re
+
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    pruned = re.findall(r"PartitionFilters: \[[^\]]*\(batch_id#\d+L = 2\)\]", plan)
+    assert len(pruned) == 2  # transactions and baskets scans both prune to batch 2

@@ -93,12 +93,20 @@ class Warehouse:
         row = led.agg(*[F.max(f"max_{c}").alias(t) for t, c in ID_COLUMNS.items()]).first()
         return {t: int(row[t] or 0) for t in ID_COLUMNS}
 
-    def read(self, table: str, also: int | None = None, exclude: int | None = None) -> DataFrame:
-        """Rows of committed batches (plus the in-flight batch ``also``)."""
+    def read(
+        self, table: str, also: int | None = None, exclude: int | None = None, batches: list[int] | None = None
+    ) -> DataFrame:
+        """Rows of committed batches (plus the in-flight batch ``also``).
+
+        ``batches`` restricts to those batch ids: a literal partition filter,
+        so only their partitions are listed and read.
+        """
         ok = self.ledger().select("batch_id")
         if exclude is not None:
             ok = ok.where(F.col("batch_id") != exclude)
         df = self._raw(table)
+        if batches is not None:
+            df = df.where(F.col("batch_id").isin(list(batches)))
         visible = df.join(ok, "batch_id", "left_semi")
         if also is not None:
             visible = visible.unionByName(df.where(F.col("batch_id") == also))
@@ -301,10 +309,11 @@ def load_batch(
 
 # ---- readers ------------------------------------------------------------
 
-def star_view(wh: Warehouse) -> DataFrame:
-    """F1 end product: each basket line with its transaction."""
-    t = wh.read("transactions")
-    b = wh.read("baskets")
+def star_view(wh: Warehouse, batches: list[int] | None = None) -> DataFrame:
+    """F1 end product: each basket line with its transaction (optionally of
+    some batches only; a transaction and its lines share their batch)."""
+    t = wh.read("transactions", batches=batches)
+    b = wh.read("baskets", batches=batches)
     return t.join(b, "transaction_id").select(
         "transaction_id", "time_stamp", "store_id", "customer_id", "total_price", "payment_type", "product_id", "flavour_id"
     )
