@@ -146,14 +146,22 @@ def test_bootstrap_schema_is_idempotent(spark, tmp_dir):
 
 
 def test_shuffle_path_equals_broadcast_path(spark, tmp_dir, monkeypatch):
-    """With every broadcast refused (large-dimension path) the load is the same."""
+    """With every small-batch shortcut refused (the large-batch path) the load is the same."""
     from tillstar.operators import dims
 
     f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
     f2 = os.path.dirname(write(f"{tmp_dir}/feed2", "b.csv", FEED2))
+    from tillstar.operators import keys
+    from tillstar.plans import load as load_mod
+
     results = []
     for limit in (dims.BROADCAST_MAX_ROWS, 0):
+        # 0: every proven-small shortcut refused (ranged fact ids, bucketed
+        # dimension ids, shuffle joins), i.e. the path of very large batches.
         monkeypatch.setattr(dims, "BROADCAST_MAX_ROWS", limit)
+        for mod in (keys, dims):
+            monkeypatch.setattr(mod, "SMALL_SORT_MAX", limit)
+        monkeypatch.setattr(load_mod, "FACT_SMALL_SORT_MAX", 50_000 if limit else 0)
         wh = Warehouse(spark, f"{tmp_dir}/wh{limit}").bootstrap()
         load_batch(wh, read_raw_csv(spark, f1), 1)
         load_batch(wh, read_raw_csv(spark, f2), 2)

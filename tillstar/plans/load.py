@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.operators import dims as D
-from tillstar.operators.keys import ranged_ids
+from tillstar.operators.keys import ordered_ids_small, ranged_ids
 from tillstar.plans import staging
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
 from tillstar.session import configure, make_dirs, materialize, remove_dir
@@ -34,6 +34,12 @@ ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
 TXN_ORDER = ["time_stamp", "store_id", "customer_id", "total_price", "payment_type", "products"]
 
+# Batches with at most this many valid sales number their transactions with
+# one global sort (a few MB in one task); larger batches use the parallel,
+# skew-proof range numbering, whose fixed cost (sample, shuffle, write) only
+# pays off with size.
+FACT_SMALL_SORT_MAX = 50_000
+
 
 class BadRowsError(ValueError):
     pass
@@ -157,19 +163,20 @@ class LoadResult:
     skipped: bool = False
 
 
-def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> tuple[DataFrame, int]:
+def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> tuple[DataFrame, int, int]:
     """Stage the raw rows once and write them to the shared folder.
 
     Adds a unique row tag, the tiebreaker that lets the transaction ids be
     range-partitioned even when one natural key holds a large share of rows.
-    Returns the staged frame and the number of rejected rows, observed on the
-    write itself.
+    Returns the staged frame and the numbers of rejected and valid rows, both
+    observed on the write itself.
     """
     obs = Observation("staged")
     st = staging.stage(raw, salt).withColumn("_tag", F.monotonically_increasing_id())
-    st = st.observe(obs, F.count_if(F.col("reason").isNotNull()).alias("bad"))
+    bad = F.col("reason").isNotNull()
+    st = st.observe(obs, F.count_if(bad).alias("bad"), F.count_if(~bad).alias("good"))
     staged = materialize(st, f"{scratch}/staged")
-    return staged, int(obs.get["bad"])
+    return staged, int(obs.get["bad"]), int(obs.get["good"])
 
 
 def write_new(wh: Warehouse, table: str, new: DataFrame, batch_id: int, start: dict[str, int]) -> int:
@@ -212,7 +219,7 @@ def load_batch(
     wh.clear_batch(batch_id)
     scratch = wh.scratch(batch_id)
     wh.scratch_dirs[batch_id] = scratch
-    staged, n_bad = stage_batch(raw, scratch, salt)
+    staged, n_bad, n_valid = stage_batch(raw, scratch, salt)
 
     _step(wh, batch_id, "quarantine")
     if n_bad and on_bad_row == "fail":
@@ -273,18 +280,21 @@ def load_batch(
         txn = D.lookup_customer_by_name(txn, batch_customers, rows=batch_customers_rows)
     else:
         txn = D.lookup_customer(txn, batch_customers, rows=batch_customers_rows)
-    ranked = ranged_ids(
-        txn.select("_tag", *TXN_ORDER),
-        TXN_ORDER,
-        "transaction_id",
-        f"{scratch}/txn_ranked",
-        start=start["transactions"],
-        tiebreak=["_tag"],
-    )
-    txn = ranked.frame
+    keyed = txn.select("_tag", *TXN_ORDER)
+    if n_valid <= FACT_SMALL_SORT_MAX:
+        # Proven small batch: one deterministic global sort (unique key thanks
+        # to the row tag), computed once for the fact and the basket lines.
+        txn = ordered_ids_small(keyed, TXN_ORDER + ["_tag"], "transaction_id", start=start["transactions"])
+        txn = txn.persist(StorageLevel.MEMORY_AND_DISK)
+        total = n_valid
+    else:
+        ranked = ranged_ids(
+            keyed, TXN_ORDER, "transaction_id", f"{scratch}/txn_ranked", start=start["transactions"], tiebreak=["_tag"]
+        )
+        txn, total = ranked.frame, ranked.total
     _step(wh, batch_id, "transactions")
     wh.write("transactions", txn, batch_id)
-    after["transactions"] = start["transactions"] + ranked.total
+    after["transactions"] = start["transactions"] + total
     wh.staged_transactions[batch_id] = txn
 
     _step(wh, batch_id, "baskets")
@@ -295,6 +305,7 @@ def load_batch(
     )
     wh.write("baskets", lines, batch_id)
     pairs.unpersist()
+    txn.unpersist()
 
     _step(wh, batch_id, "commit")
     if commit:
