@@ -271,3 +271,25 @@ def test_star_view_of_one_batch_prunes_partitions(spark, loaded):
     plan = one._jdf.queryExecution().executedPlan().toString()
     pruned = re.findall(r"PartitionFilters: \[[^\]]*\(batch_id#\d+L = 2\)\]", plan)
     assert len(pruned) == 2  # transactions and baskets scans both prune to batch 2
+
+
+def test_hot_group_of_identical_sales_stays_whole(spark, tmp_dir, monkeypatch):
+    """600 identical sales (most of the batch) through the ranged id path:
+    every copy gets its own dense id and exactly its own two basket lines."""
+    from tillstar.plans import load as load_mod
+
+    monkeypatch.setattr(load_mod, "FACT_SMALL_SORT_MAX", 0)  # force the parallel ranged numbering
+    hot = '01-02-2024 09:00:00,North,Ann Ode,"Tea - 1.30, Tea - 1.30",2.60,CASH,\n'
+    other = '01-02-2024 09:05:00,South,Bo Lin,"Mocha - Mint - 3.10",3.10,CARD,4444000011112222\n'
+    write(f"{tmp_dir}/hot", "a.csv", hot * 600 + other * 300)
+    wh = Warehouse(spark, f"{tmp_dir}/wh").bootstrap()
+    load_batch(wh, read_raw_csv(spark, f"{tmp_dir}/hot"), 1)
+    ids = sorted(r[0] for r in wh.read("transactions").select("transaction_id").collect())
+    assert ids == list(range(1, 901))
+    per_txn = wh.read("baskets").groupBy("transaction_id").count()
+    assert per_txn.count() == 900
+    counts = {r[0]: r[1] for r in per_txn.groupBy("count").count().collect()}
+    assert counts == {2: 600, 1: 300}
+    # the hot copies take the first ids (2.60 CASH at 09:00 sorts first)
+    hot_ids = wh.read("transactions").where("total_price = 2.60").select("transaction_id")
+    assert sorted(r[0] for r in hot_ids.collect()) == list(range(1, 601))
