@@ -111,3 +111,20 @@ def test_scratch_dropped_after_commit(spark, tmp_dir):
     scratch = f"{tmp_dir}/wh/_scratch"
     assert not os.path.exists(scratch) or os.listdir(scratch) == []
     assert wh.read("transactions").count() == feed.count()
+
+
+def test_command_line_flat(spark, tmp_dir):
+    import os
+
+    from tillstar.__main__ import main
+
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/local.csv", "w") as f:
+        f.write("timestamp,store,customer_name,basket_items,total_price,cash_or_card,card_number\n")
+        f.write("01-02-2024 09:00:00,North,Ann,Tea - 1.30,1.3,CASH,\n")
+        f.write('01-02-2024 09:05:00,North,Bo,"Latte - Mint - 2.75, Tea - 1.30",4.05,CARD,4444\n')
+    assert main(["flat", f"{tmp_dir}/in", f"{tmp_dir}/out"]) == 0
+    products = sorted((r.product_id, r.product_name, str(r.price)) for r in spark.read.parquet(f"{tmp_dir}/out/products").collect())
+    assert products == [(0, "Latte ", "2.75"), (1, "Tea ", "1.30")]
+    orders = spark.read.parquet(f"{tmp_dir}/out/orders")
+    assert sorted(r.order_id for r in orders.collect()) == [1, 2, 3]
