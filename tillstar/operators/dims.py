@@ -58,15 +58,24 @@ def members_of(dim: DataFrame, candidates: DataFrame, keys: Sequence[str], cand_
 
 
 def new_members(
-    candidates: DataFrame, existing: DataFrame, keys: Sequence[str], cand_rows: int | None = None
+    candidates: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str],
+    cand_rows: int | None = None,
+    existing_rows: int | None = None,
 ) -> DataFrame:
     """Candidates whose key is not in the dimension yet (NOT EXISTS).
 
-    ``cand_rows`` (exact candidate count, when known and small) switches to
-    probe-then-anti: the existing members among the candidates are found by
-    streaming the dimension against the broadcast candidates, then the anti
-    join runs between two frames no larger than the candidates.
+    * ``existing_rows`` (exact dimension size, e.g. its dense-id maximum) small:
+      the dimension's keys are broadcast into the anti join.
+    * else ``cand_rows`` (exact candidate count) small: probe-then-anti, the
+      existing members among the candidates are found by streaming the
+      dimension against the broadcast candidates, then the anti join runs
+      between two frames no larger than the candidates.
+    * else a shuffle anti join.
     """
+    if existing_rows is not None and existing_rows <= BROADCAST_MAX_ROWS:
+        return candidates.join(F.broadcast(existing.select(*keys)), list(keys), "left_anti")
     if cand_rows is not None and cand_rows <= BROADCAST_MAX_ROWS:
         hits = members_of(existing, candidates, keys, cand_rows).select(*keys)
         return candidates.join(small(hits, known_rows=cand_rows), list(keys), "left_anti")
@@ -109,8 +118,9 @@ def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None, bo
     """Stores of the batch not yet in ``stores``, with ids after ``start``.
 
     ``bound``: proven upper bound on the batch's distinct stores."""
-    new = new_members(distinct_stores(valid), stores, ["store_name"], bound)
-    ids = with_ids(new, ["store_name"], "store_id", _start(stores, "store_id", start), byte_prefix("store_name"), bound)
+    start = _start(stores, "store_id", start)
+    new = new_members(distinct_stores(valid), stores, ["store_name"], bound, existing_rows=start)
+    ids = with_ids(new, ["store_name"], "store_id", start, byte_prefix("store_name"), bound)
     return ids.select("store_id", "store_name")
 
 
@@ -149,15 +159,17 @@ def new_customers(
 def new_products(items: DataFrame, products: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
     """J4 + H2: one row per new product name, lowest price of the batch."""
     cand = items.groupBy("product_name").agg(F.min("price").alias("price"))
-    new = new_members(cand, products, ["product_name"], bound)
-    ids = with_ids(new, ["product_name"], "product_id", _start(products, "product_id", start), byte_prefix("product_name"), bound)
+    start = _start(products, "product_id", start)
+    new = new_members(cand, products, ["product_name"], bound, existing_rows=start)
+    ids = with_ids(new, ["product_name"], "product_id", start, byte_prefix("product_name"), bound)
     return ids.select("product_id", "product_name", "price")
 
 
 def new_flavours(items: DataFrame, flavours: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
     """Flavour names not yet in ``flavours`` ('' = no flavour)."""
-    new = new_members(distinct_flavours(items), flavours, ["flavour_name"], bound)
-    ids = with_ids(new, ["flavour_name"], "flavour_id", _start(flavours, "flavour_id", start), byte_prefix("flavour_name"), bound)
+    start = _start(flavours, "flavour_id", start)
+    new = new_members(distinct_flavours(items), flavours, ["flavour_name"], bound, existing_rows=start)
+    ids = with_ids(new, ["flavour_name"], "flavour_id", start, byte_prefix("flavour_name"), bound)
     return ids.select("flavour_id", "flavour_name")
 
 
