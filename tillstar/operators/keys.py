@@ -1,9 +1,9 @@
 """Ordered surrogate ids without a single-partition window (K1, K2, A4).
 
-``row_number() over (order by k)`` moves every row to one task.  Two
-distributed equivalents are provided; both give ``start + 1 + (rank of the row
-in the order)`` and both are deterministic, so a retried or recomputed task
-produces the same ids:
+``row_number() over (order by k)`` moves every row to one task, which is only
+acceptable under a proven row bound.  Three strategies are provided; all give
+``start + 1 + (rank of the row in the order)`` and all are deterministic, so a
+retried or recomputed task produces the same ids:
 
 * **bucketed** (lazy, no write): a caller-supplied bucket expression that is
   monotone in the sort order (e.g. the first bytes of a name, the first hex
