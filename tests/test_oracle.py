@@ -9,6 +9,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
+TYPE_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "decimal(10,2)": "DECIMAL(10,2)",
+}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 NAMES = sorted(E.queries())
 
@@ -48,6 +52,9 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: TYPE_NAMES.get(t, t) for c, t in stypes.items()} == dtypes
     assert len(srows) == len(drows)
     assert _key(df.columns, srows) == _key(dcols, drows)
 
