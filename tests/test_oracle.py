@@ -64,3 +64,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["transaction_id", "time_stamp", "store_id", "customer_id", "total_price",
                           "payment_type", "product_id", "flavour_id"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_plan_stays_in_the_jvm(spark, name):
+    """No Python UDF evaluation and no cartesian product in any registered query."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "PythonUDF"):
+        assert node not in plan, f"{name}: {node}"
