@@ -125,7 +125,7 @@ class Packer:
             self._emit([(doc, i * self.window, ids[i * step : (i + 1) * step], total)])
         self._wait(doc, full * self.window, ids[full * step :], total)
         if self.waiting > POOL:
-            while self.waiting > POOL // 2:
+            while self.waiting > POOL // 2 and self.tokens >= self.window:
                 self._fill(self.window)
 
     def finish(self) -> None:

@@ -152,7 +152,7 @@ class ArchiveReader:
         size = self.file.size()
         tail_at = max(0, size - 65557)  # the end record, and the longest comment after it
         tail = self.read(tail_at, size - tail_at)
-        end = tail.rfind(b"PK\x05\x06")
+        end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
         while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
             end = tail.rfind(b"PK\x05\x06", 0, end)
         if end < 0:
