@@ -68,8 +68,9 @@ def kept_suffixes(texts: DataFrame, min_words: int, sparse: int) -> DataFrame:
 def equal_neighbours(rows: DataFrame, name: str) -> DataFrame:
     """Of ``rows (key, id, at)`` in sorted order, those whose key another place shares.
 
-    Repeated rows count once.  A task's first and last rows are marked ``edge``
-    and always kept, as their neighbours may lie in another task.
+    Repeated rows count once.  ``sure``: a neighbour in the same task shares the
+    key.  A task's first and last rows are marked ``edge`` and always kept, as
+    their neighbours may lie in another task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -83,22 +84,23 @@ def equal_neighbours(rows: DataFrame, name: str) -> DataFrame:
             fresh = np.r_[True, np.any([c[1:] != c[:-1] for c in cols], axis=0)]
             key, i, at = (c[fresh] for c in cols)
             same = key[1:] == key[:-1]
-            edge, keep = np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
+            edge, sure = np.zeros(len(key), dtype=bool), np.zeros(len(key), dtype=bool)
             edge[0] = first if held is None else held[4]
-            keep[1:] |= same
-            keep[:-1] |= same
-            keep[0] |= edge[0] or (held is not None and held[3])
+            sure[1:] |= same
+            sure[:-1] |= same
+            sure[0] |= held is not None and held[3]
             first = False
             n = len(key) - 1  # the last row waits for its neighbour
-            held = (key[n:], i[n:], at[n:], bool(keep[n]), bool(edge[n]))
-            take = keep[:n]
-            yield {"key": key[:n][take], "id": i[:n][take], "at": at[:n][take], "edge": edge[:n][take]}
+            held = (key[n:], i[n:], at[n:], bool(sure[n]), bool(edge[n]))
+            take = (sure | edge)[:n]
+            cols = {"key": key, "id": i, "at": at, "sure": sure, "edge": edge}
+            yield {name: c[:n][take] for name, c in cols.items()}
         if held is not None:
-            yield {"key": held[0], "id": held[1], "at": held[2], "edge": np.array([True])}
+            yield {"key": held[0], "id": held[1], "at": held[2], "sure": np.array([held[3]]), "edge": np.array([True])}
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = written(rows, name).repartitionByRange(n, "key", "id", "at").sortWithinPartitions("key", "id", "at")
-    return map_arrow(sorted_rows, run, "key bigint, id bigint, at int, edge boolean")
+    return map_arrow(sorted_rows, run, "key bigint, id bigint, at int, sure boolean, edge boolean")
 
 
 def windows(texts: DataFrame, places: DataFrame, min_words: int, sparse: int) -> DataFrame:
@@ -129,10 +131,10 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     """``(id, at)`` of rows whose key occurs at two places."""
     found = written(equal_neighbours(rows, "suffix-windows"), "suffix-repeated")
     edge = found.filter("edge")  # two rows a task
-    several = (
-        found.join(edge.select("key").distinct(), "key").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    )
-    return found.filter("not edge").select("id", "at").union(edge.join(several, "key").select("id", "at"))
+    # a key that goes on in another task is the last of one and the first of the next
+    several = edge.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    settled = edge.filter("not sure").join(several, "key", "left_semi")
+    return found.filter("sure").select("id", "at").union(settled.select("id", "at"))
 
 
 def merged_spans(starts: DataFrame, min_words: int) -> DataFrame:
