@@ -40,10 +40,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component: a row with its smallest doc_id."""
     groups = simhash.near_duplicates(docs, shingle=3, budget=2)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"))
-    rows = docs.join(written(kept.distinct(), "pipeline-kept"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    # one key for the join and for the window, so that texts are dealt out once
+    key = F.coalesce("doc_id", F.lit(-(2**63))).alias("_key")
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
+    rows = docs.select("*", key).join(written(kept, "pipeline-kept"), "_key", "left_semi")
     # rows that share a doc_id (never in the tables): one of them, the first by its text
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    order = Window.partitionBy("_key").orderBy(F.col("text").asc_nulls_last())
     return rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
 
 
