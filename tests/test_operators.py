@@ -11,7 +11,7 @@ from conftest import SF_MID, SF_SMALL
 from tillstar.functions import pgtypes as PG
 from tillstar.operators import keys as K
 from tillstar.operators import rows as R
-from tillstar.operators.range_join import range_join, range_join_broadcast, range_join_bucketed
+from tillstar.operators.range_join import range_join
 
 
 # ---- ordered ids ------------------------------------------------------------
@@ -65,27 +65,51 @@ def test_group_numbers_null_is_minus_one(spark, tmp_dir):
 
 # ---- range join -------------------------------------------------------------
 
-def test_range_join_plans_agree(spark):
-    ev = spark.read.parquet(f"{SF_MID}/events.parquet").select("event_id", "value")
-    texts = ["[0,10)", "[10,50)", "[50,100]", "(100,)", "(,0)", "empty", "[5,25]", "(20,20.5)", "[300,)", "(,1]"]
-    ranges = spark.createDataFrame([(t,) for t in texts], "band string").select(
-        "band", PG.range_parse("band", "decimal(10,2)").alias("range"))
-    a = range_join_broadcast(ev, "value", ranges).select("event_id", "band")
-    b = range_join_bucketed(ev, "value", ranges, bucket_width=7.5).select("event_id", "band")
-    c = range_join(ev, "value", ranges, broadcast_max=2).select("event_id", "band")  # forced bucketed
-    sa = sorted(tuple(r) for r in a.collect())
-    assert sa == sorted(tuple(r) for r in b.collect()) == sorted(tuple(r) for r in c.collect())
-    assert len(sa) > ev.count()  # overlapping bands give several matches
-
+def _nested_loop(facts, ranges):
+    """Brute force: (fact id, range id) of every value inside a range."""
+    inside = []
+    for i, v in facts:
+        for n, text, lo, hi, b in ranges:
+            if v is None or b is None:
+                continue
+            low = lo is None or v > lo or (v == lo and b[0] == "[")
+            high = hi is None or v < hi or (v == hi and b[1] == "]")
+            if low and high:
+                inside.append((i, n))
+    return sorted(inside)
+
+
+def test_range_join_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(11)
+    ranges = []
+    for n in range(1200):
+        lo = rng.choice([float(rng.randint(0, 5000)), rng.randint(0, 5000) + 0.5, -3.25])
+        hi = lo + rng.choice([0.0, 1, 1, 1, 0.125, 7, 64, 1e6])
+        if n % 100 == 0:
+            lo = None
+        if n % 75 == 0:
+            hi = None
+        ranges.append((n, "r", lo, hi, rng.choice(["[)", "[]", "()", "(]"]) if n % 90 else None))
+    facts = [(i, rng.choice([float(rng.randint(-5, 5100)), rng.random() * 5000])) for i in range(400)]
+    facts += [(900, 4e9), (901, -4e9), (902, None), (903, 0.0)]
+    f = spark.createDataFrame(facts, "fid long, value double")
+    r = spark.createDataFrame(ranges, "rid long, text string, lo double, hi double, b string").selectExpr(
+        "rid", "named_struct('lower', lo, 'upper', hi, 'bounds', b) as range"
+    )
+    got = sorted((x.fid, x.rid) for x in range_join(f, "value", r).select("fid", "rid").collect())
+    assert got == _nested_loop(facts, ranges)
+    assert range_join(f.limit(0), "value", r).count() == 0
+    assert range_join(f, "value", r.limit(0)).columns == ["fid", "value", "rid", "range"]
 
-def test_range_join_broadcast_plan(spark):
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "value")
-    ranges = spark.createDataFrame([("[0,10)",)], "band string").select("band", PG.range_parse("band", "double").alias("range"))
-    plan = range_join(ev, "value", ranges)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan
 
+def test_range_join_of_any_number_is_an_equi_join(spark):
+    f = spark.range(100).selectExpr("id as value")
+    r = spark.range(3).selectExpr("id", "named_struct('lower', id, 'upper', cast(null as long), 'bounds', '[)') as range")
+    plan = range_join(f, "value", r)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
-# ---- column types -----------------------------------------------------------
 
 def test_range_parse_edge_cases(spark):
     texts = ['["a""b","c\\\\d")', "(,)", "empty", "[1,2", "garbage", None]

@@ -143,15 +143,21 @@ def orders_table(flat: DataFrame, scratch: str, order_col: str = "o_orderkey") -
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO NOTHING.
 
-    Rows are reduced to one per key (lowest ``order_col``; ``min_by`` is a
-    partial aggregate), keys already in the target are dropped (left anti),
-    and the rest is appended to the target.
+    Rows are reduced to one per key (lowest ``order_col``; the minimum of a
+    struct is a partial aggregate), keys already in the target are dropped
+    (left anti), and the rest is appended to the target.  A NULL in a key never
+    conflicts, so such rows are all inserted.
     """
-    cols = [c for c in target.columns]
+    cols = list(target.columns)
     others = [c for c in cols if c not in keys]
-    first = rows.groupBy(*keys).agg(*[F.min_by(F.col(c), F.col(order_col)).alias(c) for c in others])
-    new = first.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(new.select(*cols))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    row = F.struct(F.col(order_col).alias("_at"), *[F.col(c) for c in others])
+    first = rows.where(whole).groupBy(*keys).agg(F.min(row).alias("_row"))
+    first = first.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
+    new = first.join(target.select(*keys), keys, "left_anti").select(*cols)
+    return target.unionByName(new).unionByName(rows.where(~whole).select(*cols))
 
 
 class KeyConflictError(ValueError):

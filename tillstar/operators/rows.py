@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -21,9 +21,8 @@ from tillstar.operators.dims import small
 # Literal lists up to this length stay in the plan as an IN predicate.
 IN_LIST_MAX = 1000
 
-# Fixed value: ASCII punctuation and space, replaced by '_' in column names.
-_CLEAN_CHARS = " !\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"
-_CLEAN_RE = re.compile("[" + re.escape(_CLEAN_CHARS) + "]")
+# Every printable ASCII character that is neither a letter nor a digit becomes '_' in column names.
+_NAME_TABLE = {c: "_" for c in range(0x20, 0x7F) if not chr(c).isalnum()}
 
 
 def filter_in(df: DataFrame, column: str, values) -> DataFrame:
@@ -40,10 +39,9 @@ def filter_in(df: DataFrame, column: str, values) -> DataFrame:
 
 def clean_name(name: str) -> str:
     """punctuation/space -> '_'; prefix 'f' before a leading '_' or digit."""
-    s = _CLEAN_RE.sub("_", name)
-    if s and (s[0] == "_" or "0" <= s[0] <= "9"):
-        s = "f" + s
-    return s
+    cleaned = name.translate(_NAME_TABLE)
+    leads_badly = cleaned.startswith(("_", *string.digits))
+    return f"f{cleaned}" if leads_badly else cleaned
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -58,13 +56,16 @@ def update_from_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     """UPDATE target SET columns = u.columns FROM updates u WHERE keys match.
 
     Target rows without a matching update keep their values; update rows
-    without a target row are ignored.  Several updates of one key: the
-    lowest value wins (deterministic, unlike the warehouse's arbitrary pick).
+    without a target row are ignored; an update to NULL sets NULL.  Several
+    updates of one key: the lowest row of new values wins as a whole
+    (deterministic, unlike the warehouse's arbitrary pick).
     """
-    u = updates.groupBy(*keys).agg(*[F.min(c).alias(f"_new_{c}") for c in columns])
+    new = F.struct(*[F.col(c).alias(c) for c in columns])
+    u = updates.groupBy(*keys).agg(F.min(new).alias("_new"))
     joined = target.join(small(u), list(keys), "left")
     for c in columns:
-        joined = joined.withColumn(c, F.coalesce(F.col(f"_new_{c}"), F.col(c)).cast(target.schema[c].dataType))
+        value = F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c))
+        joined = joined.withColumn(c, value.cast(target.schema[c].dataType))
     return joined.select(*target.columns)
 
 

@@ -7,6 +7,8 @@ written; the customer name leaves it only as its digest.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,16 @@ from tillstar.schemas import CORRUPT_COL, RAW_COLUMNS, RAW_LIMITS
 REASONS = ["corrupt_row", "bad_timestamp", "bad_total", "bad_price", "too_long"]
 
 
-def _raw_line_digest(raw: DataFrame):
+# Key of line digests where the caller gives no salt: a line may hold a card
+# number, and an unkeyed digest of it could be searched for.
+_PROCESS_KEY = secrets.token_hex(16)
+
+
+def _raw_line_digest(raw: DataFrame, key: str):
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS])
     if CORRUPT_COL in raw.columns:
-        joined = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS])
-        return F.md5(F.coalesce(F.col(CORRUPT_COL), joined))
-    return F.md5(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]))
+        line = F.coalesce(F.col(CORRUPT_COL), line)
+    return F.md5(F.concat(F.lit(key + "|"), line))
 
 
 PARTS = "_parts"
@@ -82,7 +89,7 @@ def stage(raw: DataFrame, salt: str | None = None, keep=()) -> DataFrame:
         B.parse_price(text["total_price"]).alias("total_price"),
         text["payment_type"].alias("payment_type"),
         # Non-personal context kept for the quarantine only.
-        _raw_line_digest(raw).alias("line_md5"),
+        _raw_line_digest(raw, salt or _PROCESS_KEY).alias("line_md5"),
         file_path.alias("file_path"),
         text["time_stamp"].alias("time_stamp_text"),
         text["total_price"].alias("total_text"),
@@ -96,15 +103,27 @@ def valid_rows(staged: DataFrame) -> DataFrame:
     return staged.where(F.col("reason").isNull())
 
 
+# Payment types whose text may be kept of a rejected row (fixed values of the feed).
+KNOWN_PAYMENTS = ["CARD", "CASH"]
+
+
 def quarantined(staged: DataFrame) -> DataFrame:
+    """Rejected rows: reason, keyed line digest, file, and what is proven harmless.
+
+    Fields of a row may be shifted (one missing, one too many), so a position
+    says nothing about what a text is.  A text is kept only of rows with the
+    full column count, and only if it parsed as what its column holds or is a
+    known payment type; free text (the store) is never kept.
+    """
+    full = F.col("reason") != "corrupt_row"
     return staged.where(F.col("reason").isNotNull()).select(
         "reason",
         "line_md5",
         "file_path",
-        F.col("time_stamp_text").alias("time_stamp"),
-        "store_name",
-        F.col("total_text").alias("total_price"),
-        "payment_type",
+        F.when(full & F.col("time_stamp").isNotNull(), F.col("time_stamp").cast("string")).alias("time_stamp"),
+        F.lit(None).cast("string").alias("store_name"),
+        F.when(full & F.col("total_price").isNotNull(), F.col("total_price").cast("string")).alias("total_price"),
+        F.when(full & F.upper("payment_type").isin(KNOWN_PAYMENTS), F.col("payment_type")).alias("payment_type"),
     )
 
 

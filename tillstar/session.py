@@ -67,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            # each executor would write to its own disk and results would be lost
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tillstar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -17,7 +17,7 @@ from tillstar.schemas import CORRUPT_COL, ITEMS, LOCAL_FEED, RAW_SCAN
 from tillstar.session import configure
 
 
-def raw_csv_reader(spark: SparkSession):
+def raw_csv_reader(spark: SparkSession, multi_line: bool = False):
     configure(spark)  # CSV column pruning off: the verdict must not depend on the projection
     return (
         spark.read.schema(RAW_SCAN)
@@ -26,12 +26,17 @@ def raw_csv_reader(spark: SparkSession):
         .option("quote", '"')
         .option("escape", '"')
         .option("header", False)
+        .option("multiLine", multi_line)
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless raw feed -> 7 text columns + ``_corrupt_record`` + file path."""
-    df = raw_csv_reader(spark).csv(path)
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Headerless raw feed -> 7 text columns + ``_corrupt_record`` + file path.
+
+    ``multi_line`` reads line breaks inside quotes; a file is then one task's
+    work, so large files of such a feed have to be split where they are made.
+    """
+    df = raw_csv_reader(spark, multi_line).csv(path)
     return df.withColumn("file_path", F.col("_metadata.file_path"))
 
 
@@ -39,7 +44,9 @@ def write_items_csv(items: DataFrame, path: str) -> None:
     """Item lines as CSV with a header line."""
     items.select("transaction_id", "product_name", "price", F.col("flavour_name").alias("flavour")).write.mode(
         "overwrite"
-    ).option("header", True).csv(path)
+    ).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(path)
 
 
 def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -49,17 +56,27 @@ def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_header_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | None = LOCAL_FEED, infer: bool = False) -> DataFrame:
-    """S3: header CSV; explicit schema by default, inference only on request."""
-    r = spark.read.option("header", True).option("escape", '"')
-    if schema is not None and not infer:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    """S3: header CSV, columns by the names in the file.
+
+    With a schema (the default) its columns are picked by name, whatever their
+    order in the file, and cast; other columns are dropped, a column the file
+    lacks fails.  Every file's header has to equal the first one's.  Types are
+    inferred only on request.
+    """
+    r = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
+    if schema is None or infer:
+        return r.option("inferSchema", True).csv(path)
+    df = r.csv(path)
+    missing = [f.name for f in schema if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"header of {path} lacks the columns {missing}")
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def write_text_lines(lines: DataFrame, path: str) -> None:
