@@ -58,7 +58,7 @@ def main() -> None:
     sections.append(("Transaction ids: broadcast look-ups, then one range exchange on (natural key, row tag)",
                      ranked.withColumn("_rid", F.monotonically_increasing_id())))
     sections.append(("Star view: transactions joined to their basket lines", star_view(wh)))
-    sections.append(("Range join (bands proven small: broadcast nested loop)", catalog.q_range_join(spark, sf)))
+    sections.append(("Range join (equi-join on level and bucket)", catalog.q_range_join(spark, sf)))
     sections.append(("IN-list pushed into the Parquet scan", catalog.q_filter_in_list(spark, sf)))
     from tillstar.operators import flat as FL
     from tillstar.session import work_dir
