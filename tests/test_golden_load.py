@@ -146,22 +146,15 @@ def test_bootstrap_schema_is_idempotent(spark, tmp_dir):
 
 
 def test_shuffle_path_equals_broadcast_path(spark, tmp_dir, monkeypatch):
-    """With every small-batch shortcut refused (the large-batch path) the load is the same."""
+    """With every broadcast refused the load is the same."""
     from tillstar.operators import dims
 
     f1 = os.path.dirname(write(f"{tmp_dir}/feed1", "a.csv", FEED1))
     f2 = os.path.dirname(write(f"{tmp_dir}/feed2", "b.csv", FEED2))
-    from tillstar.operators import keys
-    from tillstar.plans import load as load_mod
-
     results = []
-    for limit in (dims.BROADCAST_MAX_ROWS, 0):
-        # 0: every proven-small shortcut refused (ranged fact ids, bucketed
-        # dimension ids, shuffle joins), i.e. the path of very large batches.
-        monkeypatch.setattr(dims, "BROADCAST_MAX_ROWS", limit)
-        for mod in (keys, dims):
-            monkeypatch.setattr(mod, "SMALL_SORT_MAX", limit)
-        monkeypatch.setattr(load_mod, "FACT_SMALL_SORT_MAX", 50_000 if limit else 0)
+    for limit in (dims.BROADCAST_MAX_BYTES, 0):
+        # 0: no broadcast is forced, as with very large batches
+        monkeypatch.setattr(dims, "BROADCAST_MAX_BYTES", limit)
         wh = Warehouse(spark, f"{tmp_dir}/wh{limit}").bootstrap()
         load_batch(wh, read_raw_csv(spark, f1), 1)
         load_batch(wh, read_raw_csv(spark, f2), 2)
@@ -273,12 +266,9 @@ def test_star_view_of_one_batch_prunes_partitions(spark, loaded):
     assert len(pruned) == 2  # transactions and baskets scans both prune to batch 2
 
 
-def test_hot_group_of_identical_sales_stays_whole(spark, tmp_dir, monkeypatch):
-    """600 identical sales (most of the batch) through the ranged id path:
-    every copy gets its own dense id and exactly its own two basket lines."""
-    from tillstar.plans import load as load_mod
-
-    monkeypatch.setattr(load_mod, "FACT_SMALL_SORT_MAX", 0)  # force the parallel ranged numbering
+def test_hot_group_of_identical_sales_stays_whole(spark, tmp_dir):
+    """600 identical sales (most of the batch): every copy gets its own dense
+    id and exactly its own two basket lines."""
     hot = '01-02-2024 09:00:00,North,Ann Ode,"Tea - 1.30, Tea - 1.30",2.60,CASH,\n'
     other = '01-02-2024 09:05:00,South,Bo Lin,"Mocha - Mint - 3.10",3.10,CARD,4444000011112222\n'
     write(f"{tmp_dir}/hot", "a.csv", hot * 600 + other * 300)

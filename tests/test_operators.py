@@ -50,11 +50,14 @@ def test_ranged_ids_spread_hot_key(spark, tmp_dir):
     assert max(sizes) < 2000
 
 
-def test_bucketed_ids_equal_global_row_number(spark):
-    df = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("h"), (F.col("id") % 3).alias("s")).distinct()
-    got = K.ordered_ids_bucketed(df, ["h", "s"], "id", F.substring("h", 1, 2), start=7)
-    exp = _brute(df, ["h", "s"], start=7)
-    assert {(r.h, r.s, r.id) for r in got.collect()} == {(r.h, r.s, r.bid) for r in exp.collect()}
+def test_ids_of_names_with_one_shared_prefix(spark, tmp_dir):
+    """Names that agree in their first bytes spread over many range partitions."""
+    df = spark.range(4000).select(F.concat(F.lit("Large part "), F.md5(F.col("id").cast("string"))).alias("name"))
+    got = K.ordered_ids_ranged(df, ["name"], "id", f"{tmp_dir}/r", start=7, num_partitions=8)
+    exp = _brute(df, ["name"], start=7)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in exp.collect()}
+    sizes = [r[1] for r in spark.read.parquet(f"{tmp_dir}/r").groupBy(F.shiftright("_rid", 33)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
 
 
 def test_group_numbers_null_is_minus_one(spark, tmp_dir):
@@ -214,16 +217,30 @@ def test_update_from_rows(spark):
     assert R.insert_rows(t, [(4, 4.0)]).count() == 4
 
 
-def test_group_numbers_all_paths_agree(spark, tmp_dir, monkeypatch):
+def test_group_numbers_same_with_and_without_broadcast(spark, tmp_dir, monkeypatch):
     df = spark.range(400).select(F.concat(F.lit("k"), (F.col("id") % 37).cast("string")).alias("k"))
     df = df.union(spark.createDataFrame([(None,)], "k string"))
-    small = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g").collect())
-    monkeypatch.setattr(K, "SMALL_SORT_MAX", 0)
-    monkeypatch.setattr(K, "BROADCAST_KEYS_MAX", 0)
-    ranged = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", path=f"{tmp_dir}/g").collect())
-    bucketed = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", bucket=K.byte_prefix("k", 2)).collect())
-    assert small == ranged == bucketed
-    assert small[0] == ("", -1) and small[-1][1] == 36
+    one = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", f"{tmp_dir}/a").collect())
+    monkeypatch.setattr(K, "BROADCAST_MAX_BYTES", 0)
+    other = sorted((r.k or "", r.g) for r in K.group_numbers(df, "k", "g", f"{tmp_dir}/b").collect())
+    assert one == other and one[0] == ("", -1) and one[-1][1] == 36
+
+
+def test_group_maps_number_each_kind_from_zero(spark, tmp_dir):
+    df = spark.createDataFrame([("b", "x"), ("a", None), (None, "y"), ("b", "x")], "k string, v string")
+    got = K.group_maps(df, {"k": "k", "v": "v"}, f"{tmp_dir}/g").table
+    assert {tuple(r) for r in got.collect()} == {
+        ("k", None, -1), ("k", "a", 0), ("k", "b", 1), ("v", None, -1), ("v", "x", 0), ("v", "y", 1),
+    }
+    assert K.group_maps(df.limit(0), {"k": "k"}, f"{tmp_dir}/e").table.count() == 0
+
+
+def test_broadcast_needs_a_proven_size_in_bytes(spark):
+    from tillstar.operators.dims import fits_broadcast
+
+    names = spark.createDataFrame([("a", 1)], "name string, id bigint")
+    assert fits_broadcast(names, 1000) and not fits_broadcast(names, None)
+    assert not fits_broadcast(names, 1_000_000)  # 255 bytes a name
 
 
 def test_size_shuffle(spark, tmp_dir):

@@ -3,40 +3,37 @@
 * New members: ``left_anti`` against the dimension (the reference's
   correlated ``NOT EXISTS``); NULL keys never match, as in SQL.
 * Ids: ordered by natural key, continuing after the largest existing id.
-* Look-ups: equi-joins.  A dimension is broadcast only after a bounded row
-  count proves it small; otherwise the join stays a shuffle join (and AQE may
-  still switch strategy or split skewed partitions at run time).
+* Look-ups: equi-joins.  A frame is broadcast only where its exact row count
+  and the declared width of its texts prove it small in bytes; otherwise the
+  join is left to Spark's statistics and AQE (which splits skewed partitions).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstar.operators.keys import SMALL_SORT_MAX, byte_prefix, ordered_ids_bucketed, ordered_ids_small
+from tillstar.operators.keys import BROADCAST_MAX_BYTES, ROW_BYTES, ordered_ids_ranged
 
-# Row bound under which a dimension is broadcast (checked, not assumed).
-BROADCAST_MAX_ROWS = 1_000_000
+# Declared width of the names and digests of the dimensions (longer rows are quarantined).
+TEXT_BYTES = 255
 
 
-def row_count_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows (stops after n + 1 rows)."""
-    return df.limit(n + 1).count() <= n
+def fits_broadcast(df: DataFrame, rows: int | None, max_bytes: int | None = None) -> bool:
+    """Whether ``rows`` rows of ``df`` are proven to fit the broadcast limit; texts count with their declared width."""
+    if rows is None:
+        return False
+    texts = sum(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return rows * (ROW_BYTES + TEXT_BYTES * texts) <= limit
 
 
-def small(df: DataFrame, max_rows: int | None = None, known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a row-count check; else unchanged.
-
-    ``known_rows`` is an exact row count the caller already has (a dimension
-    with dense ids 1..n has n rows); otherwise the rows are counted up to
-    ``max_rows + 1``.
-    """
-    if max_rows is None:
-        max_rows = BROADCAST_MAX_ROWS
-    fits = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if fits else df
+def small(df: DataFrame, known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint where the exact row count (e.g. of dense ids 1..n) proves it small; else unchanged."""
+    return F.broadcast(df) if fits_broadcast(df, known_rows) else df
 
 
 def max_id(df: DataFrame, id_col: str) -> int:
@@ -74,22 +71,13 @@ def new_members(
       between two frames no larger than the candidates.
     * else a shuffle anti join.
     """
-    if existing_rows is not None and existing_rows <= BROADCAST_MAX_ROWS:
-        return candidates.join(F.broadcast(existing.select(*keys)), list(keys), "left_anti")
-    if cand_rows is not None and cand_rows <= BROADCAST_MAX_ROWS:
+    known = existing.select(*keys)
+    if fits_broadcast(known, existing_rows):
+        return candidates.join(F.broadcast(known), list(keys), "left_anti")
+    if fits_broadcast(known, cand_rows):
         hits = members_of(existing, candidates, keys, cand_rows).select(*keys)
-        return candidates.join(small(hits, known_rows=cand_rows), list(keys), "left_anti")
-    return candidates.join(existing.select(*keys), list(keys), "left_anti")
-
-
-def with_ids(
-    new: DataFrame, order: Sequence[str], id_col: str, start: int, bucket: Column, bound: int | None = None
-) -> DataFrame:
-    """Ids after ``start`` in key order; ``bound`` is a proven upper bound on
-    the rows of ``new`` (one global sort when small, buckets otherwise)."""
-    if bound is not None and bound <= SMALL_SORT_MAX:
-        return ordered_ids_small(new, order, id_col, start=start)
-    return ordered_ids_bucketed(new, order, id_col, bucket, start=start)
+        return candidates.join(small(hits, cand_rows), list(keys), "left_anti")
+    return candidates.join(known, list(keys), "left_anti")
 
 
 # ---- the four dimensions -------------------------------------------------
@@ -114,13 +102,16 @@ def _start(df: DataFrame, id_col: str, start: int | None) -> int:
     return max_id(df, id_col) if start is None else start
 
 
-def new_stores(valid: DataFrame, stores: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
+def new_stores(
+    valid: DataFrame, stores: DataFrame, path: str, start: int | None = None, bound: int | None = None
+) -> DataFrame:
     """Stores of the batch not yet in ``stores``, with ids after ``start``.
 
-    ``bound``: proven upper bound on the batch's distinct stores."""
+    ``path``: where the sorted members are written; ``bound``: proven upper
+    bound on the batch's distinct stores."""
     start = _start(stores, "store_id", start)
     new = new_members(distinct_stores(valid), stores, ["store_name"], bound, existing_rows=start)
-    ids = with_ids(new, ["store_name"], "store_id", start, byte_prefix("store_name"), bound)
+    ids = ordered_ids_ranged(new, ["store_name"], "store_id", path, start)
     return ids.select("store_id", "store_name")
 
 
@@ -137,39 +128,38 @@ def new_customers(
     valid: DataFrame,
     stores_all: DataFrame,
     customers: DataFrame,
+    path: str,
     start: int | None = None,
     stores_rows: int | None = None,
     cand: DataFrame | None = None,
     cand_rows: int | None = None,
 ) -> DataFrame:
-    """(digest, store) pairs not yet in ``customers``, with ids.
-
-    Ordered by (digest, store id); the bucket is the first three hex digits of
-    the digest, uniform by construction.
-    """
+    """(digest, store) pairs not yet in ``customers``, with ids in (digest, store id) order."""
     if cand is None:
         cand = customer_candidates(valid, stores_all, stores_rows)
     new = new_members(cand, customers, CUSTOMER_KEY, cand_rows)
-    ids = with_ids(
-        new, CUSTOMER_KEY, "customer_id", _start(customers, "customer_id", start), F.substring("customer_name", 1, 3), cand_rows
-    )
+    ids = ordered_ids_ranged(new, CUSTOMER_KEY, "customer_id", path, _start(customers, "customer_id", start))
     return ids.select("customer_id", "customer_name", "store_id")
 
 
-def new_products(items: DataFrame, products: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
+def new_products(
+    items: DataFrame, products: DataFrame, path: str, start: int | None = None, bound: int | None = None
+) -> DataFrame:
     """J4 + H2: one row per new product name, lowest price of the batch."""
     cand = items.groupBy("product_name").agg(F.min("price").alias("price"))
     start = _start(products, "product_id", start)
     new = new_members(cand, products, ["product_name"], bound, existing_rows=start)
-    ids = with_ids(new, ["product_name"], "product_id", start, byte_prefix("product_name"), bound)
+    ids = ordered_ids_ranged(new, ["product_name"], "product_id", path, start)
     return ids.select("product_id", "product_name", "price")
 
 
-def new_flavours(items: DataFrame, flavours: DataFrame, start: int | None = None, bound: int | None = None) -> DataFrame:
+def new_flavours(
+    items: DataFrame, flavours: DataFrame, path: str, start: int | None = None, bound: int | None = None
+) -> DataFrame:
     """Flavour names not yet in ``flavours`` ('' = no flavour)."""
     start = _start(flavours, "flavour_id", start)
     new = new_members(distinct_flavours(items), flavours, ["flavour_name"], bound, existing_rows=start)
-    ids = with_ids(new, ["flavour_name"], "flavour_id", start, byte_prefix("flavour_name"), bound)
+    ids = ordered_ids_ranged(new, ["flavour_name"], "flavour_id", path, start)
     return ids.select("flavour_id", "flavour_name")
 
 

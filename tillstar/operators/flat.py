@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.basket import parse_timestamp
-from tillstar.operators.keys import byte_prefix, group_numbers, ordered_ids_ranged
+from tillstar.operators.keys import GroupMaps, group_maps, join_group_number, ordered_ids_ranged
 from tillstar.session import materialize
 
 FLAT_COLUMNS = [
@@ -73,37 +73,29 @@ def explode_items(local: DataFrame, order_col: str = "o_orderkey") -> DataFrame:
     )
 
 
-def flat_frame(local: DataFrame, scratch: str, order_col: str = "o_orderkey", keep_order: bool = False) -> DataFrame:
-    """The 13-column flat frame (plus the order columns when asked).
+# Kind of group number (the key's column) -> its number's column.
+GROUPS = {
+    "time_stamp": "transactions_id",
+    "store": "store_id",
+    "customer_name": "customer_id",
+    "item": "item_id",
+    "flavour": "flavour_id",
+}
 
-    The exploded items are written once to ``scratch``; the five group-number
-    passes then read that columnar copy instead of re-deriving the input.
-    """
-    df = materialize(explode_items(local, order_col), f"{scratch}/items")
-    df = group_numbers(df, "time_stamp", "transactions_id", path=f"{scratch}/g_ts")
-    df = group_numbers(df, "customer_name", "customer_id", path=f"{scratch}/g_customer")
-    df = group_numbers(df, "store", "store_id", bucket=byte_prefix("store"))
-    df = group_numbers(df, "item", "item_id", bucket=byte_prefix("item"))
-    df = group_numbers(df, "flavour", "flavour_id", bucket=byte_prefix("flavour"))
-    cols = FLAT_COLUMNS + ([order_col, "item_pos"] if keep_order else [])
-    return df.select(*cols)
 
+def numbered_items(local: DataFrame, scratch: str, order_col: str = "o_orderkey") -> tuple[DataFrame, GroupMaps]:
+    """The exploded items, written once to ``scratch``, and the group numbers of their five keys (one pass)."""
+    items = materialize(explode_items(local, order_col), f"{scratch}/items")
+    return items, group_maps(items, {k: k for k in GROUPS}, f"{scratch}/groups")
 
-def group_number_table(flat: DataFrame) -> DataFrame:
-    """A4 as a table: (key kind, key, group number) for the five keys.
 
-    One ``stack`` turns each row into its five (kind, key, number) triples,
-    then a single distinct (partial aggregation first): one scan, one shuffle.
-    """
-    parts = [
-        ("time_stamp", "time_stamp", "transactions_id"),
-        ("store", "store", "store_id"),
-        ("customer_name", "customer_name", "customer_id"),
-        ("item", "item", "item_id"),
-        ("flavour", "flavour", "flavour_id"),
-    ]
-    args = ", ".join(f"'{kind}', `{key}`, `{num}`" for kind, key, num in parts)
-    return flat.selectExpr(f"stack({len(parts)}, {args}) as (key_kind, key_value, group_no)").distinct()
+def flat_frame(local: DataFrame, scratch: str, order_col: str = "o_orderkey", keep_order: bool = False) -> DataFrame:
+    """The 13-column flat frame (plus the order columns when asked)."""
+    df, maps = numbered_items(local, scratch, order_col)
+    for key, number in GROUPS.items():
+        df = join_group_number(df, maps, key, key, number)
+    cols = FLAT_COLUMNS + ([order_col, "item_pos"] if keep_order else [])
+    return df.select(*cols)
 
 
 def _first_row(flat: DataFrame, key: str, values: list[str], order_col: str) -> DataFrame:

@@ -1,38 +1,27 @@
 """Ordered surrogate ids without a single-partition window (K1, K2, A4).
 
-``row_number() over (order by k)`` moves every row to one task, which is only
-acceptable under a proven row bound.  Three strategies are provided; all give
-``start + 1 + (rank of the row in the order)`` and all are deterministic, so a
-retried or recomputed task produces the same ids:
-
-* **bucketed** (lazy, no write): a caller-supplied bucket expression that is
-  monotone in the sort order (e.g. the first bytes of a name, the first hex
-  digits of a digest).  ``row_number`` runs per bucket; bucket offsets are a
-  running sum over the per-bucket counts, a frame whose size is bounded by the
-  number of buckets and therefore broadcast.  Suited to dimensions, whose keys
-  are distinct and whose buckets are bounded by construction.
-
-* **small** (proven bound): when an exact upper bound on the rows to number
-  is at most ``SMALL_SORT_MAX`` (a batch's distinct stores, customers,
-  products), a plain global ``row_number`` is bounded work for one task and
-  the cheapest plan (one stage).
-
-* **ranged** (skew-proof): the rows are range-partitioned on the sort key plus
-  a unique tiebreaker, so even a single key value holding a third of the rows
-  is spread over many tasks; the positions come from
-  ``monotonically_increasing_id`` (partition index in the high bits, position
-  in the sorted partition in the low bits).  The ranged frame is written to
-  the shared folder first, because range bounds come from sampling and must
-  not change between the count and the numbering; the per-partition counts
-  (at most ``num_partitions`` rows) are collected once and give both the
-  offsets and the total.
+One algorithm numbers every frame, whatever its size: the rows are
+range-partitioned on the sort key (plus a unique tiebreaker where the key
+repeats, so even one key value holding a third of the rows is spread over many
+tasks), sorted within their partition and written to the shared folder with
+``monotonically_increasing_id`` (partition index in the high bits, position in
+the low bits).  The written copy fixes the ranges, whose bounds come from
+sampling.  The rows of each partition are then counted (at most one row per
+partition reaches the driver), and an id is the partition's offset plus the
+position.  The result is ``start + 1 + (rank of the row in the order)`` and the
+same on every retry.
+
+Group numbers (A4) of several keys come from one pass: the keys are stacked as
+(kind, key), made distinct once, numbered together in (kind, key) order, and
+each kind's first position is taken off.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.session import materialize
@@ -40,53 +29,17 @@ from tillstar.session import materialize
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
-# Rows that may be numbered by one task: a proven upper bound on the row
-# count below this uses a plain global row_number (one stage).
-SMALL_SORT_MAX = 1_000_000
 # Up to this many range partitions the offsets travel as a literal array in
 # the plan; beyond, as a broadcast frame (still at most one row per partition).
 LITERAL_OFFSETS_MAX = 4096
-# A key -> number map with at most this many keys is broadcast for the join-back.
-BROADCAST_KEYS_MAX = 1_000_000
-
-
-def _as_cols(cols: Sequence) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+# Bytes of keys and ids up to which a frame is broadcast (only the join's plan depends on it).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Bytes of a row besides its texts, as counted against BROADCAST_MAX_BYTES.
+ROW_BYTES = 64
 
 
 def _asc(cols: Sequence) -> list[Column]:
-    return [c.asc_nulls_first() for c in _as_cols(cols)]
-
-
-def _running_offsets(counts: DataFrame, key: str) -> DataFrame:
-    """Exclusive running sum of ``count`` in ``key`` order (tiny frame)."""
-    w = Window.orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(key, F.coalesce(F.sum("count").over(w), F.lit(0)).alias("_off"))
-
-
-def byte_prefix(c, n: int = 2) -> Column:
-    """Monotone bucket: the first ``n`` bytes of a string (binary order)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.substring(c.cast("binary"), 1, n)
-
-
-def ordered_ids_bucketed(df: DataFrame, order: Sequence, id_col: str, bucket: Column, start=0) -> DataFrame:
-    b = df.withColumn("_b", bucket)
-    local = F.row_number().over(Window.partitionBy("_b").orderBy(*_asc(order)))
-    b = b.withColumn("_local", local)
-    offsets = _running_offsets(b.groupBy("_b").count(), "_b")
-    out = b.join(F.broadcast(offsets), b["_b"].eqNullSafe(offsets["_b"])).drop(offsets["_b"])
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    out = out.withColumn(id_col, (start_col + F.col("_off") + F.col("_local")).cast("bigint"))
-    return out.drop("_b", "_local", "_off")
-
-
-def ordered_ids_small(df: DataFrame, order: Sequence, id_col: str, start=0) -> DataFrame:
-    """Global ``row_number`` for a frame whose row count has a proven bound
-    (at most ``SMALL_SORT_MAX``): one sort in one task, bounded work."""
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    w = Window.orderBy(*_asc(order))
-    return df.withColumn(id_col, (start_col + F.row_number().over(w)).cast("bigint"))
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_first() for c in cols]
 
 
 class RangedIds:
@@ -147,30 +100,41 @@ def ordered_ids_ranged(
     return ranged_ids(df, order, id_col, path, start, tiebreak, num_partitions).frame
 
 
-def group_numbers(
-    df: DataFrame, key: str, out_col: str, path: str | None = None, bucket: Column | None = None, known_rows: int | None = None
-) -> DataFrame:
-    """A4: 0-based rank of each distinct non-null key in sorted order, joined back.
-
-    NULL keys get -1.  The distinct keys are counted (one aggregate), then
-    numbered by one global sort when the count is small, else bucketed or
-    ranged, and joined back on the key.  The ranged numbering knows the
-    exact key count, so a small key map is broadcast (the frame is not
-    shuffled); otherwise the join-back is an equi-join left to AQE, whose
-    skew handling splits a hot key's partition.
-    """
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if known_rows is None:
-        known_rows = keys.count()  # exact bound: picks the one-task plan when small
-    n_keys = known_rows
-    if known_rows <= SMALL_SORT_MAX:
-        ids = ordered_ids_small(keys, [key], out_col, start=-1)
-    elif bucket is not None:
-        ids = ordered_ids_bucketed(keys, [key], out_col, bucket, start=-1)
-    else:
-        r = ranged_ids(keys, [key], out_col, path, start=-1)
-        ids, n_keys = r.frame, r.total
-    if n_keys is not None and n_keys <= BROADCAST_KEYS_MAX:
-        ids = F.broadcast(ids)
-    out = df.join(ids, key, "left")
+@dataclass
+class GroupMaps:
+    """``table``: (key_kind, key_value, group_no) of all kinds; ``nbytes``: size of each kind's keys and numbers."""
+
+    table: DataFrame
+    nbytes: dict[str, int]
+
+    def of(self, kind: str, key: str, out_col: str) -> DataFrame:
+        """(key, number) of one kind, broadcast where its measured size allows it."""
+        m = self.table.where((F.col("key_kind") == kind) & F.col("key_value").isNotNull())
+        m = m.select(F.col("key_value").alias(key), F.col("group_no").alias(out_col))
+        return F.broadcast(m) if self.nbytes.get(kind, 0) <= BROADCAST_MAX_BYTES else m
+
+
+def group_maps(df: DataFrame, kinds: Mapping[str, str], path: str) -> GroupMaps:
+    """A4: 0-based rank of each distinct text key of each kind (kind -> column); -1 for NULL."""
+    args = ", ".join(f"'{kind}', `{col}`" for kind, col in kinds.items())
+    keys = df.selectExpr(f"stack({len(kinds)}, {args}) as (key_kind, key_value)").distinct()
+    ids = ordered_ids_ranged(keys, ["key_kind", "key_value"], "_id", path)
+    size = F.sum(F.coalesce(F.octet_length("key_value"), F.lit(0)) + ROW_BYTES)
+    nulls = F.count_if(F.col("key_value").isNull())  # NULL sorts first within its kind
+    stats = ids.groupBy("key_kind").agg(F.min("_id"), nulls, size).collect()  # one row per kind
+    if not stats:
+        return GroupMaps(ids.select("key_kind", "key_value", F.col("_id").alias("group_no")), {})
+    first = F.create_map(*[F.lit(v) for kind, low, null, _ in stats for v in (kind, int(low) + int(null))])
+    table = ids.select("key_kind", "key_value", (F.col("_id") - first[F.col("key_kind")]).cast("bigint").alias("group_no"))
+    return GroupMaps(table, {kind: int(n) for kind, _, _, n in stats})
+
+
+def join_group_number(df: DataFrame, maps: GroupMaps, kind: str, key: str, out_col: str) -> DataFrame:
+    """The number of each row's key (NULL key: -1); a join too large to broadcast is left to AQE's skew split."""
+    out = df.join(maps.of(kind, key, out_col), key, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(-1).cast("bigint")))
+
+
+def group_numbers(df: DataFrame, key: str, out_col: str, path: str) -> DataFrame:
+    """A4 for one key: 0-based rank of each distinct non-null key in sorted order, joined back; NULL keys get -1."""
+    return join_group_number(df, group_maps(df, {key: key}, path), key, key, out_col)

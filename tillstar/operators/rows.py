@@ -16,8 +16,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.dims import small
-
 # Literal lists up to this length stay in the plan as an IN predicate.
 IN_LIST_MAX = 1000
 
@@ -29,12 +27,12 @@ def filter_in(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose ``column`` is in ``values`` (a sequence or a DataFrame)."""
     if isinstance(values, DataFrame):
         v = values.select(F.col(values.columns[0]).alias(column)).distinct()
-        return df.join(small(v), column, "left_semi")
+        return df.join(v, column, "left_semi")
     values = list(values)
     if len(values) <= IN_LIST_MAX:
         return df.where(F.col(column).isin(values))
     v = df.sparkSession.createDataFrame([(x,) for x in values], [column]).distinct()
-    return df.join(F.broadcast(v), column, "left_semi")
+    return df.join(v, column, "left_semi")
 
 
 def clean_name(name: str) -> str:
@@ -62,7 +60,7 @@ def update_from_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     """
     new = F.struct(*[F.col(c).alias(c) for c in columns])
     u = updates.groupBy(*keys).agg(F.min(new).alias("_new"))
-    joined = target.join(small(u), list(keys), "left")
+    joined = target.join(u, list(keys), "left")
     for c in columns:
         value = F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c))
         joined = joined.withColumn(c, value.cast(target.schema[c].dataType))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.operators import dims as D
-from tillstar.operators.keys import ordered_ids_small, ranged_ids
+from tillstar.operators.keys import ranged_ids
 from tillstar.plans import staging
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
 from tillstar.session import configure, make_dirs, materialize, remove_dir
@@ -34,12 +34,6 @@ ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
 TXN_ORDER = ["time_stamp", "store_id", "customer_id", "total_price", "payment_type", "products"]
 
-# Batches with at most this many valid sales number their transactions with
-# one global sort (a few MB in one task); larger batches use the parallel,
-# skew-proof range numbering, whose fixed cost (sample, shuffle, write) only
-# pays off with size.
-FACT_SMALL_SORT_MAX = 50_000
-
 
 class BadRowsError(ValueError):
     pass
@@ -242,21 +236,23 @@ def load_batch(
     _step(wh, batch_id, "stores")
     pairs = D.distinct_customers(valid).persist(StorageLevel.MEMORY_AND_DISK)
     n_pairs = pairs.count()
-    bound = n_pairs if n_pairs <= D.BROADCAST_MAX_ROWS else None
-    after["stores"] = write_new(wh, "stores", D.new_stores(pairs, prior["stores"], start["stores"], bound=bound), batch_id, start)
+    new_stores = D.new_stores(pairs, prior["stores"], f"{scratch}/new_stores", start["stores"], bound=n_pairs)
+    after["stores"] = write_new(wh, "stores", new_stores, batch_id, start)
     stores_all = current("stores")
     stores_rows = after["stores"]  # dense ids 1..n: the exact row count
     _step(wh, batch_id, "customers")
     cand = D.customer_candidates(pairs, stores_all, stores_rows=stores_rows)
     # A batch with a proven-small set of customers never shuffles the
     # customer dimension nor the fact for its look-up.
-    new_customers = D.new_customers(pairs, stores_all, prior["customers"], start["customers"], cand=cand, cand_rows=bound)
+    new_customers = D.new_customers(
+        pairs, stores_all, prior["customers"], f"{scratch}/new_customers", start["customers"], cand=cand, cand_rows=n_pairs
+    )
     after["customers"] = write_new(wh, "customers", new_customers, batch_id, start)
     customers_all = current("customers")
-    if bound is not None:
+    if D.fits_broadcast(cand, n_pairs):
         key = D.CUSTOMER_KEY if customer_lookup != "name_only" else ["customer_name"]
-        batch_customers = D.members_of(customers_all, cand, key, bound)
-        batch_customers_rows = bound if customer_lookup != "name_only" else None
+        batch_customers = D.members_of(customers_all, cand, key, n_pairs)
+        batch_customers_rows = n_pairs if customer_lookup != "name_only" else None
     else:
         batch_customers, batch_customers_rows = customers_all, after["customers"]
 
@@ -266,10 +262,9 @@ def load_batch(
     groups = items.groupBy("product_name", "flavour_name").agg(F.min("price").alias("price"))
     groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
     n_groups = groups.count()
-    g_bound = n_groups if n_groups <= D.BROADCAST_MAX_ROWS else None
-    new_products = D.new_products(groups, prior["products"], start["products"], bound=g_bound)
+    new_products = D.new_products(groups, prior["products"], f"{scratch}/new_products", start["products"], bound=n_groups)
     after["products"] = write_new(wh, "products", new_products, batch_id, start)
-    new_flavours = D.new_flavours(groups, prior["flavours"], start["flavours"], bound=g_bound)
+    new_flavours = D.new_flavours(groups, prior["flavours"], f"{scratch}/new_flavours", start["flavours"], bound=n_groups)
     after["flavours"] = write_new(wh, "flavours", new_flavours, batch_id, start)
     groups.unpersist()
 
@@ -281,17 +276,10 @@ def load_batch(
     else:
         txn = D.lookup_customer(txn, batch_customers, rows=batch_customers_rows)
     keyed = txn.select("_tag", *TXN_ORDER)
-    if n_valid <= FACT_SMALL_SORT_MAX:
-        # Proven small batch: one deterministic global sort (unique key thanks
-        # to the row tag), computed once for the fact and the basket lines.
-        txn = ordered_ids_small(keyed, TXN_ORDER + ["_tag"], "transaction_id", start=start["transactions"])
-        txn = txn.persist(StorageLevel.MEMORY_AND_DISK)
-        total = n_valid
-    else:
-        ranked = ranged_ids(
-            keyed, TXN_ORDER, "transaction_id", f"{scratch}/txn_ranked", start=start["transactions"], tiebreak=["_tag"]
-        )
-        txn, total = ranked.frame, ranked.total
+    ranked = ranged_ids(
+        keyed, TXN_ORDER, "transaction_id", f"{scratch}/txn_ranked", start=start["transactions"], tiebreak=["_tag"]
+    )
+    txn, total = ranked.frame, ranked.total
     _step(wh, batch_id, "transactions")
     wh.write("transactions", txn, batch_id)
     after["transactions"] = start["transactions"] + total
@@ -305,7 +293,6 @@ def load_batch(
     )
     wh.write("baskets", lines, batch_id)
     pairs.unpersist()
-    txn.unpersist()
 
     _step(wh, batch_id, "commit")
     if commit:

@@ -42,11 +42,13 @@ def main() -> None:
     lines = D.lookup_product_flavour(lines, wh.read("products"), wh.read("flavours"), 64, 7)
     sections.append(("Baskets: explode the id-stamped transactions, broadcast product/flavour ids", lines))
 
+    from tillstar.session import work_dir
+
     valid = staging.valid_rows(spark.read.parquet(f"{wh.scratch_dirs[1]}/staged"))
     cand = D.customer_candidates(D.distinct_customers(valid), wh.read("stores"), 25)
     known = wh.read("customers").where(F.col("customer_id") % 2 == 0)  # half of them known already
     sections.append(("New customers: probe the dimension with the batch's broadcast candidates",
-                     D.new_customers(None, None, known, 0, cand=cand, cand_rows=3000)))
+                     D.new_customers(None, None, known, work_dir(spark, "newcust"), 0, cand=cand, cand_rows=3000)))
 
     from tillstar.plans.load import TXN_ORDER
     from tillstar.operators.keys import _asc
@@ -61,7 +63,6 @@ def main() -> None:
     sections.append(("Range join (equi-join on level and bucket)", catalog.q_range_join(spark, sf)))
     sections.append(("IN-list pushed into the Parquet scan", catalog.q_filter_in_list(spark, sf)))
     from tillstar.operators import flat as FL
-    from tillstar.session import work_dir
     from tillstar.sources.feed import local_feed
 
     flat = FL.flat_frame(local_feed(catalog._feed(spark, sf)), work_dir(spark, "plans"))
