@@ -197,6 +197,24 @@ def test_trie_join_finds_every_near_pair(spark):
     assert {tuple(sorted((r.a % 2**64, r.b % 2**64))) for r in got} == want
 
 
+def test_simhash_starting_nodes_bound_a_group():
+    """27 permutations of all bits; what is left below a node bounds its fingerprints."""
+    orders = simhash.bit_orders(2)
+    assert len(orders) == 27
+    assert all(sorted(order) == list(range(64)) and 64 - depth <= 20 for order, depth in orders)
+
+
+def test_simhash_links_of_a_dense_group(spark):
+    """Every fingerprint of a cube of 9 bits: one large group of near copies."""
+    places = [0, 7, 15, 21, 30, 38, 44, 55, 63]
+    prints = [sum(1 << p for k, p in enumerate(places) if v >> k & 1) for v in range(512)]
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    got = simhash.links(spark.createDataFrame(signed, "fp bigint"), 2).collect()
+    mask = (1 << 64) - 1
+    expected = {frozenset((a, b)) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 2}
+    assert {frozenset((r.a & mask, r.b & mask)) for r in got} == expected
+
+
 def test_simhash_edges(spark):
     texts = [(3, "Same Text here now"), (1, "same text HERE now"), (None, "same text here now"), (2, None), (5, ""), (2, None), (9, "one")]
     got = simhash.near_duplicates(docs_of(spark, texts)).collect()

@@ -4,13 +4,14 @@ The 64 bits of distinct fingerprints form a binary trie; the join walks pairs
 of its nodes together, adds up the bits in which their paths differ and drops
 a pair of nodes once that exceeds the error budget.  So that many tasks share
 the walk, it starts below the root: of 3 blocks of bits at least one is equal
-in any two fingerprints that differ in at most 2 bits, and the same again for
-3 sub-blocks of the remaining bits.  Each fingerprint is thus put under 9
-starting nodes (block, sub-block, and their bits, first in the bit order of
-that trie), where the pair's budget is still whole; a task walks the subtrees
-below the nodes it was dealt.  The constant 9 does not depend on the data, and
-below such a node only fingerprints remain that agree in about 35 bits, also
-within a large group of near copies; exact copies are one fingerprint.
+in any two fingerprints that differ in at most 2 bits, the same again for 3
+sub-blocks of the remaining bits, and once more within what then remains.  Each
+fingerprint is thus put under 27 starting nodes (three nested blocks and their
+bits, first in the bit order of that trie), where the pair's budget is still
+whole; a task walks the subtrees below the nodes it was dealt.  The constant 27
+does not depend on the data.  Some 44 bits are settled at such a node, so it
+holds at most 2**20 distinct fingerprints (8 MB) whatever the input, also
+within a group of near copies of any size; exact copies are one fingerprint.
 
 Links of fingerprints are joined to connected components by alternating
 large-star and small-star steps; nothing is collected.
@@ -34,6 +35,7 @@ from tillstar.llm.common import components, map_arrow, written
 
 BITS = 64
 SEED = 42
+LEVELS = 3  # nested blocks that lead to a starting node; bounds its fingerprints by 2 ** (bits left)
 LEAF = 16  # a pair of nodes with at most this many fingerprints each is compared directly
 
 
@@ -69,14 +71,14 @@ def blocks(start: int, stop: int, n: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def bit_orders(budget: int) -> list[tuple[list[int], int]]:
-    """Starting nodes: (bits from the root down, depth of the node) for each block and sub-block."""
-    out = []
-    for a, b in blocks(0, BITS, budget + 1):
-        rest = [i for i in range(BITS) if not a <= i < b]
-        for c, d in blocks(0, len(rest), budget + 1):
-            out.append((list(range(a, b)) + rest[c:d] + rest[:c] + rest[d:], b - a + d - c))
-    return out
+def bit_orders(budget: int, levels: int = LEVELS) -> list[tuple[list[int], int]]:
+    """Starting nodes: (bits from the root down, depth of the node) for each choice of nested blocks."""
+    out: list[tuple[list[int], list[int]]] = [([], list(range(BITS)))]
+    for _ in range(levels):
+        out = [
+            (head + rest[a:b], rest[:a] + rest[b:]) for head, rest in out for a, b in blocks(0, len(rest), budget + 1)
+        ]
+    return [(head + rest, len(head)) for head, rest in out]
 
 
 def permuted(fp: np.ndarray, order: list[int]) -> np.ndarray:
@@ -124,46 +126,48 @@ def walk(keys: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray
 def links(prints: DataFrame, budget: int = 2) -> DataFrame:
     """Links ``(a, b)`` between the distinct fingerprints in column ``fp`` at most ``budget`` bits apart."""
     orders = bit_orders(budget)
+    # a node's name: its bits, then which of the starting nodes it is
+    shift = (len(orders) - 1).bit_length()
+    if shift + max(depth for _, depth in orders) > BITS:
+        raise ValueError(f"budget of {budget} bits needs too many starting nodes")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for t, (order, depth) in enumerate(orders):
-                key = permuted(fp, order)
-                yield {
-                    "t": np.full(len(fp), t, dtype=np.int32),
-                    "node": (key >> np.uint64(BITS - depth)).view(np.int64),
-                    "low": (key << np.uint64(depth) >> np.uint64(1)).view(np.int64),  # not negative: sorts as unsigned
-                    "fp": batch.column(0),
-                }
+                bits = permuted(fp, order) >> np.uint64(BITS - depth)
+                yield {"node": (bits << np.uint64(shift) | np.uint64(t)).view(np.int64), "fp": batch.column(0)}
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         rest = None
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            node, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
             if rest is not None:
-                cols = [np.concatenate(x) for x in zip(rest, cols)]
-            t, node = cols[0], cols[1]
-            cut = np.flatnonzero((t[1:] != t[:-1]) | (node[1:] != node[:-1])) + 1
+                node, fp = np.concatenate((rest[0], node)), np.concatenate((rest[1], fp))
+            cut = np.flatnonzero(node[1:] != node[:-1]) + 1
             last = int(cut[-1]) if len(cut) else 0  # the last node may go on in the next batch
-            rest = [c[last:] for c in cols]
+            rest = node[last:], fp[last:]
             if last:
-                yield from subtrees(t[:last], cut[:-1], cols[3][:last])
+                yield from subtrees(node[:last], cut[:-1], fp[:last])
         if rest is not None:
-            yield from subtrees(rest[0], np.empty(0, dtype=np.int64), rest[3])
-
-    def subtrees(t: np.ndarray, cut: np.ndarray, fp: np.ndarray) -> Iterator[dict]:
-        starts, ends = np.r_[0, cut], np.r_[cut, len(t)]
-        for a, b in zip(starts, ends):
-            if b - a > 1:
-                order, depth = orders[t[a]]
-                for i, j in walk(permuted(fp[a:b].view(np.uint64), order), depth, budget):
-                    if len(i):
-                        yield {"a": fp[a:b][i], "b": fp[a:b][j]}
-
-    dealt = map_arrow(prints.select("fp"), deal, "t int, node bigint, low bigint, fp bigint")
+            yield from subtrees(rest[0], np.empty(0, dtype=np.int64), rest[1])
+
+    def subtrees(node: np.ndarray, cut: np.ndarray, fp: np.ndarray) -> Iterator[dict]:
+        starts, ends = np.r_[0, cut], np.r_[cut, len(node)]
+        several = ends - starts > 1
+        for a, b in zip(starts[several].tolist(), ends[several].tolist()):
+            order, depth = orders[int(node[a]) & ((1 << shift) - 1)]
+            here = fp[a:b].view(np.uint64)
+            keys = permuted(here, order)
+            by_key = np.argsort(keys)
+            keys, mine = keys[by_key], fp[a:b][by_key]
+            for i, j in walk(keys, depth, budget):
+                if len(i):
+                    yield {"a": mine[i], "b": mine[j]}
+
+    dealt = map_arrow(prints.select("fp"), deal, "node bigint, fp bigint")
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "t", "node").sortWithinPartitions("t", "node", "low")
+    dealt = dealt.repartition(n, "node").sortWithinPartitions("node")
     return map_arrow(dealt, join, "a bigint, b bigint").distinct()
 
 
