@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from tillstar.functions import pgtypes as PG
 from tillstar.operators import flat as FL
 from tillstar.operators import rows as R
 from tillstar.plans import staging
-from tillstar.plans.load import Warehouse, load_batch
+from tillstar.plans.claim import Claim, LoadInProgress
+from tillstar.plans.load import BadRowsError, Warehouse, load_batch
 from tillstar.sources import csv as C
 
 
@@ -136,3 +138,61 @@ def test_quarantine_holds_no_card_number_or_name(spark, tmp_dir):
 
 def test_clean_names(spark):
     assert [R.clean_name(n) for n in ("a b", "1x", "_y", "é-z", "", "a_b", "#")] == ["a_b", "f1x", "f_y", "é_z", "", "a_b", "f_"]
+
+
+def _sales(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_two_loads_at_once_are_both_whole(spark, tmp_dir):
+    """The second load waits for the first; ids and batches do not collide."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    wh = Warehouse(spark, f"{tmp_dir}/wh").bootstrap()
+    feeds = [
+        _sales(f"{tmp_dir}/{n}/raw.csv", [f'0{d}-02-2024 09:00:00,{n},Cus {d},"Tea {n} - 1.30",1.30,CASH,' for d in range(1, 6)])
+        for n in ("East", "West")
+    ]
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda p: load_batch(wh, C.read_raw_csv(spark, p), source=p, once=True), feeds))
+    assert sorted(r.batch_id for r in done) == [1, 2]
+    assert sorted(r.transaction_id for r in wh.read("transactions").collect()) == list(range(1, 11))
+    assert wh.read("baskets").count() == 10
+    assert sorted((r.store_id, r.store_name) for r in wh.read("stores").collect()) in (
+        [(1, "East"), (2, "West")], [(1, "West"), (2, "East")],
+    )
+    again = load_batch(wh, C.read_raw_csv(spark, feeds[0]), source=feeds[0], once=True)
+    assert again.skipped and again.batch_id == done[0].batch_id
+    assert not os.path.exists(f"{tmp_dir}/wh/_claim")
+
+
+def test_claims_wait_fail_and_outlive_a_lost_driver(spark, tmp_dir):
+    root = f"{tmp_dir}/wh"
+    Warehouse(spark, root).bootstrap()
+    with Claim(spark, root) as first:
+        with pytest.raises(LoadInProgress):
+            with Claim(spark, root, wait_s=0):
+                pass
+        first.check()
+    with open(f"{root}/_claim", "w") as f:  # what a lost driver leaves
+        f.write("lost")
+    with Claim(spark, root, stale_s=0.5) as second:
+        second.check()
+        with open(f"{root}/_claim", "w") as f:
+            f.write("taken")
+        with pytest.raises(LoadInProgress):
+            second.check()
+    assert open(f"{root}/_claim").read() == "taken"  # only its own claim is released
+
+
+def test_failed_load_drops_its_scratch(spark, tmp_dir):
+    wh = Warehouse(spark, f"{tmp_dir}/wh").bootstrap()
+    feed = _sales(f"{tmp_dir}/in/raw.csv", ["short,row"])
+    with pytest.raises(BadRowsError):
+        load_batch(wh, C.read_raw_csv(spark, feed), 1, on_bad_row="fail")
+    left = f"{tmp_dir}/wh/_scratch"
+    assert not os.path.exists(left) or not os.listdir(left)
+    assert not os.path.exists(f"{tmp_dir}/wh/_claim")

@@ -1,8 +1,9 @@
 """Command line: the reference's entry points as Spark jobs.
 
     python -m tillstar bootstrap <warehouse>
-    python -m tillstar load <raw csv path> <warehouse> [--batch-id N] [--fail-on-bad-rows] [--name-only]
+    python -m tillstar load <raw csv path> <warehouse> [--batch-id N] [--again] [--fail-on-bad-rows] [--name-only]
     python -m tillstar stream <inbox> <warehouse> <checkpoint> [--max-files N] [--archive DIR] [--every "1 minute"]
+                              [--fail-on-bad-rows] [--name-only]
     python -m tillstar audit <warehouse> <batch id>
     python -m tillstar flat <header csv path> <out dir>
 
@@ -26,8 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("raw")
     ld.add_argument("warehouse")
     ld.add_argument("--batch-id", type=int)
-    ld.add_argument("--fail-on-bad-rows", action="store_true")
-    ld.add_argument("--name-only", action="store_true", help="reference-mode customer look-up by name")
+    ld.add_argument("--again", action="store_true", help="load files that are unchanged since their last load, too")
     st = sub.add_parser("stream", help="load every new file of an inbox folder")
     st.add_argument("inbox")
     st.add_argument("warehouse")
@@ -35,6 +35,9 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--max-files", type=int)
     st.add_argument("--archive")
     st.add_argument("--every", help="processing-time trigger; default: process what is there and stop")
+    for p in (ld, st):
+        p.add_argument("--fail-on-bad-rows", action="store_true")
+        p.add_argument("--name-only", action="store_true", help="reference-mode customer look-up by name")
     au = sub.add_parser("audit", help="constraint audit of one committed batch")
     au.add_argument("warehouse")
     au.add_argument("batch_id", type=int)
@@ -50,10 +53,14 @@ def main(argv: list[str] | None = None) -> int:
 
     owns_session = SparkSession.getActiveSession() is None
     spark = get_session()
+    rules = {}
+    if args.cmd in ("load", "stream"):
+        rules["on_bad_row"] = "fail" if args.fail_on_bad_rows else "quarantine"
+        rules["customer_lookup"] = "name_only" if args.name_only else "name_store"
     if args.cmd == "bootstrap":
         Warehouse(spark, args.warehouse).bootstrap()
     elif args.cmd == "load":
-        from tillstar.session import path_bytes, size_shuffle
+        from tillstar.session import files_digest, path_bytes, size_shuffle
         from tillstar.sources.csv import read_raw_csv
 
         size_shuffle(spark, path_bytes(spark, args.raw))
@@ -62,9 +69,9 @@ def main(argv: list[str] | None = None) -> int:
             wh,
             read_raw_csv(spark, args.raw),
             args.batch_id,
-            source=args.raw,
-            on_bad_row="fail" if args.fail_on_bad_rows else "quarantine",
-            customer_lookup="name_only" if args.name_only else "name_store",
+            source=f"{args.raw}#{files_digest(spark, args.raw)}",
+            once=not args.again,
+            **rules,
         )
         print(f"batch {res.batch_id}: {'already loaded' if res.skipped else 'committed'}")
     elif args.cmd == "stream":
@@ -73,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         wh = Warehouse(spark, args.warehouse).bootstrap()
         q = ingest(
             spark, args.inbox, wh, args.checkpoint, max_files_per_trigger=args.max_files, archive_dir=args.archive,
-            available_now=args.every is None, processing_time=args.every,
+            available_now=args.every is None, processing_time=args.every, **rules,
         )
         q.awaitTermination()
     elif args.cmd == "audit":

@@ -7,11 +7,14 @@ Layout of a warehouse folder (Parquet, every table partitioned by
     <root>/quarantine                      rejected raw rows, non-personal
     <root>/ledger                          one row per committed batch
     <root>/_scratch/batch=<id>-<nonce>/    materialised staging of a run
+    <root>/_claim                          held by the load that is running
 
 A batch writes its six ``batch_id=N`` partitions (dynamic partition
 overwrite, so a retry replaces only its own partitions) and then its ledger
 row.  Readers see only ledgered batches, which makes the six-table commit
-all-or-nothing without a transactional table format.
+all-or-nothing without a transactional table format.  One load runs at a time
+(``plans.claim``): a second one waits, so it neither takes the same batch id
+nor clears what the first one writes.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 from tillstar.operators import dims as D
 from tillstar.operators.keys import ranged_ids
 from tillstar.plans import staging
+from tillstar.plans.claim import WAIT_S, Claim
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
 from tillstar.session import configure, make_dirs, materialize, remove_dir
 
@@ -70,8 +74,10 @@ class Warehouse:
     def ledger(self) -> DataFrame:
         return self._raw("ledger")
 
-    def committed(self, batch_id: int) -> bool:
-        return self.ledger().where(F.col("batch_id") == batch_id).limit(1).count() > 0
+    def batch_of(self, source: str) -> int | None:
+        """The committed batch of a source, if there is one."""
+        row = self.ledger().where(F.col("source") == source).agg(F.min("batch_id")).first()
+        return row[0]
 
     def next_batch_id(self) -> int:
         return D.max_id(self.ledger(), "batch_id") + 1
@@ -85,14 +91,6 @@ class Warehouse:
         row = led.agg(F.max(F.when(~other, F.lit(1))).alias("_done"), *aggs).first()
         return row["_done"] is not None, {t: int(row[t] or 0) for t in ID_COLUMNS}
 
-    def max_ids(self, exclude: int | None = None) -> dict[str, int]:
-        """Largest id per table over the committed batches (from the ledger)."""
-        led = self.ledger()
-        if exclude is not None:
-            led = led.where(F.col("batch_id") != exclude)
-        row = led.agg(*[F.max(f"max_{c}").alias(t) for t, c in ID_COLUMNS.items()]).first()
-        return {t: int(row[t] or 0) for t in ID_COLUMNS}
-
     def read(
         self, table: str, also: int | None = None, exclude: int | None = None, batches: list[int] | None = None
     ) -> DataFrame:
@@ -195,17 +193,47 @@ def load_batch(
     salt: str | None = None,
     commit: bool = True,
     keep_scratch: bool = False,
+    once: bool = False,
+    wait_s: float = WAIT_S,
 ) -> LoadResult:
     """Load one raw feed (7 text columns) as batch ``batch_id``.
 
     A batch already in the ledger is skipped, so a replay changes nothing; a
-    batch that failed before its ledger row is simply run again.
+    batch that failed before its ledger row is simply run again.  With
+    ``once`` a ``source`` already in the ledger is skipped too.
     ``commit=False`` stops before the ledger row (what a crash there leaves).
     After the commit the run's scratch folder is dropped (the staging tables
-    of the reference) unless ``keep_scratch``.
+    of the reference) unless ``keep_scratch``; a load that fails drops it too.
+    A load that finds another one running waits up to ``wait_s`` seconds.
     """
-    if batch_id is None:
-        batch_id = wh.next_batch_id()
+    with Claim(wh.spark, wh.root, wait_s) as claim:
+        if once and (known := wh.batch_of(source)) is not None:
+            return LoadResult(known, skipped=True)
+        if batch_id is None:
+            batch_id = wh.next_batch_id()
+        try:
+            return _load(wh, raw, batch_id, source, on_bad_row, customer_lookup, salt, commit, keep_scratch, claim)
+        except BaseException:
+            wh.staged_transactions.pop(batch_id, None)
+            if batch_id in wh.scratch_dirs:
+                remove_dir(wh.spark, wh.scratch_dirs.pop(batch_id))
+            raise
+        finally:
+            wh.spark.sparkContext.setJobDescription(None)
+
+
+def _load(
+    wh: Warehouse,
+    raw: DataFrame,
+    batch_id: int,
+    source: str,
+    on_bad_row: str,
+    customer_lookup: str,
+    salt: str | None,
+    commit: bool,
+    keep_scratch: bool,
+    claim: Claim,
+) -> LoadResult:
     done, start = wh.state(batch_id)
     if done:
         return LoadResult(batch_id, skipped=True)
@@ -296,12 +324,12 @@ def load_batch(
 
     _step(wh, batch_id, "commit")
     if commit:
+        claim.check()
         wh.commit(batch_id, source, after)
         if not keep_scratch:
             wh.staged_transactions.pop(batch_id, None)
             wh.scratch_dirs.pop(batch_id, None)
             remove_dir(wh.spark, scratch)
-    wh.spark.sparkContext.setJobDescription(None)
     return LoadResult(batch_id)
 
 

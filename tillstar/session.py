@@ -8,10 +8,13 @@ setting is absent (local tests), never a machine-local temp folder otherwise.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the engine relies on.  They are applied to sessions we
@@ -110,6 +113,63 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def _file(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless it is there (then False)."""
+    fs, p = _file(spark, path)
+    if fs.getScheme() == "file":  # the JVM's local file system checks and creates in two steps
+        try:
+            with open(p.toUri().getPath(), "x") as f:
+                f.write(text)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError:
+        if fs.exists(p):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    """(text, modification time) of a small file, None where it is absent."""
+    fs, p = _file(spark, path)
+    try:
+        when = int(fs.getFileStatus(p).getModificationTime())
+        stream = fs.open(p)
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        return text, when
+    except Py4JJavaError:
+        if fs.exists(p):
+            raise
+        return None
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Set a file's modification time to now."""
+    fs, p = _file(spark, path)
+    fs.setTimes(p, int(time.time() * 1000), -1)
+
+
+def files_digest(spark: SparkSession, path: str) -> str:
+    """A digest of names, lengths and modification times of a file or of a folder's files."""
+    fs, p = _file(spark, path)
+    found = sorted(
+        (st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p) if st.isFile()
+    )
+    return hashlib.md5(repr(found).encode()).hexdigest()
+
+
 # Target bytes of input per shuffle partition when sizing a batch (fixed value).
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 

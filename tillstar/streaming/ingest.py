@@ -7,8 +7,8 @@ Streaming file source and each micro-batch is loaded with the same
 Exactly-once into the warehouse: the ledger key of a micro-batch is
 (stream name, query id from the checkpoint, micro-batch id).  A micro-batch
 already in the ledger is skipped when Spark re-delivers it after a failure;
-one that failed before its ledger row is run again under the same batch id
-(its partitions are overwritten).  The micro-batch id alone is not used as
+one that failed before its ledger row is run again under the next free batch
+id (what the failed run left there is cleared).  The micro-batch id alone is not used as
 the batch id: it restarts at 0 when a checkpoint is lost and would then
 overwrite older batches.
 """
@@ -61,22 +61,20 @@ def _source_key(name: str, qid: str, epoch: int) -> str:
     return f"{name}:{qid}:{epoch}"
 
 
-def micro_batch_loader(wh: Warehouse, checkpoint: str, name: str = "sales"):
+def micro_batch_loader(wh: Warehouse, checkpoint: str, name: str = "sales", **load_options):
     """The ``foreachBatch`` function: one micro-batch -> one warehouse batch.
 
     A micro-batch whose ledger key is already committed (Spark re-delivers
     the last micro-batch after a failure between our commit and its own) is
     skipped; otherwise it is loaded under the next free batch id.
+    ``load_options``: ``on_bad_row``, ``customer_lookup``, ``salt`` of ``load_batch``.
     """
     qid: list[str] = []  # read once from the checkpoint (stable across restarts)
 
     def load_micro_batch(df: DataFrame, epoch_id: int) -> None:
         if not qid:
             qid.append(_query_id(df.sparkSession, checkpoint))
-        source = _source_key(name, qid[0], epoch_id)
-        if wh.ledger().where(F.col("source") == source).limit(1).count() > 0:
-            return
-        load_batch(wh, df, wh.next_batch_id(), source=source)
+        load_batch(wh, df, source=_source_key(name, qid[0], epoch_id), once=True, **load_options)
 
     return load_micro_batch
 
@@ -91,10 +89,14 @@ def ingest(
     archive_dir: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    **load_options,
 ) -> StreamingQuery:
-    """Start the stream; every micro-batch becomes one warehouse batch."""
+    """Start the stream; every micro-batch becomes one warehouse batch.
+
+    ``load_options``: ``on_bad_row``, ``customer_lookup``, ``salt`` of ``load_batch``.
+    """
     stream = raw_stream(spark, inbox, max_files_per_trigger, archive_dir)
-    load_micro_batch = micro_batch_loader(wh, checkpoint, name)
+    load_micro_batch = micro_batch_loader(wh, checkpoint, name, **load_options)
 
     w = stream.writeStream.foreachBatch(load_micro_batch).option("checkpointLocation", checkpoint)
     if available_now:
