@@ -493,6 +493,21 @@ def test_main_text_without_an_article_tag(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+ATTRIBUTES = [
+    ('style="overflow:hidden"', True), ('href="/hidden-gems.html"', True), ('title="the hidden cost"', True),
+    ('aria-hidden="false"', True), ('href="/p?id=search"', True), ('data-testid="header-text"', True),
+    ("title='a class=\"ad\" b'", True), ("data-hidden", True), ("hidden-x=1", True), ('hidden="until-found"', True),
+    ("href=/p?id=search", True), ('title="x"hidden', False), ("hidden", False), ("HIDDEN=''", False), ("a hidden = hidden b", False),
+    ("class = ad", False), ("CLASS='x ad'", False), ('role="search"', False), ('title="it\'s" id="sidebar"', False),
+]
+
+
+@pytest.mark.parametrize("attrs, kept", ATTRIBUTES)
+def test_attributes_are_compared_by_whole_names(attrs, kept):
+    page = f"<body><div {attrs}><p>one</p></div><p>two <a {attrs}>three</a></p></body>"
+    assert html.main_text(page, []) == ("one\ntwo three" if kept else "two")
+
+
 def test_alignment_makes_optionals_repeats_and_slots():
     page = lambda body: html.skeleton(html.parse(body))
     w = html.merged_node(page("<div><h1>A</h1><p>x</p><p>y</p></div>"), page("<div><h1>A</h1><p>z</p><hr></div>"))

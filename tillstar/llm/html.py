@@ -90,7 +90,8 @@ TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-ATTR = re.compile(r"""(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# An attribute: its whole name, then a double-quoted, single-quoted or bare value.  A quote left open ends with the tag.
+ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""", re.A)
 SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 DEPTH = 200  # elements nested deeper are read as part of the one at this depth
 ALIGN_CELLS = 1 << 20  # longer runs of unlike nodes become one group by label
