@@ -508,6 +508,25 @@ def test_attributes_are_compared_by_whole_names(attrs, kept):
     assert html.main_text(page, []) == ("one\ntwo three" if kept else "two")
 
 
+DEEP = "<html><body><div id=page><article><p>first</p>%s<p>inside</p><nav>menu</nav>%s<p>last</p></article><p>beside</p></div></body></html>"
+
+
+@pytest.mark.parametrize("levels", [190, 250, 5000])
+def test_deep_pages_keep_all_their_text(spark, levels):
+    deep = DEEP % ("<div>" * levels, "</div>" * levels)
+    below = "<body><p>top %d</p>" + "<div>" * levels + "<article><p>deep %d</p><aside>x</aside></article>" + "</div>" * levels + "<p>end %d</p>"
+    rows = [(1, "http://a/1", deep), (2, "http://a/2", deep.replace("last", "final"))]
+    rows += [(3, "http://b/1", below % (1, 1, 1)), (4, "http://b/2", below % (2, 2, 2))]
+    rows += [(5, "http://c/1", "<body>" + "<font><span>" * levels + "<div><p>one</p><form>x</form></div><p>two")]
+    got = rows_by(html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id")
+    assert [got[i].text for i in range(1, 6)] == ["first\ninside\nlast", "first\ninside\nfinal", "deep 1", "deep 2", "one\ntwo"]
+
+
+def test_wrappers_are_read_back_as_written():
+    w = html.merged_node(*(html.skeleton(html.parse(PAGE % (i, i))) for i in range(2)))
+    assert html.loaded(html.dumped(w)) == w
+
+
 def test_alignment_makes_optionals_repeats_and_slots():
     page = lambda body: html.skeleton(html.parse(body))
     w = html.merged_node(page("<div><h1>A</h1><p>x</p><p>y</p></div>"), page("<div><h1>A</h1><p>z</p><hr></div>"))

@@ -22,14 +22,15 @@
 A null html has the text ''; a null url is a host of its own kind; repeated
 rows are read each; an empty table gives no rows; other columns are ignored.
 Broken markup (open tags at the end, stray ends, cut tags) never fails: what is
-open at the end is closed there.
+open at the end is closed there.  Elements may nest to any depth.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pandas as pd
@@ -93,7 +94,6 @@ TOKEN = re.compile(
 # An attribute: its whole name, then a double-quoted, single-quoted or bare value.  A quote left open ends with the tag.
 ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""", re.A)
 SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
-DEPTH = 200  # elements nested deeper are read as part of the one at this depth
 ALIGN_CELLS = 1 << 20  # longer runs of unlike nodes become one group by label
 KIDS = 512  # so do the children of a wrapper node beyond this number
 
@@ -123,72 +123,123 @@ class Node:
         self.label = tag if not words else tag + "." + ".".join(sorted(low))
 
 
+class Open:
+    """The open elements of a page, with the places of each tag, so that no tag scans the whole of them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.at: dict[str, list[int]] = {"": [0]}  # places by tag, the nearest last
+        self.blocks = [0]  # places of elements that are not inline
+
+    def push(self, node: Node) -> None:
+        if node.tag not in INLINE:
+            self.blocks.append(len(self.nodes))
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, i: int) -> None:
+        """Ends the element at place ``i`` and all inside it."""
+        while len(self.nodes) > i:
+            tag = self.nodes.pop().tag
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
+    def nearest(self, tag: str) -> int:
+        """The place of the nearest open element of a tag, 0 where there is none."""
+        places = self.at.get(tag)
+        return places[-1] if places else 0
+
+    def end(self, tag: str) -> bool:
+        """An end tag; whether it ended an element (an inline end never closes a block)."""
+        i = self.nearest(tag)
+        if i and (tag not in INLINE or i > self.blocks[-1]):
+            self.close(i)
+            return True
+        return False
+
+    def imply_ends(self, tag: str) -> None:
+        """Close what the start of a block closes: an open paragraph, list item, cell, ..."""
+        if tag not in CLOSES:
+            if self.nodes[self.blocks[-1]].tag == "p":
+                self.close(self.blocks[-1])
+            return
+        ends, limits = CLOSES[tag]
+        while i := max(map(self.nearest, ends | limits | {"p"})):
+            near = self.nodes[i].tag
+            if near in limits:
+                break
+            self.close(i)
+            if near in ends:
+                break
+
+
 def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("")
-    stack = [root]
+    stack = Open(root)
     at, raw = 0, None
     for m in TOKEN.finditer(html):
         if m.start() < at:  # inside raw text that was skipped
             continue
         if m.start() > at:
-            stack[-1].parts.append(html[at : m.start()])
+            stack.nodes[-1].parts.append(html[at : m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if not tag:
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break  # an inline end never closes a block
-            else:
-                if tag == "p":
-                    stack[-1].parts.append(Node("p"))
+            if not stack.end(tag) and tag == "p":
+                stack.nodes[-1].parts.append(Node("p"))
             continue
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
         if tag not in INLINE and tag not in VOID:
-            _imply_ends(stack, tag)
+            stack.imply_ends(tag)
         node = Node(tag, attrs)
-        stack[-1].parts.append(node)
+        stack.nodes[-1].parts.append(node)
         if tag in VOID:
             continue
         if tag in RAW:
             raw = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
             at = raw.end() if raw else len(html)
             continue
-        if len(stack) < DEPTH:
-            stack.append(node)
+        stack.push(node)
     if at < len(html):
-        stack[-1].parts.append(html[at:])
+        stack.nodes[-1].parts.append(html[at:])
     return root
 
 
-def _imply_ends(stack: list[Node], tag: str) -> None:
-    """Close what the start of a block closes: an open paragraph, list item, cell, ..."""
-    ends, limits = CLOSES.get(tag, (set(), set()))
-    for i in range(len(stack) - 1, 0, -1):
-        t = stack[i].tag
-        if t in limits:
-            break
-        if t in ends or t == "p":
-            del stack[i:]
-            if not ends or t in ends:
-                break
-        elif t not in INLINE and not ends:
-            break
-
-
 # --- wrappers -----------------------------------------------------------------
 # A wrapper node is [label, marks, chars, children]: marks of "?" (optional), "+"
 # (repeated), "f" (furniture).  A text is ["#", hash or None for a slot, chars, []].
 
 
+# Pages nest to any depth, so steps that go down a tree are generators: each yields
+# the steps below it and is sent their results by ``done``, which keeps them on a list.
+
+
+def done(step: Generator) -> list:
+    """The result of a step and of all steps it yields."""
+    steps, value = [step], None
+    while steps:
+        try:
+            below = steps[-1].send(value)
+        except StopIteration as end:
+            steps.pop()
+            value = end.value
+        else:
+            steps.append(below)
+            value = None
+    return value
+
+
 def skeleton(node: Node) -> list:
     """The wrapper of one page: its tree with texts as hashes, repeats folded."""
+    return done(_skeleton(node))
+
+
+def _skeleton(node: Node) -> Generator:
     kids = []
     for part in node.parts:
         if isinstance(part, str):
@@ -196,15 +247,15 @@ def skeleton(node: Node) -> list:
             if text:
                 kids.append(["#", f"{xxhash.xxh64_intdigest(text.encode('utf-8', 'surrogatepass')):x}", len(text), []])
         elif part.tag not in RAW:
-            kids.append(skeleton(part))
-    return [node.label, "f" if node.furniture else "", 0, fold(kids)]
+            kids.append((yield _skeleton(part)))
+    return [node.label, "f" if node.furniture else "", 0, (yield _fold(kids))]
 
 
 def joined_text(a: list, b: list) -> list:
     return ["#", a[1] if a[1] == b[1] else None, a[2] + b[2], []]
 
 
-def fold(kids: list) -> list:
+def _fold(kids: list) -> Generator:
     """Neighbours that repeat (runs of one to three labels) as one repeated group."""
     for period in (1, 2, 3):
         out: list = []
@@ -215,7 +266,7 @@ def fold(kids: list) -> list:
                 for n in range(period):
                     a = out[len(out) - period + n]
                     b = kids[i + n]
-                    out[len(out) - period + n] = merged_node(a, b, repeated=True)
+                    out[len(out) - period + n] = yield _merged(a, b, repeated=True)
                 i += period
             else:
                 out.append(kids[i])
@@ -226,10 +277,14 @@ def fold(kids: list) -> list:
 
 def merged_node(a: list, b: list, repeated: bool = False) -> list:
     """Two nodes of one label as one that matches both."""
+    return done(_merged(a, b, repeated))
+
+
+def _merged(a: list, b: list, repeated: bool = False) -> Generator:
     if a[0] == "#":
         return joined_text(a, b)
     marks = "".join(m for m in "?+f" if m in a[1] or m in b[1] or (repeated and m == "+"))
-    return [a[0], marks, a[2] + b[2], align(a[3], b[3])]
+    return [a[0], marks, a[2] + b[2], (yield _align(a[3], b[3]))]
 
 
 def optional(node: list) -> list:
@@ -238,7 +293,7 @@ def optional(node: list) -> list:
     return [node[0], node[1] if "?" in node[1] else "?" + node[1], node[2], node[3]]
 
 
-def align(a: list, b: list) -> list:
+def _align(a: list, b: list) -> Generator:
     """Two runs of nodes as one: equal labels in order align, the rest becomes optional."""
     i = 0
     while i < len(a) and i < len(b) and a[i][0] == b[i][0]:
@@ -246,13 +301,16 @@ def align(a: list, b: list) -> list:
     j = 0
     while j < len(a) - i and j < len(b) - i and a[-1 - j][0] == b[-1 - j][0]:
         j += 1
-    head = [merged_node(x, y) for x, y in zip(a[:i], b[:i])]
-    tail = [merged_node(x, y) for x, y in zip(a[len(a) - j :], b[len(b) - j :])]
+    head, tail = [], []
+    for x, y in zip(a[:i], b[:i]):
+        head.append((yield _merged(x, y)))
+    for x, y in zip(a[len(a) - j :], b[len(b) - j :]):
+        tail.append((yield _merged(x, y)))
     x, y = a[i : len(a) - j], b[i : len(b) - j]
     if not x or not y:
-        return fold(head + [optional(n) for n in x + y] + tail)
+        return (yield _fold(head + [optional(n) for n in x + y] + tail))
     if len(x) * len(y) > ALIGN_CELLS:
-        return by_label(head + by_label(x + y) + tail)
+        return (yield _by_label(head + (yield _by_label(x + y)) + tail))
     # longest common subsequence of labels of what differs in the middle
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for p in range(len(x) - 1, -1, -1):
@@ -262,7 +320,7 @@ def align(a: list, b: list) -> list:
     middle = []
     while p < len(x) or q < len(y):
         if p < len(x) and q < len(y) and x[p][0] == y[q][0]:
-            middle.append(merged_node(x[p], y[q]))
+            middle.append((yield _merged(x[p], y[q])))
             p, q = p + 1, q + 1
         elif q == len(y) or p < len(x) and best[p + 1][q] >= best[p][q + 1]:
             middle.append(optional(x[p]))
@@ -270,50 +328,83 @@ def align(a: list, b: list) -> list:
         else:
             middle.append(optional(y[q]))
             q += 1
-    kids = fold(head + middle + tail)
-    return kids if len(kids) <= KIDS else by_label(kids)
+    kids = yield _fold(head + middle + tail)
+    return kids if len(kids) <= KIDS else (yield _by_label(kids))
 
 
-def by_label(kids: list) -> list:
+def _by_label(kids: list) -> Generator:
     """Any number of nodes as one optional repeated node per label."""
     out: dict[str, list] = {}
     for kid in kids:
-        out[kid[0]] = merged_node(out[kid[0]], kid, repeated=True) if kid[0] in out else optional(kid)
+        out[kid[0]] = (yield _merged(out[kid[0]], kid, repeated=True)) if kid[0] in out else optional(kid)
     return list(out.values())
 
 
-def region(wrapper: list) -> list[str]:
-    """Labels from the root to the main content's node ([] for the whole page)."""
-
-    def text(node: list, constant: bool) -> int:
-        if node[0] == "#":
-            return node[2] if constant or node[1] is None else 0
-        return 0 if "f" in node[1] else sum(text(k, constant) for k in node[3])
-
-    alone = not text(wrapper, False)  # one page, or equal ones: nothing tells slots from the template
-
-    def weight(node: list) -> int:
-        """Characters in slots outside of furniture."""
-        return text(node, alone)
+def dumped(wrapper: list) -> str:
+    """A wrapper as JSON: its nodes in order, each with the number of its children."""
+    out, stack = [], [wrapper]
+    while stack:
+        node = stack.pop()
+        out.append([*node[:3], len(node[3])])
+        stack += reversed(node[3])
+    return json.dumps(out, separators=(",", ":"))
+
+
+def loaded(text: str) -> list:
+    """The wrapper of ``dumped``."""
+    top: list = []
+    stack = [(top, 1)]  # children so far and how many there are
+    for label, marks, chars, n in json.loads(text):
+        while len(stack[-1][0]) == stack[-1][1]:
+            stack.pop()
+        node = [label, marks, chars, []]
+        stack[-1][0].append(node)
+        stack.append((node[3], n))
+    return top[0]
 
-    def articles(node: list, path: list[str]) -> Iterator[tuple[int, int, list[str]]]:
-        for kid in node[3]:
-            if kid[0] != "#" and "f" not in kid[1]:
-                here = [*path, kid[0]]
-                if kid[0].partition(".")[0] in ARTICLE:
-                    yield kid[0].startswith("article"), weight(kid), here
-                yield from articles(kid, here)
 
-    named = [x for x in articles(wrapper, []) if x[1]]
+def region(wrapper: list) -> list[str]:
+    """Labels from the root to the main content's node ([] for the whole page)."""
+    # nodes outside of furniture in page order, parents first: (node, its parent's place, depth)
+    order: list[tuple[list, int, int]] = []
+    stack = [(wrapper, -1, 0)]
+    while stack:
+        node, parent, depth = stack.pop()
+        if "f" not in node[1]:
+            stack += [(k, len(order), depth + 1) for k in reversed(node[3]) if k[0] != "#"]
+            order.append((node, parent, depth))
+
+    def weights(constant: bool) -> list[int]:
+        """Characters in slots (and in constant texts, if told so) of each node, furniture left out."""
+        out = [sum(k[2] for k in node[3] if k[0] == "#" and (constant or k[1] is None)) for node, _, _ in order]
+        for i in range(len(order) - 1, 0, -1):
+            out[order[i][1]] += out[i]
+        return out
+
+    weight = weights(False) if order else []
+    if not order or not weight[0]:  # one page, or equal ones: nothing tells slots from the template
+        weight = weights(True)
+
+    def path(i: int) -> list[str]:
+        out = []
+        while i > 0:
+            out.append(order[i][0][0])
+            i = order[i][1]
+        return out[::-1]
+
+    named = [i for i in range(1, len(order)) if order[i][0][0].partition(".")[0] in ARTICLE and weight[i]]
     if named:
-        return max(named, key=lambda x: (x[0], x[1], -len(x[2])))[2]
-    path, node, total = [], wrapper, weight(wrapper)
+        return path(max(named, key=lambda i: (order[i][0][0].startswith("article"), weight[i], -order[i][2])))
+    below: dict[int, list[int]] = defaultdict(list)
+    for i in range(1, len(order)):
+        if order[i][0][0].partition(".")[0] not in INLINE:
+            below[order[i][1]].append(i)
+    at = 0
     while True:
-        kids = [k for k in node[3] if k[0] != "#" and "f" not in k[1] and k[0].partition(".")[0] not in INLINE]
-        best = max(kids, key=weight, default=None)
-        if best is None or "+" in best[1] or best[0] == "p" or 5 * weight(best) < 4 * total:
-            return path
-        node, path = best, [*path, best[0]]
+        best = max(below[at], key=weight.__getitem__, default=None)
+        if best is None or "+" in order[best][0][1] or order[best][0][0] == "p" or 5 * weight[best] < 4 * weight[0]:
+            return path(at)
+        at = best
 
 
 # --- reading a page -------------------------------------------------------------
@@ -388,16 +479,16 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                 page = skeleton(parse(html.as_py() or ""))
                 held[name] = merged_node(held[name], page) if name in held else page
                 if len(held) >= 4096:  # memory bound: what is folded so far goes on to the merge
-                    yield {"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}
+                    yield {"host": list(held), "wrapper": [dumped(w) for w in held.values()]}
                     held = {}
-        yield {"host": list(held), "wrapper": [json.dumps(w) for w in held.values()]}
+        yield {"host": list(held), "wrapper": [dumped(w) for w in held.values()]}
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         out = None
         for text in pdf["wrapper"]:
-            w = json.loads(text)
+            w = loaded(text)
             out = w if out is None else merged_node(out, w)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(out)]})
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [dumped(out)]})
 
     folded = map_arrow(pages.select(host().alias("host"), "html"), run, "host string, wrapper string")
     return folded.groupBy("host").applyInPandas(merge, "host string, wrapper string")
@@ -410,7 +501,7 @@ def regions(wrappers: DataFrame) -> DataFrame:
         for batch in batches:
             yield {
                 "host": batch.column(0),
-                "region": [" ".join(region(json.loads(w))) for w in batch.column(1).to_pylist()],
+                "region": [" ".join(region(loaded(w))) for w in batch.column(1).to_pylist()],
             }
 
     return map_arrow(wrappers.select("host", "wrapper"), run, "host string, region string")
