@@ -5,8 +5,12 @@ returns a DataFrame.  Each stage's result is written as Parquet to the shared
 folder and read back as the next one's input.  All but the last return the
 columns of ``documents``.
 
+Decisions are made by row: rows with a null doc_id or one shared with other texts
+stand for documents of their own.
+
 1. language: documents without a language (no letters) or whose best language
-   scores below ``MIN_LANGUAGE_SCORE`` go.
+   scores below ``MIN_LANGUAGE_SCORE`` go; where no row has a label to learn from,
+   only those without letters.
 2. near duplicates: of each SimHash component the document with the smallest
    doc_id stays (one of them, where rows repeat).
 3. decontamination: documents contaminated by the benchmark go.
@@ -16,7 +20,7 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import decontaminate, langid, packing, secrets, simhash
@@ -26,34 +30,34 @@ from tillstar.llm.queries import tokenizer_path
 MIN_LANGUAGE_SCORE = 0.05
 
 
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``bad (doc_id, h)``, the fields of ``row_key``."""
+    bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("h").alias("_bad_h"))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_h")), "left_anti")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents of a recognised language; rows of one doc_id are judged by their best row."""
+    """Keeps documents of a recognised language, or with letters where no row has a label."""
     model = langid.fit(docs)
-    pred = langid.predict(docs, model)
-    bad = pred.groupBy("doc_id").agg(
-        F.max(F.when(F.col("lang_pred") == "und", -1.0).otherwise(F.col("score"))).alias("best")
-    ).filter(F.col("best") < MIN_LANGUAGE_SCORE)
-    bad = written(bad.select(F.col("doc_id").alias("_bad_id")), "language-rejected")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
+    pred = langid.predict(docs, model, with_key=True)
+    good = F.col("letters") if model is None else F.col("letters") & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    # equal rows may differ in the last bits of their scores: the best counts
+    bad = pred.groupBy("doc_id", "h").agg(F.max(good).alias("good")).filter("not good").drop("good")
+    return without(docs, written(bad, "language-rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component: a row with its smallest doc_id."""
-    groups = simhash.near_duplicates(docs, shingle=3, budget=2)
-    # one key for the join and for the window, so that texts are dealt out once
-    key = F.coalesce("doc_id", F.lit(-(2**63))).alias("_key")
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    rows = docs.select("*", key).join(written(kept, "pipeline-kept"), "_key", "left_semi")
-    # rows that share a doc_id (never in the tables): one of them, the first by its text
-    order = Window.partitionBy("_key").orderBy(F.col("text").asc_nulls_last())
-    return rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*docs.columns)
+    """Keeps one row of each component: one with its smallest doc_id."""
+    # written with a number for each row, so that rows alike in all columns are told apart
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-numbered")
+    kept = written(simhash.representatives(rows, "_row", shingle=3, budget=2), "pipeline-kept")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with at least a twentieth of their words in benchmark windows."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = written(found.filter("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct(), "contaminated")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), with_key=True)
+    return without(docs, written(found.filter("contaminated").select("doc_id", "h").distinct(), "contaminated"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

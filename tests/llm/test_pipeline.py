@@ -73,3 +73,23 @@ def test_stages_on_odd_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         state = stage(spark, state, SF)
         assert state.count() == 0
+
+
+def test_rows_without_an_id_of_their_own_are_judged_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    item = max((r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if r.text), key=lambda t: len(t.split()))
+    plain = ["the quiet river ran past old mills", "seven grey geese crossed a frozen field", "bakers rise early in every town"]
+    rows = [(i, t, lang, None, None) for i in (None, 9) for t, lang in [(plain[0], "en"), (plain[1], None), (plain[2], None), (item, None)]]
+    rows += [(None, "12 34", "en", None, None), (9, "-- 5", None, None, None), (None, plain[1], None, "again", None)]
+    texts = lambda df: sorted((r.doc_id is None, r.text) for r in df.collect())
+    state = spark.createDataFrame(rows, docs.schema).repartition(3)
+    lettered = sorted((r[0] is None, r[1]) for r in rows if r[1] not in ("12 34", "-- 5"))
+    assert texts(corpus_pipeline.language(spark, state, SF)) == lettered
+    unlabelled = state.withColumn("lang", F.lit(None).cast("string"))
+    assert texts(corpus_pipeline.language(spark, unlabelled, SF)) == lettered
+    clean = [t for t in lettered if t[1] != item]
+    assert texts(corpus_pipeline.decontamination(spark, state.filter("text like '%a%' or text like '%e%'"), SF)) == clean
+    # copies under a null id give way to those with one; without any id, one row of each text stays
+    assert texts(corpus_pipeline.near_duplicates(spark, state.filter("text rlike '[a-z]'"), SF)) == sorted((False, t) for t in [*plain, item])
+    none = state.filter("doc_id is null and text rlike '[a-z]'")
+    assert texts(corpus_pipeline.near_duplicates(spark, none.union(none), SF)) == sorted((True, t) for t in [*plain, item])

@@ -169,10 +169,15 @@ def _judged(ids: list, texts: pa.Array, hashes: WordHash, index: Index) -> list[
     return rows
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """A row per document of ``docs (doc_id, text)`` against ``benchmark (item_id, text)``."""
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, with_key: bool = False
+) -> DataFrame:
+    """A row per document of ``docs (doc_id, text)`` against ``benchmark (item_id, text)``.
+
+    ``with_key`` adds ``h``, the text's hash in ``row_key``.
+    """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     items = benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id is not null and text is not null")
     n_bytes = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id") + 64)).first()[0] or 0
     if n_bytes <= broadcast_bytes:
@@ -182,14 +187,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
             hashes = WordHash()
             index = Index([(i, words_of(t)) for i, t in sent.value], hashes)
             for batch in batches:
-                yield _columns(_judged(batch.column(0).to_pylist(), batch.column(1), hashes, index))
+                rows = _judged(batch.column(0).to_pylist(), batch.column(1), hashes, index)
+                yield _columns(rows) | ({"h": batch.column(2)} if with_key else {})
 
-        return map_arrow(docs, run, SCHEMA)
-    return _joined(docs, items)
+        return map_arrow(docs if with_key else docs.drop("h"), run, SCHEMA + (", h bigint" if with_key else ""))
+    found = _joined(docs, items)
+    return found if with_key else found.drop("h")
 
 
 def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The way for a benchmark of any size: join fingerprints, then compare candidates."""
+    """The way for a benchmark of any size: join fingerprints, then compare candidates (``h`` is passed on)."""
     # lengths of short items that occur (1 .. WINDOW - 1, a bounded list)
     short = sorted(
         r.n
@@ -236,6 +243,6 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
             for doc, text, mine in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 index = Index([(i["item_id"], words_of(i["text"])) for i in mine.as_py() or []], hashes)
                 rows += _judged([doc], [text], hashes, index)
-            yield _columns(rows)
+            yield _columns(rows) | {"h": batch.column(3)}
 
-    return map_arrow(keyed.join(shared, "k", "left").select("doc_id", "text", "items"), run, SCHEMA)
+    return map_arrow(keyed.join(shared, "k", "left").select("doc_id", "text", "items", "h"), run, SCHEMA + ", h bigint")

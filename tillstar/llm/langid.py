@@ -132,10 +132,10 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
     return train(rows, landmarks)
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+def predict(docs: DataFrame, model: Model | None, with_key: bool = False) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row of ``docs (doc_id, text)``.
 
-    The model (a few MB: landmarks are bounded by parameter) is sent to the tasks.
+    ``with_key`` adds ``h``, the text's hash in ``row_key``, and ``letters``, whether the text has any.  The model (a few MB: landmarks are bounded by parameter) is sent to the tasks.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -152,9 +152,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     for i, row in zip(known, s):
                         j = int(row.argmax())
                         pred[i], score[i] = m.languages[j], float(min(1.0, max(0.0, row[j])))
-                yield {"doc_id": part.column(0).to_pylist(), "lang_pred": pred, "score": score}
+                cols = {"doc_id": part.column(0).to_pylist(), "lang_pred": pred, "score": score}
+                if with_key:
+                    cols |= {"h": part.column(2), "letters": [f is not None for f in flags]}
+                yield cols
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, lang_pred string, score double")
+    schema = "doc_id bigint, lang_pred string, score double" + (", h bigint, letters boolean" if with_key else "")
+    return map_arrow(docs.select("doc_id", "text", *[F.xxhash64("text").alias("h")] * with_key), run, schema)
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

@@ -54,15 +54,21 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of ``docs (doc_id, text)``; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` of ``docs (doc_id, text)``; ``fp`` holds the 64 bits as a signed long.
+
+    ``keep``: further columns (long) to pass on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield {"doc_id": batch.column(0), "fp": np.array(fps, dtype=np.uint64).view(np.int64)}
+            kept = {name: batch.column(2 + i) for i, name in enumerate(keep)}
+            yield {"doc_id": batch.column(0), "fp": np.array(fps, dtype=np.uint64).view(np.int64)} | kept
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, fp bigint")
+    return map_arrow(
+        docs.select("doc_id", "text", *keep), run, "doc_id bigint, fp bigint" + "".join(f", {name} bigint" for name in keep)
+    )
 
 
 def blocks(start: int, stop: int, n: int) -> list[tuple[int, int]]:
@@ -183,3 +189,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataF
     return prints.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, row: str, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """The value of ``row`` (a long that no two rows share) of one row of each component.
+
+    It is the row with the smallest doc_id (null after all others), then the smallest text hash, then the smallest ``row``.
+    """
+    hashed = docs.select("doc_id", "text", F.col(row).alias("row"), F.xxhash64("text").alias("h"))
+    prints = written(fingerprints(hashed, shingle, ("row", "h")), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "row")
+    first = written(prints.groupBy("fp").agg(F.min(order).alias("first")), "simhash-first")
+    member = components(links(first, budget), "simhash-cc").withColumnRenamed("node", "fp")
+    rooted = first.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
