@@ -71,7 +71,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids, with the ids."""
-    return packing.pack(docs, tokenizer_path(), with_ids=True)
+    return packing.pack(docs, tokenizer_path(), with_ids=True, added=True)
 
 
 STAGES = [

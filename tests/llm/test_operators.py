@@ -65,6 +65,33 @@ def test_cached_ids_equal_the_reference_tokenizer(reference_tokenizer):
         assert np.frombuffer(enc.ids(text), dtype="<u4").tolist() == want, repr(text)
 
 
+def test_added_tokens_in_texts_get_their_own_ids(spark, monkeypatch):
+    plain = Tokenizer.from_file(PATH)
+    ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids
+    assert ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    mark, rng = "<|endoftext|>", random.Random(5)
+    texts = [*ODD, mark, f"a {mark} b", f"a{mark}b", f"x  {mark}\n{mark} y", "word " * 300 + mark + " more" * 300, "z" * 2500 + mark]
+    texts += ["".join(rng.choice(["a", " ", "\n", mark, "<|", "é", " b", "|>"]) for _ in range(40)) for _ in range(200)]
+    for text in texts:
+        got = np.frombuffer(tokens.encoder(PATH, True).ids(text or ""), dtype="<u4").tolist()
+        assert got == ids(text), repr(text)
+    tree, text = token_counts.TokenTree("", tokens.encoder(PATH, True)), ""
+    for _ in range(300):
+        at, n, new = rng.randint(0, len(text)), rng.randint(0, 9), rng.choice(["some words ", mark, f" {mark} x", "<|endof", "text|>", " " * 2])
+        tree.edit(at, n, new)
+        text = text[:at] + new + text[at + n :]
+        assert tree.text == text and tree.tokens[1] == len(ids(text))
+    docs = docs_of(spark, texts)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    assert check_packing(queries.op4_sequence_packing(spark, SF).collect(), {i: ids(t) + [1] for i, t in enumerate(texts)}) == 0
+    counts = rows_by(queries.op3_edit_token_counts(spark, SF))
+    assert [counts[i].n_tokens_before for i in range(len(texts))] == [len(ids(t)) for t in texts]
+    import corpus_pipeline
+
+    packed = corpus_pipeline.pack(spark, docs, SF).collect()
+    assert check_packing(packed, {i: ids(t) + [1] for i, t in enumerate(texts)}) == 0
+
+
 def check_packing(rows, want, window=2048):
     """``want``: ids by document, the end id among them."""
     by_doc, by_seq = {}, {}

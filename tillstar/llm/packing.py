@@ -136,16 +136,22 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = 1, with_ids: bool = False
+    docs: DataFrame,
+    tokenizer_path: str,
+    window: int = WINDOW,
+    end_id: int = 1,
+    with_ids: bool = False,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of ``docs (doc_id, text)`` in sequences of at most ``window`` ids.
 
-    ``with_ids`` adds the piece's ids as array column ``token_ids``.
+    ``with_ids`` adds the piece's ids as array column ``token_ids``; with ``added``
+    the vocabulary's added tokens in a text get their own ids.
     """
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, added)
         packer = Packer(window, TaskContext.get().partitionId() << 33)
 
         def flush() -> dict:

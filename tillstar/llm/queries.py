@@ -45,12 +45,12 @@ def sample_edits(docs: DataFrame) -> DataFrame:
 
 def op3_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after edits, encoded anew only around them."""
-    return token_counts.edited_counts(sample_edits(table(spark, sf_dir, "documents")), tokenizer_path())
+    return token_counts.edited_counts(sample_edits(table(spark, sf_dir, "documents")), tokenizer_path(), added=True)
 
 
 def op4_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), added=True)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,14 +125,15 @@ class TokenTree:
         return "".join(self.leaves)
 
 
-def edited_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def edited_counts(docs: DataFrame, tokenizer_path: str, added: bool = False) -> DataFrame:
     """Token counts before and after the edits of ``docs (doc_id, text, edits)``.
 
-    ``edits``: array<struct<start:int, remove:int, insert:string>>.
+    ``edits``: array<struct<start:int, remove:int, insert:string>>.  With ``added`` the
+    vocabulary's added tokens (without white space, so no leaf cuts them) count as one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, added)
         for batch in batches:
             rows = []
             for doc, text, edits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):

@@ -5,6 +5,10 @@ one plain space stands between two characters that are not white space.  Such
 places cut a text into pieces whose ids do not depend on their neighbours, so
 each distinct piece is encoded once per worker.  A text with any other white
 space next to a space is encoded whole.
+
+An added token of the vocabulary file (``<|endoftext|>``) that stands in a text
+is plain text by default; with ``added`` it gets its own id, as from the file's
+tokenizer called with ``add_special_tokens=False`` and nothing else set.
 """
 
 from __future__ import annotations
@@ -45,10 +49,11 @@ LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 class Encoder(dict):
     """``ids(text)``: little-endian unsigned 32-bit ids, one after the other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         super().__init__()
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = not added
+        self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()] if added else []
         self.slow.no_truncation()
         self.fast = tiktoken_twin(path)
 
@@ -72,6 +77,8 @@ class Encoder(dict):
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(content in text for content in self.added):
+            return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         pieces = text.split(" ")
         first = pieces.pop(0)
         if not pieces or (first and first[-1].isspace()):
@@ -86,6 +93,6 @@ class Encoder(dict):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary file."""
-    return Encoder(path)
+def encoder(path: str, added: bool = False) -> Encoder:
+    """One encoder per worker process, vocabulary file and reading of added tokens."""
+    return Encoder(path, added)
