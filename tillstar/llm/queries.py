@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, html, langid, packing, secrets, simhash, sketch, suffixes, token_counts, warc
+from tillstar.llm import decontaminate, html, langid, packing, periodic, secrets, simhash, sketch, suffixes, token_counts, warc
 from tillstar.llm.common import table
 
 
@@ -85,6 +87,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def planted_repeat(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of a tenth of the documents (by a checksum of the id), from some word on a repeat of the following ones."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of four periods and six words or more in every document, some with a planted repeat."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), min_periods=4, min_length=6, edit=planted_repeat)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +114,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_warc_archives, op3_edit_token_counts, op4_sequence_packing, op5_secret_scan,
-        op6_simhash_neardup, op7_decontamination, op8_repeated_passages, op9_document_sketches, op10_language_id, pipeline,
+        op6_simhash_neardup, op7_decontamination, op8_repeated_passages, op9_document_sketches, op10_language_id,
+        op13_periodic_runs, pipeline,
     )
 }
