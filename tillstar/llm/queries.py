@@ -7,7 +7,9 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import decontaminate, html, langid, packing, periodic, secrets, simhash, sketch, suffixes, token_counts, warc
+from tillstar.llm import (
+    decontaminate, html, langid, negatives, packing, periodic, secrets, simhash, sketch, suffixes, token_counts, warc,
+)
 from tillstar.llm.common import table
 
 
@@ -87,6 +89,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives of each of five positives of every fiftieth vector."""
+    vec_id, label = F.col("vec_id"), F.col("label").cast("bigint")
+    return negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"),
+        anchor=vec_id % 50 == 0,
+        label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
 def planted_repeat(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Words of a tenth of the documents (by a checksum of the id), from some word on a repeat of the following ones."""
     n = len(words)
@@ -115,6 +127,6 @@ QUERIES = {
     for f in (
         op1_html_extraction, op2_warc_archives, op3_edit_token_counts, op4_sequence_packing, op5_secret_scan,
         op6_simhash_neardup, op7_decontamination, op8_repeated_passages, op9_document_sketches, op10_language_id,
-        op13_periodic_runs, pipeline,
+        op11_hard_negatives, op13_periodic_runs, pipeline,
     )
 }
