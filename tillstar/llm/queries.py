@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    decontaminate, html, langid, negatives, packing, periodic, secrets, simhash, sketch, suffixes, token_counts, warc,
+    decontaminate, html, jaccard, langid, negatives, packing, periodic, secrets, simhash, sketch, suffixes, token_counts, warc,
 )
 from tillstar.llm.common import table
 
@@ -99,6 +99,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their five-word shingles."""
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
 def planted_repeat(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Words of a tenth of the documents (by a checksum of the id), from some word on a repeat of the following ones."""
     n = len(words)
@@ -127,6 +132,6 @@ QUERIES = {
     for f in (
         op1_html_extraction, op2_warc_archives, op3_edit_token_counts, op4_sequence_packing, op5_secret_scan,
         op6_simhash_neardup, op7_decontamination, op8_repeated_passages, op9_document_sketches, op10_language_id,
-        op11_hard_negatives, op13_periodic_runs, pipeline,
+        op11_hard_negatives, op12_jaccard_join, op13_periodic_runs, pipeline,
     )
 }
