@@ -90,6 +90,8 @@ def test_frequent_tokens_and_small_pieces(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FLUSH", 50)
     monkeypatch.setattr(jaccard, "SLOTS", (13, 12, 11))
     monkeypatch.setattr(jaccard, "SET_SLOTS", 4)
+    monkeypatch.setattr(jaccard, "SMALL", 3)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
     rows = corpus(random.Random(7))
     assert joined(spark, rows) == brute(rows)
 
@@ -117,6 +119,7 @@ def test_similar_sets_share_a_signature(odds):
             for t in np.r_[common]:  # a token of both is not of one set alone
                 kinds[int(t)] = max(kinds[int(t)], 1)
             classes.of = lambda ts: np.array([kinds[int(t)] for t in ts], dtype=np.int64)
+            classes.above = lambda border, ts: np.array([kinds[int(t)] > border for t in ts], dtype=np.int64)
             if np.array_equal(x, y):
                 continue
             assert len(np.intersect1d(jaccard.signatures(x, classes, 80), jaccard.signatures(y, classes, 80))), (size, odds)

@@ -22,9 +22,13 @@ first and are not indexed, so most sets have no signature at all.
 
 Candidates of a signature are not expanded into all pairs.  Links only have to
 decide what is connected: first each member is compared with one member that
-comes first in its groups; of groups that are not yet connected the members are compared with the group's first one;
-only then pairs that are still in different components.  Equal sets are one set throughout.
-Each step is a shuffle by signature, set or component; groups are cut into
+comes first in its groups; of groups that are not yet connected the members are compared with the group's first one.
+What is then still in different components is compared as pairs in groups of up to ``SMALL``
+members.  Larger groups that share members form a family (near copies just around the border):
+its members are dealt into blocks by size, and those outside its largest component visit the blocks
+that hold sizes similar to theirs, where one pass over a block's inverted lists counts all common tokens
+of a visitor; only links come out.  Equal sets are one set throughout.
+Each step is a shuffle by signature, set, component or block; groups are cut into
 pieces, and only two tables of a fixed size reach the driver: bit tables of token classes
 and of the sets wanted (``SLOTS``), which may hold a token in too frequent a class, or a set too
 many, but never too few, so results do not depend on them.
@@ -60,6 +64,9 @@ SET_SLOTS = 22
 # Tokens or signatures that a task sorts at a time, and members of a piece of a group (memory bounds only).
 FLUSH = 1 << 22
 PIECE = 1024
+# Members of a group up to which its pairs are compared one by one, and of a block of a family (the plan only).
+SMALL = 32
+BLOCK = 1024
 
 
 def token_set(text: bytes | None, words: WordHash, k: int) -> np.ndarray:
@@ -97,8 +104,8 @@ def bucket_bits(df: DataFrame) -> int:
     return min(max(10, (4 * n - 1).bit_length()), min(SLOTS))
 
 
-def dealt(df: DataFrame, run: Callable, schema: str, merge: Callable, merged: str) -> DataFrame:
-    """``run`` over the rows, whose result has a ``bucket``; then ``merge(bucket, columns of all its rows)``."""
+def merged(rows: DataFrame, merge: Callable, schema: str) -> DataFrame:
+    """``merge(bucket, other columns of all its rows)`` for each ``bucket``, the first column of ``rows``."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         at, held = None, []
@@ -112,9 +119,8 @@ def dealt(df: DataFrame, run: Callable, schema: str, merge: Callable, merged: st
         if held:
             yield from merge(at, list(zip(*held))[1:])
 
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = map_arrow(df.select("doc_id", "text"), run, schema).repartition(n, "bucket").sortWithinPartitions("bucket")
-    return map_arrow(sent, gather, merged)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return map_arrow(rows.repartition(n, "bucket").sortWithinPartitions("bucket"), gather, schema)
 
 
 def by_bucket(values: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
@@ -137,12 +143,17 @@ class Classes:
     def __init__(self, tables: list[np.ndarray]):
         self.tables = tables
 
+    def above(self, border: int, tokens: np.ndarray) -> np.ndarray:
+        """1 for tokens above a border, else 0."""
+        packed = self.tables[border]
+        bits = (8 * len(packed)).bit_length() - 1
+        slot = (tokens >> U64(64 - bits)).astype(np.int64)
+        return packed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+
     def of(self, tokens: np.ndarray) -> np.ndarray:
         out = np.zeros(len(tokens), dtype=np.int64)
-        for packed in self.tables:
-            bits = (8 * len(packed)).bit_length() - 1
-            slot = (tokens >> U64(64 - bits)).astype(np.int64)
-            out += packed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+        for border in range(len(self.tables)):
+            out += self.above(border, tokens)
         return out
 
 
@@ -193,9 +204,8 @@ def token_classes(docs: DataFrame, k: int) -> Classes:
         yield out
 
     # at most one row a bucket, together the bit tables of SLOTS
-    rows = dealt(
-        docs, count, "bucket int, tokens binary, n binary", merge, "bucket int, c0 binary, c1 binary, c2 binary"
-    ).collect()
+    counted = map_arrow(docs.select("doc_id", "text"), count, "bucket int, tokens binary, n binary")
+    rows = merged(counted, merge, "bucket int, c0 binary, c1 binary, c2 binary").collect()
     tables = [np.zeros(1 << (slots - 3), dtype=np.uint8) for slots in SLOTS]
     for row in rows:
         for i, slots in enumerate(SLOTS):
@@ -251,10 +261,10 @@ def signatures(tokens: np.ndarray, classes: Classes, percent: int) -> np.ndarray
     """Signatures of a set, without those that no other set can have."""
     n = len(tokens)
     need = lacking(n, percent) + 1
-    cls = classes.of(tokens)
     # sets of so few tokens are similar to equal ones only; with so many tokens of its own a prefix has no partners
-    if percent * (n + 1) > 100 * n or int((cls == 0).sum()) >= need:
+    if percent * (n + 1) > 100 * n or n - int(classes.above(0, tokens).sum()) >= need:
         return np.empty(0, dtype=U64)
+    cls = classes.of(tokens)
     order = np.argsort(cls, kind="stable")  # tokens are sorted by hash
     tokens, cls = tokens[order], cls[order]
     out = []
@@ -275,33 +285,40 @@ def signatures(tokens: np.ndarray, classes: Classes, percent: int) -> np.ndarray
     return np.unique(np.concatenate(out))
 
 
-def candidate_groups(docs: DataFrame, classes: Classes, k: int, percent: int) -> DataFrame:
-    """Groups ``(gid, refs)`` of two sets or more that share a signature.
+SIGNED = "doc_id bigint, n_shingles bigint, key binary, bucket int, sigs binary, refs binary"
 
-    Groups with equal members are one.  A group of more than ``PIECE`` members is several rows of
-    one gid, each beginning with the group's first member.
-    """
-    bits, flush_at, piece = bucket_bits(docs), FLUSH, PIECE
+
+def signed(docs: DataFrame, classes: Classes, k: int, percent: int) -> DataFrame:
+    """A row ``(doc_id, n_shingles, key)`` for each document, and rows ``(bucket, sigs, refs)`` of signatures and sets."""
+    bits, flush_at = bucket_bits(docs), FLUSH
     shared = docs.sparkSession.sparkContext.broadcast(classes.tables)
+    names = [part.split()[0] for part in SIGNED.split(", ")]
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen, sigs, refs, size = set(), [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        seen, rows, sigs, refs, size = set(), [], [], [], 0
         known = Classes(shared.value)
 
         def flush() -> dict:
             s, r = np.concatenate(sigs), np.concatenate(refs)
             order = np.argsort(s, kind="stable")
             s, r = s[order], r[order]
-            out: dict[str, list] = {"bucket": [], "sigs": [], "refs": []}
-            for bucket, part in by_bucket(s, bits):
-                out["bucket"].append(bucket)
-                out["sigs"].append(following(s[part], bits).tobytes())
-                out["refs"].append(r[part].tobytes())
-            return out
+            return columns(
+                [
+                    (None, None, None, bucket, following(s[part], bits).tobytes(), r[part].tobytes())
+                    for bucket, part in by_bucket(s, bits)
+                ]
+            )
 
-        for _, tokens in sets(batches, k):
-            key = key_of(tokens)
-            if not len(tokens) or key in seen:
+        def columns(rows: list[tuple]) -> dict:
+            return dict(zip(names, zip(*rows)))
+
+        for doc_id, tokens in sets(batches, k):
+            key = key_of(tokens) if len(tokens) else None
+            rows.append((doc_id, len(tokens), key, None, None, None))
+            if len(rows) == 10_000:
+                yield columns(rows)
+                rows = []
+            if key is None or key in seen:
                 continue
             seen.add(key)
             mine = signatures(tokens, known, percent)
@@ -312,9 +329,22 @@ def candidate_groups(docs: DataFrame, classes: Classes, k: int, percent: int) ->
                 if size >= flush_at:
                     yield flush()
                     sigs, refs, size = [], [], 0
+        if rows:
+            yield columns(rows)
         if sigs:
             yield flush()
 
+    return written(map_arrow(docs.select("doc_id", "text"), run, SIGNED), "jaccard-signed")
+
+
+def candidate_groups(rows: DataFrame) -> DataFrame:
+    """Groups ``(gid, refs)`` of two sets or more that share a signature, from the rows of ``signed``.
+
+    Groups with equal members are one.  A group of more than ``PIECE`` members is several rows of
+    one gid, each beginning with the group's first member.
+    """
+    piece = PIECE
+
     def merge(bucket: int, cols: list) -> Iterator[dict]:
         sigs = np.frombuffer(b"".join(cols[0]), dtype=np.uint32)
         refs = np.frombuffer(b"".join(cols[1]), dtype=np.int64)
@@ -336,9 +366,8 @@ def candidate_groups(docs: DataFrame, classes: Classes, k: int, percent: int) ->
             out["refs"].append(np.frombuffer(group, dtype=np.int64))
         yield out
 
-    groups = dealt(
-        docs, sign, "bucket int, sigs binary, refs binary", merge, "large bigint, refs array<bigint>"
-    ).distinct()
+    sent = rows.where("bucket is not null").select("bucket", "sigs", "refs")
+    groups = merged(sent, merge, "large bigint, refs array<bigint>").distinct()
     # ids of small groups are below zero, those of large ones are their signatures
     gid = F.coalesce("large", -1 - F.monotonically_increasing_id())
     return written(groups.select(gid.alias("gid"), "refs"), "jaccard-groups")
@@ -347,8 +376,8 @@ def candidate_groups(docs: DataFrame, classes: Classes, k: int, percent: int) ->
 # --- verification ----------------------------------------------------------------------
 
 
-def wanted_sets(docs: DataFrame, refs: DataFrame, k: int) -> DataFrame:
-    """Whole sets ``(ref, key, tokens)`` of at least those in ``refs (ref)``, each once."""
+def whole_sets(docs: DataFrame, refs: DataFrame, classes: Classes, k: int) -> DataFrame:
+    """Sets ``(ref, key, n, tokens)`` of those in ``refs (ref)`` at least, each once; tokens held by one set alone only count in ``n``."""
     bits, flush_at = SET_SLOTS, FLUSH // 4
     high = bits // 2
     slot = F.shiftrightunsigned("ref", 64 - bits)
@@ -360,83 +389,176 @@ def wanted_sets(docs: DataFrame, refs: DataFrame, k: int) -> DataFrame:
     flags = np.zeros(max(8, 1 << bits), dtype=bool)
     for row in rows:
         flags[row.slots] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(flags))
+    shared = docs.sparkSession.sparkContext.broadcast((np.packbits(flags), classes.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        wanted, seen = np.unpackbits(shared.value).view(bool), set()
-        out: dict[str, list] = {"ref": [], "key": [], "tokens": []}
+        wanted, known, seen = np.unpackbits(shared.value[0]).view(bool), Classes(shared.value[1]), set()
+        out: dict[str, list] = {"ref": [], "key": [], "n": [], "tokens": []}
         size = 0
         for _, tokens in sets(batches, k):
             key = key_of(tokens)
             ref = ref_of(key)
             if len(tokens) and wanted[(ref & (1 << 64) - 1) >> (64 - bits)] and key not in seen:
                 seen.add(key)
-                for name, value in zip(out, (ref, key, tokens.tobytes())):
+                common = tokens[known.above(0, tokens) > 0]
+                for name, value in zip(out, (ref, key, len(tokens), common.tobytes())):
                     out[name].append(value)
-                size += len(tokens)
+                size += len(common)
                 if size >= flush_at:
                     yield out
                     out, size = {name: [] for name in out}, 0
         yield out
 
-    found = map_arrow(docs.select("doc_id", "text"), run, "ref bigint, key binary, tokens binary")
-    return found.dropDuplicates(["ref", "key"])
+    found = map_arrow(docs.select("doc_id", "text"), run, "ref bigint, key binary, n bigint, tokens binary")
+    return written(found.dropDuplicates(["ref", "key"]), "jaccard-sets")
 
 
-def similar(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of ``pairs (a, b)`` of refs whose whole sets are similar: rows ``(a, b)`` of set keys and refs ``(ra, rb)``."""
-    both = pairs.select(F.explode(F.array("a", "b")).alias("ref")).distinct()
-    whole = wanted_sets(docs, both, k)
-    left = whole.select(F.col("ref").alias("a"), F.col("key").alias("ka"), F.col("tokens").alias("ta"))
-    right = whole.select(F.col("ref").alias("b"), F.col("key").alias("kb"), F.col("tokens").alias("tb"))
+LINK = "ra bigint, rb bigint, a binary, b binary"
+
+
+def is_similar(n: int, m, common, percent: int):
+    """Whether sets of ``n`` and ``m`` tokens with so many in common are similar (also for arrays)."""
+    return 100 * common >= percent * (n + m - common)
+
+
+def similar(whole: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Links (refs ``ra``, ``rb`` and set keys ``a``, ``b``): those of ``pairs (a, b)`` of refs whose sets are similar."""
+    side = lambda x: whole.select(F.col("ref").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tokens")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            ra, ka, ta, rb, kb, tb = (batch.column(i).to_pylist() for i in range(6))
+            ra, ka, na, ta, rb, kb, nb, tb = (batch.column(i).to_pylist() for i in range(8))
             keep = []
-            for i, (x, y) in enumerate(zip(ta, tb)):
-                x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    common = len(x) + len(y) - len(np.union1d(x, y))
-                    if 100 * common >= percent * (len(x) + len(y) - common):
+            for i, (n, x, m, y) in enumerate(zip(na, ta, nb, tb)):
+                if is_similar(n, m, min(n, m), percent):
+                    x, y = np.frombuffer(x, dtype=U64), np.frombuffer(y, dtype=U64)
+                    if is_similar(n, m, len(np.intersect1d(x, y, assume_unique=True)), percent):
                         keep.append(i)
             yield {name: [c[i] for i in keep] for name, c in zip(("ra", "rb", "a", "b"), (ra, rb, ka, kb))}
 
-    joined = pairs.join(right, "b").join(left, "a").select("a", "ka", "ta", "b", "kb", "tb")
-    return map_arrow(joined, run, "ra bigint, rb bigint, a binary, b binary")
+    cols = [f"{c}_{x}" if c else x for x in "ab" for c in ("", "key", "n", "tokens")]
+    return map_arrow(pairs.join(side("b"), "b").join(side("a"), "a").select(*cols), run, LINK)
+
+
+MEMBER = "ref bigint, root bigint, key binary, n bigint, tokens binary"
 
 
-def linked(docs: DataFrame, groups: DataFrame, k: int, percent: int) -> DataFrame:
+class Block:
+    """Members of a family with the inverted lists of their tokens."""
+
+    def __init__(self, members: list[tuple]):
+        self.refs, self.roots, self.keys, n, tokens = zip(*members)
+        self.n, self.root_of = np.array(n, dtype=np.int64), np.array(self.roots, dtype=np.int64)
+        tokens = [np.frombuffer(t, dtype=U64) for t in tokens]
+        owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        every = np.concatenate(tokens)
+        order = np.argsort(every, kind="stable")
+        self.owner = owner[order]
+        self.tokens, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+
+    def links(self, root: int, n: int, tokens: np.ndarray, percent: int) -> list[int]:
+        """A similar member of each component but the visitor's own."""
+        tokens = tokens[tokens <= self.tokens[-1]] if len(self.tokens) else tokens[:0]
+        at = np.searchsorted(self.tokens, tokens)
+        at = at[self.tokens[at] == tokens]
+        count = self.count[at]
+        lists = np.repeat(self.first[at] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(int(count.sum()))
+        common = np.bincount(self.owner[lists], minlength=len(self.n))
+        found = np.flatnonzero(is_similar(n, self.n, common, percent) & (self.root_of != root))
+        return found[np.unique(self.root_of[found], return_index=True)[1]].tolist()
+
+
+def family_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links between members ``(family, main, ref, root, key, n, tokens)`` of one family and different ``root``.
+
+    Members outside the family's ``main`` component visit the blocks of similar sizes.
+    """
+    size = BLOCK
+    spark = members.sparkSession
+    cols = ["ref", "root", "key", "n", "tokens"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held: list[tuple] = []
+
+        def block() -> dict:
+            ns = [m["n"] for _, m in held]
+            return {"family": [held[0][0]], "low": [min(ns)], "high": [max(ns)], "members": [[m for _, m in held]]}
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (len(held) == size or held[0][0] != row["family"]):
+                    yield block()
+                    held = []
+                held.append((row["family"], {c: row[c] for c in cols}))
+        if held:
+            yield block()
+
+    dealt = members.select("family", *cols).repartitionByRange("family", "n", "ref").sortWithinPartitions("family", "n", "ref")
+    packed = map_arrow(dealt, pack, f"family bigint, low bigint, high bigint, members array<struct<{MEMBER.replace(' ', ':').replace(',:', ', ')}>>")
+    blocks = written(packed.select(F.monotonically_increasing_id().alias("bid"), "*"), "jaccard-blocks")
+    home = blocks.select("bid", "family", "low", "high")
+    visitor = members.where("root <> main").join(home, "family")
+    visitor = visitor.where((F.col("low") * percent <= F.col("n") * 100) & (F.col("n") * percent <= F.col("high") * 100))
+    kind = blocks.schema["members"].dataType
+    hosts = blocks.select("bid", F.lit(0).alias("kind"), *(F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in MEMBER.split(", "))), "members")
+    guests = visitor.select("bid", F.lit(1).alias("kind"), *cols, F.lit(None).cast(kind).alias("members"))
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        block = None
+        for batch in batches:
+            out: dict[str, list] = {"ra": [], "rb": [], "a": [], "b": []}
+            for row in batch.to_pylist():
+                if row["kind"] == 0:
+                    block = Block([tuple(m[c] for c in cols) for m in row["members"]])
+                    continue
+                for i in block.links(row["root"], row["n"], np.frombuffer(row["tokens"], dtype=U64), percent):
+                    for name, value in zip(out, (row["ref"], block.refs[i], row["key"], block.keys[i])):
+                        out[name].append(value)
+            yield out
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stream = hosts.unionByName(guests).repartition(n, "bid").sortWithinPartitions("bid", "kind", "ref")
+    return map_arrow(stream, visit, LINK)
+
+
+def linked(groups: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     """Components ``(node, root)`` of set keys under links between members of the same group."""
     first = F.element_at("refs", 1)
     star = groups.select(first.alias("a"), F.explode(F.expr("slice(refs, 2, size(refs) - 1)")).alias("b"))
     # 1. each member with the smallest of its groups' first members
     pairs = written(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-pairs")
-    links = written(similar(docs, pairs, k, percent), "jaccard-links")
+    links = written(similar(whole, pairs, percent), "jaccard-links")
 
-    def apart(pairs: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(those of ``pairs`` in different components, components of refs)."""
-        comp = written(components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "jaccard-cc"), "jaccard-comp")
-        root = lambda side: comp.select(F.col("node").alias(side), F.col("root").alias(f"r_{side}"))
-        there = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-        return there.where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b"), comp
+    def components_of(links: DataFrame) -> DataFrame:
+        """Components of refs."""
+        return written(components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "jaccard-cc"), "jaccard-comp")
 
     # 2. members with each group's first one, where that is in another component
-    done = pairs
-    pairs, _ = apart(star.distinct(), links)
-    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    links = links.union(written(similar(docs, pairs, k, percent), "jaccard-links"))
-    # 3. all pairs of members in different components, of groups that are not one component yet
-    done = done.union(pairs)
-    _, comp = apart(pairs, links)
+    comp = components_of(links)
+    root = lambda side: comp.select(F.col("node").alias(side), F.col("root").alias(f"r_{side}"))
+    apart = star.distinct().join(root("a"), "a", "left").join(root("b"), "b", "left")
+    apart = apart.where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    apart = written(apart, "jaccard-pairs")
+    links = links.union(written(similar(whole, apart, percent), "jaccard-links"))
+    # 3. members in different components, of groups that are not one component yet
+    comp = components_of(links)
     member = groups.select("gid", F.explode("refs").alias("ref")).distinct()
     member = member.join(comp.withColumnRenamed("node", "ref"), "ref", "left").withColumn("root", F.coalesce("root", "ref"))
-    split = member.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    member = written(member.join(split, "gid", "left_semi"), "jaccard-members")
-    other = member.select("gid", F.col("ref").alias("b"), F.col("root").alias("r_b"))
-    rest = member.withColumnRenamed("ref", "a").join(other, "gid").where("a < b and root <> r_b").select("a", "b").distinct()
-    rest = written(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    links = links.union(written(similar(docs, rest, k, percent), "jaccard-links"))
+    split = member.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"))
+    split = written(split.where("low <> high").select("gid", "m"), "jaccard-split")
+    near = written(member.join(split.where(F.col("m") <= SMALL), "gid", "left_semi"), "jaccard-members")
+    other = near.select("gid", F.col("ref").alias("b"), F.col("root").alias("r_b"))
+    rest = near.withColumnRenamed("ref", "a").join(other, "gid").where("a < b and root <> r_b").select("a", "b").distinct()
+    rest = written(rest.join(pairs.union(apart), ["a", "b"], "left_anti"), "jaccard-pairs")
+    links = links.union(written(similar(whole, rest, percent), "jaccard-links"))
+    # large groups with members in common are a family
+    large = groups.join(split.where(F.col("m") > SMALL), "gid", "left_semi")
+    family = large.select(first.alias("a"), F.explode(F.expr("slice(refs, 2, size(refs) - 1)")).alias("b")).distinct()
+    family = written(components(family, "jaccard-cc"), "jaccard-families").select(F.col("node").alias("ref"), F.col("root").alias("family"))
+    family = family.join(comp.withColumnRenamed("node", "ref"), "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    count = family.groupBy("family", "root").agg(F.count("*").alias("m"))
+    main = count.groupBy("family").agg(F.max(F.struct("m", "root")).alias("x")).select("family", F.col("x.root").alias("main"))
+    links = links.union(written(family_links(family.join(main, "family").join(whole, "ref"), percent), "jaccard-links"))
     return components(links.select("a", "b"), "jaccard-cc")
 
 
@@ -449,19 +571,12 @@ def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     if not 80 <= percent <= 100:  # below, subclasses could set too many tokens of a small set aside
         raise ValueError("percent must be from 80 to 100")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        out: dict[str, list] = {"doc_id": [], "n_shingles": [], "key": []}
-        for doc_id, tokens in sets(batches, k):
-            for name, value in zip(out, (doc_id, len(tokens), key_of(tokens) if len(tokens) else None)):
-                out[name].append(value)
-            if len(out["key"]) == 10_000:
-                yield out
-                out = {name: [] for name in out}
-        yield out
-
-    each = written(map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, n_shingles bigint, key binary"), "jaccard-docs")
-    groups = candidate_groups(docs, token_classes(docs, k), k, percent)
-    comp = linked(docs, groups, k, percent).withColumnRenamed("node", "key")
+    classes = token_classes(docs, k)
+    rows = signed(docs, classes, k, percent)
+    groups = candidate_groups(rows)
+    whole = whole_sets(docs, groups.select(F.explode("refs").alias("ref")).distinct(), classes, k)
+    comp = linked(groups, whole, percent).withColumnRenamed("node", "key")
+    each = rows.where("bucket is null").select("doc_id", "n_shingles", "key")
     first = written(each.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id")), "jaccard-first")
     rooted = first.join(comp, "key", "left").withColumn("root", F.coalesce("root", "key"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
