@@ -44,6 +44,23 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def kept_rows(df: DataFrame, masks: Callable[[Iterator[pa.RecordBatch]], Iterator[list[bool]]]) -> DataFrame:
+    """The rows of ``df`` that ``masks`` (one for each batch, in order) lets pass; read once, nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held.append(batch)
+                yield batch
+
+        for mask in masks(noted()):
+            yield held.pop(0).filter(pa.array(mask, type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 class WordHash(dict):
     """word (bytes) -> 64-bit hash, remembered per worker within a bound."""
 

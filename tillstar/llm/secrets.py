@@ -3,15 +3,17 @@
 Base spans, leftmost and non-overlapping for each kind, are found by the fixed
 patterns.  Weak candidates (short values given to a secret's name, short access
 identifiers, user names, endpoints) are not reported by themselves: an interval
-join on (text, bucket of positions) pairs each with parts of other roles in the
-same paragraph at most ``REACH`` characters away, and a candidate counts only
-when the parts it lacks are there: a secret needs an identifier or endpoint, an
-identifier needs a secret, an endpoint needs both.
+join within their scope, the paragraph, puts each beside the parts of other roles.
+A candidate counts only when the parts it lacks are there, none of which may overlap
+it: a secret needs an identifier or endpoint, an identifier needs a secret, an
+endpoint needs both.  Whether a scope holds a part of a role outside an interval follows
+from the first end and the last start of that role's parts, so the scope's parts are
+aggregated to these before the join, and no pairs arise; neither length nor distance is limited.
 
 Positions come from the lengths of the pieces around matches (`split`) and of
 the matches themselves (`regexp_extract_all`), summed in order, so a text with
-many matches costs no more than its length.  Texts are read once by each of
-the two scans and never shuffled; only matches are.
+many matches costs no more than its length.  Only matches and row keys are
+shuffled; ``redact`` also shuffles the texts that pass the first look, the others stay where they are.
 
 A null text is empty (no spans); repeated rows each get the same result; a null
 doc_id is kept; an empty table gives no rows; other columns are ignored.
@@ -24,27 +26,23 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import row_key, written
 
-REACH = 200
-BUCKET = 256
-
 # Base patterns, fixed values of the operator's contract: (kind, pattern, least length, of group).
 BASE = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2),
     ("access", r"AKIA[A-Z0-9]+", 18, 0),
     ("hex", r"[0-9a-f]{16,}", 16, 0),
 ]
-# Weak candidates: (kind, pattern, least length, most length, of group).
+# Weak candidates: (kind, pattern, least length, of group).
 WEAK = [
-    ("link_secret", BASE[0][1], 8, 11, 2),
-    ("link_access", r"AKIA[A-Z0-9]+", 16, 17, 0),
+    ("link_secret", BASE[0][1], 8, 2),
+    ("link_access", r"AKIA[A-Z0-9]+", 16, 0),
     (
         "link_user",
         r"""(?i)\b(?:user(?:_?name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)""",
         3,
-        64,
         1,
     ),
-    ("link_endpoint", r"""(?i)\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb)://[^\s"'<>]+""", 10, 2048, 0),
+    ("link_endpoint", r"""(?i)\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb)://[^\s"'<>]+""", 10, 0),
 ]
 # What a kind stands for when parts are put together.
 ROLE = {
@@ -75,7 +73,7 @@ def parts(docs: DataFrame) -> DataFrame:
     texts = (
         docs.select(row_key("doc_id", "text").alias("k"), "text").filter(F.col("text").rlike(FIRST_LOOK))
     )
-    scans = [(k, p, g) for k, p, _, g in BASE] + [(k, p, g) for k, p, _, _, g in WEAK if k not in ("link_secret", "link_access")]
+    scans = [(k, p, g) for k, p, _, g in BASE] + [(k, p, g) for k, p, _, g in WEAK if k not in ("link_secret", "link_access")]
     scans.append(("break", r"\n[\x20\t\r]*\n", 0))
     found = texts.select("k", F.explode(F.concat(*[_pieces(*s) for s in scans])).alias("p")).select("k", "p.*")
     # the piece after the last match has no match; repeated rows of one key count once
@@ -88,14 +86,14 @@ def parts(docs: DataFrame) -> DataFrame:
     named = F.when(kind == "break", kind)
     for k, n in least.items():
         named = named.when((kind == k) & (F.col("value") >= n), kind)
-    for k, p, low, high, _ in WEAK:
+    for k, _, low, _ in WEAK:  # a value long enough for a base span is one
         of = {"link_secret": "assign", "link_access": "access"}.get(k, k)
-        named = named.when((kind == of) & F.col("value").between(low, high), F.lit(k))
+        named = named.when((kind == of) & (F.col("value") >= low), F.lit(k))
     return spans.select("k", named.alias("kind"), "start", "end").filter("kind is not null")
 
 
-def linked(spans: DataFrame, reach: int = REACH) -> DataFrame:
-    """The weak candidates of ``spans`` whose complementary parts co-occur."""
+def linked(spans: DataFrame) -> DataFrame:
+    """The weak candidates of ``spans`` whose complementary parts co-occur in their paragraph."""
     para = Window.partitionBy("k").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
     role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
     scoped = (
@@ -103,53 +101,44 @@ def linked(spans: DataFrame, reach: int = REACH) -> DataFrame:
         .filter("kind <> 'break'")
         .withColumn("role", F.element_at(role, F.col("kind")))
     )
-    weak = scoped.filter(F.col("kind").startswith("link_"))
-    bucket = lambda low, high: F.explode(
-        F.sequence(F.floor(low / BUCKET).cast("long"), F.floor(high / BUCKET).cast("long"))
-    )
-    left = weak.withColumn("bucket", bucket(F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach))
-    right = scoped.withColumn("bucket", bucket(F.col("start"), F.col("end"))).select(
-        "k", "scope", "bucket", F.col("role").alias("role2"), F.col("start").alias("s2"), F.col("end").alias("e2")
-    )
-    near = left.join(right, ["k", "scope", "bucket"]).filter(
-        (F.col("role") != F.col("role2")) & (F.col("s2") <= F.col("end") + reach) & (F.col("e2") >= F.col("start") - reach)
+    roles = ("secret", "id", "endpoint")
+    edge = lambda f, r, of: f(F.when(F.col("role") == r, F.col(of)))
+    scopes = scoped.groupBy("k", "scope").agg(
+        *[edge(F.min, r, "end").alias(f"first_{r}") for r in roles], *[edge(F.max, r, "start").alias(f"last_{r}") for r in roles]
     )
-    has = near.groupBy("k", "kind", "role", "start", "end").agg(
-        *[F.max(F.col("role2") == r).alias(f"has_{r}") for r in ("secret", "id", "endpoint")]
-    )
-    return has.filter(
-        "(role = 'secret' and (has_id or has_endpoint)) or (role = 'id' and has_secret) "
-        "or (role = 'endpoint' and has_secret and has_id)"
-    ).select("k", "kind", "start", "end")
+    weak = scoped.filter(F.col("kind").startswith("link_")).join(scopes, ["k", "scope"])
+    has = {
+        r: F.coalesce((F.col(f"first_{r}") <= F.col("start")) | (F.col(f"last_{r}") >= F.col("end")), F.lit(False)) for r in roles
+    }
+    is_a = lambda r: F.col("role") == r
+    complete = (
+        (is_a("secret") & (has["id"] | has["endpoint"])) | (is_a("id") & has["secret"])
+        | (is_a("endpoint") & has["secret"] & has["id"])
+    )
+    return weak.filter(complete).select("k", "kind", "start", "end")
+
 
+EMPTY = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with ``found``: array of (start, rank, kind, end), in order.
+
+def found_in(docs: DataFrame) -> DataFrame:
+    """``(_span_key, _found)``: the spans of each text with any, an array of (start, rank, kind, end), in order.
 
     ``rank`` is the place of the kind in ``ORDER``.
     """
     spans = written(parts(docs), "secret-parts")
     base = spans.filter(F.col("kind").isin([k for k, *_ in BASE]))
     rank = F.create_map(*[F.lit(x) for n, k in enumerate(ORDER) for x in (k, n)])
-    listed = (
-        base.union(linked(spans))
-        .groupBy("k")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct("start", F.element_at(rank, F.col("kind")).alias("rank"), "kind", "end")
-                )
-            ).alias("found")
-        )
-    )
-    listed = written(listed, "secret-spans").select(F.col("k").alias("_span_key"), F.col("found").alias("_found"))
+    one = F.struct("start", F.element_at(rank, F.col("kind")).alias("rank"), "kind", "end")
+    found = base.union(linked(spans)).groupBy("k").agg(F.array_sort(F.collect_list(one)).alias("_found"))
+    return written(found, "secret-spans").withColumnRenamed("k", "_span_key")
+
+
+def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with their spans ``found``; always joined by shuffling, so the plan does not depend on sizes."""
     keyed = docs.withColumn("_span_key", row_key("doc_id", "text"))
-    empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    return (
-        keyed.join(listed, "_span_key", "left")
-        .withColumn("found", F.coalesce("_found", empty))
-        .drop("_span_key", "_found")
-    )
+    joined = keyed.join(found.hint("merge"), "_span_key", "left")
+    return joined.withColumn("found", F.coalesce("_found", F.array().cast(EMPTY))).drop("_span_key", "_found")
 
 
 def listed(found: F.Column) -> F.Column:
@@ -161,7 +150,8 @@ def listed(found: F.Column) -> F.Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """Counts, the base spans' digest and all spans for every row of ``docs (doc_id, text)``."""
-    rows = scan(docs.select("doc_id", "text"))
+    docs = docs.select("doc_id", "text")
+    rows = scan(docs, found_in(docs))
     kinds = [k for k, *_ in BASE]
     of = lambda *ks: F.filter("found", lambda s: s["kind"].isin(list(ks)))
     return rows.select(
@@ -176,7 +166,8 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one); same columns."""
     columns = docs.columns
     name = "_secret_runs"
-    rows = scan(docs)
+    looked = F.coalesce(F.col("text").rlike(FIRST_LOOK), F.lit(False))
+    rows = scan(docs.filter(looked), found_in(docs))
     # merge overlapping spans in order; a fold over a document's own spans
     start = F.array().cast("array<struct<start:bigint,end:bigint>>")
 
@@ -198,4 +189,4 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     )
     tail = F.substring(text, (F.element_at(name, -1)["end"] + 1).cast("int"), F.length(text))
     clean = F.when(F.col(name).isNotNull(), F.concat_ws(mark, F.concat(pieces, F.array(tail)))).otherwise(text)
-    return rows.withColumn("text", clean).select(*columns)
+    return rows.withColumn("text", clean).select(*columns).union(docs.filter(~looked))
