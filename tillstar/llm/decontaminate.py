@@ -10,14 +10,17 @@ are looked up as a whole, by their own length.
 
 The benchmark side is sent to the tasks when its measured size is within
 ``broadcast_bytes``; then documents are read once and nothing is shuffled.
-Beyond it, fingerprints are joined (both sides shuffled by fingerprint, the
-documents' side is what AQE splits) and only documents with a joined
-fingerprint are compared with the items they share one with.  Both ways give
-the same rows.
+Beyond it, documents keep those of their fingerprints that any item has (a semi
+join, so no pairs arise); around them they list their windows, which are looked up word by
+word among the items' windows, and the windows found are united for each document.  A
+common phrase costs each document its own words only; document and item meet as a pair just where
+the item is to be counted for the document.  Both ways give the same rows.
 
 Null and empty texts have no words: zero counts, not contaminated.  Items
-without words never occur.  Repeated rows are judged each on their own; empty
-tables give no rows or no hits.
+without words never occur.  Items with a null item_id count for the words that are hit and
+so for ``contaminated``, but have no place among the items; rows with the same item_id are one item.
+Repeated rows are judged each on their own; very long texts are compared whole; extra columns are not looked
+at; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import KEY, WordHash, grams, map_arrow, row_key, winnow
+from tillstar.llm.common import KEY, WordHash, grams, kept_rows, map_arrow, row_key, winnow, written
 
 WINDOW = 13
 GRAM = 7
@@ -53,7 +56,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Index:
     """Fingerprints of benchmark items, and their words for exact comparison."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], hashes: WordHash):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], hashes: WordHash):
         self.items = [(i, w) for i, w in items if w]
         self.at: dict[int, list[tuple[int, int]]] = defaultdict(list)
         self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
@@ -115,13 +118,18 @@ def judge(words: list[bytes], found: list, short: list, index: Index) -> tuple[l
             if words[p : p + size] == index.items[n][1]:
                 spans.append((p, p + size))
                 items.add(index.items[n][0])
+    return united(spans), items - {None}
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch as one."""
     merged: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
-    return merged, items
+    return merged
 
 
 def _columns(rows: list[tuple]) -> dict:
@@ -169,34 +177,55 @@ def _judged(ids: list, texts: pa.Array, hashes: WordHash, index: Index) -> list[
     return rows
 
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, with_key: bool = False
-) -> DataFrame:
-    """A row per document of ``docs (doc_id, text)`` against ``benchmark (item_id, text)``.
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string"), "text").filter("text is not null")
 
-    ``with_key`` adds ``h``, the text's hash in ``row_key``.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    items = benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id is not null and text is not null")
-    n_bytes = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id") + 64)).first()[0] or 0
-    if n_bytes <= broadcast_bytes:
-        sent = spark.sparkContext.broadcast([(r.item_id, r.text) for r in items.collect()])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            hashes = WordHash()
-            index = Index([(i, words_of(t)) for i, t in sent.value], hashes)
-            for batch in batches:
-                rows = _judged(batch.column(0).to_pylist(), batch.column(1), hashes, index)
-                yield _columns(rows) | ({"h": batch.column(2)} if with_key else {})
+def _sent(docs: DataFrame, items: DataFrame, broadcast_bytes: int):
+    """The items for all tasks, None where they are larger than ``broadcast_bytes``."""
+    size = F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 64
+    if (items.agg(F.sum(size)).first()[0] or 0) > broadcast_bytes:
+        return None
+    return docs.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in items.collect()])
 
-        return map_arrow(docs if with_key else docs.drop("h"), run, SCHEMA + (", h bigint" if with_key else ""))
-    found = _joined(docs, items)
-    return found if with_key else found.drop("h")
+
+def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A row per document of ``docs (doc_id, text)`` against ``benchmark (item_id, text)``."""
+    items = _items(benchmark)
+    sent = _sent(docs, items, broadcast_bytes)
+    if sent is None:
+        return _joined(docs.select("doc_id", "text"), items).drop("h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        hashes = WordHash()
+        index = Index([(i, words_of(t)) for i, t in sent.value], hashes)
+        for batch in batches:
+            yield _columns(_judged(batch.column(0).to_pylist(), batch.column(1), hashes, index))
+
+    return map_arrow(docs.select("doc_id", "text"), run, SCHEMA)
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs`` (all columns) that are not contaminated."""
+    items = _items(benchmark)
+    sent = _sent(docs, items, broadcast_bytes)
+    if sent is None:
+        bad = _joined(docs.select("doc_id", "text"), items).filter("contaminated")
+        bad = bad.select(F.struct("doc_id", "h").alias("_row_key")).distinct()
+        return docs.withColumn("_row_key", row_key()).join(bad.hint("merge"), "_row_key", "left_anti").select(*docs.columns)
+    at = docs.columns.index("text")
+
+    def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bool]]:
+        hashes = WordHash()
+        index = Index([(i, words_of(t)) for i, t in sent.value], hashes)
+        for batch in batches:
+            yield [not c for c in _columns(_judged(range(batch.num_rows), batch.column(at), hashes, index))["contaminated"]]
+
+    return kept_rows(docs, masks)
 
 
 def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The way for a benchmark of any size: join fingerprints, then compare candidates (``h`` is passed on)."""
+    """The way for a benchmark of any size; ``h`` is the text's hash in ``row_key``."""
     # lengths of short items that occur (1 .. WINDOW - 1, a bounded list)
     short = sorted(
         r.n
@@ -210,39 +239,79 @@ def _joined(docs: DataFrame, items: DataFrame) -> DataFrame:
         .collect()
     )
 
+    def places(words: list[bytes], hashes: WordHash, whole: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length of what is looked up, places, their hashes): fingerprints as length 0, short items by their length."""
+        h = hashes.array(words)
+        if not whole or len(h) >= WINDOW:
+            g = grams(h, GRAM)
+            at = winnow(g, WINDOW - GRAM + 1)
+            yield 0, at, g[at].view(np.int64)
+        for n in short:
+            if not whole or len(h) == n:
+                g = grams(h, n)
+                yield n, np.arange(len(g)), g.view(np.int64)
+
     def prints(whole: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             hashes = WordHash()
             for batch in batches:
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    h = hashes.array(words_of(text.as_py()))
-                    parts = []
-                    if not whole or len(h) >= WINDOW:
-                        g = grams(h, GRAM)
-                        parts.append((0, g[winnow(g, WINDOW - GRAM + 1)]))
-                    parts += [(n, grams(h, n)) for n in short if not whole or len(h) == n]
-                    for n, g in parts:
-                        g = np.unique(g).view(np.int64)
+                    for n, _, g in places(words_of(text.as_py()), hashes, whole):
+                        g = np.unique(g)
                         yield {"k": [key] * len(g), "size": [n] * len(g), "print": g}
 
         return run
 
-    keyed = docs.withColumn("k", row_key("doc_id", "text"))
-    of_docs = map_arrow(keyed.select("k", "text"), prints(False), f"k {KEY}, size int, print bigint")
-    of_items = map_arrow(items.select("item_id", "text"), prints(True), "k string, size int, print bigint")
-    of_items = of_items.withColumnRenamed("k", "item_id")
-    pairs = of_docs.join(of_items, ["size", "print"]).select("k", "item_id").distinct()
-    shared = (
-        pairs.join(items, "item_id").groupBy("k").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        """Windows of a document around the fingerprints it shares."""
         hashes = WordHash()
         for batch in batches:
-            rows = []
-            for doc, text, mine in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                index = Index([(i["item_id"], words_of(i["text"])) for i in mine.as_py() or []], hashes)
-                rows += _judged([doc], [text], hashes, index)
-            yield _columns(rows) | {"h": batch.column(3)}
+            for key, text, shared in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                words, wanted, spans = words_of(text.as_py()), {(s["size"], s["print"]) for s in shared}, set()
+                for n, at, g in places(words, hashes, False):
+                    for p, v in zip(at.tolist(), g.tolist()):
+                        if (n, v) in wanted:
+                            first, last = (p, p) if n else (max(0, p - WINDOW + GRAM), min(p, len(words) - WINDOW))
+                            spans.update((s, n or WINDOW) for s in range(first, last + 1))
+                spans = sorted(spans)
+                yield {
+                    "k": [key] * len(spans), "start": [s for s, _ in spans], "size": [n for _, n in spans],
+                    "words": [b" ".join(words[s : s + n]) for s, n in spans],
+                }
+
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = words_of(text.as_py())
+                n = min(WINDOW, len(words))
+                found = sorted({b" ".join(words[s : s + n]) for s in range(len(words) - n + 1)}) if n else []
+                yield {"item_id": [item] * len(found), "words": found}
 
-    return map_arrow(keyed.join(shared, "k", "left").select("doc_id", "text", "items", "h"), run, SCHEMA + ", h bigint")
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            n = [len(words_of(t.as_py())) for t in batch.column(1)]
+            yield {"doc_id": batch.column(0), "h": batch.column(2), "n_words": n}
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            doc, h, n, spans, ids = (c.to_pylist() for c in batch.columns)
+            rows = [
+                (d, w, united([(s["start"], s["start"] + s["size"]) for s in found or []]), set(i or []))
+                for d, w, found, i in zip(doc, n, spans, ids)
+            ]
+            yield _columns(rows) | {"h": h}
+
+    keyed = docs.select(row_key().alias("k"), "text")
+    known = map_arrow(items.select("item_id", "text"), prints(True), "k string, size int, print bigint").drop("k").distinct()
+    mine = map_arrow(keyed, prints(False), f"k {KEY}, size int, print bigint").join(known, ["size", "print"], "left_semi")
+    shared = mine.distinct().groupBy("k").agg(F.collect_list(F.struct("size", "print")).alias("shared"))
+    near = map_arrow(keyed.dropDuplicates(["k"]).join(shared, "k").select("k", "text", "shared"), windows, f"k {KEY}, start int, size int, words binary")
+    near = written(near, "contamination-windows")
+    item_windows = map_arrow(items.select("item_id", "text"), of_items, "item_id string, words binary")
+    spans = near.join(item_windows.select("words").distinct(), "words", "left_semi")
+    spans = spans.groupBy("k").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    ids = near.select("k", "words").distinct().join(item_windows.filter("item_id is not null"), "words")
+    ids = ids.select("k", "item_id").distinct().groupBy("k").agg(F.collect_list("item_id").alias("ids"))
+    each = map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("h")), counts, "doc_id bigint, h bigint, n_words bigint")
+    each = each.withColumn("k", F.struct("doc_id", "h")).join(spans, "k", "left").join(ids, "k", "left")
+    return map_arrow(each.select("doc_id", "h", "n_words", "spans", "ids"), report, SCHEMA + ", h bigint")
