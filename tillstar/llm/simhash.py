@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,15 +192,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataF
     )
 
 
-def representatives(docs: DataFrame, row: str, shingle: int = 3, budget: int = 2) -> DataFrame:
-    """The value of ``row`` (a long that no two rows share) of one row of each component.
+def representatives(docs: DataFrame, row: tuple[str, ...], shingle: int = 3, budget: int = 2) -> DataFrame:
+    """The values of the ``row`` columns (longs that no two rows share) of one row of each component.
 
     It is the row with the smallest doc_id (null after all others), then the smallest text hash, then the smallest ``row``.
     """
-    hashed = docs.select("doc_id", "text", F.col(row).alias("row"), F.xxhash64("text").alias("h"))
-    prints = written(fingerprints(hashed, shingle, ("row", "h")), "simhash-rows")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "row")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), *(F.col(c).alias(f"r{i}") for i, c in enumerate(row)))
+    names = tuple(f"r{i}" for i in range(len(row)))
+    prints = written(fingerprints(hashed, shingle, ("h", *names)), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", *names)
     first = written(prints.groupBy("fp").agg(F.min(order).alias("first")), "simhash-first")
     member = components(links(first, budget), "simhash-cc").withColumnRenamed("node", "fp")
     rooted = first.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    return rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return lowest.select(*(F.col(f"first.r{i}").alias(c) for i, c in enumerate(row)))
+
+
+def deduplicated(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """``docs`` (all columns) with one row of each component: the one ``representatives`` names.
+
+    Rows read from files are known by file and place in it; other rows are written with a number first.  Texts
+    are shuffled once, at every size, for the join with the kept rows' places.
+    """
+    columns = docs.columns
+    try:
+        rows = docs.select(
+            "*", F.xxhash64("_metadata.file_path").alias("_row_file"), F.col("_metadata.row_index").alias("_row_at")
+        )
+    except AnalysisException:  # not read from files
+        rows = docs.withColumn("_row_file", F.lit(0).cast("bigint")).withColumn("_row_at", F.monotonically_increasing_id())
+        rows = written(rows, "simhash-numbered")
+    place = ("_row_file", "_row_at")
+    kept = written(representatives(rows, place, shingle, budget), "simhash-kept")
+    return rows.join(kept.hint("merge"), list(place), "left_semi").select(*columns)
