@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,45 +132,89 @@ def merged(parts: DataFrame, key: str, k: int = K) -> DataFrame:
     return once.groupBy(key).applyInPandas(total, f"`{key}` {kind}, fingerprint string")
 
 
+def _places(keys: list[np.ndarray], bounds: list[tuple[int, int, int]]) -> np.ndarray:
+    """How many of the sorted ``bounds`` are below each row's (i, h, u)."""
+    kind = [("i", "<i8"), ("h", "<i8"), ("u", "<i8")]
+    rows = np.empty(len(keys[0]), dtype=kind)
+    for (name, _), column in zip(kind, keys):
+        rows[name] = column
+    edges = np.array(bounds, dtype=kind)
+    if len({b[0] for b in bounds}) == len(bounds):  # ids alone tell nearly all rows' places
+        low = np.searchsorted(edges["i"], rows["i"], side="left")
+        same = np.flatnonzero(edges["i"][np.minimum(low, max(len(edges) - 1, 0))] == rows["i"]) if len(edges) else []
+        for k in same:
+            low[k] += int(tuple(edges[low[k]]) < tuple(rows[k])) if low[k] < len(edges) else 0
+        return low
+    return np.searchsorted(edges, rows, side="left")
+
+
+def _bounds(keyed: DataFrame, n_ranges: int) -> list[tuple[int, int, int]]:
+    """Sorted cuts of ``keyed (i, h, u)`` into about even ranges, at most two for each of ``n_ranges``.
+
+    A doc_id that is several quantiles is cut by text hash, and a text that is several quantiles
+    of such an id by row, so neither a hot id nor a hot row is one range.
+    """
+    shares = [j / n_ranges for j in range(1, n_ranges)]
+    cuts = [int(x) for x in keyed.approxQuantile("i", shares, 0.1 / n_ranges)]
+    hot = {v: n for v, n in Counter(cuts).items() if n > 1}
+    least = -(2**63)
+    out = {(v, least, least) for v in cuts}
+    if hot:
+        points = F.percentile_approx("h", F.lit(shares), 10 * n_ranges).alias("h")
+        few = keyed.sparkSession.createDataFrame([(v,) for v in hot], "i bigint")
+        for row in keyed.join(F.broadcast(few), "i").groupBy("i").agg(points).collect():  # a row per hot id, at most n_ranges
+            # as many of the text hashes' quantiles as the id has shares of all rows
+            mine = [int(row.h[j * len(row.h) // (hot[row.i] + 1)]) for j in range(1, hot[row.i] + 1)]
+            for h, n in Counter(mine).items():
+                out |= {(row.i, h, least + (j << 64) // n) for j in range(n)}
+            out.add((row.i + 1, least, least) if row.i < 2**63 - 1 else (row.i, 2**63 - 1, 2**63 - 1))
+    return sorted(out)
+
+
 def with_next(docs: DataFrame, n_ranges: int) -> DataFrame:
     """``docs (doc_id, text)`` dealt by ranges of doc_id, in order within each.
 
-    Column ``own`` tells rows of a range (true) from copies of the next
-    range's first document, which follow its last row; so each row's next
-    document is the row after it.  Text is shuffled once.  Range bounds are a
-    handful of quantiles of doc_id and, per range, its smallest id: bounded by
+    Rows with equal doc_id are in order of text hash, equal rows in any order.
+    Column ``own`` tells rows of a range (true) from the copy of the next
+    range's first row, which follows its last one; so each row's next
+    document is the row after it.  Text is shuffled once.  Range bounds are
+    quantiles and, per range, its smallest row: bounded by
     the number of ranges.  The last document's next is the first.  A null
     doc_id comes first.
     """
     lowest = -(2**63)
-    ids = docs.select(F.coalesce("doc_id", F.lit(lowest)).alias("i"))
-    cuts = ids.approxQuantile("i", [j / n_ranges for j in range(1, n_ranges)], 0.1 / n_ranges)
-    bounds = np.array(sorted({int(x) for x in cuts}), dtype=np.int64)
+    rows = docs.select(
+        "doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("i"), F.xxhash64("text").alias("h"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("u"),
+    )
+    bounds = _bounds(rows.select("i", "h", "u"), n_ranges)
 
     @F.pandas_udf("int")
-    def range_of(i: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, i.to_numpy(), side="left").astype(np.int32))
+    def range_of(i: pd.Series, h: pd.Series, u: pd.Series) -> pd.Series:
+        return pd.Series(_places([i.to_numpy(), h.to_numpy(), u.to_numpy()], bounds).astype(np.int32))
 
-    firsts = dict(ids.select("i", range_of("i").alias("r")).groupBy("r").agg(F.min("i")).collect())
-    order = sorted(firsts)
-    first_ids = np.array([firsts[r] for r in order], dtype=np.int64)  # ascending, as the ranges are
-    before = np.roll(np.array(order, dtype=np.int32), 1)  # the range that comes before each
+    first = F.min(F.struct("i", "h", "u")).alias("first")
+    found = rows.select("i", "h", "u", range_of("i", "h", "u").alias("r")).groupBy("r").agg(first).collect()
+    order = sorted(r.r for r in found)
+    before = dict(zip(order, [*order[-1:], *order[:-1]]))  # the range that comes before each
+    firsts = {tuple(r.first): before[r.r] for r in found}
+    first_ids = np.array(sorted({f[0] for f in firsts}), dtype=np.int64)
 
     @F.pandas_udf("array<int>")
-    def targets(i: pd.Series) -> pd.Series:
-        """The row's own range and, for a range's first document, the range before."""
-        i = i.to_numpy()
-        own = np.searchsorted(bounds, i, side="left").tolist()
-        at = np.minimum(np.searchsorted(first_ids, i), max(len(first_ids) - 1, 0))
-        copy = np.where(first_ids[at] == i, before[at], -1).tolist() if len(first_ids) else [-1] * len(i)
-        return pd.Series([[o] if c < 0 else [o, c] for o, c in zip(own, copy)])
-
-    rows = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(lowest)).alias("i"))
-    dealt = rows.select("doc_id", "text", "i", F.posexplode(targets("i")).alias("n", "r")).select(
-        "r", (F.col("n") == 0).alias("own"), "i", "doc_id", "text"
+    def targets(i: pd.Series, h: pd.Series, u: pd.Series) -> pd.Series:
+        """The row's own range and, for a range's first row, the range before."""
+        keys = [i.to_numpy(), h.to_numpy(), u.to_numpy()]
+        out = [[r] for r in _places(keys, bounds).tolist()]
+        for k in np.flatnonzero(np.isin(keys[0], first_ids)).tolist():
+            if (to := firsts.get((int(keys[0][k]), int(keys[1][k]), int(keys[2][k])))) is not None:
+                out[k].append(to)
+        return pd.Series(out)
+
+    dealt = rows.select("doc_id", "text", "i", "h", "u", F.posexplode(targets("i", "h", "u")).alias("n", "r")).select(
+        "r", (F.col("n") == 0).alias("own"), "i", "doc_id", "text", "h", "u"
     )
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "r").sortWithinPartitions("r", F.desc("own"), "i", "text")
+    return dealt.repartition(n, "r").sortWithinPartitions("r", F.desc("own"), "i", "h", "u").drop("h", "u")
 
 
 def edited(text: str, following: str) -> str:
@@ -181,7 +226,7 @@ def edited(text: str, following: str) -> str:
 def edit_report(docs: DataFrame, k: int = K, shingle: int = SHINGLE, ranges_per_partition: int = 4) -> DataFrame:
     """Fingerprints of each text, of its edited form and their likeness (see ``edited``).
 
-    Rows with equal doc_id follow each other in order of text.
+    Rows with equal doc_id follow each other in order of text hash; an empty table gives no rows; extra columns are not looked at.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * ranges_per_partition
     rows = with_next(docs.select("doc_id", "text"), n)
