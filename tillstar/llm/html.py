@@ -13,14 +13,24 @@
    as one wrapper per task.
 3. The wrapper tells the region of a host's main content: the node of article
    kind if there is one, else the deepest node that still holds most of the
-   slots' text outside of page furniture.
-4. Each page's region is read out: furniture inside it (menus, headers, footers,
+   slots' text outside of page furniture.  Inside it, it tells the template from the article:
+   - a node whose class or id is a word that may or may not mean furniture
+     (``UNSURE``) stays where its slots hold running text, outside of links for the most part;
+   - a block, not a heading, that all pages of a host have with the same texts
+     (``MANY`` unlike pages or more) while other texts vary is part of the template and goes.
+4. Each page's region is read out by these rules: furniture inside it (menus, headers, footers,
    sidebars, notices, adverts, forms, comments, scripts, styles) is left out,
    character references are decoded, blocks are joined by line breaks.  A page
-   without its host's region is read as a whole.
+   without its host's region is read by the rules of its own tree.
+
+Of a class or id only whole names count: ``share`` and ``share-buttons`` are furniture words,
+``share-price`` is not.  Ids of headings are anchors and never count.
+Wrappers of a host are merged in a tree of tasks, ``FAN`` at a time.  Runs of unlike nodes of any length are
+aligned by their longest common subsequence.
 
 A null html has the text ''; a null url is a host of its own kind; repeated
-rows are read each; an empty table gives no rows; other columns are ignored.
+rows are read each (a host whose pages are all alike has no slots, so nothing of them is template); texts of any
+length are read whole; an empty table gives no rows; other columns are ignored.
 Broken markup (open tags at the end, stray ends, cut tags) never fails: what is
 open at the end is closed there.  Elements may nest to any depth.
 """
@@ -29,6 +39,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Generator, Iterator
 from html import unescape
@@ -69,15 +80,25 @@ ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu",
     "menubar", "toolbar", "note",
 }
-WORDS = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb",
-    "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "discussion", "disclaimer",
-    "disqus", "feedback", "footer", "form", "gdpr", "header", "legal", "login", "masthead", "menu", "modal", "nav",
-    "navbar", "navigation", "newsletter", "notice", "notices", "notification", "overlay", "pager", "pagination", "popup",
-    "promo", "promoted", "promotion", "related", "recommended", "replies", "reply", "respond", "search", "share",
-    "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "trending",
-    "widget", "widgets",
+# Words that mean furniture, words that may, and words that go with either in a name.
+SURE = {
+    "ad", "ads", "adv", "advert", "advertisement", "advertising", "adverts", "adsense", "banner", "breadcrumb",
+    "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "disqus", "footer",
+    "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notification", "overlay",
+    "pager", "pagination", "popup", "promo", "promoted", "promotion", "sharing", "sidebar", "signup", "social", "sponsor",
+    "sponsored", "subscribe", "toolbar", "topbar",
+}
+UNSURE = {
+    "discussion", "feedback", "form", "header", "legal", "notice", "notices", "recommended", "related", "replies", "reply",
+    "respond", "search", "share", "skip", "trending", "widget", "widgets",
+}
+BESIDE = {
+    "area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "container", "global", "group", "holder", "icons",
+    "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "module", "outer", "page", "panel",
+    "post", "posts", "primary", "right", "row", "secondary", "section", "site", "sticky", "stories", "text", "thread",
+    "top", "unit", "wrap", "wrapper",
 }
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE = {"article", "main"}
 # Of these words, those that tell a teaser or a comment from the article itself.
 NOT_ARTICLE = {"ad", "ads", "advert", "advertisement", "comment", "comments", "promo", "promoted", "recommended", "related", "reply", "sponsored", "trending", "widget"}
@@ -94,33 +115,46 @@ TOKEN = re.compile(
 # An attribute: its whole name, then a double-quoted, single-quoted or bare value.  A quote left open ends with the tag.
 ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""", re.A)
 SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
-ALIGN_CELLS = 1 << 20  # longer runs of unlike nodes become one group by label
-KIDS = 512  # so do the children of a wrapper node beyond this number
+# Characters a page's node of an unsure name holds on average to be running text, with slots to go by and without.
+RUNNING, RUNNING_ALONE = 60, 200
+# Unlike pages of a host from which on texts that never change are taken for its template.
+MANY = 4
+# Wrappers of a host merged by one task at a time, 4 at least (memory bound only).
+FAN = 64
+
+
+def furniture_word(name: str) -> str:
+    """What one class or id name means: "f" (furniture), "m" (it may) or ""."""
+    words = {w.lower() for w in SPLIT.split(name) if w and not w.isdigit()}
+    known = words & (SURE | UNSURE)
+    if not known or words - known - BESIDE:
+        return ""
+    return "f" if known & SURE else "m"
 
 
 class Node:
-    """An element: its label, whether it is furniture or inline, its parts (nodes and texts)."""
+    """An element: its label, whether it is furniture ("f"), may be ("m") or is not, its parts (nodes and texts)."""
 
     __slots__ = ("tag", "label", "parts", "furniture")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.parts = tag, []
-        self.furniture = tag in FURNITURE
+        marks = {"f"} if tag in FURNITURE else set()
         words: list[str] = []
         if attrs:
             for name, a, b, c in ATTR.findall(attrs):
                 name, value = name.lower(), a or b or c
-                if name == "hidden":
-                    self.furniture |= value.lower() != "until-found"
-                elif name == "role":
-                    self.furniture |= value.lower() in ROLES
+                if name == "hidden" and value.lower() != "until-found" or name == "role" and value.lower() in ROLES:
+                    marks.add("f")
                 elif name in ("class", "id"):
                     # digits in names number the elements: not a part of the label
-                    words += [w for w in SPLIT.split(value) if w and not w.isdigit()]
-        low = {w.lower() for w in words}
-        if tag not in ("html", "body", "main"):
-            self.furniture |= not (NOT_ARTICLE if tag == "article" else WORDS).isdisjoint(low)
-        self.label = tag if not words else tag + "." + ".".join(sorted(low))
+                    words += [w.lower() for w in SPLIT.split(value) if w and not w.isdigit()]
+                    if tag not in ("html", "body", "main", "article") and not (name == "id" and tag in HEADINGS):
+                        marks |= set(map(furniture_word, value.split()))
+        if tag == "article" and not NOT_ARTICLE.isdisjoint(words):
+            marks.add("f")
+        self.furniture = "f" if "f" in marks else "m" if "m" in marks else ""
+        self.label = tag if not words else tag + "." + ".".join(sorted(set(words)))
 
 
 class Open:
@@ -178,10 +212,8 @@ def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("")
     stack = Open(root)
-    at, raw = 0, None
-    for m in TOKEN.finditer(html):
-        if m.start() < at:  # inside raw text that was skipped
-            continue
+    at = 0
+    while m := TOKEN.search(html, at):  # from the end of what was read, so nothing begins inside skipped raw text
         if m.start() > at:
             stack.nodes[-1].parts.append(html[at : m.start()])
         at = m.end()
@@ -211,8 +243,11 @@ def parse(html: str) -> Node:
 
 
 # --- wrappers -----------------------------------------------------------------
-# A wrapper node is [label, marks, chars, children]: marks of "?" (optional), "+"
-# (repeated), "f" (furniture).  A text is ["#", hash or None for a slot, chars, []].
+# A wrapper node is [label, marks, chars, children, number]: marks of "?" (optional), "+"
+# (repeated), "f" (furniture), "m" (perhaps furniture), and how many nodes of pages it stands for.
+# A text is ["#", hash or None for a slot, chars, [], number].  The root's first child names up to
+# ``MANY`` unlike pages, as children labelled by their texts' hash.
+PAGES = "!pages"
 
 
 # Pages nest to any depth, so steps that go down a tree are generators: each yields
@@ -245,14 +280,18 @@ def _skeleton(node: Node) -> Generator:
         if isinstance(part, str):
             text = part.strip()
             if text:
-                kids.append(["#", f"{xxhash.xxh64_intdigest(text.encode('utf-8', 'surrogatepass')):x}", len(text), []])
+                kids.append(["#", text_hash(text), len(text), [], 1])
         elif part.tag not in RAW:
             kids.append((yield _skeleton(part)))
-    return [node.label, "f" if node.furniture else "", 0, (yield _fold(kids))]
+    kids = yield _fold(kids)
+    if not node.tag:
+        mine = text_hash(dumped([node.label, "", 0, kids, 1]))
+        kids = [[PAGES, "f", 0, [[mine, "", 0, [], 1]], 1], *kids]
+    return [node.label, node.furniture, 0, kids, 1]
 
 
 def joined_text(a: list, b: list) -> list:
-    return ["#", a[1] if a[1] == b[1] else None, a[2] + b[2], []]
+    return ["#", a[1] if a[1] == b[1] else None, a[2] + b[2], [], a[4] + b[4]]
 
 
 def _fold(kids: list) -> Generator:
@@ -283,14 +322,17 @@ def merged_node(a: list, b: list, repeated: bool = False) -> list:
 def _merged(a: list, b: list, repeated: bool = False) -> Generator:
     if a[0] == "#":
         return joined_text(a, b)
-    marks = "".join(m for m in "?+f" if m in a[1] or m in b[1] or (repeated and m == "+"))
-    return [a[0], marks, a[2] + b[2], (yield _align(a[3], b[3]))]
+    if a[0] == PAGES:
+        unlike = sorted({k[0] for k in a[3] + b[3]})[:MANY]
+        return [PAGES, "f", 0, [[name, "", 0, [], 1] for name in unlike], a[4] + b[4]]
+    marks = "".join(m for m in "?+fm" if m in a[1] or m in b[1] or (repeated and m == "+"))
+    return [a[0], marks, a[2] + b[2], (yield _align(a[3], b[3])), a[4] + b[4]]
 
 
 def optional(node: list) -> list:
     if node[0] == "#":
         return node
-    return [node[0], node[1] if "?" in node[1] else "?" + node[1], node[2], node[3]]
+    return [node[0], node[1] if "?" in node[1] else "?" + node[1], *node[2:]]
 
 
 def _align(a: list, b: list) -> Generator:
@@ -309,35 +351,42 @@ def _align(a: list, b: list) -> Generator:
     x, y = a[i : len(a) - j], b[i : len(b) - j]
     if not x or not y:
         return (yield _fold(head + [optional(n) for n in x + y] + tail))
-    if len(x) * len(y) > ALIGN_CELLS:
-        return (yield _by_label(head + (yield _by_label(x + y)) + tail))
-    # longest common subsequence of labels of what differs in the middle
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for p in range(len(x) - 1, -1, -1):
-        for q in range(len(y) - 1, -1, -1):
-            best[p][q] = best[p + 1][q + 1] + 1 if x[p][0] == y[q][0] else max(best[p + 1][q], best[p][q + 1])
-    p = q = 0
     middle = []
-    while p < len(x) or q < len(y):
-        if p < len(x) and q < len(y) and x[p][0] == y[q][0]:
-            middle.append((yield _merged(x[p], y[q])))
-            p, q = p + 1, q + 1
-        elif q == len(y) or p < len(x) and best[p + 1][q] >= best[p][q + 1]:
-            middle.append(optional(x[p]))
-            p += 1
-        else:
-            middle.append(optional(y[q]))
-            q += 1
-    kids = yield _fold(head + middle + tail)
-    return kids if len(kids) <= KIDS else (yield _by_label(kids))
-
-
-def _by_label(kids: list) -> Generator:
-    """Any number of nodes as one optional repeated node per label."""
-    out: dict[str, list] = {}
-    for kid in kids:
-        out[kid[0]] = (yield _merged(out[kid[0]], kid, repeated=True)) if kid[0] in out else optional(kid)
-    return list(out.values())
+    p = q = 0
+    for i, j in [*common_labels([n[0] for n in x], [n[0] for n in y]), (len(x), len(y))]:
+        middle += [optional(n) for n in x[p:i] + y[q:j]]
+        if i < len(x):
+            middle.append((yield _merged(x[i], y[j])))
+        p, q = i + 1, j + 1
+    return (yield _fold(head + middle + tail))
+
+
+def common_labels(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """Places (in ``x``, in ``y``) of a longest common subsequence.
+
+    For each length the subsequence that ends first in ``y`` is kept; only pairs of equal labels are looked at.
+    """
+    places: dict[str, list[int]] = defaultdict(list)
+    for j in range(len(y) - 1, -1, -1):
+        places[y[j]].append(j)
+    ends: list[int] = []
+    chains: list[tuple] = []  # (place in x, place in y, the chain before)
+    for i, label in enumerate(x):
+        for j in places.get(label, ()):  # from the last, so that a label of x is used once
+            n = bisect_left(ends, j)
+            if n < len(ends) and ends[n] == j:
+                continue
+            chain = (i, j, chains[n - 1] if n else None)
+            if n == len(ends):
+                ends.append(j)
+                chains.append(chain)
+            else:
+                ends[n], chains[n] = j, chain
+    out, chain = [], chains[-1] if chains else None
+    while chain:
+        out.append(chain[:2])
+        chain = chain[2]
+    return out[::-1]
 
 
 def dumped(wrapper: list) -> str:
@@ -345,7 +394,7 @@ def dumped(wrapper: list) -> str:
     out, stack = [], [wrapper]
     while stack:
         node = stack.pop()
-        out.append([*node[:3], len(node[3])])
+        out.append([*node[:3], len(node[3]), node[4]])
         stack += reversed(node[3])
     return json.dumps(out, separators=(",", ":"))
 
@@ -354,15 +403,101 @@ def loaded(text: str) -> list:
     """The wrapper of ``dumped``."""
     top: list = []
     stack = [(top, 1)]  # children so far and how many there are
-    for label, marks, chars, n in json.loads(text):
+    for label, marks, chars, n, number in json.loads(text):
         while len(stack[-1][0]) == stack[-1][1]:
             stack.pop()
-        node = [label, marks, chars, []]
+        node = [label, marks, chars, [], number]
         stack[-1][0].append(node)
         stack.append((node[3], n))
     return top[0]
 
 
+def below(node: list, skip=lambda node: False) -> Iterator[tuple[list, bool]]:
+    """Texts below a wrapper node, each with whether it stands in a link."""
+    stack = [(node, False)]
+    while stack:
+        node, link = stack.pop()
+        if node[0] == "#":
+            yield node, link
+        elif not skip(node):
+            link = link or node[0].partition(".")[0] == "a"
+            stack += [(k, link) for k in reversed(node[3])]
+
+
+def stays(node: list, slots: bool) -> bool:
+    """Whether a node of an unsure name holds running text of the pages."""
+    free = linked = 0
+    for text, link in below(node, lambda n: "f" in n[1]):
+        if not slots or text[1] is None:
+            free, linked = (free, linked + text[2]) if link else (free + text[2], linked)
+    return free > linked and free >= (RUNNING if slots else RUNNING_ALONE) * node[4]
+
+
+TOP = 0  # key of a region's node
+
+
+def key_below(key: int, label: str) -> int:
+    """Key of the nodes of a label under a node."""
+    return xxhash.xxh64_intdigest(label, key)
+
+
+class Rules:
+    """What a wrapper tells of a host's pages.
+
+    ``path``: labels from the root to the main content.  By key of the node (its labels from there on): ``keep``,
+    nodes of an unsure name that stay, and ``constant``, hashes of the texts of template blocks.
+    """
+
+    def __init__(self, path: list[str], keep: set[int], constant: dict[int, set[str]]):
+        self.path, self.keep, self.constant = path, keep, constant
+
+    def dumped(self) -> str:
+        return json.dumps([self.path, sorted(self.keep), {str(k): sorted(v) for k, v in self.constant.items()}])
+
+    @classmethod
+    def loaded(cls, text: str) -> Rules:
+        path, keep, constant = json.loads(text)
+        return cls(path, set(keep), {int(k): set(v) for k, v in constant.items()})
+
+
+def rules(wrapper: list) -> Rules:
+    slots = any(text[1] is None for text, _ in below(wrapper))
+    stack = [wrapper]
+    unsure = set()
+    while stack:
+        node = stack.pop()
+        if "m" in node[1] and "f" not in node[1]:
+            if stays(node, slots):
+                unsure.add(id(node))
+            else:
+                node[1] += "f"
+        stack += [k for k in node[3] if k[0] != "#"]
+    path = region(wrapper)
+    keep, constant = set(), {}
+    # the nodes at the path, and those below them with their keys
+    here = [wrapper]
+    for label in path:
+        here = [k for n in here for k in n[3] if k[0] == label and "f" not in k[1]]
+    varied = any(t[1] is None for n in here for t, _ in below(n, lambda n: "f" in n[1]))
+    many = varied and any(k[0] == PAGES and len(k[3]) >= MANY for k in wrapper[3])
+    walk = [(k, key_below(TOP, k[0]), many) for n in here for k in n[3] if k[0] != "#"]
+    while walk:
+        node, key, always = walk.pop()
+        if "f" in node[1]:
+            continue
+        if id(node) in unsure:
+            keep.add(key)
+        tag = node[0].partition(".")[0]
+        always = always and "?" not in node[1]
+        if always and tag not in INLINE and tag not in HEADINGS:
+            texts = [t for t, _ in below(node)]
+            if texts and all(t[1] is not None and t[4] >= wrapper[4] for t in texts):
+                constant.setdefault(key, set()).update(t[1] for t in texts)
+                continue
+        walk += [(k, key_below(key, k[0]), always) for k in node[3] if k[0] != "#"]
+    return Rules(path, keep, constant)
+
+
 def region(wrapper: list) -> list[str]:
     """Labels from the root to the main content's node ([] for the whole page)."""
     # nodes outside of furniture in page order, parents first: (node, its parent's place, depth)
@@ -395,13 +530,13 @@ def region(wrapper: list) -> list[str]:
     named = [i for i in range(1, len(order)) if order[i][0][0].partition(".")[0] in ARTICLE and weight[i]]
     if named:
         return path(max(named, key=lambda i: (order[i][0][0].startswith("article"), weight[i], -order[i][2])))
-    below: dict[int, list[int]] = defaultdict(list)
+    inside: dict[int, list[int]] = defaultdict(list)
     for i in range(1, len(order)):
         if order[i][0][0].partition(".")[0] not in INLINE:
-            below[order[i][1]].append(i)
+            inside[order[i][1]].append(i)
     at = 0
     while True:
-        best = max(below[at], key=weight.__getitem__, default=None)
+        best = max(inside[at], key=weight.__getitem__, default=None)
         if best is None or "+" in order[best][0][1] or order[best][0][0] == "p" or 5 * weight[best] < 4 * weight[0]:
             return path(at)
         at = best
@@ -414,37 +549,59 @@ def find(node: Node, path: list[str]) -> list[Node]:
     """Nodes at a path of labels, in page order."""
     here = [node]
     for label in path:
-        here = [k for n in here for k in n.parts if not isinstance(k, str) and k.label == label and not k.furniture]
+        here = [k for n in here for k in n.parts if not isinstance(k, str) and k.label == label and k.furniture != "f"]
     return here
 
 
-def blocks(node: Node) -> Iterator[str]:
-    """Texts of the blocks below a node, furniture left out."""
+def text_hash(text: str) -> str:
+    return f"{xxhash.xxh64_intdigest(text.encode('utf-8', 'surrogatepass')):x}"
+
+
+def is_template(node: Node, hashes: set[str]) -> bool:
+    """Whether the node's texts are all among ``hashes``."""
+    stack = [node]
+    while stack:
+        for part in stack.pop().parts:
+            if not isinstance(part, str):
+                if part.tag not in RAW:
+                    stack.append(part)
+            elif (text := part.strip()) and text_hash(text) not in hashes:
+                return False
+    return True
+
+
+def blocks(node: Node, rules: Rules) -> Iterator[str]:
+    """Texts of the blocks below a node, furniture and template left out."""
     line: list[str] = []
     stack: list = [iter(node.parts)]
-    ends: list = [None]
+    ends: list = [(None, TOP)]
     while stack:
         part = next(stack[-1], None)
         if part is None:
             stack.pop()
-            if ends.pop() and line:
+            if ends.pop()[0] and line:
                 yield from _line(line)
                 line = []
-        elif isinstance(part, str):
+            continue
+        if isinstance(part, str):
             line.append(part)
-        elif part.furniture:
+            continue
+        if part.tag == "br":
+            line.append(" ")
+            continue
+        key = key_below(ends[-1][1], part.label)
+        left_out = part.furniture == "f" or part.furniture == "m" and key not in rules.keep
+        if left_out or key in rules.constant and is_template(part, rules.constant[key]):
             if part.tag not in RAW and line:
                 yield from _line(line)
                 line = []
-        elif part.tag == "br":
-            line.append(" ")
         else:
             block = part.tag not in INLINE
             if block and line:
                 yield from _line(line)
                 line = []
             stack.append(iter(part.parts))
-            ends.append(block)
+            ends.append((block, key))
     yield from _line(line)
 
 
@@ -454,14 +611,15 @@ def _line(parts: list[str]) -> Iterator[str]:
         yield text
 
 
-def main_text(html: str | None, path: list[str]) -> str:
+def main_text(html: str | None, of_host: Rules | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    nodes = find(root, path)
+    nodes = find(root, of_host.path) if of_host else []
     if not nodes:  # not of the host's shape: by its own wrapper
-        nodes = find(root, region(skeleton(root))) or [root]
-    return "\n".join(b for n in nodes for b in blocks(n))
+        of_host = rules(skeleton(root))
+        nodes = find(root, of_host.path) or [root]
+    return "\n".join(b for n in nodes for b in blocks(n, of_host))
 
 
 def host() -> Column:
@@ -490,19 +648,22 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             out = w if out is None else merged_node(out, w)
         return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [dumped(out)]})
 
-    folded = map_arrow(pages.select(host().alias("host"), "html"), run, "host string, wrapper string")
-    return folded.groupBy("host").applyInPandas(merge, "host string, wrapper string")
+    kind = "host string, wrapper string"
+    folded = written(map_arrow(pages.select(host().alias("host"), "html"), run, kind), "html-folded")
+    # a host has at most one wrapper a task (and 4,096 hosts): FAN at a time become one, until one task can take them
+    while (most := folded.groupBy("host").count().agg(F.max("count")).first()[0] or 0) > FAN:
+        deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(-(-most // (FAN // 2))))
+        folded = folded.withColumn("deal", deal).groupBy("host", "deal").applyInPandas(merge, kind)
+        folded = written(folded, "html-folded")
+    return folded.groupBy("host").applyInPandas(merge, kind)
 
 
 def regions(wrappers: DataFrame) -> DataFrame:
-    """``(host, region)``: the path of labels to each host's main content."""
+    """``(host, region)``: the ``Rules`` of each host, as text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            yield {
-                "host": batch.column(0),
-                "region": [" ".join(region(loaded(w))) for w in batch.column(1).to_pylist()],
-            }
+            yield {"host": batch.column(0), "region": [rules(loaded(w)).dumped() for w in batch.column(1).to_pylist()]}
 
     return map_arrow(wrappers.select("host", "wrapper"), run, "host string, region string")
 
@@ -517,11 +678,15 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     joined = keyed.join(F.broadcast(found) if size <= broadcast_bytes else found, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        known: dict[str, Rules] = {}
         for batch in batches:
-            texts = [
-                main_text(html.as_py(), (path or "").split())
-                for html, path in zip(batch.column(2), batch.column(3).to_pylist())
-            ]
+            texts = []
+            for html, told in zip(batch.column(2), batch.column(3).to_pylist()):
+                if told is not None and told not in known:
+                    if len(known) >= 4096:  # memory bound only
+                        known.clear()
+                    known[told] = Rules.loaded(told)
+                texts.append(main_text(html.as_py(), known.get(told)))
             yield {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
 
     return map_arrow(
