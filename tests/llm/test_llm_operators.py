@@ -15,6 +15,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -257,9 +258,55 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 2000: 1000}
 
 
+def spans_of(spark, *texts):
+    return [r.spans for r in secrets.report(docs_of(spark, list(texts))).orderBy("doc_id").collect()]
+
+
+def test_linked_parts_have_no_upper_length_and_no_reach(spark):
+    far = "client_id=" + "x" * 72 + " " + "filler text " * 400
+    url = "https://host.example/" + "p" * 4000
+    got = spans_of(
+        spark, "client_id=" + "x" * 72 + " secret=hunter2xy", far + "secret=hunter2xy", far + "\n\nsecret=hunter2xy",
+        f"{url} user=bob1 secret=hunter2xy", "AKIA" + "B" * 12 + " " * 300 + "secret=hunter2xy",
+    )
+    assert got[0] == "link_user:0:82,link_secret:83:99"
+    assert got[1] == f"link_user:0:82,link_secret:{len(far)}:{len(far) + 16}"
+    assert got[2] == ""
+    assert got[3] == f"link_endpoint:0:{len(url)},link_user:{len(url) + 1}:{len(url) + 10},link_secret:{len(url) + 11}:{len(url) + 27}"
+    assert got[4] == "link_access:0:16,link_secret:316:332"
+
+
+def test_a_part_is_not_its_own_complement(spark):
+    got = spans_of(spark, "client_id=0123456789abcdef0123", "client_id=0123456789abcdef0123 or 0123456789abcdef9999")
+    assert got == ["hex:10:30", "link_user:0:30,hex:10:30,hex:34:54"]
+
+
 # --- decontamination --------------------------------------------------------------
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_items_without_or_with_the_same_id(spark, limit):
+    words = [f"w{i}" for i in range(60)]
+    items = [(None, " ".join(words[:20])), (7, " ".join(words[20:40])), (7, " ".join(words[40:])), (None, "solo"), (8, "w1 w2")]
+    texts = [" ".join(words[:20]), " ".join(words[20:]), "solo", "w1 w2 " + "other " * 70, " ".join(words) * 1, None]
+    df = spark.createDataFrame(items, "item_id bigint, text string")
+    got = rows_by(decontaminate.contamination(docs_of(spark, texts), df, limit))
+    assert [(got[i].n_hit, got[i].item_ids, got[i].contaminated) for i in range(6)] == [
+        (20, ["8"], True), (40, ["7"], True), (1, [], True), (2, ["8"], False), (60, ["7", "8"], True), (0, [], False),
+    ]
+    kept = decontaminate.uncontaminated(docs_of(spark, texts), df, limit)
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 5] and kept.columns == docs_of(spark, texts).columns
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_common_phrases_and_long_texts(spark, limit):
+    phrase = [f"p{i}" for i in range(15)]
+    items = [(i, " ".join([f"i{i}x{j}" for j in range(6)] + phrase + [f"i{i}y{j}" for j in range(6)])) for i in range(40)]
+    texts = [" ".join([f"d{d}"] * 5 + phrase) for d in range(30)] + [" ".join(phrase[:12]), " ".join(f"q{i}" for i in range(60000)) + " " + items[3][1]]
+    got = decontaminate.contamination(docs_of(spark, texts), spark.createDataFrame(items, "item_id bigint, text string"), limit).collect()
+    same_contamination(got, brute_contamination(list(enumerate(texts)), items))
+
+
 def same_contamination(got, want):
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == want
 
@@ -399,7 +446,9 @@ def test_repeated_passages_edges(spark):
 
 
 def brute_edits(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    # equal ids are in order of Spark's text hash (a signed long; its seed for a null)
+    h = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64 - 2**63 if t is not None else 42
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h(r[1])))
     out = []
     for n, (d, t) in enumerate(rows):
         t, nxt = t or "", rows[(n + 1) % len(rows)][1] or ""
@@ -426,6 +475,17 @@ def test_edit_report(spark, parts):
     assert [r.edited_sha256 for r in one] == [hashlib.sha256(b"abcdefab").hexdigest()]
 
 
+@pytest.mark.parametrize("hot", [None, 50, "row"])
+def test_a_hot_id_is_many_ranges(spark, hot):
+    rows = [(i, f"text {i} " * 3) for i in range(100)]
+    rows += [(50, "one text for all")] * 200 if hot == "row" else [(hot, f"other text {i} " * 2) for i in range(200)]
+    got = sketch.edit_report(docs_of(spark, rows).repartition(4)).collect()
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=str) == brute_edits(rows)
+    dealt = sketch.with_next(docs_of(spark, rows).select("doc_id", "text").repartition(4), 16)
+    sizes = Counter(r.r for r in dealt.collect())
+    assert sum(sizes.values()) <= len(rows) + len(sizes) and max(sizes.values()) < 75
+
+
 def test_edit_report_query_on_the_table(spark):
     docs = common.table(spark, SF, "documents").select("doc_id", "text").collect()
     got = queries.op9_document_sketches(spark, SF).collect()
@@ -532,7 +592,7 @@ ATTRIBUTES = [
 @pytest.mark.parametrize("attrs, kept", ATTRIBUTES)
 def test_attributes_are_compared_by_whole_names(attrs, kept):
     page = f"<body><div {attrs}><p>one</p></div><p>two <a {attrs}>three</a></p></body>"
-    assert html.main_text(page, []) == ("one\ntwo three" if kept else "two")
+    assert html.main_text(page, html.Rules([], set(), {})) == ("one\ntwo three" if kept else "two")
 
 
 DEEP = "<html><body><div id=page><article><p>first</p>%s<p>inside</p><nav>menu</nav>%s<p>last</p></article><p>beside</p></div></body></html>"
@@ -557,12 +617,87 @@ def test_wrappers_are_read_back_as_written():
 def test_alignment_makes_optionals_repeats_and_slots():
     page = lambda body: html.skeleton(html.parse(body))
     w = html.merged_node(page("<div><h1>A</h1><p>x</p><p>y</p></div>"), page("<div><h1>A</h1><p>z</p><hr></div>"))
-    div = w[3][0]
+    div = w[3][1]
     labels = [(k[0], "".join(sorted(k[1]))) for k in div[3]]
     assert labels == [("h1", ""), ("p", "+"), ("hr", "?")]
     assert div[3][0][3][0][1] is not None and div[3][1][3][0][1] is None
 
 
+def texts_of(spark, pages):
+    rows = [(i, "http://h.example/p", p) for i, p in enumerate(pages)]
+    got = rows_by(html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)), "page_id")
+    return [got[i].text for i in range(len(pages))]
+
+
+WORDS_OF = "river mill goose field baker town early light stone road winter apple letter music garden".split()
+
+
+def prose(seed, n=25):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS_OF) for _ in range(n)) + f" {seed}."
+
+
+def test_nothing_begins_inside_scripts_and_styles(spark):
+    body = '<body><article><script>var a = "<!--";</script><p>Hello %d</p><style>p > a {} /* <div class="ad"> */</style><p>you</p></article><footer>foot</footer>'
+    pages = [body % i for i in range(3)] + ['<p>a</p><textarea><!-- </textarea><p>b</p><script>"<article>"</script>c']
+    assert texts_of(spark, pages) == [f"Hello {i}\nyou" for i in range(3)] + ["a\nb\nc"]
+
+
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_words_in_names_do_not_take_parts_of_the_article(spark, holder):
+    body = (
+        f'<html><body><nav>menu</nav><{holder}><h2 id="related-work">Related %s</h2><p>{{0}}</p><section id="discussion"><h3>Talk</h3><p>{{1}}</p></section>'
+        f'<p class="legal">{{2}}</p><div class="share-price"><p>{{3}}</p></div><div class="elementor-widget"><p>{{4}}</p></div>'
+        f'<div class="related"><ul><li><a href="/1">{{5}}</a></li><li><a href="/2">{{6}}</a></li></ul></div>'
+        f'<div class="comments"><p>{{7}}</p></div><div class="share">Share this</div></{holder}></body></html>'
+    )
+    pages = [(body % i).format(*(prose(10 * i + j) for j in range(8))) for i in range(6)]
+    want = [f"Related {i}\n{prose(10 * i)}\nTalk\n" + "\n".join(prose(10 * i + j) for j in range(1, 5)) for i in range(6)]
+    assert texts_of(spark, pages) == want
+
+
+def test_what_never_changes_on_a_host_is_template(spark):
+    notice = "<div><p>This site moves to a new address in spring.</p></div>"
+    body = "<body><div id=a><div id=b><h1>Report</h1>" + notice + "<p>%s</p><p>%s</p><p>Same words, now and then.</p></div></div><div class=x><p>About us and others</p></div></body>"
+    pages = [body % (prose(i), prose(i + 50)) for i in range(6)]
+    pages[2] = pages[2].replace("<p>Same words, now and then.</p>", "")
+    pages += [pages[0]] * 9  # copies do not make many pages of few
+    pages[4] = pages[4].replace("<p>Same words, now and then.</p>", "<p>Other words.</p>")
+    got = texts_of(spark, pages)
+    assert got[0] == f"Report\n{prose(0)}\n{prose(50)}\nSame words, now and then." and got[2] == f"Report\n{prose(2)}\n{prose(52)}"
+    # with few pages, or pages that are all alike, nothing is known to be template
+    assert "spring" in texts_of(spark, pages[:3])[0] and "spring" in texts_of(spark, [pages[0]] * 6)[0]
+
+
+def test_many_wrappers_of_a_host_merge_in_steps(spark, monkeypatch):
+    pages = [f"<body><div><p>{prose(i)}</p><aside>x</aside></div></body>" for i in range(40)]
+    whole = texts_of(spark, pages)
+    monkeypatch.setattr(html, "FAN", 4)
+    rows = [(i, "http://h.example/p", p) for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(13)
+    got = rows_by(html.extract(df), "page_id")
+    assert [got[i].text for i in range(40)] == whole == [prose(i) for i in range(40)]
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    rng = random.Random(3)
+    for _ in range(300):
+        x, y = ([rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, j in itertools.product(range(len(x)), range(len(y))):
+            best[i + 1][j + 1] = best[i][j] + 1 if x[i] == y[j] else max(best[i][j + 1], best[i + 1][j])
+        got = html.common_labels(x, y)
+        assert len(got) == best[-1][-1] and all(x[i] == y[j] for i, j in got)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(got, got[1:]))
+
+
+def test_long_unlike_pages_align_whole(spark):
+    page = lambda n, skip: "<body><div>" + "".join(f"<p class=c{'xyzw'[i % 4]}{'ab'[i // 3 % 2]}>{prose(i)}</p><hr>" for i in range(n) if i % skip) + "</div></body>"
+    pages = [page(900, 7), page(1100, 5), "<p>" + prose(1, 200000) + "</p>"]
+    got = texts_of(spark, pages)
+    assert [len(t.split("\n")) for t in got] == [p.count("<p") for p in pages] and got[2] == prose(1, 200000)
+
+
 # --- archives ---------------------------------------------------------------------------
 
 

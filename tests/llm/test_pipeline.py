@@ -42,7 +42,6 @@ def test_stages_follow_each_other(spark):
             assert all(after[r.doc_id].text == r.text for r in before if not brute_base(r.text) and "REDACTED" not in after[r.doc_id].text)
         assert set(after) == want, name
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     texts = {r.doc_id: r.text for r in state.collect()}
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == set(texts)

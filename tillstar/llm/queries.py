@@ -69,7 +69,8 @@ def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in an occurrence of a benchmark window."""
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
