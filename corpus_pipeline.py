@@ -16,6 +16,15 @@ stand for documents of their own.
 3. decontamination: documents contaminated by the benchmark go.
 4. secrets: every span found is replaced by a mark; n_chars follows.
 5. packing: the pieces of all kept documents in sequences, with their ids.
+
+The first and third stage judge and pass each row in one reading of the table; the
+second shuffles the texts once, for the join with the kept rows' places; the fourth
+shuffles those texts that a first look finds something in.  Plans do not depend on sizes.
+
+Null and empty texts have no letters and go in the first stage (called alone, the others
+keep them: two such texts are near duplicates, none is contaminated or holds a secret, and each is packed as the
+end mark alone).  Ties are settled by the smallest doc_id, then text hash, then place.  Texts of any length are read whole.
+Empty tables pass through every stage; extra columns, whatever their names, are passed on by all but the last.
 """
 
 from __future__ import annotations
@@ -30,34 +39,19 @@ from tillstar.llm.queries import tokenizer_path
 MIN_LANGUAGE_SCORE = 0.05
 
 
-def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """``docs`` without the rows of ``bad (doc_id, h)``, the fields of ``row_key``."""
-    bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("h").alias("_bad_h"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_h")), "left_anti")
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a recognised language, or with letters where no row has a label."""
-    model = langid.fit(docs)
-    pred = langid.predict(docs, model, with_key=True)
-    good = F.col("letters") if model is None else F.col("letters") & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    # equal rows may differ in the last bits of their scores: the best counts
-    bad = pred.groupBy("doc_id", "h").agg(F.max(good).alias("good")).filter("not good").drop("good")
-    return without(docs, written(bad, "language-rejected"))
+    return langid.recognised(docs, langid.fit(docs), MIN_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each component: one with its smallest doc_id."""
-    # written with a number for each row, so that rows alike in all columns are told apart
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-numbered")
-    kept = written(simhash.representatives(rows, "_row", shingle=3, budget=2), "pipeline-kept")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    return simhash.deduplicated(docs, shingle=3, budget=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with at least a twentieth of their words in benchmark windows."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), with_key=True)
-    return without(docs, written(found.filter("contaminated").select("doc_id", "h").distinct(), "contaminated"))
+    return decontaminate.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
