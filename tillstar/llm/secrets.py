@@ -135,10 +135,10 @@ def found_in(docs: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with their spans ``found``; always joined by shuffling, so the plan does not depend on sizes."""
+    """``docs`` (all columns) with their spans, ``_spans``; always joined by shuffling, so the plan does not depend on sizes."""
     keyed = docs.withColumn("_span_key", row_key("doc_id", "text"))
     joined = keyed.join(found.hint("merge"), "_span_key", "left")
-    return joined.withColumn("found", F.coalesce("_found", F.array().cast(EMPTY))).drop("_span_key", "_found")
+    return joined.withColumn("_spans", F.coalesce("_found", F.array().cast(EMPTY))).drop("_span_key", "_found")
 
 
 def listed(found: F.Column) -> F.Column:
@@ -153,12 +153,12 @@ def report(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = scan(docs, found_in(docs))
     kinds = [k for k, *_ in BASE]
-    of = lambda *ks: F.filter("found", lambda s: s["kind"].isin(list(ks)))
+    of = lambda *ks: F.filter("_spans", lambda s: s["kind"].isin(list(ks)))
     return rows.select(
         "doc_id",
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds],
         F.sha2(listed(of(*kinds)).cast("binary"), 256).alias("base_sha256"),
-        listed(F.col("found")).alias("spans"),
+        listed(F.col("_spans")).alias("spans"),
     )
 
 
@@ -177,7 +177,7 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
         joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
         return F.when((F.size(done) > 0) & (s["start"] < last["end"]), F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(fresh)))
 
-    rows = rows.withColumn(name, F.when(F.size("found") > 0, F.aggregate("found", start, step)))
+    rows = rows.withColumn(name, F.when(F.size("_spans") > 0, F.aggregate("_spans", start, step)))
     text = F.col("text")
     pieces = F.transform(
         name,
