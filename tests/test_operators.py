@@ -114,6 +114,71 @@ def test_range_join_of_any_number_is_an_equi_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+RANGE = "named_struct('lower', lo, 'upper', hi, 'bounds', b) as range"
+
+
+def _both_ways(spark, facts, ranges, pieces=None):
+    """Joined (fact id, range id) by the operator and by a nested loop over the containment test."""
+    got = sorted(map(tuple, range_join(facts, "value", ranges, pieces=pieces).select("fid", "rid").collect()))
+    loop = facts.crossJoin(ranges).where(PG.range_contains("range", "value"))
+    return got, sorted(map(tuple, loop.select("fid", "rid").collect()))
+
+
+def test_range_join_with_nan_infinity_and_hot_values(spark):
+    import random
+
+    rng = random.Random(12)
+    values = [rng.random() * 100 for _ in range(300)] + [50.0] * 400 + [float("nan")] * 5
+    values += [float("inf"), float("-inf"), -0.0, 0.0, None, 5e-324, 1.7e308]
+    f = spark.createDataFrame(list(enumerate(values)), "fid long, value double")
+    ends = [None, 4.0, 50.0, float("inf"), float("-inf"), float("nan"), 0.0]
+    rows = [(lo, hi, b) for lo in ends for hi in ends for b in ("[)", "(]", "()", "[]")]
+    rows += [(x, x + rng.choice([0.0, 0.5, 9.0]), "[]") for x in (rng.random() * 100 for _ in range(300))] + [(1.0, 2.0, None), (9.0, 3.0, "[]")]
+    r = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], "rid long, lo double, hi double, b string").selectExpr("rid", RANGE)
+    for pieces in (None, 1, 7, 64):
+        got, want = _both_ways(spark, f, r, pieces)
+        assert got == want and len(got) > 1000
+
+
+def test_range_join_on_other_types(spark):
+    base = "select id as fid, {} as value from range(500) union all select 900, null"
+    ends = "select id as rid, {0} as lo, {1} as hi, element_at(array('[)', '(]', '()', '[]'), cast(id % 4 as int) + 1) as b from range({2})"
+    cases = [
+        ("date_add(date'2024-01-01', cast(id % 90 as int))", "date_add(date'2024-01-01', cast(id % 95 as int))", "date_add(date'2024-01-04', cast(id % 95 as int))"),
+        ("timestamp_ntz'2024-03-31 01:00:00' + make_dt_interval(0, 0, cast(id as int))", "timestamp_ntz'2024-03-31 01:30:00' + make_dt_interval(0, cast(id as int))", "cast(null as timestamp_ntz)"),
+        ("timestamp'2024-03-31 01:00:00' + make_dt_interval(0, 0, cast(id as int))", "cast(null as timestamp)", "timestamp'2024-03-31 01:30:00' + make_dt_interval(0, cast(id as int))"),
+        ("9007199254740990 + id", "cast(9007199254740990 + id as double)", "cast(9007199254740999 + id as double)"),
+        ("cast(id as decimal(20,3)) / 7", "cast(id % 70 as decimal(10,2))", "cast(id % 70 + 1 as decimal(10,2))"),
+        ("cast(id % 3 as int)", "cast(0 as double)", "cast(id % 4 as double) / 2"),
+    ]
+    for value, lo, hi in cases:
+        for n in (20, 300):
+            f, r = spark.sql(base.format(value)), spark.sql(ends.format(lo, hi, n)).selectExpr("rid", RANGE)
+            got, want = _both_ways(spark, f, r)
+            assert got == want and got, value
+
+
+def test_range_join_moves_facts_once_and_runs_no_scan_of_them_while_planned(spark):
+    f = spark.range(1000).selectExpr("id as value")
+    r = spark.range(600).selectExpr("id as rid", "named_struct('lower', id, 'upper', cast(null as long), 'bounds', '[)') as range")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("range join plan", "")
+    df = range_join(f, "value", r)
+    jobs = len(tracker.getJobIdsForGroup("range join plan"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 2  # the bounded count of ranges
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan.split("Range (0, 1000")[0].split("SortMergeJoin")[1].split("Exchange")[0]
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_range_join_on_text_is_refused(spark):
+    import pytest
+
+    with pytest.raises(TypeError):
+        range_join(spark.sql("select 'a' as value"), "value", spark.sql("select named_struct('lower', 'a', 'upper', 'b', 'bounds', '[]') as range"))
+
+
 def test_range_parse_edge_cases(spark):
     texts = ['["a""b","c\\\\d")', "(,)", "empty", "[1,2", "garbage", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", PG.range_parse("t", "string").alias("r"))

@@ -30,6 +30,10 @@ range_st = st.tuples(
 )
 
 
+def _is_range(lo, hi, bounds):
+    return bounds is None or lo is None or hi is None or lo <= hi
+
+
 @SETTINGS
 @given(ranges=st.lists(range_st, min_size=1, max_size=40), x=st.integers(-1100, 1100))
 def test_range_format_parse_round_trip_and_contains(spark, ranges, x):
@@ -38,6 +42,9 @@ def test_range_format_parse_round_trip_and_contains(spark, ranges, x):
     back = r.select("i", "r", PG.range_parse(PG.range_format("r"), "bigint").alias("p"), PG.range_contains("r", F.lit(x)).alias("c"))
     for row in back.collect():
         lo, hi, b = ranges[row.i]
+        if not _is_range(lo, hi, b):  # reversed bounds: no range, no text
+            assert row.r is None and not row.p.valid
+            continue
         assert row.p.valid
         if b is None:
             assert row.p.bounds is None and row.c is False

@@ -1,9 +1,9 @@
 """Command line: the reference's entry points as Spark jobs.
 
     python -m tillstar bootstrap <warehouse>
-    python -m tillstar load <raw csv path> <warehouse> [--batch-id N] [--again] [--fail-on-bad-rows] [--name-only]
+    python -m tillstar load <raw csv path> <warehouse> [--batch-id N] [--again] [--fail-on-bad-rows] [--name-only] [--salt TEXT]
     python -m tillstar stream <inbox> <warehouse> <checkpoint> [--max-files N] [--archive DIR] [--every "1 minute"]
-                              [--fail-on-bad-rows] [--name-only]
+                              [--fail-on-bad-rows] [--name-only] [--salt TEXT]
     python -m tillstar audit <warehouse> <batch id>
     python -m tillstar flat <header csv path> <out dir>
 
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     st.add_argument("--every", help="processing-time trigger; default: process what is there and stop")
     for p in (ld, st):
         p.add_argument("--fail-on-bad-rows", action="store_true")
+        p.add_argument("--salt", help="pseudonyms are a salted SHA-256 instead of a plain MD5")
         p.add_argument("--name-only", action="store_true", help="reference-mode customer look-up by name")
     au = sub.add_parser("audit", help="constraint audit of one committed batch")
     au.add_argument("warehouse")
@@ -56,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     rules = {}
     if args.cmd in ("load", "stream"):
         rules["on_bad_row"] = "fail" if args.fail_on_bad_rows else "quarantine"
+        rules["salt"] = args.salt
         rules["customer_lookup"] = "name_only" if args.name_only else "name_store"
     if args.cmd == "bootstrap":
         Warehouse(spark, args.warehouse).bootstrap()
@@ -75,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         print(f"batch {res.batch_id}: {'already loaded' if res.skipped else 'committed'}")
     elif args.cmd == "stream":
-        from tillstar.streaming.ingest import ingest
+        from tillstar.streaming.ingest import archive_committed, ingest
 
         wh = Warehouse(spark, args.warehouse).bootstrap()
         q = ingest(
@@ -83,6 +85,8 @@ def main(argv: list[str] | None = None) -> int:
             available_now=args.every is None, processing_time=args.every, **rules,
         )
         q.awaitTermination()
+        if args.archive:
+            archive_committed(wh, args.inbox, args.checkpoint, args.archive)
     elif args.cmd == "audit":
         from tillstar.plans.audit import audit_batch
 

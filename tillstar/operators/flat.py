@@ -19,12 +19,12 @@ combined map-side).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.basket import parse_timestamp
 from tillstar.operators.keys import GroupMaps, group_maps, join_group_number, ordered_ids_ranged
-from tillstar.session import materialize
+from tillstar.session import file_state, list_dir, materialize, move, publish_file, remove_dir
 
 FLAT_COLUMNS = [
     "transactions_id",
@@ -193,14 +193,44 @@ def flat_tables(flat: DataFrame, scratch: str, order_col: str = "o_orderkey") ->
     }
 
 
+FLAT_TABLES = ["customers", "stores", "products", "flavours", "sales", "orders"]
+# Folder of tables that are written and not yet published, and the marker from which on they will be.
+STAGED, PUBLISHED = "_staged", "_publish"
+
+
 def write_flat_tables(flat: DataFrame, out_dir: str, scratch: str, order_col: str = "o_orderkey") -> None:
-    """One DataFrame write per table (instead of one INSERT per row).
+    """Write, audit, publish (instead of one INSERT per row).
 
-    Unique keys are audited before each write (W3): a duplicate fails the
-    write of that table instead of leaving a half-inserted table.
+    The frame is written once; the six tables are staged beside the published ones and the
+    unique key of each is audited (W3) there, so a duplicate changes no table.  Then one
+    marker file decides that they are published, table by table; a run that is lost
+    in between is completed by ``finish_publication``, which the next write calls first.
     """
+    spark, out = flat.sparkSession, out_dir.rstrip("/")
+    finish_publication(spark, out)
+    remove_dir(spark, f"{out}/{STAGED}")  # of a run lost before its marker
+    flat = materialize(flat, f"{scratch}/flat")
+    conflicts = []
     for name, df in flat_tables(flat, scratch, order_col).items():
         key = df.columns[0]
-        if df.groupBy(key).count().where(F.col("count") > 1).limit(1).count():
-            raise KeyConflictError(f"{name}: duplicate {key}")
-        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+        staged = materialize(df, f"{out}/{STAGED}/{name}")
+        if staged.groupBy(key).count().where(F.col("count") > 1).limit(1).count():
+            conflicts.append(f"{name}: duplicate {key}")
+    if conflicts:
+        remove_dir(spark, f"{out}/{STAGED}")
+        raise KeyConflictError("; ".join(conflicts))
+    publish_file(spark, f"{out}/{PUBLISHED}", "\n".join(FLAT_TABLES))
+    finish_publication(spark, out)
+
+
+def finish_publication(spark: SparkSession, out_dir: str) -> bool:
+    """Put staged tables in the published ones' place if their marker is there; may be called again at any point."""
+    out = out_dir.rstrip("/")
+    if file_state(spark, f"{out}/{PUBLISHED}") is None:
+        return False
+    for name in list_dir(spark, f"{out}/{STAGED}"):
+        remove_dir(spark, f"{out}/{name}")
+        move(spark, f"{out}/{STAGED}/{name}", f"{out}/{name}")
+    remove_dir(spark, f"{out}/{STAGED}")
+    remove_dir(spark, f"{out}/{PUBLISHED}")
+    return True

@@ -6,16 +6,22 @@
 * Column-name cleaning, as the driver's named-tuple rows do.
 * Bulk update from a row list: left join + ``coalesce(new, old)``; bulk
   insert: ``unionByName``.
+* Update of a Parquet folder: only the files that hold a matching row are
+  written anew, the others are kept as they are.
 """
 
 from __future__ import annotations
 
 import string
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.session import materialize
+
 # Literal lists up to this length stay in the plan as an IN predicate.
 IN_LIST_MAX = 1000
 
@@ -67,6 +73,38 @@ def update_from_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     return joined.select(*target.columns)
 
 
+@dataclass
+class UpdatedFiles:
+    """``frame``: the updated table; ``kept`` files stay, ``touched`` ones are replaced by the folder ``written``."""
+
+    frame: DataFrame
+    kept: list[str]
+    touched: list[str]
+    written: str | None
+
+
+def update_files(
+    spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], columns: Sequence[str], out_path: str
+) -> UpdatedFiles:
+    """J8 on a Parquet folder, copy on write: what is read twice and written follows the files touched.
+
+    The first pass reads the keys only; file names, at most one per file, reach the driver.  Rules as in
+    ``update_from_rows``.  ``path`` is left as it is; the caller publishes kept files and ``written`` together.
+    """
+    target = spark.read.parquet(path)
+    hit = target.select(*keys, F.col("_metadata.file_path").alias("_file"))
+    hit = hit.join(updates.select(*keys).distinct(), list(keys), "left_semi")
+    plain = lambda uri: unquote(urlsplit(uri)._replace(scheme="", netloc="").geturl()) if uri.startswith("file:") else unquote(uri)
+    touched = sorted({plain(r[0]) for r in hit.select("_file").distinct().collect()})
+    kept = sorted({plain(f) for f in target.inputFiles()} - set(touched))
+    read = spark.read.schema(target.schema)
+    if not touched:
+        return UpdatedFiles(target, kept, [], None)
+    fresh = materialize(update_from_rows(read.parquet(*touched), updates, keys, columns), out_path)
+    frame = read.parquet(*kept).unionByName(fresh) if kept else fresh
+    return UpdatedFiles(frame, kept, touched, out_path)
+
+
 def insert_rows(target: DataFrame, rows: DataFrame | Iterable[tuple]) -> DataFrame:
     """J8 (insert form): append a row list to a table."""
     if not isinstance(rows, DataFrame):

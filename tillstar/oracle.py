@@ -311,6 +311,13 @@ def csv_sql() -> dict[str, str]:
     return {
         "scan_raw_csv": WITH_FEED + DIRTY + "\nSELECT * FROM scanned",
         "quarantine_reasons": WITH_FEED + DIRTY + f"\nSELECT reason, CAST(count(*) AS BIGINT) AS n_rows FROM (SELECT {REASON_SQL} AS reason FROM scanned) GROUP BY reason",
+        "quarantine_rows": WITH_FEED + DIRTY.replace("o_orderkey % 109 = 17 AS is_corrupt", "o_orderkey % 109 = 17 OR o_orderkey % 97 IN (3, 5, 7) AS is_corrupt") + f"""
+SELECT reason,
+  CASE WHEN reason NOT IN ('corrupt_row', 'bad_timestamp') THEN strftime(strptime(time_stamp, '%d-%m-%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') END AS time_stamp,
+  CAST(NULL AS VARCHAR) AS store_name,
+  CASE WHEN reason <> 'corrupt_row' THEN CAST(TRY_CAST(total_price AS DECIMAL(10,2)) AS VARCHAR) END AS total_price,
+  CASE WHEN reason <> 'corrupt_row' THEN payment_type END AS payment_type
+FROM (SELECT *, {REASON_SQL} AS reason FROM scanned) WHERE reason <> 'ok'""",
         "quality_length": WITH_FEED + DIRTY + "\n" + lengths,
         "quality_nulls": q_load(ONE_BATCH, nulls),
         "quality_orphans": q_load(ONE_BATCH, orphans),
@@ -321,6 +328,8 @@ SELECT 'item_staging' AS table_name, 'product_name' AS key_columns, product_name
 FROM (SELECT {ITEM_COLS} FROM iq) GROUP BY product_name HAVING count(DISTINCT price) > 1""",
         "items_csv_roundtrip": q_load(ONE_BATCH, f"""
 SELECT transaction_id, product_name, price, flavour_name AS flavour FROM (SELECT transaction_id, {ITEM_COLS} FROM ti)"""),
+        "stream_archive": WITH_FEED + """
+SELECT time_stamp, store_name, products, total_price, payment_type FROM raw_sales""",
         "scan_header_csv": WITH_FEED + """
 SELECT time_stamp AS "timestamp", store_name AS store, customer_name, products AS basket_items,
   CAST(total_price AS DOUBLE) AS total_price, payment_type AS cash_or_card, card_number
@@ -383,6 +392,20 @@ FROM first_rows WHERE rn_txn = 1""",
         "flat_tables_orders": base + """
 SELECT CAST(row_number() OVER (ORDER BY o_orderkey, item_pos) AS BIGINT) AS order_id,
   item_id AS product_id, flavour_id, transactions_id FROM flat""",
+        "flat_tables_customers": base + """
+SELECT DISTINCT customer_id, customer_name FROM flat""",
+        "flat_tables_stores": base + """
+SELECT DISTINCT store_id, store AS store_name FROM flat""",
+        "flat_tables_flavours": base + """
+SELECT DISTINCT flavour_id, flavour FROM flat""",
+        "flat_tables_published": base + """
+SELECT 'customers' AS table_name, count(DISTINCT customer_id) AS n_rows FROM flat
+UNION ALL SELECT 'stores', count(DISTINCT store_id) FROM flat
+UNION ALL SELECT 'products', count(DISTINCT item_id) FROM flat
+UNION ALL SELECT 'flavours', count(DISTINCT flavour_id) FROM flat
+UNION ALL SELECT 'sales', count(DISTINCT transactions_id) FROM flat
+UNION ALL SELECT 'orders', count(*) FROM flat""",
+        "insert_or_fail": "SELECT c_custkey, c_name, c_acctbal FROM customer",
         "insert_ignore": base + """
 SELECT customer_id, customer_name FROM first_rows WHERE rn_cust = 1""",
     }
@@ -413,6 +436,20 @@ def contains_sql(r: str, x: str) -> str:
             f" AND ({r}.upper IS NULL OR CASE WHEN right({r}.bounds, 1) = ']' THEN {x} <= {r}.upper ELSE {x} < {r}.upper END))")
 
 
+def domain_ranges_sql(low: str, high: str) -> str:
+    """Ranges per part of one domain; the rules stand in sources.pgexport."""
+    return f"""WITH rg AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 400 <> 2 THEN {low} END AS lower, CASE WHEN p_partkey % 400 <> 1 THEN {high} END AS upper,
+    CASE p_partkey % 4 WHEN 0 THEN '[)' WHEN 1 THEN '(]' WHEN 2 THEN '()' ELSE '[]' END AS bounds
+  FROM part
+)"""
+
+
+PRICE_LOW = "CAST((p_partkey * 37) % 49000 AS DECIMAL(18,2)) / 100"
+DAY_LOW = "DATE '1995-01-01' + CAST((p_partkey * 13) % 2400 AS INTEGER)"
+TIME_LOW = "TIMESTAMP '2024-01-01' + to_minutes(CAST((p_partkey * 1291) % 43200 AS BIGINT))"
+
+
 def pg_sql() -> dict[str, str]:
     upd = ", ".join(f"({k}, {v})" for k, v in [(0, 1.5), (1, 2.25), (2, 3.0), (3, 4.75), (5, 5.5), (8, 6.25), (13, 7.0), (21, 8.75), (34, 9.5), (999999999, 10.0)])
     return {
@@ -422,6 +459,12 @@ SELECT o_orderkey AS f1st, total_price, store_name AS f_x, customer_name AS a_b,
         "update_from_rows": f"""
 SELECT p.p_partkey, p.p_name, coalesce(u.new_price, p.p_retailprice) AS p_retailprice
 FROM part p LEFT JOIN (SELECT CAST(k AS BIGINT) AS k, CAST(v AS DOUBLE) AS new_price FROM (VALUES {upd}) t(k, v)) u ON u.k = p.p_partkey""",
+        "insert_rows": "SELECT p_partkey, p_name, p_retailprice FROM part",
+        "update_files": """
+SELECT p.p_partkey, CASE WHEN u.k IS NULL THEN p.p_name ELSE u.new_name END AS p_name,
+  CASE WHEN u.k IS NULL THEN p.p_retailprice ELSE u.new_price END AS p_retailprice
+FROM part p LEFT JOIN (SELECT CAST(k AS BIGINT) AS k, new_name, CAST(new_price AS DOUBLE) AS new_price
+  FROM (VALUES (0, 'first', 1.5), (1, NULL, 2.25), (8, 'third', NULL), (13, NULL, NULL)) t(k, new_name, new_price)) u ON u.k = p.p_partkey""",
         "range_parse": PART_RANGE + "\nSELECT p_partkey, lower, upper, bounds, true AS valid FROM rg",
         "range_bounds": PART_RANGE + """
 SELECT p_partkey, bounds IS NULL AS isempty,
@@ -462,8 +505,38 @@ SELECT event_id, ts - to_minutes(CAST(off AS BIGINT)) AS utc_ts,
   CASE WHEN off < 0 THEN '-' ELSE '+' END || lpad(CAST(abs(off) // 60 AS VARCHAR), 2, '0')
   || CASE WHEN abs(off) % 60 <> 0 THEN ':' || lpad(CAST(abs(off) % 60 AS VARCHAR), 2, '0') ELSE '' END AS offset_label
 FROM (SELECT event_id, ts, CAST((user_id % 27 - 12) * 30 AS INTEGER) AS off FROM events)""",
+        "range_malformed": """
+SELECT p_partkey, CASE WHEN ok THEN CAST(p_size AS BIGINT) END AS lower, CASE WHEN ok THEN CAST(p_size + 1 + p_partkey % 7 AS BIGINT) END AS upper,
+  CASE WHEN ok THEN CASE p_partkey % 8 WHEN 6 THEN '[]' ELSE '[)' END END AS bounds, ok AS valid
+FROM (SELECT p_partkey, p_size, p_partkey % 8 IN (0, 6, 7) AS ok FROM part)""",
+        "composite_malformed": """
+SELECT p_partkey, CASE kind WHEN 0 THEN p_name WHEN 3 THEN p_name || '" q' WHEN 5 THEN p_name || ',b' END AS name,
+  CASE WHEN kind IN (0, 3) THEN p_size END AS size, CASE WHEN kind IN (0, 3, 5) THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS price,
+  kind IN (0, 3, 5) AS valid
+FROM (SELECT *, p_partkey % 6 AS kind FROM part)""",
+        "hstore_malformed": r"""
+SELECT p_partkey, true AS valid, 'a b' AS key, CAST(p_partkey AS VARCHAR) || '"y\z' AS value FROM part WHERE p_partkey % 5 = 0
+UNION ALL SELECT p_partkey, true, 'c', NULL FROM part WHERE p_partkey % 5 = 0
+UNION ALL SELECT p_partkey, true, 'a', CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 5 = 3
+UNION ALL SELECT p_partkey, p_partkey % 5 = 4, NULL, NULL FROM part WHERE p_partkey % 5 IN (1, 2, 4)""",
+        "offset_seconds": """
+SELECT event_id, ts - to_seconds(CAST(s AS DOUBLE)) AS utc_ts,
+  CASE WHEN s < 0 THEN '-' ELSE '+' END || lpad(CAST(abs(s) // 3600 AS VARCHAR), 2, '0')
+  || CASE WHEN abs(s) % 3600 <> 0 THEN ':' || lpad(CAST(abs(s) // 60 % 60 AS VARCHAR), 2, '0') ELSE '' END
+  || CASE WHEN abs(s) % 60 <> 0 THEN ':' || lpad(CAST(abs(s) % 60 AS VARCHAR), 2, '0') ELSE '' END AS offset_label
+FROM (SELECT event_id, ts, CAST((user_id % 27 - 12) * 1800 + (event_id % 3) * 17 AS BIGINT) AS s FROM events)""",
         "range_join": "WITH " + BANDS.strip() + f"""
 SELECT e.event_id, e.value, b.band FROM events e JOIN bands b ON {contains_sql('b', 'e.value')}""",
+        "range_join_many": domain_ranges_sql(
+            f"CAST({PRICE_LOW} AS DOUBLE)",
+            "round(((p_partkey * 37) % 49000 + 25 * (1 + p_size % 3)) / 100.0 + CASE WHEN p_partkey = 3 THEN 10000000 ELSE 0 END, 2)",
+        ) + f"""
+SELECT e.event_id, e.value, rg.p_partkey FROM events e JOIN rg ON {contains_sql('rg', 'e.value')}""",
+        "range_join_days": domain_ranges_sql(DAY_LOW, DAY_LOW + " + CAST(1 + p_size % 5 AS INTEGER)") + f"""
+SELECT o.o_orderkey, CAST(o.order_day AS VARCHAR) AS order_day, rg.p_partkey
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders) o JOIN rg ON {contains_sql('rg', 'o.order_day')}""",
+        "range_join_times": domain_ranges_sql(TIME_LOW, TIME_LOW + " + to_minutes(CAST(15 * (1 + p_size % 4) AS BIGINT))") + f"""
+SELECT e.event_id, e.ts, rg.p_partkey FROM events e JOIN rg ON {contains_sql('rg', 'e.ts')}""",
     }
 
 

@@ -25,7 +25,7 @@ from tillstar.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, STAR_TABLES,
 
 
 def batch_rows(wh: Warehouse, table: str, batch_id: int) -> DataFrame:
-    return wh._raw(table).where(F.col("batch_id") == batch_id).drop("batch_id")
+    return wh.batch_rows(table, batch_id).drop("batch_id", "attempt")
 
 
 def audit_batch(wh: Warehouse, batch_id: int) -> dict[str, DataFrame]:

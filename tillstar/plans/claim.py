@@ -5,9 +5,11 @@ not overlap.  A load claims the warehouse by creating the file ``_claim``
 without overwriting; another load waits for it and fails after ``wait_s``.  A
 live load renews its claim (the file's modification time) every ``BEAT_S``
 seconds from a driver thread.  A claim that a waiting load sees unchanged for
-``stale_s`` of its own clock was left by a lost driver and is removed.  A load
-whose claim was taken meanwhile fails before its ledger row, so readers never
-see it.
+``stale_s`` of its own clock was left by a lost driver and is removed, by renaming it
+first, so that only one of several waiting loads removes it and a fresh claim put there
+meanwhile is put back.  A load whose claim was taken meanwhile fails before its ledger row; should it
+stall between that check and its commit, the ledger file, which only one run of a
+batch can create, decides.  An error while renewing is raised by the next check.
 
 Creating is atomic on HDFS and on POSIX file systems.  A store without an
 atomic create (some object stores) needs one writer by other means.
@@ -21,7 +23,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from tillstar.session import create_file, file_state, remove_dir, touch
+from tillstar.session import create_file, file_state, move, publish_file, remove_dir, touch
 
 BEAT_S = 15.0
 STALE_S = 180.0
@@ -40,6 +42,7 @@ class Claim:
         self.wait_s, self.stale_s = wait_s, stale_s
         self.owner = uuid.uuid4().hex
         self._done = threading.Event()
+        self._failed: Exception | None = None
 
     def __enter__(self) -> "Claim":
         began = since = time.monotonic()
@@ -49,7 +52,7 @@ class Claim:
             if state != seen:
                 seen, since = state, now
             elif state is not None and now - since >= self.stale_s:
-                remove_dir(self.spark, self.path)
+                self._remove(state)
                 continue
             if now - began >= self.wait_s:
                 raise LoadInProgress(f"another load holds {self.path}")
@@ -58,16 +61,31 @@ class Claim:
         self._beat.start()
         return self
 
+    def _remove(self, stale: tuple[str, int]) -> None:
+        """Take a claim away if it still is the stale one."""
+        aside = f"{self.path}-{self.owner}"
+        if move(self.spark, self.path, aside):
+            state = file_state(self.spark, aside)
+            if state is not None and state[0] != stale[0]:  # another load has claimed meanwhile
+                publish_file(self.spark, self.path, state[0])
+            remove_dir(self.spark, aside)
+
     def _renew(self) -> None:
         while not self._done.wait(BEAT_S):
-            if self.held():
-                touch(self.spark, self.path)
+            try:
+                if self.held():
+                    touch(self.spark, self.path)
+            except Exception as error:  # noqa: BLE001  the load learns of it before it commits
+                self._failed = error
+                return
 
     def held(self) -> bool:
         state = file_state(self.spark, self.path)
         return state is not None and state[0] == self.owner
 
     def check(self) -> None:
+        if self._failed is not None:
+            raise LoadInProgress(f"the claim {self.path} could not be renewed") from self._failed
         if not self.held():
             raise LoadInProgress(f"the claim {self.path} was taken by another load")
 

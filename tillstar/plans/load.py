@@ -1,26 +1,33 @@
 """Incremental feed -> star schema load.
 
 Layout of a warehouse folder (Parquet, every table partitioned by
-``batch_id``)::
+``batch_id`` and ``attempt``)::
 
     <root>/stores  customers  products  flavours  transactions  baskets
     <root>/quarantine                      rejected raw rows, non-personal
-    <root>/ledger                          one row per committed batch
-    <root>/_scratch/batch=<id>-<nonce>/    materialised staging of a run
+    <root>/ledger/<batch id>.json          one file per committed batch
+    <root>/_scratch/batch=<id>-<attempt>/  materialised staging of a run
     <root>/_claim                          held by the load that is running
-
-A batch writes its six ``batch_id=N`` partitions (dynamic partition
-overwrite, so a retry replaces only its own partitions) and then its ledger
-row.  Readers see only ledgered batches, which makes the six-table commit
-all-or-nothing without a transactional table format.  One load runs at a time
-(``plans.claim``): a second one waits, so it neither takes the same batch id
-nor clears what the first one writes.
+    <root>/_line_key                       key of the digests of rejected lines
+    <root>/_files/                         input files of batches, until they are archived
+
+Every run of a batch is an attempt of its own and writes partitions of its own.
+Its commit creates the ledger file named by the batch id, which fails where the
+file is there: of several runs of one batch exactly one is committed, in one step
+that needs no claim, even if a run stalls for any time right before it.  Readers see
+only rows of the ledgered attempts, which makes the six-table commit all-or-nothing
+without a transactional table format, and no run ever removes what a commit may
+still name: the partitions of a batch's other attempts go after its commit.
+One load runs at a time (``plans.claim``), so that ids are not dealt twice for nothing.
 """
 
 from __future__ import annotations
 
+import json
+import secrets
 import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,9 +37,9 @@ from pyspark.sql import types as T
 from tillstar.operators import dims as D
 from tillstar.operators.keys import ranged_ids
 from tillstar.plans import staging
-from tillstar.plans.claim import WAIT_S, Claim
+from tillstar.plans.claim import WAIT_S, Claim, LoadInProgress
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
-from tillstar.session import configure, make_dirs, materialize, remove_dir
+from tillstar.session import configure, create_file, file_state, list_dir, make_dirs, materialize, publish_file, remove_dir
 
 ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
@@ -44,7 +51,9 @@ class BadRowsError(ValueError):
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType(), True)])
+    return T.StructType(
+        schema.fields + [T.StructField("batch_id", T.LongType(), True), T.StructField("attempt", T.StringType(), True)]
+    )
 
 
 @dataclass
@@ -56,6 +65,8 @@ class Warehouse:
     staged_transactions: dict = field(default_factory=dict)
     # Scratch folder of each batch loaded by this process (kept with keep_scratch).
     scratch_dirs: dict = field(default_factory=dict)
+    # Attempt of each batch that this process runs or ran.
+    attempts: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -63,13 +74,14 @@ class Warehouse:
     def bootstrap(self) -> "Warehouse":
         """Create every table if absent (idempotent)."""
         configure(self.spark)
-        for name in [*ALL_TABLES, "ledger"]:
+        for name in [*ALL_TABLES, "ledger", "_files"]:
             make_dirs(self.spark, self.path(name))  # read with fixed schemas, so an empty folder is an empty table
         return self
 
     def _raw(self, table: str) -> DataFrame:
-        schema = LEDGER if table == "ledger" else _with_batch(ALL_TABLES[table])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        if table == "ledger":
+            return self.spark.read.schema(LEDGER).json(self.path(table))
+        return self.spark.read.schema(_with_batch(ALL_TABLES[table])).parquet(self.path(table))
 
     def ledger(self) -> DataFrame:
         return self._raw("ledger")
@@ -99,49 +111,80 @@ class Warehouse:
         ``batches`` restricts to those batch ids: a literal partition filter,
         so only their partitions are listed and read.
         """
-        ok = self.ledger().select("batch_id")
+        ok = self.ledger().select("batch_id", "attempt")
         if exclude is not None:
             ok = ok.where(F.col("batch_id") != exclude)
         df = self._raw(table)
         if batches is not None:
             df = df.where(F.col("batch_id").isin(list(batches)))
-        visible = df.join(ok, "batch_id", "left_semi")
+        visible = df.join(ok, ["batch_id", "attempt"], "left_semi")
         if also is not None:
-            visible = visible.unionByName(df.where(F.col("batch_id") == also))
-        return visible.drop("batch_id")
+            visible = visible.unionByName(self.batch_rows(table, also))
+        return visible.drop("batch_id", "attempt")
+
+    def attempt_of(self, batch_id: int) -> str | None:
+        """The committed attempt of a batch, else the one this process runs."""
+        row = self.ledger().where(F.col("batch_id") == batch_id).select("attempt").first()
+        return row[0] if row else self.attempts.get(batch_id)
+
+    def batch_rows(self, table: str, batch_id: int) -> DataFrame:
+        """Rows of one batch, committed or in flight, with its partition columns."""
+        return self._raw(table).where((F.col("batch_id") == batch_id) & (F.col("attempt") == self.attempt_of(batch_id)))
 
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
         cols = [f.name for f in ALL_TABLES[table].fields]
         out = df.select(*cols).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        # Dynamic overwrite: a retried batch replaces only its own partition.
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+        out = out.withColumn("attempt", F.lit(self.attempts[batch_id]))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "attempt").parquet(
             self.path(table)
         )
 
     def commit(self, batch_id: int, source: str, max_ids: dict[str, int]) -> None:
-        """Append the ledger row; from now on readers see the batch."""
-        vals = [batch_id, source] + [max_ids[t] for t in ID_COLUMNS]
-        schema = "batch_id bigint, source string, " + ", ".join(f"max_{c} bigint" for c in ID_COLUMNS.values())
-        row = self.spark.createDataFrame([tuple(vals)], schema).withColumn("committed_at", F.current_timestamp())
-        row.select(*LEDGER.fieldNames()).write.mode("append").parquet(self.path("ledger"))
+        """Create the batch's ledger file; from now on readers see the attempt.  Fails where the batch has one."""
+        row = {"batch_id": batch_id, "attempt": self.attempts[batch_id], "source": source}
+        row |= {f"max_{c}": max_ids[t] for t, c in ID_COLUMNS.items()}
+        row["committed_at"] = datetime.now(timezone.utc).isoformat()
+        if not publish_file(self.spark, f"{self.path('ledger')}/{batch_id}.json", json.dumps(row)):
+            raise LoadInProgress(f"batch {batch_id} was committed by another load")
+
+    def line_key(self) -> str:
+        """Key of the digests of rejected lines, made once and kept with the warehouse."""
+        path = self.path("_line_key")
+        state = file_state(self.spark, path)
+        if state is None or not state[0]:
+            create_file(self.spark, path, secrets.token_hex(16))
+            state = file_state(self.spark, path)
+        return state[0]
 
     def staged(self, batch_id: int) -> DataFrame:
         """The staged rows of a batch loaded here with ``keep_scratch``."""
         return self.spark.read.parquet(f"{self.scratch_dirs[batch_id]}/staged")
 
-    def clear_batch(self, batch_id: int) -> None:
-        """Drop what an earlier, uncommitted attempt of ``batch_id`` wrote.
-
-        Dynamic partition overwrite replaces only partitions that receive rows,
-        so a rerun that produces no rows for a table would otherwise leave the
-        crashed attempt's rows behind.  Uncommitted partitions are invisible to
-        readers, so removing them is safe.
-        """
+    def record_files(self, batch_id: int, files: list[str], note: str) -> None:
+        """Keep the names of an attempt's input files until they are archived."""
+        record = json.dumps({"batch_id": batch_id, "attempt": self.attempts[batch_id], "note": note, "files": files})
+        publish_file(self.spark, f"{self.path('_files')}/{batch_id}-{self.attempts[batch_id]}.json", record)
+
+    def recorded_files(self) -> list[tuple[str, dict]]:
+        """(path, record) of all that ``record_files`` kept and nobody dropped; a few per running stream."""
+        out = []
+        for name in list_dir(self.spark, self.path("_files")):
+            state = file_state(self.spark, f"{self.path('_files')}/{name}")
+            if name.endswith(".json") and state is not None:
+                out.append((f"{self.path('_files')}/{name}", json.loads(state[0])))
+        return out
+
+    def drop_other_attempts(self, batch_id: int) -> None:
+        """Remove what uncommitted attempts of a committed batch wrote; none of them can be committed any more."""
+        kept = f"attempt={self.attempt_of(batch_id)}"
         for table in ALL_TABLES:
-            remove_dir(self.spark, f"{self.path(table)}/batch_id={batch_id}")
+            folder = f"{self.path(table)}/batch_id={batch_id}"
+            for name in list_dir(self.spark, folder):
+                if name.startswith("attempt=") and name != kept:
+                    remove_dir(self.spark, f"{folder}/{name}")
 
     def scratch(self, batch_id: int) -> str:
-        return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{uuid.uuid4().hex[:8]}"
+        return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{self.attempts[batch_id]}"
 
 
 def _step(wh: Warehouse, batch_id: int, name: str) -> None:
@@ -155,7 +198,7 @@ class LoadResult:
     skipped: bool = False
 
 
-def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> tuple[DataFrame, int, int]:
+def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None, line_key: str | None = None) -> tuple[DataFrame, int, int]:
     """Stage the raw rows once and write them to the shared folder.
 
     Adds a unique row tag, the tiebreaker that lets the transaction ids be
@@ -164,7 +207,7 @@ def stage_batch(raw: DataFrame, scratch: str, salt: str | None = None) -> tuple[
     observed on the write itself.
     """
     obs = Observation("staged")
-    st = staging.stage(raw, salt).withColumn("_tag", F.monotonically_increasing_id())
+    st = staging.stage(raw, salt, line_key=line_key).withColumn("_tag", F.monotonically_increasing_id())
     bad = F.col("reason").isNotNull()
     st = st.observe(obs, F.count_if(bad).alias("bad"), F.count_if(~bad).alias("good"))
     staged = materialize(st, f"{scratch}/staged")
@@ -195,6 +238,7 @@ def load_batch(
     keep_scratch: bool = False,
     once: bool = False,
     wait_s: float = WAIT_S,
+    files_note: str | None = None,
 ) -> LoadResult:
     """Load one raw feed (7 text columns) as batch ``batch_id``.
 
@@ -205,6 +249,7 @@ def load_batch(
     After the commit the run's scratch folder is dropped (the staging tables
     of the reference) unless ``keep_scratch``; a load that fails drops it too.
     A load that finds another one running waits up to ``wait_s`` seconds.
+    With ``files_note`` the names of the input files are kept beside the ledger, with that note.
     """
     with Claim(wh.spark, wh.root, wait_s) as claim:
         if once and (known := wh.batch_of(source)) is not None:
@@ -212,7 +257,7 @@ def load_batch(
         if batch_id is None:
             batch_id = wh.next_batch_id()
         try:
-            return _load(wh, raw, batch_id, source, on_bad_row, customer_lookup, salt, commit, keep_scratch, claim)
+            return _load(wh, raw, batch_id, source, on_bad_row, customer_lookup, salt, commit, keep_scratch, claim, files_note)
         except BaseException:
             wh.staged_transactions.pop(batch_id, None)
             if batch_id in wh.scratch_dirs:
@@ -233,15 +278,16 @@ def _load(
     commit: bool,
     keep_scratch: bool,
     claim: Claim,
+    files_note: str | None,
 ) -> LoadResult:
     done, start = wh.state(batch_id)
     if done:
         return LoadResult(batch_id, skipped=True)
     _step(wh, batch_id, "stage")
-    wh.clear_batch(batch_id)
+    wh.attempts[batch_id] = uuid.uuid4().hex[:16]
     scratch = wh.scratch(batch_id)
     wh.scratch_dirs[batch_id] = scratch
-    staged, n_bad, n_valid = stage_batch(raw, scratch, salt)
+    staged, n_bad, n_valid = stage_batch(raw, scratch, salt, wh.line_key())
 
     _step(wh, batch_id, "quarantine")
     if n_bad and on_bad_row == "fail":
@@ -323,9 +369,13 @@ def _load(
     pairs.unpersist()
 
     _step(wh, batch_id, "commit")
+    if files_note is not None:  # one name per input file of the batch
+        names = staged.where(F.col("file_path").isNotNull()).select("file_path").distinct().collect()
+        wh.record_files(batch_id, sorted(r[0] for r in names), files_note)
     if commit:
         claim.check()
         wh.commit(batch_id, source, after)
+        wh.drop_other_attempts(batch_id)
         if not keep_scratch:
             wh.staged_transactions.pop(batch_id, None)
             wh.scratch_dirs.pop(batch_id, None)
@@ -356,6 +406,6 @@ def star_schema_columns(wh: Warehouse) -> DataFrame:
     for table in STAR_TABLES:
         schema = wh._raw(table).schema
         for pos, f in enumerate(schema.fields, 1):
-            if f.name != "batch_id":
+            if f.name not in ("batch_id", "attempt"):
                 rows.append((table, f.name, pos, f.dataType.simpleString()))
     return wh.spark.createDataFrame(rows, "table_name string, column_name string, position int, data_type string")

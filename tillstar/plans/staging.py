@@ -2,7 +2,10 @@
 
 ``stage(raw)`` is a pure projection: per-row native expressions, no shuffle.
 The card number is dropped in this first projection and never cached or
-written; the customer name leaves it only as its digest.
+written; the customer name leaves it only as its digest.  Of a rejected row,
+whose fields may be shifted so that any of them holds a name or a card number,
+this projection keeps no text and no digest of a single field at all, but a
+total or time that parsed and a known payment type in a row of full width.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from tillstar.schemas import CORRUPT_COL, RAW_COLUMNS, RAW_LIMITS
 REASONS = ["corrupt_row", "bad_timestamp", "bad_total", "bad_price", "too_long"]
 
 
-# Key of line digests where the caller gives no salt: a line may hold a card
-# number, and an unkeyed digest of it could be searched for.
+# Key of line digests where the caller gives none (a warehouse keeps its own, so that
+# digests are the same in every run): a line may hold a card number, and an
+# unkeyed digest of it could be searched for.
 _PROCESS_KEY = secrets.token_hex(16)
 
 
@@ -67,19 +71,24 @@ def verdict(raw: DataFrame):
     )
 
 
-def stage(raw: DataFrame, salt: str | None = None, keep=()) -> DataFrame:
+# Payment types whose text may be kept of a rejected row (fixed values of the feed).
+KNOWN_PAYMENTS = ["CARD", "CASH"]
+
+
+def stage(raw: DataFrame, salt: str | None = None, keep=(), line_key: str | None = None) -> DataFrame:
     """Raw text rows -> typed staging rows with a verdict column ``reason``.
 
     Empty CSV fields load as '' (not NULL) in the warehouse, so raw text is
     coalesced to '' before hashing or parsing.  ``keep`` names extra columns
-    of ``raw`` carried through (e.g. a row-order column).
+    of ``raw`` carried through (e.g. a row-order column).  ``line_key`` is the
+    key of the digests of rejected lines.
     """
     raw = with_parts(raw)
     text = {c: F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS}
     file_path = F.col("_metadata.file_path") if "_metadata" in raw.columns else F.lit(None).cast("string")
     if "file_path" in raw.columns:
         file_path = F.col("file_path")
-    return raw.select(
+    typed = raw.select(
         *[F.col(k) for k in keep],
         verdict(raw).alias("reason"),
         B.parse_timestamp(text["time_stamp"]).alias("time_stamp"),
@@ -88,12 +97,20 @@ def stage(raw: DataFrame, salt: str | None = None, keep=()) -> DataFrame:
         text["products"].alias("products"),
         B.parse_price(text["total_price"]).alias("total_price"),
         text["payment_type"].alias("payment_type"),
-        # Non-personal context kept for the quarantine only.
-        _raw_line_digest(raw, salt or _PROCESS_KEY).alias("line_md5"),
+        _raw_line_digest(raw, line_key or salt or _PROCESS_KEY).alias("line_md5"),
         file_path.alias("file_path"),
-        text["time_stamp"].alias("time_stamp_text"),
-        text["total_price"].alias("total_text"),
     )
+    good = F.col("reason").isNull()
+    full = good | (F.col("reason") != "corrupt_row")
+    return typed.withColumns({
+        "time_stamp": F.when(full, F.col("time_stamp")),
+        "store_name": F.when(good, F.col("store_name")),
+        "customer_name": F.when(good, F.col("customer_name")),
+        "products": F.when(good, F.col("products")),
+        "total_price": F.when(full, F.col("total_price")),
+        "payment_type": F.when(good | (full & F.upper("payment_type").isin(KNOWN_PAYMENTS)), F.col("payment_type")),
+        "line_md5": F.when(~good, F.col("line_md5")),
+    })
 
 
 TRANSACTION_COLUMNS = ["time_stamp", "store_name", "customer_name", "products", "total_price", "payment_type"]
@@ -103,27 +120,16 @@ def valid_rows(staged: DataFrame) -> DataFrame:
     return staged.where(F.col("reason").isNull())
 
 
-# Payment types whose text may be kept of a rejected row (fixed values of the feed).
-KNOWN_PAYMENTS = ["CARD", "CASH"]
-
-
 def quarantined(staged: DataFrame) -> DataFrame:
-    """Rejected rows: reason, keyed line digest, file, and what is proven harmless.
-
-    Fields of a row may be shifted (one missing, one too many), so a position
-    says nothing about what a text is.  A text is kept only of rows with the
-    full column count, and only if it parsed as what its column holds or is a
-    known payment type; free text (the store) is never kept.
-    """
-    full = F.col("reason") != "corrupt_row"
+    """Rejected rows as ``stage`` leaves them: reason, keyed line digest, file, and what is proven harmless."""
     return staged.where(F.col("reason").isNotNull()).select(
         "reason",
         "line_md5",
         "file_path",
-        F.when(full & F.col("time_stamp").isNotNull(), F.col("time_stamp").cast("string")).alias("time_stamp"),
-        F.lit(None).cast("string").alias("store_name"),
-        F.when(full & F.col("total_price").isNotNull(), F.col("total_price").cast("string")).alias("total_price"),
-        F.when(full & F.upper("payment_type").isin(KNOWN_PAYMENTS), F.col("payment_type")).alias("payment_type"),
+        F.col("time_stamp").cast("string").alias("time_stamp"),
+        "store_name",
+        F.col("total_price").cast("string").alias("total_price"),
+        "payment_type",
     )
 
 

@@ -101,11 +101,12 @@ ID_COLUMNS = {
     "flavours": "flavour_id",
     "transactions": "transaction_id",
 }
-# One row per committed batch.  The largest id of every table after the
+# One row per committed batch, with the attempt whose rows count.  The largest id of every table after the
 # batch is kept here, so the next batch needs no scan of the tables for it;
 # with dense ids 1..n it is also the exact row count of the table.
 LEDGER = T.StructType([
     T.StructField("batch_id", T.LongType(), False),
+    T.StructField("attempt", T.StringType(), False),
     T.StructField("source", T.StringType(), True),
     T.StructField("committed_at", T.TimestampType(), True),
 ] + [T.StructField(f"max_{c}", T.LongType(), True) for c in ID_COLUMNS.values()])

@@ -140,6 +140,64 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def publish_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole text in one step, unless it is there (then False)."""
+    fs, p = _file(spark, path)
+    if fs.getScheme() == "file":  # a rename would replace what is there, a link does not
+        final = p.toUri().getPath()
+        draft = f"{os.path.dirname(final)}/.{uuid.uuid4().hex}"
+        with open(draft, "x") as f:
+            f.write(text)
+        try:
+            os.link(draft, final)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    done = False
+    try:
+        done = not fs.exists(p) and bool(fs.rename(draft, p))
+    finally:
+        if not done:
+            fs.delete(draft, False)
+    return done
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file or folder; False where the source is not there (any more)."""
+    fs, p = _file(spark, source)
+    if not fs.exists(p):
+        return False
+    to = _file(spark, target)[1]
+    fs.mkdirs(to.getParent())
+    if fs.rename(p, to):
+        return True
+    if not fs.exists(p):  # moved meanwhile
+        return False
+    raise OSError(f"{source} could not be moved to {target}")
+
+
+def below_folder(spark: SparkSession, file: str, folder: str) -> tuple[str, str]:
+    """(path of a file given as an encoded URI, the part of it below ``folder`` or else its name)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    fs, top = _file(spark, folder)
+    top = fs.makeQualified(top).toUri().getPath().rstrip("/") + "/"
+    inside = path.toUri().getPath()
+    return path.toString(), inside[len(top):] if inside.startswith(top) else path.getName()
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where it is absent."""
+    fs, p = _file(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def file_state(spark: SparkSession, path: str) -> tuple[str, int] | None:
     """(text, modification time) of a small file, None where it is absent."""
     fs, p = _file(spark, path)

@@ -136,3 +136,17 @@ def csv_lines(feed: DataFrame) -> DataFrame:
     cols = feed.columns
     line = F.when(F.col("_cut"), cut).otherwise(full) if "_cut" in cols else full
     return feed.select("o_orderkey", line.alias("value"))
+
+
+# Fields missing from lines of the shifted feed: order key mod 97 -> place of the field (fixed values).
+MISSING_FIELDS = {3: 0, 5: 3, 7: 6}
+
+
+def shifted_lines(feed: DataFrame) -> DataFrame:
+    """The dirty feed as CSV lines, some of them without their first, middle or last field."""
+    fields = [F.coalesce(csv_field(F.col(c)), F.lit("")) for c in RAW_COLUMNS]
+    dirty = feed.select("*", (F.col("o_orderkey") % 97).alias("_rest"))
+    full = F.when(F.col("_cut"), F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
+    for rest, place in MISSING_FIELDS.items():
+        full = F.when(F.col("_rest") == rest, F.concat_ws(",", *fields[:place], *fields[place + 1 :])).otherwise(full)
+    return dirty.select("o_orderkey", full.alias("value"))
