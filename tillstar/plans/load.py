@@ -1,7 +1,7 @@
 """Incremental feed -> star schema load.
 
 Layout of a warehouse folder (Parquet, every table partitioned by
-``batch_id`` and ``attempt``)::
+``batch_id``, with the column ``attempt``)::
 
     <root>/stores  customers  products  flavours  transactions  baskets
     <root>/quarantine                      rejected raw rows, non-personal
@@ -11,13 +11,13 @@ Layout of a warehouse folder (Parquet, every table partitioned by
     <root>/_line_key                       key of the digests of rejected lines
     <root>/_files/                         input files of batches, until they are archived
 
-Every run of a batch is an attempt of its own and writes partitions of its own.
+Every run of a batch is an attempt of its own and adds files of its own.
 Its commit creates the ledger file named by the batch id, which fails where the
 file is there: of several runs of one batch exactly one is committed, in one step
 that needs no claim, even if a run stalls for any time right before it.  Readers see
 only rows of the ledgered attempts, which makes the six-table commit all-or-nothing
 without a transactional table format, and no run ever removes what a commit may
-still name: the partitions of a batch's other attempts go after its commit.
+still name: the files of a batch's other attempts go after its commit.
 One load runs at a time (``plans.claim``), so that ids are not dealt twice for nothing.
 """
 
@@ -39,7 +39,9 @@ from tillstar.operators.keys import ranged_ids
 from tillstar.plans import staging
 from tillstar.plans.claim import WAIT_S, Claim, LoadInProgress
 from tillstar.schemas import ID_COLUMNS, LEDGER, QUARANTINE, STAR_TABLES
-from tillstar.session import configure, create_file, file_state, list_dir, make_dirs, materialize, publish_file, remove_dir
+from tillstar.session import (
+    below_folder, configure, create_file, file_state, list_dir, make_dirs, materialize, publish_file, remove_dir,
+)
 
 ALL_TABLES = {**STAR_TABLES, "quarantine": QUARANTINE}
 
@@ -128,16 +130,15 @@ class Warehouse:
         return row[0] if row else self.attempts.get(batch_id)
 
     def batch_rows(self, table: str, batch_id: int) -> DataFrame:
-        """Rows of one batch, committed or in flight, with its partition columns."""
-        return self._raw(table).where((F.col("batch_id") == batch_id) & (F.col("attempt") == self.attempt_of(batch_id)))
+        """Rows of one batch, committed or in flight, with ``batch_id`` and ``attempt``."""
+        mine = F.col("attempt").eqNullSafe(F.lit(self.attempt_of(batch_id)))
+        return self._raw(table).where((F.col("batch_id") == batch_id) & mine)
 
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
         cols = [f.name for f in ALL_TABLES[table].fields]
         out = df.select(*cols).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         out = out.withColumn("attempt", F.lit(self.attempts[batch_id]))
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "attempt").parquet(
-            self.path(table)
-        )
+        out.write.mode("append").partitionBy("batch_id").parquet(self.path(table))
 
     def commit(self, batch_id: int, source: str, max_ids: dict[str, int]) -> None:
         """Create the batch's ledger file; from now on readers see the attempt.  Fails where the batch has one."""
@@ -174,14 +175,19 @@ class Warehouse:
                 out.append((f"{self.path('_files')}/{name}", json.loads(state[0])))
         return out
 
+    def has_files(self, batch_id: int) -> bool:
+        """Whether any run of a batch has left files so far (folder listings only)."""
+        return any(list_dir(self.spark, f"{self.path(t)}/batch_id={batch_id}") for t in ALL_TABLES)
+
     def drop_other_attempts(self, batch_id: int) -> None:
         """Remove what uncommitted attempts of a committed batch wrote; none of them can be committed any more."""
-        kept = f"attempt={self.attempt_of(batch_id)}"
+        kept = F.col("attempt").eqNullSafe(F.lit(self.attempt_of(batch_id)))
         for table in ALL_TABLES:
-            folder = f"{self.path(table)}/batch_id={batch_id}"
-            for name in list_dir(self.spark, folder):
-                if name.startswith("attempt=") and name != kept:
-                    remove_dir(self.spark, f"{folder}/{name}")
+            if len(list_dir(self.spark, f"{self.path(table)}/batch_id={batch_id}")) == 0:
+                continue
+            lost = self._raw(table).where((F.col("batch_id") == batch_id) & ~kept).select("_metadata.file_path").distinct()
+            for row in lost.collect():  # one name per file of a lost run
+                remove_dir(self.spark, below_folder(self.spark, row[0], self.path(table))[0])
 
     def scratch(self, batch_id: int) -> str:
         return f"{self.root.rstrip('/')}/_scratch/batch={batch_id}-{self.attempts[batch_id]}"
@@ -284,6 +290,7 @@ def _load(
     if done:
         return LoadResult(batch_id, skipped=True)
     _step(wh, batch_id, "stage")
+    tried = wh.has_files(batch_id)
     wh.attempts[batch_id] = uuid.uuid4().hex[:16]
     scratch = wh.scratch(batch_id)
     wh.scratch_dirs[batch_id] = scratch
@@ -375,7 +382,8 @@ def _load(
     if commit:
         claim.check()
         wh.commit(batch_id, source, after)
-        wh.drop_other_attempts(batch_id)
+        if tried:
+            wh.drop_other_attempts(batch_id)
         if not keep_scratch:
             wh.staged_transactions.pop(batch_id, None)
             wh.scratch_dirs.pop(batch_id, None)
