@@ -22,7 +22,7 @@ from tillstar.operators.range_join import range_join
 from tillstar.plans import staging
 from tillstar.plans.load import Warehouse, load_batch, star_view
 from tillstar.schemas import STAR_TABLES
-from tillstar.session import configure, materialize, work_dir
+from tillstar.session import configure, materialize, remove_dir, work_dir
 from tillstar.sources import csv as C
 from tillstar.sources import pgexport as X
 from tillstar.sources.feed import (
@@ -255,12 +255,14 @@ def q_stream_archive(spark, sf_dir):
 def q_replay_is_idempotent(spark, sf_dir):
     """A crash before the ledger row, a retry, then a replay."""
     wh = Warehouse(spark, work_dir(spark, "replay")).bootstrap()
-    f1, f2 = feed_split(_feed(spark, sf_dir))
+    inbox = work_dir(spark, "replayfeed")
+    f1, f2 = feed_split(materialize(_feed(spark, sf_dir), inbox))  # what arrived once is read again by each run
     load_batch(wh, f1.drop("o_orderkey"), 1, source="feed1")
     load_batch(wh, f2.drop("o_orderkey"), 2, source="feed2", commit=False)  # crash before commit
     load_batch(wh, f2.drop("o_orderkey"), 2, source="feed2")  # retry overwrites its partitions
     if not load_batch(wh, f2.drop("o_orderkey"), 2, source="feed2").skipped:  # replay: no-op
         raise AssertionError("a committed batch was loaded again")
+    remove_dir(spark, inbox)
     return star_view(wh)
 
 
