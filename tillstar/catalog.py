@@ -287,8 +287,8 @@ def q_flat_frame(spark, sf_dir):
 
 
 def q_group_numbers(spark, sf_dir):
-    """A4: (key kind, key, number) of the five keys, from one pass over the items."""
-    return FL.numbered_items(local_feed(_feed(spark, sf_dir)), work_dir(spark, "groups"))[1].table
+    """A4: (key kind, key, number) of the five keys, from one pass over the sales and their items."""
+    return FL.numbered_sales(local_feed(_feed(spark, sf_dir)), work_dir(spark, "groups"))[1].table
 
 
 def q_flat_tables_products(spark, sf_dir):

@@ -13,17 +13,20 @@ load on purpose (they are the local variant's own):
 Group numbers are ranks of distinct keys (text order for the time stamp),
 computed with the distributed ordered-id helpers and joined back.  Table rows
 take the values of each key's first row in source order (row order column,
-then item position), via ``min_by`` (a partial aggregate, so a hot key is
+then item position), via partial aggregates (so a hot key is
 combined map-side).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstar.functions.basket import parse_timestamp
-from tillstar.operators.keys import GroupMaps, group_maps, join_group_number, ordered_ids_ranged
+from tillstar.operators.keys import GroupMaps, join_group_number, number_keys, ordered_ids_ranged, stacked_keys
 from tillstar.session import file_state, list_dir, materialize, move, publish_file, remove_dir
 
 FLAT_COLUMNS = [
@@ -45,9 +48,10 @@ FLAT_COLUMNS = [
 PAD = " "
 
 
-def explode_items(local: DataFrame, order_col: str = "o_orderkey") -> DataFrame:
-    """One row per item with untrimmed item / flavour / price text."""
+def explode_items(local: DataFrame, order_col: str = "o_orderkey", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per item with untrimmed item / flavour / price text; ``keep``: further columns of the sale."""
     e = local.select(
+        *keep,
         order_col,
         F.col("timestamp").alias("time_stamp"),
         "store",
@@ -60,6 +64,7 @@ def explode_items(local: DataFrame, order_col: str = "o_orderkey") -> DataFrame:
     head = F.slice(a, 1, F.size(a) - 1)
     padded = F.when(F.size(head) < 2, F.concat(head, F.array(F.lit(PAD)))).otherwise(head)
     return e.select(
+        *keep,
         order_col,
         "item_pos",
         "time_stamp",
@@ -83,24 +88,49 @@ GROUPS = {
 }
 
 
-def numbered_items(local: DataFrame, scratch: str, order_col: str = "o_orderkey") -> tuple[DataFrame, GroupMaps]:
-    """The exploded items, written once to ``scratch``, and the group numbers of their five keys (one pass)."""
-    items = materialize(explode_items(local, order_col), f"{scratch}/items")
-    return items, group_maps(items, {k: k for k in GROUPS}, f"{scratch}/groups")
+# The kinds whose key a sale has (column of the local feed -> kind); the other two are of its items.
+SALE_KEYS = {"timestamp": "time_stamp", "store": "store", "customer_name": "customer_name"}
+
+
+def numbered_sales(local: DataFrame, scratch: str, order_col: str = "o_orderkey") -> tuple[DataFrame, GroupMaps]:
+    """The sales with items, written once to ``scratch``, and the group numbers of the five keys (one pass)."""
+    cols = [order_col, "timestamp", "store", "customer_name", "total_price", "cash_or_card", "basket_items"]
+    sales = materialize(local.where(F.col("basket_items").isNotNull()).select(*cols), f"{scratch}/sales")
+    of_sales = stacked_keys(sales, {kind: col for col, kind in SALE_KEYS.items()})
+    of_items = stacked_keys(explode_items(sales, order_col), {k: k for k in GROUPS if k not in SALE_KEYS.values()})
+    return sales, number_keys(of_sales.unionByName(of_items), f"{scratch}/groups")
 
 
 def flat_frame(local: DataFrame, scratch: str, order_col: str = "o_orderkey", keep_order: bool = False) -> DataFrame:
-    """The 13-column flat frame (plus the order columns when asked)."""
-    df, maps = numbered_items(local, scratch, order_col)
-    for key, number in GROUPS.items():
-        df = join_group_number(df, maps, key, key, number)
+    """The 13-column flat frame (plus the order columns when asked).
+
+    Time stamps, stores and customers are numbered on the sales, before each becomes a row per item.
+    """
+    sales, maps = numbered_sales(local, scratch, order_col)
+    for col, kind in SALE_KEYS.items():
+        sales = join_group_number(sales, maps, kind, col, GROUPS[kind])
+    df = explode_items(sales, order_col, keep=[GROUPS[kind] for kind in SALE_KEYS.values()])
+    for kind in GROUPS:
+        if kind not in SALE_KEYS.values():
+            df = join_group_number(df, maps, kind, kind, GROUPS[kind])
     cols = FLAT_COLUMNS + ([order_col, "item_pos"] if keep_order else [])
     return df.select(*cols)
 
 
 def _first_row(flat: DataFrame, key: str, values: list[str], order_col: str) -> DataFrame:
-    order = F.struct(F.col(order_col), F.col("item_pos"))
-    return flat.groupBy(key).agg(*[F.min_by(F.col(v), order).alias(v) for v in values])
+    """Values of each key's first row in source order.
+
+    Rows with the same values are first reduced to the place of their first one: a number, as
+    only fixed-width values are aggregated without sorting all rows.
+    """
+    if isinstance(flat.schema[order_col].dataType, T.IntegralType):
+        first = F.lit(str(-(10**19))).cast("decimal(20,0)")  # NULL comes before all, as in a struct
+        places = F.coalesce(F.col(order_col).cast("decimal(20,0)"), first)
+        order = (places * F.lit(2**31).cast("decimal(10,0)") + F.col("item_pos").cast("decimal(10,0)")).alias("_order")
+    else:
+        order = F.struct(F.col(order_col), F.col("item_pos")).alias("_order")
+    rows = flat.select(key, *values, order).groupBy(key, *values).agg(F.min("_order").alias("_order"))
+    return rows.groupBy(key).agg(*[F.min_by(F.col(v), "_order").alias(v) for v in values])
 
 
 def products_table(flat: DataFrame, order_col: str = "o_orderkey") -> DataFrame:

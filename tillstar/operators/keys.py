@@ -116,8 +116,18 @@ class GroupMaps:
 
 def group_maps(df: DataFrame, kinds: Mapping[str, str], path: str) -> GroupMaps:
     """A4: 0-based rank of each distinct text key of each kind (kind -> column); -1 for NULL."""
+    return number_keys(stacked_keys(df, kinds), path)
+
+
+def stacked_keys(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """(key_kind, key_value) of every row and kind."""
     args = ", ".join(f"'{kind}', `{col}`" for kind, col in kinds.items())
-    keys = df.selectExpr(f"stack({len(kinds)}, {args}) as (key_kind, key_value)").distinct()
+    return df.selectExpr(f"stack({len(kinds)}, {args}) as (key_kind, key_value)")
+
+
+def number_keys(stacked: DataFrame, path: str) -> GroupMaps:
+    """The numbers of ``group_maps`` for keys as ``stacked_keys`` gives them, in any number."""
+    keys = stacked.distinct()
     ids = ordered_ids_ranged(keys, ["key_kind", "key_value"], "_id", path)
     size = F.sum(F.coalesce(F.octet_length("key_value"), F.lit(0)) + ROW_BYTES)
     nulls = F.count_if(F.col("key_value").isNull())  # NULL sorts first within its kind
