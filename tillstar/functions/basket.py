@@ -44,10 +44,19 @@ def basket_items(products) -> Column:
     return F.split(col(products), BASKET_SEP, -1)
 
 
+def item_part(item, place: int) -> Column:
+    """One ' - ' part of an item from 1, or from the end for -1; '' where there is none (no pattern is compiled per item)."""
+    return F.split_part(col(item), F.lit(ITEM_SEP), F.lit(place))
+
+
 def item_parts(item) -> Column:
     return F.split(col(item), ITEM_SEP, -1)
 
 
+def _more_than_two_parts(item) -> Column:
+    return F.length(col(item)) - F.length(F.replace(col(item), F.lit(ITEM_SEP), F.lit(""))) >= 2 * len(ITEM_SEP)
+
+
 def item_struct(item) -> Column:
     """Item text -> struct(product_name, flavour_name, price_text, price).
 
@@ -55,11 +64,10 @@ def item_struct(item) -> Column:
     more than two parts (parts beyond the second are dropped); no flavour is
     the empty-string member.
     """
-    a = item_parts(item)
-    price_text = F.element_at(a, -1)
+    price_text = item_part(item, -1)
     return F.struct(
-        a.getItem(0).alias("product_name"),
-        F.when(F.size(a) > 2, a.getItem(1)).otherwise(F.lit("")).alias("flavour_name"),
+        item_part(item, 1).alias("product_name"),
+        F.when(_more_than_two_parts(item), item_part(item, 2)).otherwise(F.lit("")).alias("flavour_name"),
         price_text.alias("price_text"),
         parse_price(price_text).alias("price"),
     )

@@ -45,17 +45,20 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    items = lines.join(part, lines.l_partkey == part.p_partkey).select(
+    # Parts and customers grow with the data, so neither is broadcast (a file's size says little of its rows in memory).
+    items = lines.join(part.hint("merge"), lines.l_partkey == part.p_partkey).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", item_text().alias("item")
     )
-    # Ordered string aggregate per order (its group is the lines of one order).
-    baskets = items.groupBy("l_orderkey").agg(
+    # Ordered string aggregate per order (its group is the lines of one order), after plain rows have come to their
+    # order: before that it would sort every scan's rows for next to no reduction.
+    baskets = items.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.expr("listagg(item, ', ') WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_extendedprice)").alias("products")
     )
 
-    o = orders.join(baskets, orders.o_orderkey == baskets.l_orderkey)
-    o = o.join(customer, o.o_custkey == customer.c_custkey)
+    # The baskets come last, so their texts move no second time.
+    o = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey)
     o = o.join(nation, nation.n_nationkey == (o.c_nationkey + o.o_orderkey % 2) % 25)
+    o = o.join(baskets, o.o_orderkey == baskets.l_orderkey)
 
     hours = (F.col("o_orderkey") % 24).cast("int")
     card = (F.col("o_orderkey") % 2) == 0
