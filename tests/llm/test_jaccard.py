@@ -130,3 +130,31 @@ def test_query_equals_brute_force_on_its_table(spark):
     got = sorted(map(tuple, queries.op12_jaccard_join(spark, SF).collect()), key=repr)
     assert got == brute(rows)
     assert len({r[2] for r in got}) < len(got)
+
+
+def test_copies_of_a_text_in_different_tasks_have_no_signatures(spark, monkeypatch):
+    sent, real = [], jaccard.map_arrow
+
+    def spy(df, rows, schema):
+        out = real(df, rows, schema)
+        if "sigs" in schema:
+            sent.append(out)
+        return out
+
+    monkeypatch.setattr(jaccard, "map_arrow", spy)
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(30)]
+    rows = [(100 * i + n, t, "k", 3, "r") for n, t in enumerate(texts) for i in range(1, 21)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(20, "doc_id")
+    got = jaccard.similarity_components(docs).collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], 56, 100 + r[0] % 100) for r in rows)
+    assert sent and not any(r.sigs for df in sent for r in df.collect())
+
+
+def test_rows_that_stand_for_a_text(spark, monkeypatch):
+    """A tiny table that marks nearly every row, null and repeated ids, texts equal but for case and spaces."""
+    monkeypatch.setattr(jaccard, "ROW_SLOTS", 15)
+    words = "a b c d e f g h"
+    rows = [(5, words), (None, words), (5, words), (3, words.upper()), (9, words.replace(" ", "  ")), (None, "x y"), (None, "x y"), (8, ""), (8, None), (2, " ")]
+    rows += [(100 + i, f"t{i % 40} u v w x y z") for i in range(400)]
+    assert joined(spark, rows) == brute(rows)

@@ -29,9 +29,13 @@ its members are dealt into blocks by size, and those outside its largest compone
 that hold sizes similar to theirs, where one pass over a block's inverted lists counts all common tokens
 of a visitor; only links come out.  Equal sets are one set throughout.
 Each step is a shuffle by signature, set, component or block; groups are cut into
-pieces, and only two tables of a fixed size reach the driver: bit tables of token classes
-and of the sets wanted (``SLOTS``), which may hold a token in too frequent a class, or a set too
-many, but never too few, so results do not depend on them.
+pieces, and only three tables of a fixed size reach the driver: bit tables of token classes, of the sets
+wanted and of the rows that stand for their text (``SLOTS``), which may hold a token in too frequent a class, or a set
+or row too many, but never too few, so results do not depend on them.
+
+Rows of the same text (by MD5) are one text before anything else: the row of the smallest doc_id stands for it, and only such
+rows are cut into tokens, counted and signed.  Else copies in different tasks would pass for documents that
+share all their tokens, and every set would have signatures.
 
 A null, empty or word-free text has no tokens and links with nothing.  Fewer words than a shingle's are one
 shingle.  A null doc_id is never the smallest unless all are null; repeated rows share
@@ -50,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import U64, WordHash, components, grams, map_arrow, mix, written
+from tillstar.llm.common import U64, WordHash, components, grams, kept_rows, map_arrow, mix, written
 
 # A token is of class 0, 1, 2 or 3 if more than none, the first, the second or the third of these numbers of documents hold it.
 BORDERS = (1, 16, 512)
@@ -58,9 +62,10 @@ BORDERS = (1, 16, 512)
 TOGETHER = (1, 1, 2, 3)
 # Tokens of a subclass, on average over a whole set of that class, by class.
 SUBCLASS = (0, 0, 4, 8)
-# Bits of the hash that choose a slot of the bit table of classes 1, 2 and 3, and of wanted sets (memory bounds only).
+# Bits of the hash that choose a slot of the bit table of classes 1, 2 and 3, of wanted sets and of rows that stand for a text (memory bounds only).
 SLOTS = (26, 24, 22)
-SET_SLOTS = 22
+SET_SLOTS = 24
+ROW_SLOTS = 26
 # Tokens or signatures that a task sorts at a time, and members of a piece of a group (memory bounds only).
 FLUSH = 1 << 22
 PIECE = 1024
@@ -83,11 +88,32 @@ def ref_of(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int | None, np.ndarray]]:
+def marked(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """1 for hashes whose slot in a bit table is set, else 0."""
+    bits = (8 * len(packed)).bit_length() - 1
+    slot = (hashes >> U64(64 - bits)).astype(np.int64)
+    return packed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+
+
+def bit_table(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bit table for ``marked`` of a column of 64-bit hashes."""
+    slot = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - bits)
+    # shuffled as numbers, each once a task; then at most 2 ** (bits - 15) rows of 4 KB
+    parts = hashes.select(F.shiftright(slot, 15).alias("part"), (slot % 32768).alias("bit")).distinct().repartition("part")
+    packed = np.zeros(max(4096, 1 << bits >> 3), dtype=np.uint8)
+    for row in parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        packed[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, dtype=np.uint8)
+    return packed[: 1 << bits >> 3]
+
+
+def sets(batches: Iterator[pa.RecordBatch], k: int, stands: np.ndarray) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Text hash and tokens of the rows ``(place, text_hash, text)`` that stand for their text."""
     words = WordHash()
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-            yield doc_id, token_set(text.as_py(), words, k)
+        place = np.asarray(batch.column(0)).view(U64)
+        batch = batch.filter(pa.array(marked(stands, place) > 0))
+        for text_hash, text in zip(batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
+            yield text_hash, token_set(text.as_py(), words, k)
 
 
 def lacking(n: int, percent: int) -> int:
@@ -95,6 +121,33 @@ def lacking(n: int, percent: int) -> int:
     return n - -(-percent * n // 100)
 
 
+# --- texts -----------------------------------------------------------------------
+
+TEXT = np.dtype([("text_hash", "V16"), ("n", "<i8"), ("key", "V16")])
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, text_hash``; an empty text has no hash, as a null one."""
+    text = F.when(F.col("text") != "", F.col("text"))
+    return docs.select("doc_id", "text", F.unhex(F.md5(text)).alias("text_hash"))
+
+
+def place_of(doc_id: str) -> F.Column:
+    return F.xxhash64(doc_id, "text_hash")
+
+
+def known_texts(counted: DataFrame) -> DataFrame:
+    """``(text_hash, n_shingles, key)`` of every text that has tokens, from what ``token_classes`` wrote."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                rows = np.frombuffer(blob, dtype=TEXT)
+                yield {"text_hash": [x.tobytes() for x in rows["text_hash"]], "n_shingles": rows["n"].tolist(), "key": [x.tobytes() for x in rows["key"]]}
+
+    return map_arrow(counted.where("texts is not null").select("texts"), run, "text_hash binary, n_shingles bigint, key binary")
+
+
 # --- token classes ---------------------------------------------------------------
 
 
@@ -145,10 +198,7 @@ class Classes:
 
     def above(self, border: int, tokens: np.ndarray) -> np.ndarray:
         """1 for tokens above a border, else 0."""
-        packed = self.tables[border]
-        bits = (8 * len(packed)).bit_length() - 1
-        slot = (tokens >> U64(64 - bits)).astype(np.int64)
-        return packed[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+        return marked(self.tables[border], tokens)
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
         out = np.zeros(len(tokens), dtype=np.int64)
@@ -157,35 +207,43 @@ class Classes:
         return out
 
 
-def token_classes(docs: DataFrame, k: int) -> Classes:
-    """Counts the documents of every token (equal sets of a task once) and keeps who is above the borders."""
+def token_classes(docs: DataFrame, stands: np.ndarray, k: int) -> tuple[Classes, DataFrame]:
+    """Counts the texts of every token (equal sets of a task once) and keeps who is above the borders; also a table for ``known_texts``."""
     bits = bucket_bits(docs)
     borders, slots_of, flush_at = BORDERS, SLOTS, FLUSH
     most = borders[-1] + 1  # larger counts are as good as this one
+    shared = docs.sparkSession.sparkContext.broadcast(stands)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen, held, size = set(), [], 0
+        seen, held, texts, size = set(), [], [], 0
 
         def flush() -> dict:
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            tokens, n = np.unique(np.concatenate(held or [np.empty(0, dtype=U64)]), return_counts=True)
             n = np.minimum(n, most).astype(np.uint16)
-            out: dict[str, list] = {"bucket": [], "tokens": [], "n": []}
+            out: dict[str, list] = {"bucket": [], "tokens": [], "n": [], "texts": []}
             for bucket, part in by_bucket(tokens, bits):
-                out["bucket"].append(bucket)
-                out["tokens"].append(following(tokens[part], bits).tobytes())
-                out["n"].append(n[part].tobytes())
+                for name, value in zip(out, (bucket, following(tokens[part], bits).tobytes(), n[part].tobytes(), b"")):
+                    out[name].append(value)
+            head = np.frombuffer(b"".join(texts), dtype=TEXT)["text_hash"].copy().view(">u8")[::2].astype(U64)
+            order = np.argsort(head)
+            for bucket, part in by_bucket(head[order], bits):
+                for name, value in zip(out, (bucket, b"", b"", b"".join(texts[i] for i in order[part].tolist()))):
+                    out[name].append(value)
             return out
 
-        for _, tokens in sets(batches, k):
+        for text_hash, tokens in sets(batches, k, shared.value):
+            if not len(tokens):
+                continue
             key = key_of(tokens)
-            if len(tokens) and key not in seen:
+            texts.append(np.array((text_hash, len(tokens), key), dtype=TEXT).tobytes())
+            if key not in seen:
                 seen.add(key)
                 held.append(tokens)
                 size += len(tokens)
-                if size >= flush_at:
-                    yield flush()
-                    held, size = [], 0
-        if held:
+            if size >= flush_at or len(texts) >= flush_at:
+                yield flush()
+                held, texts, size = [], [], 0
+        if texts:
             yield flush()
 
     def merge(bucket: int, cols: list) -> Iterator[dict]:
@@ -193,9 +251,10 @@ def token_classes(docs: DataFrame, k: int) -> Classes:
         n = np.frombuffer(b"".join(cols[1]), dtype=np.uint16)
         order = np.argsort(tokens, kind="stable")
         tokens, n = tokens[order], n[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-        total, tokens = np.add.reduceat(n, first), tokens[first]
-        out = {"bucket": [bucket]}
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]][: len(tokens)])
+        total, tokens = np.add.reduceat(n, first) if len(n) else n, tokens[first]
+        texts = np.frombuffer(b"".join(cols[2]), dtype=f"V{TEXT.itemsize}")
+        out = {"bucket": [bucket], "texts": [b"".join(sorted(set(texts.tolist()))) or None]}
         for i, (slots, border) in enumerate(zip(slots_of, borders)):
             # the slot's bits after the bucket's
             flags = np.zeros(1 << (slots - bits), dtype=bool)
@@ -203,9 +262,10 @@ def token_classes(docs: DataFrame, k: int) -> Classes:
             out[f"c{i}"] = [np.packbits(flags, bitorder="little").tobytes() if flags.any() else None]
         yield out
 
+    counted = map_arrow(docs, count, "bucket int, tokens binary, n binary, texts binary")
+    counted = written(merged(counted, merge, "bucket int, c0 binary, c1 binary, c2 binary, texts binary"), "jaccard-counted")
     # at most one row a bucket, together the bit tables of SLOTS
-    counted = map_arrow(docs.select("doc_id", "text"), count, "bucket int, tokens binary, n binary")
-    rows = merged(counted, merge, "bucket int, c0 binary, c1 binary, c2 binary").collect()
+    rows = counted.drop("texts").collect()
     tables = [np.zeros(1 << (slots - 3), dtype=np.uint8) for slots in SLOTS]
     for row in rows:
         for i, slots in enumerate(SLOTS):
@@ -216,7 +276,7 @@ def token_classes(docs: DataFrame, k: int) -> Classes:
                 else:  # several buckets share a byte
                     here = row.bucket << (slots - bits)
                     tables[i][here >> 3] |= row[f"c{i}"][0] << (here & 7)
-    return Classes(tables)
+    return Classes(tables), counted
 
 
 # --- signatures ----------------------------------------------------------------------
@@ -285,40 +345,29 @@ def signatures(tokens: np.ndarray, classes: Classes, percent: int) -> np.ndarray
     return np.unique(np.concatenate(out))
 
 
-SIGNED = "doc_id bigint, n_shingles bigint, key binary, bucket int, sigs binary, refs binary"
-
-
-def signed(docs: DataFrame, classes: Classes, k: int, percent: int) -> DataFrame:
-    """A row ``(doc_id, n_shingles, key)`` for each document, and rows ``(bucket, sigs, refs)`` of signatures and sets."""
+def signed(docs: DataFrame, stands: np.ndarray, classes: Classes, k: int, percent: int) -> DataFrame:
+    """Rows ``(bucket, sigs, refs)`` of signatures and sets."""
     bits, flush_at = bucket_bits(docs), FLUSH
-    shared = docs.sparkSession.sparkContext.broadcast(classes.tables)
-    names = [part.split()[0] for part in SIGNED.split(", ")]
+    shared = docs.sparkSession.sparkContext.broadcast((stands, classes.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen, rows, sigs, refs, size = set(), [], [], [], 0
-        known = Classes(shared.value)
+        seen, sigs, refs, size = set(), [], [], 0
+        known = Classes(shared.value[1])
 
         def flush() -> dict:
             s, r = np.concatenate(sigs), np.concatenate(refs)
             order = np.argsort(s, kind="stable")
             s, r = s[order], r[order]
-            return columns(
-                [
-                    (None, None, None, bucket, following(s[part], bits).tobytes(), r[part].tobytes())
-                    for bucket, part in by_bucket(s, bits)
-                ]
-            )
-
-        def columns(rows: list[tuple]) -> dict:
-            return dict(zip(names, zip(*rows)))
-
-        for doc_id, tokens in sets(batches, k):
-            key = key_of(tokens) if len(tokens) else None
-            rows.append((doc_id, len(tokens), key, None, None, None))
-            if len(rows) == 10_000:
-                yield columns(rows)
-                rows = []
-            if key is None or key in seen:
+            out: dict[str, list] = {"bucket": [], "sigs": [], "refs": []}
+            for bucket, part in by_bucket(s, bits):
+                out["bucket"].append(bucket)
+                out["sigs"].append(following(s[part], bits).tobytes())
+                out["refs"].append(r[part].tobytes())
+            return out
+
+        for _, tokens in sets(batches, k, shared.value[0]):
+            key = key_of(tokens)
+            if not len(tokens) or key in seen:
                 continue
             seen.add(key)
             mine = signatures(tokens, known, percent)
@@ -329,12 +378,10 @@ def signed(docs: DataFrame, classes: Classes, k: int, percent: int) -> DataFrame
                 if size >= flush_at:
                     yield flush()
                     sigs, refs, size = [], [], 0
-        if rows:
-            yield columns(rows)
         if sigs:
             yield flush()
 
-    return written(map_arrow(docs.select("doc_id", "text"), run, SIGNED), "jaccard-signed")
+    return map_arrow(docs, run, "bucket int, sigs binary, refs binary")
 
 
 def candidate_groups(rows: DataFrame) -> DataFrame:
@@ -366,8 +413,7 @@ def candidate_groups(rows: DataFrame) -> DataFrame:
             out["refs"].append(np.frombuffer(group, dtype=np.int64))
         yield out
 
-    sent = rows.where("bucket is not null").select("bucket", "sigs", "refs")
-    groups = merged(sent, merge, "large bigint, refs array<bigint>").distinct()
+    groups = merged(rows, merge, "large bigint, refs array<bigint>").distinct()
     # ids of small groups are below zero, those of large ones are their signatures
     gid = F.coalesce("large", -1 - F.monotonically_increasing_id())
     return written(groups.select(gid.alias("gid"), "refs"), "jaccard-groups")
@@ -376,29 +422,19 @@ def candidate_groups(rows: DataFrame) -> DataFrame:
 # --- verification ----------------------------------------------------------------------
 
 
-def whole_sets(docs: DataFrame, refs: DataFrame, classes: Classes, k: int) -> DataFrame:
+def whole_sets(docs: DataFrame, stands: np.ndarray, refs: DataFrame, classes: Classes, k: int) -> DataFrame:
     """Sets ``(ref, key, n, tokens)`` of those in ``refs (ref)`` at least, each once; tokens held by one set alone only count in ``n``."""
-    bits, flush_at = SET_SLOTS, FLUSH // 4
-    high = bits // 2
-    slot = F.shiftrightunsigned("ref", 64 - bits)
-    # at most 2 ** high rows of at most 2 ** (bits - high) slots each
-    rows = (
-        refs.groupBy(F.shiftright(slot, bits - high).alias("high"))
-        .agg(F.collect_set(slot.cast("int")).alias("slots")).collect()
-    )
-    flags = np.zeros(max(8, 1 << bits), dtype=bool)
-    for row in rows:
-        flags[row.slots] = True
-    shared = docs.sparkSession.sparkContext.broadcast((np.packbits(flags), classes.tables))
+    flush_at = FLUSH // 4
+    shared = docs.sparkSession.sparkContext.broadcast((stands, bit_table(refs, SET_SLOTS), classes.tables))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        wanted, known, seen = np.unpackbits(shared.value[0]).view(bool), Classes(shared.value[1]), set()
+        wanted, known, seen = shared.value[1], Classes(shared.value[2]), set()
         out: dict[str, list] = {"ref": [], "key": [], "n": [], "tokens": []}
         size = 0
-        for _, tokens in sets(batches, k):
+        for _, tokens in sets(batches, k, shared.value[0]):
             key = key_of(tokens)
             ref = ref_of(key)
-            if len(tokens) and wanted[(ref & (1 << 64) - 1) >> (64 - bits)] and key not in seen:
+            if len(tokens) and key not in seen and marked(wanted, np.array([ref]).view(U64))[0]:
                 seen.add(key)
                 common = tokens[known.above(0, tokens) > 0]
                 for name, value in zip(out, (ref, key, len(tokens), common.tobytes())):
@@ -409,10 +445,21 @@ def whole_sets(docs: DataFrame, refs: DataFrame, classes: Classes, k: int) -> Da
                     out, size = {name: [] for name in out}, 0
         yield out
 
-    found = map_arrow(docs.select("doc_id", "text"), run, "ref bigint, key binary, n bigint, tokens binary")
+    found = map_arrow(docs, run, "ref bigint, key binary, n bigint, tokens binary")
     return written(found.dropDuplicates(["ref", "key"]), "jaccard-sets")
 
 
+def needed(whole: DataFrame, refs: DataFrame) -> DataFrame:
+    """The sets of ``whole`` in ``refs (ref)`` at least, so that a join shuffles no others."""
+    shared = whole.sparkSession.sparkContext.broadcast(bit_table(refs, SET_SLOTS))
+
+    def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bool]]:
+        for batch in batches:
+            yield (marked(shared.value, np.asarray(batch.column(0)).view(U64)) > 0).tolist()
+
+    return kept_rows(whole, masks)
+
+
 LINK = "ra bigint, rb bigint, a binary, b binary"
 
 
@@ -423,7 +470,7 @@ def is_similar(n: int, m, common, percent: int):
 
 def similar(whole: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Links (refs ``ra``, ``rb`` and set keys ``a``, ``b``): those of ``pairs (a, b)`` of refs whose sets are similar."""
-    side = lambda x: whole.select(F.col("ref").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tokens")))
+    side = lambda x: needed(whole, pairs.select(x)).select(F.col("ref").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "tokens")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -558,7 +605,8 @@ def linked(groups: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     family = family.join(comp.withColumnRenamed("node", "ref"), "ref", "left").withColumn("root", F.coalesce("root", "ref"))
     count = family.groupBy("family", "root").agg(F.count("*").alias("m"))
     main = count.groupBy("family").agg(F.max(F.struct("m", "root")).alias("x")).select("family", F.col("x.root").alias("main"))
-    links = links.union(written(family_links(family.join(main, "family").join(whole, "ref"), percent), "jaccard-links"))
+    member = written(family.join(main, "family"), "jaccard-members")
+    links = links.union(written(family_links(member.join(needed(whole, member.select("ref")), "ref"), percent), "jaccard-links"))
     return components(links.select("a", "b"), "jaccard-cc")
 
 
@@ -571,15 +619,22 @@ def similarity_components(docs: DataFrame, k: int = 5, percent: int = 80) -> Dat
     if not 80 <= percent <= 100:  # below, subclasses could set too many tokens of a small set aside
         raise ValueError("percent must be from 80 to 100")
 
-    classes = token_classes(docs, k)
-    rows = signed(docs, classes, k, percent)
-    groups = candidate_groups(rows)
-    whole = whole_sets(docs, groups.select(F.explode("refs").alias("ref")).distinct(), classes, k)
+    docs = hashed(docs)
+    rows = written(docs.select("doc_id", "text_hash"), "jaccard-rows")
+    bare, rows = rows.where("text_hash is null"), rows.where("text_hash is not null")
+    texts = written(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id")), "jaccard-texts")
+    stands = bit_table(texts.select(place_of("first_id")), ROW_SLOTS)
+    docs = docs.where("text_hash is not null").select(place_of("doc_id"), "text_hash", "text")
+    classes, counted = token_classes(docs, stands, k)
+    groups = candidate_groups(signed(docs, stands, classes, k, percent))
+    whole = whole_sets(docs, stands, groups.select(F.explode("refs").alias("ref")).distinct(), classes, k)
     comp = linked(groups, whole, percent).withColumnRenamed("node", "key")
-    each = rows.where("bucket is null").select("doc_id", "n_shingles", "key")
-    first = written(each.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id")), "jaccard-first")
+    known = known_texts(counted)
+    first = written(known.join(texts, "text_hash").groupBy("key").agg(F.min("first_id").alias("first_id")), "jaccard-first")
     rooted = first.join(comp, "key", "left").withColumn("root", F.coalesce("root", "key"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = rooted.join(lowest, "root").select("key", "component_id")
-    alone = each.where("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return each.join(ids, "key").select("doc_id", "n_shingles", "component_id").union(alone)
+    ids = known.join(rooted.join(lowest, "root").select("key", "component_id"), "key")
+    each = rows.join(ids, "text_hash", "left")
+    alone = F.col("n_shingles").isNull()
+    each = each.select("doc_id", F.coalesce("n_shingles", F.lit(0).cast("bigint")).alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return each.union(bare.select("doc_id", F.lit(0).cast("bigint"), "doc_id"))
